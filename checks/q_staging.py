@@ -34,7 +34,7 @@ SELECT *, {_SEASON} AS season, COALESCE(day_of_week IN (0, 6), FALSE) AS is_week
        ROUND({q.div('order_amount', 'quantity')} + 1e-9, 2) AS unit_price,
        {q.mapped('order_status', V.ORDER_STATUS, 'OTHER')} AS order_status_category, {_amount('order_amount')} AS order_value_segment
 FROM (SELECT *, {_DAY} AS order_date, {_dates(_DAY)}, TRY_CAST(amount_text AS DECIMAL(10,2)) AS order_amount,
-             CAST(TRY_CAST(quantity_text AS DOUBLE) AS INTEGER) AS quantity, CAST(b2b_text AS BOOLEAN) AS is_b2b,
+             TRY_CAST(quantity_text AS INTEGER) AS quantity, CAST(b2b_text AS BOOLEAN) AS is_b2b,
              COALESCE(promotion_ids <> '', FALSE) AS has_promotion, {q.rules(V.ORDER_QUALITY)} AS data_quality_flag,
              {_hash('order_id', 'order_date_text', 'amount_text', 'order_status', 'quantity_text')} AS row_hash
       FROM market_raw WHERE order_id IS NOT NULL) AS m

@@ -20,7 +20,7 @@ def safe_decimal(col: Column | str, precision: int, scale: int) -> Column:
 
 def safe_int(col: Column | str) -> Column:
     """Integer from text; fractional text is rounded half up ('12.7' gives 13)."""
-    return F.round(_c(col).try_cast("decimal(18,3)"), 0).try_cast("int")
+    return F.round(_c(col).try_cast("decimal(28,10)"), 0).try_cast("int")
 
 
 # ---- arithmetic ------------------------------------------------------------------

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, functions as F
 from ..functions import mean
 from ..operators import ordered
 from ..operators.reshape import pivot_table
-from ..operators.series import moving_averages, per_day
+from ..operators.series import moving_averages
 
 # fixed values: columns and first day of the pages' inputs
 SALES_FROM = date(2022, 1, 1)
@@ -29,6 +29,15 @@ PRODUCT_COLUMNS = (
 )
 
 
+def _revenue():
+    # a group without any known amount counts as 0
+    return F.coalesce(F.sum("recognized_revenue"), F.lit(0))
+
+
+def _daily_revenue(sales: DataFrame) -> DataFrame:
+    return sales.groupBy("order_date").agg(_revenue().alias("recognized_revenue"))
+
+
 def sales_page(unified: DataFrame, since: date = SALES_FROM) -> DataFrame:
     return unified.filter(F.col("order_date") >= F.lit(since)).select(*SALES_COLUMNS).orderBy(F.col("order_date").desc())
 
@@ -44,7 +53,7 @@ def product_page(catalog: DataFrame) -> DataFrame:
 def kpi_totals(sales: DataFrame, customers: DataFrame) -> DataFrame:
     """Revenue, order lines, mean order amount and number of customers, in one row."""
     totals = sales.agg(
-        F.sum("recognized_revenue").alias("total_revenue"),
+        _revenue().alias("total_revenue"),
         F.count(F.lit(1)).alias("total_orders"),
         mean("order_amount").alias("avg_order_value"),
     )
@@ -52,17 +61,17 @@ def kpi_totals(sales: DataFrame, customers: DataFrame) -> DataFrame:
 
 
 def daily_channel_revenue(sales: DataFrame) -> DataFrame:
-    return sales.groupBy("order_date", "sales_channel").agg(F.sum("recognized_revenue").alias("revenue"))
+    return sales.groupBy("order_date", "sales_channel").agg(_revenue().alias("revenue"))
 
 
 def channel_performance(sales: DataFrame) -> DataFrame:
     return sales.groupBy("sales_channel").agg(
-        F.sum("recognized_revenue").alias("revenue"), F.count("order_amount").alias("orders"),
+        _revenue().alias("revenue"), F.count("order_amount").alias("orders"),
     )
 
 
 def category_performance(sales: DataFrame) -> DataFrame:
-    return sales.groupBy("product_category").agg(F.sum("recognized_revenue").alias("revenue"))
+    return sales.groupBy("product_category").agg(_revenue().alias("revenue"))
 
 
 def category_channel_pivot(sales: DataFrame) -> DataFrame:
@@ -70,13 +79,12 @@ def category_channel_pivot(sales: DataFrame) -> DataFrame:
 
 
 def monthly_pattern(sales: DataFrame) -> DataFrame:
-    return sales.groupBy(F.month("order_date").alias("month")).agg(F.sum("recognized_revenue").alias("revenue"))
+    return sales.groupBy(F.month("order_date").alias("month")).agg(_revenue().alias("revenue"))
 
 
 def weekday_pattern(sales: DataFrame) -> DataFrame:
     """Mean daily revenue by day of week, Monday = 0."""
-    daily = per_day(sales, "order_date", "recognized_revenue")
-    return daily.groupBy(F.weekday("order_date").alias("day_of_week")).agg(
+    return _daily_revenue(sales).groupBy(F.weekday("order_date").alias("day_of_week")).agg(
         mean("recognized_revenue").alias("avg_daily_revenue")
     )
 
@@ -86,7 +94,7 @@ def fulfilment_performance(sales: DataFrame) -> DataFrame:
 
 
 def city_performance(sales: DataFrame) -> DataFrame:
-    return sales.groupBy("city_tier").agg(F.sum("recognized_revenue").alias("revenue"))
+    return sales.groupBy("city_tier").agg(_revenue().alias("revenue"))
 
 
 def value_counts(df: DataFrame, column: str) -> DataFrame:
@@ -118,4 +126,4 @@ def margin_quartiles(catalog: DataFrame, limit: int = ordered.GROUP_LIMIT) -> Da
 
 
 def revenue_moving_average(sales: DataFrame) -> DataFrame:
-    return moving_averages(sales, "order_date", "recognized_revenue")
+    return moving_averages(_daily_revenue(sales), "order_date", "recognized_revenue")

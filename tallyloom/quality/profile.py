@@ -109,7 +109,8 @@ def profile_table(df: DataFrame, table: str, sample_percent: float | None = None
     columns = F.array(*[F.col(f"`__{f.name}`") for f in df.schema])
     return one.select(F.lit(table).alias("table_name"), "sample_size", F.explode(columns).alias("c")).select(
         "table_name", "sample_size", "c.column_name", "c.column_type",
-        F.col("c.null_count").cast("bigint"), F.col("c.distinct_count").cast("bigint"),
+        F.col("c.null_count").cast("bigint").alias("null_count"),
+        F.col("c.distinct_count").cast("bigint").alias("distinct_count"),
         *[f"c.{s}" for s in stats[2:]],
     )
 

@@ -64,7 +64,9 @@ def upsert_partitions(
     fs = hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
     merged = new
     if fs.exists(hadoop):
-        old = check_schema(spark.read.parquet(path), new.schema)
+        # the partition column is text in the path; its type is taken from the new rows
+        check_schema(spark.read.parquet(path).drop(partition), new.drop(partition).schema)
+        old = spark.read.schema(new.schema).parquet(path)
         touched = new.select(partition).distinct()
         # pruned at run time to the partitions present in `touched`
         merged = stage(merge_rows(old.join(touched, partition, "left_semi"), new, key), "upsert")
