@@ -81,7 +81,7 @@ def months_back(day: Column, n: int) -> Column:
 def hours_between(start: Column | str, end: Column | str) -> Column:
     """Number of hour boundaries between two timestamps."""
     def hour(c):
-        return F.unix_timestamp(F.date_trunc("hour", _c(c).cast("timestamp")))
+        return F.unix_timestamp(F.date_trunc("hour", _c(c).try_cast("timestamp")))
     return ((hour(end) - hour(start)) / 3600).cast("bigint")
 
 

@@ -63,7 +63,7 @@ def _chunk_starts(chunked: DataFrame, keys: Sequence[str], sums: dict[str, Colum
     """
     per_part = chunked.groupBy(*keys, "__part").agg(*[c.alias(name) for name, c in sums.items()])
     before = Window.partitionBy(*keys).orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
-    starts = {f"__before_{n}": F.coalesce(F.sum(n).over(before), F.lit(0)) for n in sums}
+    starts = {f"__before_{n}": F.sum(n).over(before) for n in sums}
     return per_part.select(*keys, "__part", *[c.alias(n) for n, c in starts.items()])
 
 
@@ -73,7 +73,10 @@ def _running_split(df, keys, order, sums: dict[str, Column], rows: int, limit: i
     w = Window.partitionBy(*keys, "__part").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
     local = chunked.withColumns({f"__local_{n}": F.sum(c).over(w) for n, c in sums.items()})
     joined = null_safe_join(local, starts, [*keys, "__part"])
-    totals = {n: F.col(f"__local_{n}") + F.col(f"__before_{n}") for n in sums}
+    # NULL until the first known value of the group, as in a plain running sum
+    totals = {
+        n: F.coalesce(F.col(f"__local_{n}") + F.col(f"__before_{n}"), f"__local_{n}", f"__before_{n}") for n in sums
+    }
     helper = [f"__local_{n}" for n in sums] + [f"__before_{n}" for n in sums]
     return joined.withColumns(totals).drop("__part", *helper)
 

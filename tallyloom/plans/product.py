@@ -7,32 +7,37 @@ from pyspark.sql import Column, DataFrame, functions as F
 from .. import fixed_values as V
 from ..functions import argmax_label, clamp, decide, map_values, mean, safe_divide, surrogate_key, tier
 from ..params import Params
+from ..sources.staging import stage
+
+
+_CHANNELS = {"amazon": "amazon", "merchant_website": "merchant", "international": "international"}
 
 
 def _sales_by_sku(base: DataFrame) -> DataFrame:
-    """One row per SKU.  Order ids are counted once for all and once per buyer segment."""
+    """One row per SKU.
+
+    The lines are staged narrow and read by four light aggregations instead of one with
+    five distinct counts, which would copy every line six times and, with texts among its
+    maxima, sort them all.  Each part combines on the map side and ends partitioned by SKU,
+    so joining the parts moves nothing.
+    """
+    used = [
+        "product_sku", "order_id", "order_date", "partner_channel", "customer_segment", "product_category",
+        "product_style", "product_asin", "quantity", "revenue", "order_value_tier", "quarter",
+        "fulfilment_efficiency_score", "estimated_processing_days",
+    ]
+    lines = stage(base.filter("product_sku is not null").select(*used), "sku_lines")
+    channel, quarter = F.col("partner_channel"), F.col("quarter")
+
     def revenue_if(cond: Column) -> Column:
         return F.sum(F.when(cond, F.col("revenue")).otherwise(0))
 
-    def orders_if(cond: Column) -> Column:
-        return F.count_distinct(F.when(cond, F.col("order_id")))
-
-    short = {"amazon": "amazon", "merchant_website": "merchant", "international": "international"}
-    segment, channel, quarter = F.col("customer_segment"), F.col("partner_channel"), F.col("quarter")
-    return base.filter("product_sku is not null").groupBy("product_sku").agg(
-        F.max("product_category").alias("product_category"),
-        F.max("product_style").alias("product_style"),
-        F.max("product_asin").alias("product_asin"),
-        F.count_distinct("order_id").alias("total_orders"),
+    figures = lines.groupBy("product_sku").agg(
         F.sum("quantity").alias("total_units_sold"),
         F.sum("revenue").alias("total_revenue"),
-        F.count_distinct("order_date").alias("active_sales_days"),
-        F.count_distinct("partner_channel").alias("channel_presence"),
         F.min("order_date").alias("first_sale_date"),
         F.max("order_date").alias("last_sale_date"),
-        orders_if(segment == "b2b").alias("b2b_orders"),
-        orders_if(segment == "b2c").alias("b2c_orders"),
-        *[revenue_if(channel == ch).alias(f"{name}_revenue") for ch, name in short.items()],
+        *[revenue_if(channel == ch).alias(f"{name}_revenue") for ch, name in _CHANNELS.items()],
         *[F.count_if(F.col("order_value_tier") == t).alias(f"{t}_orders") for t in V.LINE_VALUE_LABELS],
         *[revenue_if(quarter == q).alias(f"q{q}_revenue") for q in (1, 2, 3, 4)],
         mean("revenue").alias("avg_order_value"),
@@ -40,7 +45,25 @@ def _sales_by_sku(base: DataFrame) -> DataFrame:
         F.stddev_samp(F.col("revenue").cast("double")).alias("revenue_volatility"),
         mean("fulfilment_efficiency_score").alias("avg_fulfilment_score"),
         mean("estimated_processing_days").alias("avg_processing_days"),
-    ).withColumn("business_orders", F.col("b2b_orders"))  # the segment is the business flag
+    )
+    # one row per SKU and order carries both segment marks; counting rows counts orders
+    segment = F.col("customer_segment")
+    orders = lines.groupBy("product_sku", "order_id").agg(
+        F.max((segment == "b2b").cast("int")).alias("b2b"), F.max((segment == "b2c").cast("int")).alias("b2c"),
+    ).groupBy("product_sku").agg(
+        F.count("order_id").alias("total_orders"),
+        F.sum(F.when(F.col("order_id").isNotNull(), F.col("b2b")).otherwise(0)).alias("b2b_orders"),
+        F.sum(F.when(F.col("order_id").isNotNull(), F.col("b2c")).otherwise(0)).alias("b2c_orders"),
+    )
+    presence = lines.select("product_sku", "order_date", "partner_channel").distinct().groupBy("product_sku").agg(
+        F.count_distinct("order_date").alias("active_sales_days"),
+        F.count_distinct("partner_channel").alias("channel_presence"),
+    )
+    texts = ["product_category", "product_style", "product_asin"]
+    labels = lines.select("product_sku", *texts).distinct().groupBy("product_sku").agg(*[F.max(c).alias(c) for c in texts])
+    return figures.join(orders, "product_sku").join(presence, "product_sku").join(labels, "product_sku").withColumn(
+        "business_orders", F.col("b2b_orders")  # the segment is the business flag
+    )
 
 
 def _cost_by_sku(prices: DataFrame) -> DataFrame:
