@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame, Window, WindowSpec, functions as F
 from ..sources.staging import stage
 
 # largest group that one task sorts on its own
-GROUP_LIMIT = 4_000_000
+GROUP_LIMIT = 2_000_000
 
 
 def _group_size(df: DataFrame, keys: Sequence[str]) -> tuple[int, int]:
@@ -37,6 +37,11 @@ def _group_size(df: DataFrame, keys: Sequence[str]) -> tuple[int, int]:
     return row[0] or 0, row[1] or 0
 
 
+def _spread(df: DataFrame) -> DataFrame:
+    """Undo the single partition that a small table-wide window leaves behind."""
+    return df.repartition(df.sparkSession.sparkContext.defaultParallelism)
+
+
 def _window(keys: Sequence[str], order: Sequence[Column]) -> WindowSpec:
     return Window.partitionBy(*keys).orderBy(*order)
 
@@ -100,7 +105,8 @@ def row_numbers(
     """1-based position of each row within its group."""
     largest, rows = _group_size(df if source is None else source, keys)
     if largest <= limit:
-        return df.withColumn(out, F.row_number().over(_window(keys, order)).cast("bigint"))
+        numbered = df.withColumn(out, F.row_number().over(_window(keys, order)).cast("bigint"))
+        return numbered if keys else _spread(numbered)
     return _running_split(df, keys, order, {out: F.lit(1).cast("bigint")}, rows, limit)
 
 
@@ -151,7 +157,7 @@ def ntile_scores(df: DataFrame, n: int, orders: dict[str, Sequence[Column]], lim
     df = stage(df, "scored")
     for out, order in orders.items():
         df = ntiles(df, n, order, out, limit)
-    return df
+    return _spread(df)
 
 
 def value_ranks(

@@ -87,9 +87,10 @@ def user_similarity(
 
     A join on the item would write out every pair of users of a popular item.  Instead
     the user x item matrix is multiplied with its transpose in tiles: users are hashed
-    into blocks, each unordered pair of blocks and each item block is one group, and a tile
-    returns one row per pair of users with anything in common.  Tile size is bounded by
-    the number of users and of rows in a block, whatever the popularity of an item.
+    into blocks, each unordered pair of blocks with a common item (and each item block) is
+    one group, and a tile returns one row per pair of users with enough in common.  Tile
+    size is bounded by the number of users and of rows in a block, whatever the popularity
+    of an item.
     """
     matrix = stage(interaction_matrix(df, user, item, rating).select(
         F.col(user).alias("user"), F.col(item).alias("item"), F.col("avg_rating").alias("rating"),
@@ -105,8 +106,10 @@ def user_similarity(
         "block": F.pmod(F.xxhash64("user"), F.lit(blocks)).cast("int"),
         "item_block": F.pmod(F.xxhash64("item"), F.lit(item_blocks)).cast("int"),
     })
-    others = F.sequence(F.lit(0), F.lit(blocks - 1))
-    tiles = placed.withColumn("other", F.explode(others)).withColumns({
+    # a rating goes only to the blocks that hold another rating of its item: one copy per
+    # such block, not per such user
+    meets = placed.select("item", F.col("block").alias("other")).distinct()
+    tiles = placed.join(meets, "item").withColumns({
         "lo": F.least("block", "other"), "hi": F.greatest("block", "other"),
     }).drop("other")
 

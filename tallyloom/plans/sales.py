@@ -114,16 +114,17 @@ def unified_sales(orders: DataFrame, international: DataFrame, limit: int = orde
         df, ["sales_channel", "order_date"], "order_amount", descending=True, rank="daily_order_rank",
         limit=limit, source=base,
     )
-    df = ordered.with_frames(df, ["sales_channel", "sku"], order, lambda w: {
-        "prev_order_amount": F.lag("order_amount", 1).over(w),
-        "rolling_7d_revenue": F.sum("recognized_revenue").over(w.rowsBetween(-6, 0)),
-    }, reach=6, limit=limit, source=base)
     df = ordered.with_frames(df, ["sales_channel"], order, lambda w: {
         "rolling_30d_avg_order_value": mean_over("order_amount", w.rowsBetween(-29, 0)),
     }, reach=29, limit=limit, source=base)
-    df = ordered.row_numbers(df, ["sku"], order, "product_order_sequence", limit, source=base)
     df = ordered.row_numbers(
         df, ["sales_channel", "customer_segment"], order, "customer_segment_order_count", limit, source=base,
     )
+    # by SKU first: that partitioning also serves the windows by channel and SKU
+    df = ordered.row_numbers(df, ["sku"], order, "product_order_sequence", limit, source=base)
+    df = ordered.with_frames(df, ["sales_channel", "sku"], order, lambda w: {
+        "prev_order_amount": F.lag("order_amount", 1).over(w),
+        "rolling_7d_revenue": F.sum("recognized_revenue").over(w.rowsBetween(-6, 0)),
+    }, reach=6, limit=limit, source=base)
     growth = safe_divide(F.col("order_amount") - F.col("prev_order_amount"), "prev_order_amount") * 100
     return df.withColumn("order_value_growth_rate", F.round(growth, 2))
