@@ -19,7 +19,7 @@ from .tables import NOW
 
 
 def _sales(t):
-    return sales.union_sales(t.orders, t.international)
+    return sales.union_sales(t.orders, t.international, order_ids=False)
 
 
 _REV = "COALESCE(SUM(recognized_revenue), 0)"

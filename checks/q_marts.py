@@ -384,7 +384,7 @@ def unified(t):
 
 
 def customers(t):
-    return customer.customer_analytics(sales.union_sales(t.orders, t.international), PARAMS)
+    return customer.customer_analytics(sales.union_sales(t.orders, t.international, order_ids=False), PARAMS)
 
 
 def daily(t):

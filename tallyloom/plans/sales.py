@@ -65,8 +65,14 @@ def _dated(*more: str):
     return [F.col(c).asc_nulls_last() for c in ("order_date", *more)]
 
 
-def union_sales(orders: DataFrame, international: DataFrame, limit: int = ordered.GROUP_LIMIT) -> DataFrame:
-    """Marketplace and international lines in one shape."""
+def union_sales(
+    orders: DataFrame, international: DataFrame, limit: int = ordered.GROUP_LIMIT, order_ids: bool = True,
+) -> DataFrame:
+    """Marketplace and international lines in one shape.
+
+    International lines get a running order number over the whole report.  Aggregates that
+    do not look at order ids skip it with ``order_ids=False`` (the id is then NULL).
+    """
     market = orders.filter("business_validation_status = 'VALID'").withColumn("sales_channel", F.lit("AMAZON"))
     abroad = international.filter("data_quality_flag = 'VALID'").withColumnsRenamed(
         {"gross_amount": "order_amount", "unit_rate": "unit_price"}
@@ -83,8 +89,11 @@ def union_sales(orders: DataFrame, international: DataFrame, limit: int = ordere
         "has_promotion": F.lit(False),
         **{name: F.lit(text) for name, text in V.INTERNATIONAL_FIELDS.items()},
     })
-    abroad = ordered.row_numbers(abroad, [], _dated(*TIE_BREAK), "line_no", limit)
-    abroad = abroad.withColumn("order_id", F.concat(F.lit("INTL-"), F.col("line_no").cast("string")))
+    number = F.lit(None).cast("string")
+    if order_ids:
+        abroad = ordered.row_numbers(abroad, [], _dated(*TIE_BREAK), "line_no", limit)
+        number = F.concat(F.lit("INTL-"), F.col("line_no").cast("string"))
+    abroad = abroad.withColumn("order_id", number)
     return market.select(*_UNIFIED).unionByName(abroad.select(*_UNIFIED))
 
 
