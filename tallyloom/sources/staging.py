@@ -6,22 +6,28 @@ columnar (later reads prune columns and push filters), and never holds it on the
 
 from __future__ import annotations
 
-import tempfile
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
 _SETTING = "spark.checkpoint.dir"
+_CLEAN_UP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """Folder named by the session; a private one only for a local master without a setting."""
+    """Folder named by the session.
+
+    A local master without the setting gets one beside its warehouse tables; on a cluster
+    the setting is required.
+    """
     named = spark.conf.get(_SETTING, None) or spark.sparkContext.getConf().get(_SETTING)
     if named:
-        return named
-    if not spark.sparkContext.master.startswith("local"):
+        return named.rstrip("/")
+    master = spark.sparkContext.master
+    if not master.startswith("local") or master.startswith("local-cluster"):
         raise ValueError(f"set {_SETTING} to a folder that all executors share")
-    folder = tempfile.mkdtemp(prefix="tallyloom-")
+    folder = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_staged"
     spark.conf.set(_SETTING, folder)
     return folder
 
@@ -30,9 +36,31 @@ def new_path(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
 
 
+@contextmanager
+def _shuffles_removed(spark: SparkSession):
+    """Shuffle files of the jobs inside go when each job ends: their result is a table."""
+    before = spark.conf.get(_CLEAN_UP, None)
+    spark.conf.set(_CLEAN_UP, "true")
+    try:
+        yield
+    finally:
+        spark.conf.unset(_CLEAN_UP) if before is None else spark.conf.set(_CLEAN_UP, before)
+
+
 def stage(df: DataFrame, label: str) -> DataFrame:
     """Write the frame once and read it back from there."""
     spark = df.sparkSession
     path = new_path(spark, label)
-    df.write.parquet(path)
+    with _shuffles_removed(spark):
+        df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def unstage(df: DataFrame) -> None:
+    """Delete a staged table that no later job reads; ``df`` is what ``stage`` returned."""
+    spark = df.sparkSession
+    top = shared_dir(spark).split(":", 1)[-1]
+    for folder in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
+        if top.lstrip("/") in folder:
+            path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
