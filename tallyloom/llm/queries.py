@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import sharding, simhash
+from . import lines, mixing, sharding, simhash, urls
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -36,3 +36,22 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Shards 0 to 15 of all documents under the law ``key``, and the shard among 17."""
     return sharding.assign_shards(table(spark, sf_dir, "documents"), 16)
+
+
+@register("op1_line_dedup", lines.LINE_SQL)
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines left of every document when later repeated runs of three lines go."""
+    return lines.line_digest(table(spark, sf_dir, "documents"))
+
+
+@register("op6_mix_sources", mixing.mix_sql())
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents and epochs taken for the target weights."""
+    mixed = mixing.mix_documents(table(spark, sf_dir, "documents"))
+    return mixed.selectExpr("doc_id", "domain", "coalesce(lang, '') lang", "coalesce(source, '') source", "tokens", "epoch")
+
+
+@register("op7_url_rules")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Verdict of every page's url by listed, then by mined rules."""
+    return urls.judge_urls(table(spark, sf_dir, "pages"))
