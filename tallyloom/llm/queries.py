@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import lines, mixing, sharding, simhash, urls
+from . import lines, mixing, sharding, simhash, substrings, urls
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -55,3 +55,9 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Verdict of every page's url by listed, then by mined rules."""
     return urls.judge_urls(table(spark, sf_dir, "pages"))
+
+
+@register("op9_substring_dedup")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words left of every document when repeated windows of 20 words go."""
+    return substrings.substring_digest(table(spark, sf_dir, "documents"))
