@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import lines, mixing, quality, sharding, simhash, substrings, toxicity, urls
+from . import lines, mixing, quality, sharding, simhash, substrings, templates, topk, toxicity, urls
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -73,3 +73,15 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality score of every document."""
     return quality.quality_report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@register("op2_decontaminate")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Contaminated documents with the benchmark items found in them."""
+    return templates.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@register("op5_pivot_top_k", topk.TOP_SQL)
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 best other vectors of every vector whose id is divisible by 20."""
+    return topk.exact_top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
