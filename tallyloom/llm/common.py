@@ -52,5 +52,9 @@ def slices(batches: Iterator[pa.RecordBatch], rows: int = 512) -> Iterator[pa.Re
             yield b.slice(at, rows)
 
 
-def keep_columns(df: DataFrame, like: DataFrame) -> DataFrame:
-    return df.select(*[df[f"`{c}`"] for c in like.columns])
+def free_name(df: DataFrame, name: str) -> str:
+    """``name``, with underscores in front until no column of df has it."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = "_" + name
+    return name

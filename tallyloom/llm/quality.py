@@ -23,7 +23,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from .common import LETTERS_OR_MARKS, slices, str_texts
+from .common import LETTERS_OR_MARKS, free_name, slices, str_texts
 from .labels import fold, training_texts
 
 BUCKETS, DIMS, SIGNS = 8192, 32, 4
@@ -176,30 +176,27 @@ def fit_quality(docs: DataFrame, labels: DataFrame, folds: int = 5, left_out: in
     return vectors, Network(x, np.array([r.label for r in got], np.float32))
 
 
-def score_quality(docs: DataFrame, labels: DataFrame, folds: int = 5, left_out: int = 0, keep: bool = False) -> DataFrame:
-    """``_score`` for every document, beside its id, or with ``keep`` beside all its columns."""
+def score_quality(docs: DataFrame, labels: DataFrame, column: str = "score", folds: int = 5, left_out: int = 0) -> DataFrame:
+    """docs with the score of each row's ``text`` in ``column``."""
     vectors, network = fit_quality(docs, labels, folds, left_out)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         buckets = Buckets()
         for b in slices(batches):
             x = np.array([pool(vectors, buckets.of(t)) for t in str_texts(b, "text")]).reshape(b.num_rows, 3 * DIMS)
-            own = [b.column(i) for i, c in enumerate(b.schema.names) if keep or c == "doc_id"]
-            names = [c for c in b.schema.names if keep or c == "doc_id"]
-            yield pa.RecordBatch.from_arrays([*own, pa.array(network.scores(x), pa.float64())], [*names, "_score"])
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(network.scores(x), pa.float64())], [*b.schema.names, column])
 
-    asked = docs if keep else docs.select("doc_id", "text")
-    schema = T.StructType([f for f in asked.schema.fields if keep or f.name == "doc_id"] + [T.StructField("_score", T.DoubleType())])
-    return asked.mapInArrow(run, schema)
+    return docs.mapInArrow(run, T.StructType([*docs.schema.fields, T.StructField(column, T.DoubleType())]))
 
 
 def quality_report(docs: DataFrame, labels: DataFrame, threshold: float = 0.3) -> DataFrame:
     """doc_id, held_out, score, predicted for every document."""
-    scored = score_quality(docs, labels)
+    scored = score_quality(docs.select("doc_id", "text"), labels)
     return scored.select(
-        "doc_id", (fold("doc_id", 5) == 0).alias("held_out"), F.col("_score").alias("score"), (F.col("_score") >= threshold).cast("int").alias("predicted"))
+        "doc_id", (fold("doc_id", 5) == 0).alias("held_out"), "score", (F.col("score") >= threshold).cast("int").alias("predicted"))
 
 
 def keep_good(docs: DataFrame, labels: DataFrame, threshold: float = 0.3) -> DataFrame:
     """The documents that score at least ``threshold``."""
-    return score_quality(docs, labels, keep=True).filter(F.col("_score") >= threshold).drop("_score")
+    column = free_name(docs, "_score")
+    return score_quality(docs, labels, column).filter(F.col(column) >= threshold).select(*[F.col(f"`{c}`") for c in docs.columns])

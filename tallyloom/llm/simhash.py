@@ -22,9 +22,10 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F, types as T
 
-from .common import LOWER_ASCII, byte_texts, slices, stage, unstage
+from .common import LOWER_ASCII, byte_texts, free_name, slices, stage, unstage
+from .substrings import WordHashes, run_hashes
 
 SAMPLE = 16384
 SHARD_POINTS = 3000
@@ -69,12 +70,12 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 class VantageTree:
     """Binary tree over fingerprints in heap order: a vantage point and a ball radius per node."""
 
-    def __init__(self, sample: np.ndarray, levels: int, radius: int):
+    def __init__(self, sample: np.ndarray, levels: int, radius: int, bits: int = 64):
         rng = np.random.default_rng(SEED)
         inner = 2**levels - 1
         self.levels, self.radius = levels, radius
-        self.points = rng.integers(0, 2**64, max(inner, 1), dtype=np.uint64)
-        self.balls = np.full(max(inner, 1), 31, np.int64)
+        self.points = rng.integers(0, 2**bits, max(inner, 1), dtype=np.uint64)
+        self.balls = np.full(max(inner, 1), (bits - 1) // 2, np.int64)
         members = {0: sample}
         for node in range(inner):
             own = members.pop(node, np.empty(0, np.uint64))
@@ -120,37 +121,65 @@ def local_roots(n: int, a: np.ndarray, b: np.ndarray, roots: np.ndarray | None =
     return label
 
 
-def shard_links(fps: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray]:
-    """All links among the points of one shard, as (point, smallest point of its local component)."""
-    fps = np.unique(fps)
+def shard_links(
+    fps: np.ndarray, radius: int, names: np.ndarray | None = None, sketches: np.ndarray | None = None, spread: float = 0
+) -> tuple[np.ndarray, np.ndarray]:
+    """All links among the points of one shard, as (name, smallest name of its local component).
+
+    names default to the fingerprints.  With ``sketches`` (rows of words) a pair links only if they differ in
+    at most ``spread`` bits.
+    """
+    names, first = np.unique(fps if names is None else names, return_index=True)
+    fps, sketches = fps[first], sketches[first] if sketches is not None else None
     n = len(fps)
     # order by distance to one more vantage point: linked points are at most radius apart in it
     d = np.bitwise_count(fps ^ fps[0]).astype(np.int64)
     order = np.argsort(d, kind="stable")
-    p, d = fps[order], d[order]
+    p, d, names = fps[order], d[order], names[order]
+    sketches = sketches[order] if sketches is not None else None
     label = np.arange(n)
     for lo in range(0, n, 256):
         hi = min(lo + 256, n)
         end = int(np.searchsorted(d, d[hi - 1] + radius, side="right"))
-        near = np.bitwise_count(p[lo:hi, None] ^ p[None, lo:end]) <= radius
-        a, b = np.nonzero(near)
+        a, b = np.nonzero(np.bitwise_count(p[lo:hi, None] ^ p[None, lo:end]) <= radius)
         up = b > a
-        label = local_roots(n, a[up] + lo, b[up] + lo, label)
-    # components are labelled by order; name them by their smallest point
-    smallest = np.full(n, np.iinfo(np.uint64).max, np.uint64)
-    np.minimum.at(smallest, label, p)
+        a, b = a[up] + lo, b[up] + lo
+        for at in range(0, len(a), 1 << 18) if sketches is not None else ():
+            i, j = a[at : at + (1 << 18)], b[at : at + (1 << 18)]
+            near = np.bitwise_count(sketches[i] ^ sketches[j]).sum(axis=1, dtype=np.int64) <= spread
+            label = local_roots(n, i[near], j[near], label)
+        if sketches is None:
+            label = local_roots(n, a, b, label)
+    # components are labelled by order; name them by their smallest member
+    smallest = np.full(n, np.iinfo(names.dtype).max, names.dtype)
+    np.minimum.at(smallest, label, names)
     root = smallest[label]
-    linked = root != p
-    return p[linked], root[linked]
+    linked = root != names
+    return names[linked], root[linked]
+
+
+def _levels(n: int) -> int:
+    """Levels of a tree whose shards hold about SHARD_POINTS of n points."""
+    return min(MOST_LEVELS, math.ceil(math.log(n / SHARD_POINTS) / math.log(1 / 0.6))) if n > SHARD_POINTS else 0
+
+
+def _dealt(routed: DataFrame, shard: list[str], point: str) -> DataFrame:
+    """Rows with pairs of blocks (i, j) of their shard.
+
+    A shard of more points than planned is compared in pairs of blocks: any two of its points still meet.
+    """
+    sizes = routed.groupBy(*shard).agg(F.ceil(F.count("*") / (4 * SHARD_POINTS)).cast("int").alias("blocks"))
+    return (
+        routed.join(sizes, shard)
+        .withColumn("own", F.pmod(F.xxhash64(point), F.col("blocks")).cast("int"))
+        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+        .withColumn("i", F.least("own", "other")).withColumn("j", F.greatest("own", "other")).drop("own", "other", "blocks")
+    )
 
 
 def near_links(points: DataFrame, radius: int = 2) -> DataFrame:
     """Distinct points (fp) to links (a, b), a > b in unsigned order, that span every linked group."""
-    spark = points.sparkSession
-    n = points.count()
-    levels = 0
-    if n > SHARD_POINTS:
-        levels = min(MOST_LEVELS, math.ceil(math.log(n / SHARD_POINTS) / math.log(1 / 0.6)))
+    levels = _levels(points.count())
     drawn = points.orderBy(F.xxhash64("fp")).limit(SAMPLE).collect() if levels else []
     tree = VantageTree(np.array([r.fp for r in drawn], np.int64).view(np.uint64), levels, radius)
 
@@ -161,20 +190,12 @@ def near_links(points: DataFrame, radius: int = 2) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array(node.astype(np.int32)), pa.array(fps[at].view(np.int64))], ["shard", "fp"])
 
     routed = stage(points.select("fp").mapInArrow(send, "shard int, fp long"), "vantage")
-    # a shard of more points than planned is compared in pairs of blocks: every pair of its points still meets
-    sizes = routed.groupBy("shard").agg(F.ceil(F.count("*") / (4 * SHARD_POINTS)).cast("int").alias("blocks"))
-    dealt = (
-        routed.join(sizes, "shard")
-        .withColumn("own", F.pmod(F.xxhash64("fp"), F.col("blocks")).cast("int"))
-        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-        .select("shard", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "fp")
-    )
 
     def links(pdf: pd.DataFrame) -> pd.DataFrame:
         a, b = shard_links(pdf["fp"].to_numpy().view(np.uint64), radius)
         return pd.DataFrame({"a": a.view(np.int64), "b": b.view(np.int64)})
 
-    found = stage(dealt.groupBy("shard", "i", "j").applyInPandas(links, "a long, b long").distinct(), "links")
+    found = stage(_dealt(routed, ["shard"], "fp").groupBy("shard", "i", "j").applyInPandas(links, "a long, b long").distinct(), "links")
     unstage(routed)
     return found
 
@@ -223,3 +244,117 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     """doc_id, fingerprint (16 hex digits), component_id for every document."""
     found = simhash_components(docs)
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+# ---- groups by similarity of shingle sets -------------------------------------------------------------
+# At a Jaccard similarity of 0.8 two 64-bit fingerprints differ in about ten bits, and no tree prunes at such a radius.
+# So the search runs over TABLES short fingerprints of word pairs, where a near copy is likely to differ in at most one
+# bit in some table, and links found there must also agree in a wide sketch of the longer shingles.
+WIDE = 256
+TABLES, SHORT_BITS, SHORT_RADIUS = 10, 24, 1
+_MIX = np.random.default_rng(SEED).integers(0, 2**63, WIDE // 64, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+
+
+def wide_simhash(h: np.ndarray, shingle: int) -> np.ndarray:
+    """WIDE-bit fingerprint of a sequence of word hashes as 64-bit words; zeros for no words."""
+    if not len(h):
+        return np.zeros(WIDE // 64, np.uint64)
+    length = min(shingle, len(h))
+    hashes = run_hashes(h, np.arange(len(h) - length + 1), length, 0)
+    ones = np.zeros(WIDE, np.int64)
+    for at in range(0, len(hashes), 4096):
+        x = hashes[at : at + 4096, None] * _MIX[None, :]
+        x ^= x >> np.uint64(31)
+        x *= _MIX[0]
+        x ^= x >> np.uint64(29)
+        ones += np.unpackbits(x.view(np.uint8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
+    return np.packbits(ones * 2 > len(hashes), bitorder="little").view("<u8")
+
+
+def sketch_spread(similarity: float) -> float:
+    """Bits in which the sketches of two texts of this Jaccard similarity differ: the mean and one deviation."""
+    p = math.acos(min(1.0, 2 * similarity / (1 + similarity))) / math.pi
+    return WIDE * p + math.sqrt(WIDE * p * (1 - p))
+
+
+def short_prints(pairs: np.ndarray) -> np.ndarray:
+    """TABLES short fingerprints of each wide fingerprint (a row of bytes)."""
+    bits = np.unpackbits(pairs, axis=1, bitorder="little")[:, : TABLES * SHORT_BITS].reshape(-1, TABLES, SHORT_BITS)
+    return (bits.astype(np.uint64) << np.arange(SHORT_BITS, dtype=np.uint64)).sum(axis=2, dtype=np.uint64)
+
+
+def _sketched(docs: DataFrame, text_col: str, shingle: int, columns: tuple[str, str, str]) -> DataFrame:
+    """docs with node (hash of the sketch), sketch, and the wide fingerprint of word pairs, in the named columns."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        words = WordHashes()
+        for b in slices(batches):
+            node, sketch, pairs = [], [], []
+            for text in byte_texts(b, text_col):
+                h = words.of(text.translate(LOWER_ASCII).split())
+                sketch.append(wide_simhash(h, shingle).tobytes())
+                pairs.append(wide_simhash(h, 2).tobytes())
+                node.append(xxhash.xxh64_intdigest(sketch[-1]))
+            made = [pa.array(np.array(node, np.uint64).view(np.int64)), pa.array(sketch, pa.binary()), pa.array(pairs, pa.binary())]
+            yield pa.RecordBatch.from_arrays([*b.columns, *made], [*b.schema.names, *columns])
+
+    kinds = (T.LongType(), T.BinaryType(), T.BinaryType())
+    return docs.mapInArrow(run, T.StructType([*docs.schema.fields, *(T.StructField(c, k) for c, k in zip(columns, kinds))]))
+
+
+def similar_links(points: DataFrame, similarity: float) -> DataFrame:
+    """Distinct points (node, sketch, pairs) to links (a, b) of nodes that span every group of similar texts."""
+    levels = _levels(points.count())
+    drawn = points.orderBy("node").select("pairs").limit(SAMPLE // TABLES).collect() if levels else []
+    sample = short_prints(np.array([np.frombuffer(r.pairs, np.uint8) for r in drawn])).ravel() if drawn else np.empty(0, np.uint64)
+    tree = VantageTree(np.unique(sample), levels, SHORT_RADIUS, SHORT_BITS)
+    spread = sketch_spread(similarity)
+
+    def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in slices(batches, 1024):
+            pairs = np.frombuffer(b"".join(b.column("pairs").to_pylist()), np.uint8).reshape(b.num_rows, WIDE // 8)
+            prints = short_prints(pairs)
+            for t in range(TABLES):
+                at, shard = tree.route(prints[:, t])
+                take = pa.array(at)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.full(len(at), t, np.int32)), pa.array(shard.astype(np.int32)), b.column("node").take(take),
+                     pa.array(prints[at, t].astype(np.int64)), b.column("sketch").take(take)],
+                    ["tab", "shard", "node", "fp", "sketch"])
+
+    routed = stage(points.mapInArrow(send, "tab int, shard int, node long, fp long, sketch binary"), "vantage")
+
+    def links(pdf: pd.DataFrame) -> pd.DataFrame:
+        sketches = np.frombuffer(b"".join(pdf["sketch"]), np.uint64).reshape(len(pdf), WIDE // 64)
+        a, b = shard_links(pdf["fp"].to_numpy().view(np.uint64), SHORT_RADIUS, pdf["node"].to_numpy(), sketches, spread)
+        return pd.DataFrame({"a": a, "b": b})
+
+    found = stage(_dealt(routed, ["tab", "shard"], "node").groupBy("tab", "shard", "i", "j").applyInPandas(links, "a long, b long").distinct(), "links")
+    unstage(routed)
+    return found
+
+
+def keep_one(
+    docs: DataFrame, shingle: int = 5, similarity: float = 0.8, id_col: str = "doc_id", text_col: str = "text"
+) -> DataFrame:
+    """The documents with one row left of each group of similar texts: that of the smallest id (NULL last).
+
+    Two texts link when the Jaccard similarity of their word shingles, as estimated by their sketches, is at least
+    ``similarity`` less one deviation of the estimate; groups are connected components.
+    """
+    names = tuple(free_name(docs, c) for c in ("_node", "_sketch", "_pairs"))
+    last = F.lit(2**63 - 1)
+    narrow = docs.select(F.coalesce(F.col(id_col).cast("long"), last).alias("k"), F.col(text_col).alias("text"))
+    prints = _sketched(narrow, "text", shingle, ("node", "sketch", "pairs")).select("k", "node", "sketch", "pairs")
+    points = prints.groupBy("node").agg(F.min("k").alias("k"), F.min("sketch").alias("sketch"), F.min("pairs").alias("pairs"))
+    points = stage(points, "points")
+    links = similar_links(points.select("node", "sketch", "pairs"), similarity)
+    roots = components(links).withColumnRenamed("node", "_n")
+    unstage(links)
+    placed = points.join(roots, points.node == roots["_n"], "left").select("k", "node", F.coalesce("root", "node").alias("root"))
+    heads = placed.groupBy("root").agg(F.min(F.struct("k", "node")).alias("head"))
+    heads = stage(heads.select("head.k", "head.node"), "heads")
+    whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+    marked = _sketched(docs, text_col, shingle, names)
+    keyed = marked.select(F.coalesce(F.col(id_col).cast("long"), last).alias("k"), F.col(names[0]).alias("node"), whole.alias("doc"))
+    return keyed.join(heads, ["k", "node"], "left_semi").dropDuplicates(["k", "node"]).select("doc.*")
