@@ -12,14 +12,14 @@ are found by 128-bit hashes.  Copies of a whole text are settled by the text's h
 windows of a later copy start earlier.
 
 Edge cases: a NULL or empty text has no words; documents shorter than a window are kept; a NULL id sorts first;
-rows of one id sort by a hash of their text, and identical rows count as one document and get the
-same result; an empty table gives an empty result.  Only the id and the text are read.
+rows of one id are not earlier than each other, and identical rows get the same result; an empty table gives an empty result.  Only the id and the text are read.
 """
 
 from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -33,6 +33,8 @@ PERIOD, COVER = 13, (0, 1, 3, 9)
 _RNG = np.random.default_rng(20)
 _FACTORS = _RNG.integers(0, 2**63, (3, 4096), dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _CACHED_WORDS = 500_000
+#: hashes are grouped slice by slice, so that the shuffles of one slice are gone before the next
+SLICES = 3
 
 
 class WordHashes(dict):
@@ -107,28 +109,36 @@ def candidate_starts(h: np.ndarray, kinds: np.ndarray, window: int) -> np.ndarra
 
 
 def _windows(texts: DataFrame, window: int) -> DataFrame:
-    """(w1, w2, k, th, at) of candidate windows, from texts with ``ats``, starts of repeated anchors."""
+    """(w1, w2, k, th, at, again) of candidate windows, from texts with ``ats``, starts of repeated anchors.
+
+    again marks a window that starts earlier in its own document; each other kind comes once per document.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = WordHashes()
         for b in slices(batches, 256):
-            rows, ats, w1, w2 = [], [], [], []
+            rows, ats, w1, w2, again = [], [], [], [], []
             for row, (text, kinds) in enumerate(zip(byte_texts(b, "text"), b.column("ats").to_pylist())):
                 h = words.of(text.split())
                 starts = candidate_starts(h, np.array(kinds, np.int64), window)
+                one, two = (run_hashes(h, starts, window, i) for i in (1, 2))
+                order = np.lexsort((two, one))  # stable: equal windows stay in order of their starts
+                later = np.zeros(len(starts), bool)
+                later[order[1:]] = (one[order[1:]] == one[order[:-1]]) & (two[order[1:]] == two[order[:-1]])
                 rows.append(np.full(len(starts), row))
                 ats.append(starts.astype(np.int32))
-                w1.append(run_hashes(h, starts, window, 1))
-                w2.append(run_hashes(h, starts, window, 2))
+                w1.append(one)
+                w2.append(two)
+                again.append(later)
             if rows:
                 row = pa.array(np.concatenate(rows))
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(np.concatenate(w1).view(np.int64)), pa.array(np.concatenate(w2).view(np.int64)),
-                     b.column("k").take(row), b.column("th").take(row), pa.array(np.concatenate(ats))],
-                    ["w1", "w2", "k", "th", "at"],
+                     b.column("k").take(row), b.column("th").take(row), pa.array(np.concatenate(ats)), pa.array(np.concatenate(again))],
+                    ["w1", "w2", "k", "th", "at", "again"],
                 )
 
-    return texts.mapInArrow(run, "w1 long, w2 long, k long, th long, at int")
+    return texts.mapInArrow(run, "w1 long, w2 long, k long, th long, at int, again boolean")
 
 
 def repeated_spans(docs: DataFrame, window: int) -> DataFrame:
@@ -140,25 +150,32 @@ def repeated_spans(docs: DataFrame, window: int) -> DataFrame:
     copies = docs.select("k", "th", "th2").join(whole, ["th", "th2"]).filter("k > first")
     copies = stage(copies.select("k", "th").distinct(), "copies")
     anchors = stage(_anchors(docs.select("k", "th", "text"), window), "anchors")
-    repeated = anchors.groupBy("fp").agg(F.count("*").alias("n")).filter("n > 1").select("fp")
-    hits = anchors.join(repeated, "fp", "left_semi").groupBy("k", "th").agg(F.collect_set("at").alias("ats"))
-    hits = stage(hits.join(copies, ["k", "th"], "left_anti"), "hits")
+    hits = []
+    for i in range(SLICES):
+        own = anchors.filter(F.pmod("fp", F.lit(SLICES)) == i)
+        repeated = own.groupBy("fp").agg(F.count("*").alias("n")).filter("n > 1").select("fp")
+        found = own.join(repeated, "fp", "left_semi").groupBy("k", "th").agg(F.collect_list("at").alias("ats"))
+        hits.append(stage(found, "hits"))
     unstage(anchors)
-    texts = docs.select("k", "th", "text").join(hits, ["k", "th"])
+    whole_hits = reduce(DataFrame.unionByName, hits).groupBy("k", "th").agg(F.flatten(F.collect_list("ats")).alias("ats"))
+    texts = docs.select("k", "th", "text").join(whole_hits.join(copies, ["k", "th"], "left_anti"), ["k", "th"])
     windows = stage(_windows(texts, window), "windows")
-    own = F.struct("k", "th", "at")
-    first = (
-        windows.groupBy("w1", "w2").agg(F.min(own).alias("first"), F.max(own).alias("last"))
-        .filter("first <> last").select("w1", "w2", "first")
-    )
-    late = windows.join(first, ["w1", "w2"]).filter(own != F.col("first"))
-    late = late.groupBy("k", "th").agg(F.collect_set("at").alias("starts"))
+    for h in hits:
+        unstage(h)
+    late = [windows.filter("again").groupBy("k", "th").agg(F.collect_list("at").alias("starts"))]
+    for i in range(SLICES):
+        own = windows.filter(~F.col("again") & (F.pmod("w1", F.lit(SLICES)) == i)).select("w1", "w2", "k", "th", "at")
+        first = own.groupBy("w1", "w2").agg(F.min("k").alias("first"), F.max("k").alias("last")).filter("first < last")
+        found = own.join(first.drop("last"), ["w1", "w2"]).filter("k > first")
+        late.append(stage(found.groupBy("k", "th").agg(F.collect_list("at").alias("starts")), "late"))
+    starts = reduce(DataFrame.unionByName, late).groupBy("k", "th").agg(F.flatten(F.collect_list("starts")).alias("starts"))
     nothing = F.lit(None).cast("array<int>")
-    found = late.select("k", "th", F.lit(False).alias("copy"), "starts").unionByName(
+    found = starts.select("k", "th", F.lit(False).alias("copy"), "starts").unionByName(
         copies.select("k", "th", F.lit(True).alias("copy"), nothing.alias("starts")))
     found = stage(found, "spans")
+    for part in late[1:]:
+        unstage(part)
     unstage(windows)
-    unstage(hits)
     return found
 
 
@@ -169,8 +186,8 @@ def kept_words(words: list[bytes], copy: bool, starts: list[int] | None, window:
         return words
     step = np.zeros(len(words) + 1, np.int32)
     at = np.array(starts, np.int64)
-    step[at] += 1
-    step[at + window] -= 1  # starts are distinct, so no place is counted twice on one side
+    np.add.at(step, at, 1)
+    np.add.at(step, at + window, -1)
     gone = np.cumsum(step[:-1]) > 0
     return [w for w, x in zip(words, gone.tolist()) if not x]
 
