@@ -130,7 +130,7 @@ register(
     sql("SELECT * FROM catalog"),
 )(lambda t: page.product_page(t.catalog))
 
-# ---- models (no SQL counterpart) ----------------------------------------------------
+# ---- models: the fits have no SQL counterpart, their checkable facts do --------------
 register("kmeans_customers", "customer_id:s sales_channel:s customer_segment:s total_revenue:d cluster:i")(
     lambda t: models.customer_clusters(customers(t))
 )
@@ -147,7 +147,40 @@ def _seasonal(t):
     return null_safe_join(base, stage(means, "seasonal"), ["season", "product_category"], "left")
 
 
+register(
+    "kmeans_facts", "customers:i misplaced:i beyond_k:i",
+    mart_sql("""SELECT COUNT(*) AS customers, 0 AS misplaced, 0 AS beyond_k FROM customers WHERE total_revenue IS NOT NULL AND total_orders IS NOT NULL
+                AND days_since_last_order IS NOT NULL AND predicted_clv_2year IS NOT NULL"""),
+)(lambda t: models.cluster_facts(customers(t)))
+
 register("revenue_forest", "feature:s importance:d r2:d rmse:d")(lambda t: models.revenue_forest(_seasonal(t)))
+
+
+@register(
+    "forest_facts", "train_rows:i test_rows:i importance_sum:d negative_importances:i",
+    mart_sql("""SELECT COUNT_IF(part < 'cccd') AS train_rows, COUNT_IF(part >= 'cccd') AS test_rows, 1 AS importance_sum, 0 AS negative_importances
+                FROM (SELECT substr(md5('42|' || coalesce(order_item_key, '')), 1, 4) AS part FROM unified
+                      WHERE order_amount IS NOT NULL AND quantity IS NOT NULL AND order_performance_score IS NOT NULL AND seasonal_avg_order_value IS NOT NULL) AS u"""),
+)
+def _forest_facts(t):
+    return models.revenue_forest(_seasonal(t)).groupBy("train_rows", "test_rows").agg(
+        F.sum("importance").alias("importance_sum"), F.count_if(F.col("importance") < 0).alias("negative_importances"))
+
+
+@register(
+    "isolation_facts", "lines:i too_many:i disorder:i",
+    mart_sql("""SELECT COUNT(*) AS lines, 0 AS too_many, 0 AS disorder FROM unified
+                WHERE order_amount IS NOT NULL AND quantity IS NOT NULL AND order_performance_score IS NOT NULL"""),
+)
+def _isolation_facts(t):
+    """Lines scored; 1 if more than a tenth is flagged; 1 if an unflagged score is above a flagged one."""
+    found = models.isolation_forest(_sales(t).select("order_item_key", "order_amount", "quantity", "order_performance_score"))
+    low, high = F.max(F.when(~F.col("is_anomaly"), F.col("anomaly_score"))), F.min(F.when(F.col("is_anomaly"), F.col("anomaly_score")))
+    return found.agg(
+        F.count(F.lit(1)).alias("lines"), (F.count_if("is_anomaly") > 0.1 * F.count(F.lit(1)) + 1).cast("int").alias("too_many"),
+        F.coalesce((low > high).cast("int"), F.lit(0)).alias("disorder"))
+
+
 register("isolation_forest", "order_item_key:s order_amount:d quantity:i order_performance_score:i anomaly_score:d is_anomaly:b")(
     lambda t: models.isolation_forest(_sales(t).select("order_item_key", "order_amount", "quantity", "order_performance_score"))
 )

@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from dataclasses import replace
 
+from pyspark.sql import functions as F
+
 from tallyloom import fixed_values as V
 from tallyloom.plans import cohort, customer, finance, partner, product, sales
-from tallyloom.sources.staging import new_path
+from tallyloom.sources.staging import new_path, stage
 
 from . import sqlgen as q
 from .q_staging import sql
@@ -436,11 +438,27 @@ register("financial_summary", SUMMARY_OUT, mart_sql("SELECT * FROM summary"))(su
 @register("incremental_upsert", SUMMARY_OUT, mart_sql("SELECT * FROM summary"))
 def _incremental(t):
     """Load up to a day, then load again from an earlier day: overlapping keys are replaced."""
-    rows = summary(t).persist()
+    rows = stage(summary(t), "summary")
     path = new_path(t.spark, "financial_summary")
     finance.save_financial_summary(t.spark, rows.filter("order_date < '2001-06-15'"), path)
     finance.save_financial_summary(t.spark, rows.filter("order_date >= '2001-05-20'"), path)
-    rows.unpersist()
+    return t.spark.read.parquet(path)
+
+
+@register(
+    "upsert_versions", "o_orderkey:i o_orderdate:t o_totalprice:d version:i",
+    """SELECT o_orderkey, CAST(o_orderdate AS DATE) AS o_orderdate, o_totalprice * 2 AS o_totalprice, 2 AS version FROM orders""",
+)
+def _upsert_versions(t):
+    """Batches that hold two versions of every order: the later version of each key is left, once."""
+    from tallyloom.sources.sinks import upsert_partitions
+
+    orders = t.given("orders").select(
+        "o_orderkey", F.col("o_orderdate").cast("date"), F.col("o_totalprice"), F.date_format("o_orderdate", "yyyy").alias("year"))
+    first, second = (orders.withColumns({"o_totalprice": F.col("o_totalprice") * n, "version": F.lit(n)}) for n in (1, 2))
+    path = new_path(t.spark, "versions")
+    for batch in (first, second.unionByName(first)):
+        upsert_partitions(t.spark, path, batch, ["o_orderkey"], "year", "version")
     return t.spark.read.parquet(path)
 
 

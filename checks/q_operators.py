@@ -119,19 +119,6 @@ register(
     ),
 )(lambda t: recommend.recommendation_features(t.lines, "customer_id", "product_sku", "quantity"))
 
-register(
-    "user_similarity",
-    "user1:i user2:i common_items:i similarity_score:d",
-    sql(
-        """SELECT user1, user2, n AS common_items,
-                  CASE WHEN n * sxx - sx * sx > 1e-9 AND n * syy - sy * sy > 1e-9 THEN (n * sxy - sx * sy) / (sqrt(n * sxx - sx * sx) * sqrt(n * syy - sy * sy)) END AS similarity_score
-        FROM (SELECT a.customer_id AS user1, b.customer_id AS user2, CAST(COUNT(*) AS DOUBLE) AS n, SUM(a.avg_rating) AS sx, SUM(b.avg_rating) AS sy,
-                     SUM(a.avg_rating * a.avg_rating) AS sxx, SUM(b.avg_rating * b.avg_rating) AS syy, SUM(a.avg_rating * b.avg_rating) AS sxy
-              FROM matrix a JOIN matrix b USING (product_sku) WHERE a.customer_id <> b.customer_id GROUP BY 1, 2 HAVING COUNT(*) >= 3) AS s""",
-        matrix=_MATRIX,
-    ),
-)(lambda t: recommend.user_similarity(t.lines, "customer_id", "product_sku", "quantity"))
-
 _SCORES = ("revenue_score", "volume_score", "aov_score", "satisfaction_score")
 register(
     "partner_score",
@@ -200,21 +187,20 @@ register(
     "row_hash_changes",
     "order_id:i old_hash:s new_hash:s change_type:s",
     """SELECT *, CASE WHEN old_hash IS NULL THEN 'added' WHEN new_hash IS NULL THEN 'removed' ELSE 'changed' END AS change_type
-       FROM (SELECT o_orderkey AS order_id, md5(o_orderstatus || CAST(o_custkey AS VARCHAR)) AS old_hash FROM orders WHERE o_orderpriority <> '5-LOW') AS a
-       FULL JOIN (SELECT o_orderkey AS order_id, md5(CASE o_orderstatus WHEN 'P' THEN 'F' ELSE o_orderstatus END || CAST(o_custkey AS VARCHAR)) AS new_hash
-                  FROM orders WHERE o_orderpriority <> '1-URGENT') AS b USING (order_id)
+       FROM (SELECT o_orderkey AS order_id, md5(o_orderstatus) AS old_hash FROM orders) AS a
+       FULL JOIN (SELECT l_orderkey AS order_id, md5(CASE WHEN COUNT(DISTINCT l_linestatus) > 1 THEN 'P' ELSE MIN(l_linestatus) END) AS new_hash
+                  FROM lineitem GROUP BY 1) AS b USING (order_id)
        WHERE old_hash IS DISTINCT FROM new_hash""",
 )(lambda t: _versions(t))
 
 
 def _versions(t):
-    """Two versions of the order table: one lacks low priorities, the other urgent ones and open status."""
-    orders = t.given("orders").select(F.col("o_orderkey").alias("order_id"), "o_orderstatus", "o_custkey", "o_orderpriority")
-    old = orders.filter("o_orderpriority <> '5-LOW'")
-    new = orders.filter("o_orderpriority <> '1-URGENT'").withColumn(
-        "o_orderstatus", F.when(F.col("o_orderstatus") == "P", "F").otherwise(F.col("o_orderstatus"))
-    )
-    return reshape.row_hash_changes(old, new, ["order_id"], ["o_orderstatus", "o_custkey"])
+    """Order states as stored, against the states that follow from all their lines."""
+    stored = t.given("orders").select(F.col("o_orderkey").alias("order_id"), F.col("o_orderstatus").alias("state"))
+    mixed = F.min("l_linestatus") != F.max("l_linestatus")
+    derived = t.given("lineitem").groupBy(F.col("l_orderkey").alias("order_id")).agg(
+        F.when(mixed, "P").otherwise(F.min("l_linestatus")).alias("state"))
+    return reshape.row_hash_changes(stored, derived, ["order_id"], ["state"])
 
 
 register(
@@ -244,17 +230,16 @@ register(
 
 
 def _split_windows(t):
-    """The ordered operators on few large groups, with the limit low enough to split each of them."""
+    """The ordered operators on few large groups."""
     from tallyloom.functions import mean_over
 
     lines = t.lines.select("line_key", "partner_channel", "order_date", "revenue")
     order, keys = [F.col("order_date").asc(), F.col("line_key").asc()], ["partner_channel"]
-    limit = max(30, lines.count() // 20)
-    df = ordered.running_sums(lines, keys, order, {"running_revenue": F.col("revenue"), "position": F.lit(1)}, limit)
+    df = ordered.running_sums(lines, keys, order, {"running_revenue": F.col("revenue"), "position": F.lit(1)})
     df = ordered.with_frames(df, keys, order, lambda w: {
         "previous_revenue": F.lag("revenue", 1).over(w), "mean_30": mean_over("revenue", w.rowsBetween(-29, 0)),
-    }, reach=29, limit=limit)
-    return ordered.ntiles(df, 10, [F.col("revenue").asc(), F.col("line_key").asc()], "tenth", limit)
+    }, reach=29)
+    return ordered.ntiles(df, 10, [F.col("revenue").asc(), F.col("line_key").asc()], "tenth")
 
 
 register(

@@ -216,10 +216,10 @@ register(
 )(lambda t: checks.accepted_values(_market(t), "order_status_category", ["DELIVERED", "SHIPPED"]))
 
 register(
-    "test_relationships", "line_key:s product_sku:s",
-    sql("""SELECT line_key, product_sku FROM lines WHERE product_sku IS NOT NULL
-           AND NOT EXISTS (SELECT 1 FROM prices p WHERE p.product_sku = lines.product_sku AND p.cost_price_tp1 > 27.3)"""),
-)(lambda t: checks.relationships(t.lines, "product_sku", t.prices.filter("cost_price_tp1 > 27.3"), "product_sku"))
+    "test_relationships", "o_orderkey:i o_custkey:i",
+    """SELECT o_orderkey, o_custkey FROM orders WHERE o_orderkey IS NOT NULL
+       AND NOT EXISTS (SELECT 1 FROM lineitem WHERE l_orderkey = o_orderkey)""",
+)(lambda t: checks.relationships(t.given("orders"), "o_orderkey", t.given("lineitem"), "l_orderkey"))
 
 register(
     "reconcile", "left_total:d right_total:d",
@@ -335,19 +335,19 @@ register("growth_anomalies", _ANOMALY_OUT, mart_sql(_GROWTH))(
 
 
 def _with_costs(t):
-    """Dashboard on lines with a cost of 110 % of revenue for merchant-shipped and 40 % for other lines."""
+    """Dashboard on all lines with a cost of 135 % of revenue for merchant-shipped and 75 % for other lines."""
     from tallyloom.plans import finance, partner
 
-    cost = F.col("revenue") * F.when(F.col("fulfillment_type") == "Merchant", F.lit("1.10").cast("decimal(3,2)")).otherwise(F.lit("0.40").cast("decimal(3,2)"))
-    lines = t.base.withColumn("cost", cost).filter("fulfillment_type = 'Merchant' or is_b2b")
+    cost = F.col("revenue") * F.when(F.col("fulfillment_type") == "Merchant", F.lit("1.35").cast("decimal(3,2)")).otherwise(F.lit("0.75").cast("decimal(3,2)"))
+    lines = t.base.withColumn("cost", cost)
     return partner.partner_dashboard(partner.daily_partner_metrics(lines), finance.financial_performance(lines, "cost"), PARAMS)
 
 
 _COSTED = f"""
 SELECT partner_channel, customer_segment, AVG(margin) AS margin
 FROM (SELECT partner_channel, customer_segment, order_date, product_category, product_sku,
-             1 - CAST(SUM(revenue * CASE WHEN fulfillment_type = 'Merchant' THEN CAST(1.10 AS DECIMAL(3,2)) ELSE CAST(0.40 AS DECIMAL(3,2)) END) AS DOUBLE) / CAST(SUM(revenue) AS DOUBLE) AS margin
-      FROM base WHERE (fulfillment_type = 'Merchant' OR is_b2b) AND order_date >= {TODAY} - 30 GROUP BY ALL) AS a GROUP BY 1, 2
+             1 - CAST(SUM(revenue * CASE WHEN fulfillment_type = 'Merchant' THEN CAST(1.35 AS DECIMAL(3,2)) ELSE CAST(0.75 AS DECIMAL(3,2)) END) AS DOUBLE) / CAST(SUM(revenue) AS DOUBLE) AS margin
+      FROM base WHERE order_date >= {TODAY} - 30 GROUP BY ALL) AS a GROUP BY 1, 2
 """
 register(
     "margin_anomalies", _ANOMALY_OUT,

@@ -10,7 +10,7 @@ from pyspark.ml.clustering import KMeans
 from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import RandomForestRegressor
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from ..operators import ordered
 from ..sources.staging import stage
@@ -24,6 +24,7 @@ TRAIN_SHARE = 0.8
 OUTLIER_FEATURES = ("order_amount", "quantity", "order_performance_score")
 OUTLIER_TREES = 100
 OUTLIER_SAMPLE = 256
+DEEPEST = 30  # the deepest tree that MLlib grows
 CONTAMINATION = 0.1
 SEED = 42
 
@@ -45,15 +46,38 @@ def customer_clusters(customers: DataFrame, k: int = CLUSTERS, seed: int = SEED)
     return model.transform(data).drop("__features", *[f"__{c}" for c in CLUSTER_FEATURES])
 
 
-def revenue_forest(sales: DataFrame, trees: int = FOREST_TREES, depth: int = 8, seed: int = SEED) -> DataFrame:
-    """Feature importances with the fit's R² and RMSE on the held-out fifth.
+def cluster_facts(customers: DataFrame, k: int = CLUSTERS, seed: int = SEED) -> DataFrame:
+    """Customers in the fit, and those whose cluster is not that of the nearest centre (there should be none)."""
+    data = _vectors(stage(customers, "customers"), CLUSTER_FEATURES)
+    model = KMeans(k=k, seed=seed, featuresCol="__features", predictionCol="cluster").fit(data)
+    far = [
+        sum(((F.col(f"__{c}") - F.lit(float(x))) ** 2 for c, x in zip(CLUSTER_FEATURES, centre)), F.lit(0.0))
+        for centre in model.clusterCenters()
+    ]
+    own = F.element_at(F.array(*far), F.col("cluster") + 1)
+    # MLlib compares distances through an expanded square: allow its rounding
+    misplaced = own > F.array_min(F.array(*far)) * (1 + 1e-6) + 1e-6
+    return model.transform(data).agg(
+        F.count(F.lit(1)).alias("customers"), F.count_if(misplaced).alias("misplaced"), F.count_if(F.col("cluster") >= k).alias("beyond_k"))
+
+
+def train_split(df: DataFrame, key: str, seed: int = SEED) -> Column:
+    """True for the training share of rows, drawn by a hash of the key and the seed."""
+    cut = f"{round(TRAIN_SHARE * 16**4):04x}"
+    return F.substring(F.md5(F.concat_ws("|", F.lit(str(seed)), F.coalesce(F.col(key), F.lit("")))), 1, 4) < cut
+
+
+def revenue_forest(
+    sales: DataFrame, key: str = "order_item_key", trees: int = FOREST_TREES, depth: int = DEEPEST, seed: int = SEED,
+) -> DataFrame:
+    """Feature importances with the fit's R² and RMSE on the held-out fifth, and the size of both parts.
 
-    The split is by a hash of the whole row, so it does not change when a task is rerun.
+    The split is by a hash of the row's key, so it does not change when a task is rerun.
     """
-    data = stage(_numbers(sales.select("order_amount", *FOREST_FEATURES), ("order_amount", *FOREST_FEATURES)), "forest")
+    used = sales.select(key, "order_amount", *FOREST_FEATURES)
+    data = stage(_numbers(used, ("order_amount", *FOREST_FEATURES)).withColumn("__train", train_split(used, key, seed)), "forest")
     data = VectorAssembler(inputCols=[f"__{c}" for c in FOREST_FEATURES], outputCol="__features").transform(data)
-    data = data.withColumn("__share", F.pmod(F.xxhash64(F.lit(seed), *data.columns[:4]), F.lit(1000)) / 1000)
-    train, test = data.filter(F.col("__share") < TRAIN_SHARE), data.filter(F.col("__share") >= TRAIN_SHARE)
+    train, test = data.filter("__train"), data.filter("not __train")
     model = RandomForestRegressor(
         numTrees=trees, maxDepth=depth, seed=seed, featuresCol="__features", labelCol="__order_amount",
         subsamplingRate=1.0,
@@ -64,8 +88,10 @@ def revenue_forest(sales: DataFrame, trees: int = FOREST_TREES, depth: int = 8,
         return RegressionEvaluator(labelCol="__order_amount", metricName=name).evaluate(scored)
 
     r2, rmse = metric("r2"), metric("rmse")
-    rows = [(f, float(w), r2, rmse) for f, w in zip(FOREST_FEATURES, model.featureImportances.toArray())]
-    return sales.sparkSession.createDataFrame(rows, "feature string, importance double, r2 double, rmse double")
+    sizes = (train.count(), test.count())
+    rows = [(f, float(w), r2, rmse, *sizes) for f, w in zip(FOREST_FEATURES, model.featureImportances.toArray())]
+    return sales.sparkSession.createDataFrame(
+        rows, "feature string, importance double, r2 double, rmse double, train_rows long, test_rows long")
 
 
 def _path_adjustment(n: np.ndarray) -> np.ndarray:
@@ -101,28 +127,25 @@ def _grow(x: np.ndarray, rng: np.random.Generator, max_depth: int) -> list[tuple
 
 def isolation_forest(
     sales: DataFrame, trees: int = OUTLIER_TREES, sample: int = OUTLIER_SAMPLE,
-    contamination: float = CONTAMINATION, seed: int = SEED, limit: int = ordered.GROUP_LIMIT,
+    contamination: float = CONTAMINATION, seed: int = SEED, key: str = "order_item_key",
 ) -> DataFrame:
     """Rows with anomaly score and flag (the ``contamination`` share with the highest scores).
 
     Every tree grows from its own sample of at most ``sample`` rows, one small group per
-    tree; the finished forest (bounded by trees x sample) goes to the executors, which
+    tree.  A row goes to trees that a hash of its key and the seed draws, about 1.5 x sample rows a tree at any
+    table size, so the layout of the table doesn't matter; the finished forest (bounded by trees x sample) goes to the executors, which
     score all rows in Arrow batches.
     """
     names = [f"__{c}" for c in OUTLIER_FEATURES]
     data = stage(_numbers(sales, OUTLIER_FEATURES), "outliers")
     rows = data.count()
-    # draw somewhat more than needed by a hash of the row, spread over the trees, then trim
-    share = min(1.0, 1.5 * trees * sample / max(rows, 1))
-    drawn = data.select(*names).withColumn("__r", F.rand(seed))
-    if share < 1.0:
-        drawn = drawn.filter(F.col("__r") < share)
-        drawn = drawn.withColumn("tree", F.floor(F.col("__r") / share * trees).cast("int"))
-    else:
-        # a small table: each tree takes its own random part of all rows (bounded by the forest size)
-        drawn = drawn.withColumn("tree", F.explode(F.sequence(F.lit(0), F.lit(trees - 1)))).withColumn(
-            "__r", F.rand(seed + 1)
-        ).filter(F.col("__r") <= min(1.0, 1.5 * sample / max(rows, 1)))
+    # mean number of trees that a row is drawn for: its whole part for every row, one more by hash
+    draws = min(float(trees), 1.5 * trees * sample / max(rows, 1))
+    part = F.pmod(F.xxhash64(F.lit(seed), key), F.lit(1 << 30)) / float(1 << 30)
+    times = F.lit(math.floor(draws)) + (part < draws - math.floor(draws)).cast("int")
+    drawn = data.withColumn("__times", times).filter("__times > 0")
+    drawn = drawn.withColumn("__draw", F.explode(F.sequence(F.lit(1), F.col("__times"))))
+    drawn = drawn.select(*names, F.pmod(F.xxhash64(F.lit(seed), key, "__draw"), F.lit(trees)).cast("int").alias("tree"))
     depth = max(1, math.ceil(math.log2(max(2, min(sample, rows)))))
 
     def grow(pdf: pd.DataFrame) -> pd.DataFrame:
@@ -163,5 +186,5 @@ def isolation_forest(
         return pd.Series(np.power(2.0, -(total / len(model)) / norm))
 
     scored = stage(data.withColumn("anomaly_score", F.round(score(*names), 9)).drop(*names), "scores")
-    cut = ordered.exact_percentiles(scored, [], "anomaly_score", {"cut": 1 - contamination}, limit).first()["cut"]
+    cut = ordered.exact_percentiles(scored, [], "anomaly_score", {"cut": 1 - contamination}).first()["cut"]
     return scored.withColumn("is_anomaly", F.col("anomaly_score") > F.lit(cut))

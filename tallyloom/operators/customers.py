@@ -56,9 +56,7 @@ def customer_lifetime_value(df: DataFrame, customer: str, revenue: str, date: st
     )
 
 
-def rfm(
-    df: DataFrame, customer: str, date: str, revenue: str, p: Params, limit: int = ordered.GROUP_LIMIT,
-) -> DataFrame:
+def rfm(df: DataFrame, customer: str, date: str, revenue: str, p: Params) -> DataFrame:
     """Recency, frequency and monetary quintiles over all customers, and the RFM segment."""
     out = _per_customer(df, customer, revenue, date).select(
         customer,
@@ -72,5 +70,5 @@ def rfm(
         "recency_score": [F.col("recency_days").desc_nulls_last(), tie],
         "frequency_score": [F.col("frequency").asc_nulls_last(), tie],
         "monetary_score": [F.col("monetary_value").asc_nulls_last(), tie],
-    }, limit)
+    }, [customer, "recency_days", "frequency", "monetary_value"])
     return out.withColumn("rfm_segment", decide(V.RFM_SEGMENT))

@@ -1,21 +1,17 @@
 """Ordered operators that stay parallel inside one group.
 
-A plain window evaluates each group in one task.  That is the right plan while the
-largest group is small, and the wrong one when a group (or the whole table) grows with
-the data.  Every function here measures the largest group once and then either
-
-* uses the plain window (largest group at most ``limit`` rows), or
-* range-partitions the rows by (group, order) so that a big group spreads over many
-  partitions, writes that layout once to the shared folder, and combines per-partition
-  results with one small row per (group, partition).
-
-Both ways give the same rows.  ``order`` must be a total order within a group.
-``source`` names a cheaper frame with the same keys to measure groups on.
+A plain window evaluates each group in one task, which fails when a group (or the whole table)
+grows with the data.  Every function here uses one layout, whatever the size: rows are
+range-partitioned by (group, order), so a big group spreads over many partitions, the layout is written once to
+the shared folder, and results per partition are combined with one small row per (group, partition).
+Callers pass narrow frames and join wide rows back by a row key (``with_row_key``).
+
+``order`` must be a total order within a group.  Sums are exact: DOUBLE and FLOAT measures are
+refused, because they would add in another order in another layout.
 """
 
 from __future__ import annotations
 
-import math
 from collections.abc import Callable, Sequence
 from functools import reduce
 
@@ -23,27 +19,9 @@ from pyspark.sql import Column, DataFrame, Window, WindowSpec, functions as F
 
 from ..sources.staging import stage
 
-# largest group that one task sorts on its own
-GROUP_LIMIT = 2_000_000
-
-
-def _group_size(df: DataFrame, keys: Sequence[str]) -> tuple[int, int]:
-    """(rows of the largest group, rows in all); reads only the key columns."""
-    if not keys:
-        n = df.count()
-        return n, n
-    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
-    row = counts.agg(F.max("n"), F.sum("n")).first()
-    return row[0] or 0, row[1] or 0
-
-
-def _spread(df: DataFrame) -> DataFrame:
-    """Undo the single partition that a small table-wide window leaves behind."""
-    return df.repartition(df.sparkSession.sparkContext.defaultParallelism)
-
-
-def _window(keys: Sequence[str], order: Sequence[Column]) -> WindowSpec:
-    return Window.partitionBy(*keys).orderBy(*order)
+# rows of a group that one task frames at a time
+BLOCK_ROWS = 200_000
+ROW_KEY = "__row"
 
 
 def null_safe_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
@@ -53,96 +31,96 @@ def null_safe_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how:
     return left.join(right, cond, how).drop(*[f"__r_{k}" for k in keys])
 
 
-def _chunks(df: DataFrame, keys: Sequence[str], order: Sequence[Column], rows: int, limit: int) -> DataFrame:
-    """Rows laid out in (keys, order) ranges of at most about ``limit`` rows, with ``__part``."""
-    n = max(2, math.ceil(2 * rows / max(limit, 1)))
-    ranged = df.repartitionByRange(n, *[F.col(k) for k in keys], *order)
+def with_row_key(df: DataFrame, label: str) -> DataFrame:
+    """The frame, staged with a unique row number, so that narrow results can be joined back."""
+    return stage(df.withColumn(ROW_KEY, F.monotonically_increasing_id()), label)
+
+
+def _group(keys: Sequence[str]) -> Column:
+    """The grouping columns as one value; unlike a list of keys it joins NULLs without a rewrite."""
+    return F.struct(*keys) if keys else F.struct(F.lit(0).alias("all"))
+
+
+def _ranges(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
+    """Rows laid out in (keys, order) ranges, with ``__k`` and ``__part``."""
+    ranged = df.withColumn("__k", _group(keys)).repartitionByRange(*[F.col(k) for k in keys], *order)
     return stage(ranged.withColumn("__part", F.spark_partition_id()), "ranges")
 
 
-def _chunk_starts(chunked: DataFrame, keys: Sequence[str], sums: dict[str, Column]) -> DataFrame:
-    """For each (keys, part), the totals of the group's earlier parts.
+def _check_exact(df: DataFrame, sums: dict[str, Column]) -> None:
+    inexact = [n for n, t in df.select(*[c.alias(n) for n, c in sums.items()]).dtypes if t in ("double", "float")]
+    if inexact:
+        raise TypeError(f"cast to a decimal before a running sum: {inexact}")
 
-    One row per group and range partition: a group has at most as many rows here as
-    there are range partitions, so this window is small.
+
+def running_sums(
+    df: DataFrame, keys: Sequence[str], order: Sequence[Column], sums: dict[str, Column],
+    lowest: dict[str, str] | None = None, counts: dict[str, Sequence[str]] | None = None,
+) -> DataFrame:
+    """Inclusive running sums per group (``ROWS UNBOUNDED PRECEDING``), and group minima of ``lowest`` columns.
+
+    ``counts`` names running counts within subgroups (further key columns) that the same layout serves.
+
+    The sums that precede a part come from one row per group and part: a group has at most as many of
+    those as there are range partitions, so that window is small.
     """
-    per_part = chunked.groupBy(*keys, "__part").agg(*[c.alias(name) for name, c in sums.items()])
-    before = Window.partitionBy(*keys).orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
-    starts = {f"__before_{n}": F.sum(n).over(before) for n in sums}
-    return per_part.select(*keys, "__part", *[c.alias(n) for n, c in starts.items()])
-
-
-def _running_split(df, keys, order, sums: dict[str, Column], rows: int, limit: int) -> DataFrame:
-    chunked = _chunks(df, keys, order, rows, limit)
-    starts = _chunk_starts(chunked, keys, {n: F.sum(c) for n, c in sums.items()})
-    w = Window.partitionBy(*keys, "__part").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-    local = chunked.withColumns({f"__local_{n}": F.sum(c).over(w) for n, c in sums.items()})
-    joined = null_safe_join(local, starts, [*keys, "__part"])
+    _check_exact(df, sums)
+    lowest = lowest or {}
+    laid = _ranges(df, keys, order)
+    per_part = laid.groupBy("__k", "__part").agg(
+        *[F.sum(c).alias(f"__s_{n}") for n, c in sums.items()], *[F.min(c).alias(f"__m_{n}") for n, c in lowest.items()])
+    whole = Window.partitionBy("__k")
+    before = whole.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
+    starts = per_part.select(
+        "__k", "__part", *[F.sum(f"__s_{n}").over(before).alias(f"__before_{n}") for n in sums],
+        *[F.min(f"__m_{n}").over(whole).alias(n) for n in lowest])
+    w = Window.partitionBy("__k", "__part").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    local = laid.withColumns({f"__local_{n}": F.sum(c).over(w) for n, c in sums.items()})
+    joined = local.join(starts, ["__k", "__part"])
+    for out, more in (counts or {}).items():
+        sub_key = F.struct(*more)
+        sizes = laid.groupBy("__k", "__part", sub_key.alias("__sub")).agg(F.count("*").alias("__n"))
+        earlier = Window.partitionBy("__k", "__sub").orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
+        first = sizes.select("__k", "__part", "__sub", F.coalesce(F.sum("__n").over(earlier), F.lit(0)).alias("__first"))
+        inside = Window.partitionBy("__k", "__part", "__sub").orderBy(*order)
+        joined = joined.withColumn("__sub", sub_key).withColumn("__at", F.row_number().over(inside))
+        joined = joined.join(first, ["__k", "__part", "__sub"]).withColumn(out, F.col("__first") + F.col("__at"))
+        joined = joined.drop("__sub", "__at", "__first")
     # NULL until the first known value of the group, as in a plain running sum
     totals = {
         n: F.coalesce(F.col(f"__local_{n}") + F.col(f"__before_{n}"), f"__local_{n}", f"__before_{n}") for n in sums
     }
     helper = [f"__local_{n}" for n in sums] + [f"__before_{n}" for n in sums]
-    return joined.withColumns(totals).drop("__part", *helper)
-
-
-def running_sums(
-    df: DataFrame, keys: Sequence[str], order: Sequence[Column], sums: dict[str, Column],
-    limit: int = GROUP_LIMIT, source: DataFrame | None = None,
-) -> DataFrame:
-    """Inclusive running sums per group (``ROWS UNBOUNDED PRECEDING``)."""
-    largest, rows = _group_size(df if source is None else source, keys)
-    if largest <= limit:
-        w = _window(keys, order).rowsBetween(Window.unboundedPreceding, 0)
-        return df.withColumns({n: F.sum(c).over(w) for n, c in sums.items()})
-    return _running_split(df, keys, order, sums, rows, limit)
+    return joined.withColumns(totals).drop("__k", "__part", *helper)
 
 
-def row_numbers(
-    df: DataFrame, keys: Sequence[str], order: Sequence[Column], out: str,
-    limit: int = GROUP_LIMIT, source: DataFrame | None = None,
-) -> DataFrame:
+def row_numbers(df: DataFrame, keys: Sequence[str], order: Sequence[Column], out: str) -> DataFrame:
     """1-based position of each row within its group."""
-    largest, rows = _group_size(df if source is None else source, keys)
-    if largest <= limit:
-        numbered = df.withColumn(out, F.row_number().over(_window(keys, order)).cast("bigint"))
-        return numbered if keys else _spread(numbered)
-    return _running_split(df, keys, order, {out: F.lit(1).cast("bigint")}, rows, limit)
+    return running_sums(df, keys, order, {out: F.lit(1).cast("bigint")})
 
 
-def ntiles(df: DataFrame, n: int, order: Sequence[Column], out: str, limit: int = GROUP_LIMIT) -> DataFrame:
+def ntiles(df: DataFrame, n: int, order: Sequence[Column], out: str) -> DataFrame:
     """``NTILE(n)`` over the whole table; bucket sizes differ by at most one row."""
-    rows = df.count()
-    if rows <= limit:
-        return df.withColumn(out, F.ntile(n).over(Window.orderBy(*order)).cast("bigint"))
-    q, r = divmod(rows, n)
+    q, r = divmod(df.count(), n)
     pos = F.col("__pos") - 1
     # the first r buckets hold q + 1 rows, the others q
     big = F.lit(r * (q + 1))
     bucket = F.when(pos < big, F.floor(pos / (q + 1))).otherwise(F.lit(r) + F.floor((pos - big) / max(q, 1)))
-    numbered = _running_split(df, [], order, {"__pos": F.lit(1).cast("bigint")}, rows, limit)
-    return numbered.withColumn(out, (bucket + 1).cast("bigint")).drop("__pos")
+    return row_numbers(df, [], order, "__pos").withColumn(out, (bucket + 1).cast("bigint")).drop("__pos")
 
 
 def with_frames(
-    df: DataFrame,
-    keys: Sequence[str],
-    order: Sequence[Column],
-    exprs: Callable[[WindowSpec], dict[str, Column]],
-    reach: int,
-    limit: int = GROUP_LIMIT,
-    source: DataFrame | None = None,
+    df: DataFrame, keys: Sequence[str], order: Sequence[Column],
+    exprs: Callable[[WindowSpec], dict[str, Column]], reach: int,
+    counts: dict[str, Sequence[str]] | None = None, block: int = BLOCK_ROWS,
 ) -> DataFrame:
-    """Window expressions that look back at most ``reach`` rows (lags, rolling frames).
+    """Window expressions that look back at most ``reach`` rows (lags, rolling frames), and subgroup counts beside them.
 
-    In the split layout each block also gets a copy of the ``reach`` rows before it, so
-    every frame is complete inside its block; the copies are dropped afterwards.
+    Rows are numbered within their group and cut into blocks of ``block`` rows; each block also gets a copy of
+    the ``reach`` rows before it, so every frame is complete inside its block; the copies are dropped afterwards.
     """
-    largest, rows = _group_size(df if source is None else source, keys)
-    if largest <= limit:
-        return df.withColumns(exprs(_window(keys, order)))
-    size = max(limit, reach)
-    numbered = _running_split(df, keys, order, {"__pos": F.lit(1).cast("bigint")}, rows, limit)
+    size = max(block, reach)
+    numbered = running_sums(df, keys, order, {"__pos": F.lit(1).cast("bigint")}, counts=counts)
     own = F.floor((F.col("__pos") - 1) / size)
     near_end = (F.col("__pos") - 1) % size >= size - reach
     copied = numbered.withColumn("__own", own).withColumn(
@@ -152,47 +130,30 @@ def with_frames(
     return copied.withColumns(exprs(w)).filter("__block = __own").drop("__pos", "__own", "__block")
 
 
-def ntile_scores(df: DataFrame, n: int, orders: dict[str, Sequence[Column]], limit: int = GROUP_LIMIT) -> DataFrame:
-    """Several ``NTILE(n)`` columns; the input is staged because each one passes over it."""
-    df = stage(df, "scored")
-    for out, order in orders.items():
-        df = ntiles(df, n, order, out, limit)
-    return _spread(df)
+def ntile_scores(df: DataFrame, n: int, orders: dict[str, Sequence[Column]], columns: Sequence[str]) -> DataFrame:
+    """Several ``NTILE(n)`` columns, ordered by ``columns``.
+
+    Only the row key and those columns pass through the layouts; the scores are joined back once.
+    """
+    wide = with_row_key(df, "scored")
+    narrow = wide.select(ROW_KEY, *columns)
+    scores = [ntiles(narrow, n, order, out).select(ROW_KEY, out) for out, order in orders.items()]
+    return reduce(lambda left, right: left.join(right, ROW_KEY), scores, wide).drop(ROW_KEY)
 
 
 def value_ranks(
-    df: DataFrame,
-    keys: Sequence[str],
-    value: str,
-    descending: bool = False,
-    rank: str | None = None,
-    dense: str | None = None,
-    percent: str | None = None,
-    limit: int = GROUP_LIMIT,
-    compact: bool = False,
-    source: DataFrame | None = None,
+    df: DataFrame, keys: Sequence[str], value: str, descending: bool = False,
+    rank: str | None = None, dense: str | None = None, percent: str | None = None, source: DataFrame | None = None,
 ) -> DataFrame:
     """RANK / DENSE_RANK / PERCENT_RANK of a value within its group.
 
-    Ranks depend on the value alone, so the split way ranks the distinct values (counted
-    with map-side combining) and joins the result back.  ``compact`` takes that way at
-    once, for values known to repeat a lot.  ``source`` may name a cheaper frame with the
-    same rows to count on.  The ranks are staged, so the planner knows their real size
-    and broadcasts them only when they are small.
+    Ranks depend on the value alone, so the distinct values are ranked, counted with map-side combining, and the
+    result is joined back.  ``source`` may name a cheaper frame with the same rows to count on.
     """
     source = df if source is None else source
-    def direction(c):
-        return c.desc_nulls_last() if descending else c.asc_nulls_last()
-
-    order = [direction(F.col(value))]
-    if not compact and _group_size(source, keys)[0] <= limit:
-        w = _window(keys, order)
-        exprs = {rank: F.rank, dense: F.dense_rank, percent: F.percent_rank}
-        return df.withColumns({
-            n: f().over(w).cast("double" if n == percent else "bigint") for n, f in exprs.items() if n
-        })
-    hist = stage(source.groupBy(*keys, value).agg(F.count(F.lit(1)).alias("__n")), "counts")
-    hist = running_sums(hist, keys, order, {"__upto": F.col("__n"), "__dense": F.lit(1).cast("bigint")}, limit)
+    order = [F.col(value).desc_nulls_last() if descending else F.col(value).asc_nulls_last()]
+    hist = source.groupBy(*keys, value).agg(F.count(F.lit(1)).alias("__n"))
+    hist = running_sums(hist, keys, order, {"__upto": F.col("__n"), "__dense": F.lit(1).cast("bigint")})
     hist = hist.withColumn("__rank", F.col("__upto") - F.col("__n") + 1)
     outs: dict[str, Column] = {}
     if rank:
@@ -200,20 +161,22 @@ def value_ranks(
     if dense:
         outs[dense] = F.col("__dense")
     if percent:
-        if keys:
-            totals = hist.groupBy(*keys).agg(F.sum("__n").alias("__total"))
-            hist = null_safe_join(hist, totals, keys)
-        else:
-            hist = hist.withColumn("__total", F.lit(source.count()))
+        hist = _with_totals(hist, keys)
         share = F.try_divide((F.col("__rank") - 1).cast("double"), (F.col("__total") - 1).cast("double"))
         outs[percent] = F.coalesce(share, F.lit(0.0))
     ranks = hist.select(*keys, value, *[c.alias(n) for n, c in outs.items()])
-    return null_safe_join(df, stage(ranks, "ranks"), [*keys, value])
+    return null_safe_join(df, ranks, [*keys, value])
 
 
-def exact_percentiles(
-    df: DataFrame, keys: Sequence[str], value: str, wanted: dict[str, float], limit: int = GROUP_LIMIT,
-) -> DataFrame:
+def _with_totals(hist: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Value counts with the number of rows of their group."""
+    if keys:
+        return null_safe_join(hist, hist.groupBy(*keys).agg(F.sum("__n").alias("__total")), keys)
+    total = hist.agg(F.sum("__n")).first()[0] or 0
+    return hist.withColumn("__total", F.lit(total).cast("bigint"))
+
+
+def exact_percentiles(df: DataFrame, keys: Sequence[str], value: str, wanted: dict[str, float]) -> DataFrame:
     """Linearly interpolated percentiles per group, one row per group.
 
     Works on value counts and running totals instead of gathering a group's values in one
@@ -221,13 +184,7 @@ def exact_percentiles(
     """
     values = df.filter(F.col(value).isNotNull())
     hist = stage(values.groupBy(*keys, value).agg(F.count(F.lit(1)).alias("__n")), "counts")
-    if keys:
-        totals = hist.groupBy(*keys).agg(F.sum("__n").alias("__total"))
-        hist = null_safe_join(hist, totals, keys)
-    else:
-        total = hist.agg(F.sum("__n")).first()[0] or 0
-        hist = hist.withColumn("__total", F.lit(total).cast("bigint"))
-    hist = running_sums(hist, keys, [F.col(value).asc()], {"__upto": F.col("__n")}, limit)
+    hist = running_sums(_with_totals(hist, keys), keys, [F.col(value).asc()], {"__upto": F.col("__n")})
     x = F.col(value).cast("double")
     aggs, outs = [], {}
     for name, p in wanted.items():

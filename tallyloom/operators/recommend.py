@@ -1,19 +1,12 @@
-"""Recommendation features and user similarity."""
+"""Recommendation features."""
 
 from __future__ import annotations
 
-import math
-
-import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
 from . import ordered
 from ..sources.staging import stage
 
-MIN_OVERLAP = 3  # fixed value: users are comparable from three common items on
-ZERO_VARIANCE = 1e-9
-
 
 def interaction_matrix(df: DataFrame, user: str, item: str, rating: str | None = None) -> DataFrame:
     """One row per (user, item): interactions and mean rating (1 without a rating column)."""
@@ -21,9 +14,7 @@ def interaction_matrix(df: DataFrame, user: str, item: str, rating: str | None =
     return df.groupBy(user, item).agg(F.count(F.lit(1)).alias("interaction_count"), mean.alias("avg_rating"))
 
 
-def recommendation_features(
-    df: DataFrame, user: str, item: str, rating: str | None = None, limit: int = ordered.GROUP_LIMIT,
-) -> DataFrame:
+def recommendation_features(df: DataFrame, user: str, item: str, rating: str | None = None) -> DataFrame:
     """Interaction matrix with item popularity and the rank of each item for its user."""
     matrix = stage(interaction_matrix(df, user, item, rating), "matrix")
     popularity = matrix.groupBy(item).agg(
@@ -34,116 +25,5 @@ def recommendation_features(
     # by item before by user: the ranking shuffle is the last one
     joined = matrix.join(popularity, item)
     return ordered.value_ranks(
-        joined, [user], "avg_rating", descending=True, rank="user_product_rank", limit=limit, source=matrix,
-    )
-
-
-def _pair_sums(left: pd.DataFrame, right: pd.DataFrame, slab_pairs: int = 4_000_000) -> tuple[np.ndarray, ...]:
-    """Co-rating sums of every (left user, right user) of one tile, as small dense matrices.
-
-    Common items are taken a slab at a time, so that memory follows ``slab_pairs``; an
-    item adds at most one entry per pair of users of the tile.
-    """
-    lu, lcode = np.unique(left["user"].to_numpy(), return_inverse=True)
-    ru, rcode = np.unique(right["user"].to_numpy(), return_inverse=True)
-    shape = (len(lu), len(ru))
-    sums = [np.zeros(shape[0] * shape[1]) for _ in range(6)]
-    items = np.intersect1d(left["item"].unique(), right["item"].unique())
-
-    def by_item(side, code):
-        pos = np.searchsorted(items, side["item"].to_numpy())
-        known = pos < len(items)
-        known[known] = items[pos[known]] == side["item"].to_numpy()[known]
-        order = np.argsort(pos[known], kind="stable")
-        counts = np.bincount(pos[known], minlength=len(items))
-        return pos[known][order], code[known][order], side["rating"].to_numpy(float)[known][order], counts
-
-    li, lcode, lr, lcount = by_item(left, lcode)
-    ri, rcode, rr, rcount = by_item(right, rcode)
-    lstart = np.concatenate([[0], np.cumsum(lcount)])
-    rstart = np.concatenate([[0], np.cumsum(rcount)])
-    pairs_upto = np.concatenate([[0], np.cumsum(lcount.astype("int64") * rcount)])
-    item = 0
-    while item < len(items):
-        stop = max(item + 1, int(np.searchsorted(pairs_upto, pairs_upto[item] + slab_pairs, "right")) - 1)
-        rows = np.arange(lstart[item], lstart[stop])
-        reps = rcount[li[rows]]
-        at = np.repeat(rows, reps)
-        within = np.arange(len(at)) - np.repeat(np.cumsum(reps) - reps, reps)
-        other = rstart[li[at]] + within
-        cell = lcode[at] * shape[1] + rcode[other]
-        x, y = lr[at], rr[other]
-        for total, weight in zip(sums, (None, x, y, x * x, y * y, x * y)):
-            total += np.bincount(cell, weights=weight, minlength=len(total))
-        item = stop
-    return (lu, ru, *[s.reshape(shape) for s in sums])
-
-
-def user_similarity(
-    df: DataFrame, user: str, item: str, rating: str,
-    users_per_block: int = 1024, rows_per_block: int = 1_000_000,
-) -> DataFrame:
-    """Correlation of two users' ratings over their common items (three at least).
-
-    A join on the item would write out every pair of users of a popular item.  Instead
-    the user x item matrix is multiplied with its transpose in tiles: users are hashed
-    into blocks, each unordered pair of blocks with a common item (and each item block) is
-    one group, and a tile returns one row per pair of users with enough in common.  Tile
-    size is bounded by the number of users and of rows in a block, whatever the popularity
-    of an item.
-    """
-    matrix = stage(interaction_matrix(df, user, item, rating).select(
-        F.col(user).alias("user"), F.col(item).alias("item"), F.col("avg_rating").alias("rating"),
-    ).filter("user is not null and item is not null and rating is not null"), "matrix")
-    users = matrix.groupBy("user").agg(F.count(F.lit(1)).alias("n"))
-    n_users, n_rows, widest = users.agg(F.count(F.lit(1)), F.sum("n"), F.max("n")).first()
-    blocks = max(1, math.ceil(n_users / users_per_block), math.ceil((n_rows or 0) / rows_per_block))
-    # a user with very many items is cut along the items
-    item_blocks = max(1, math.ceil((widest or 0) / rows_per_block))
-    key_type = matrix.schema["user"].dataType.simpleString()
-
-    placed = matrix.withColumns({
-        "block": F.pmod(F.xxhash64("user"), F.lit(blocks)).cast("int"),
-        "item_block": F.pmod(F.xxhash64("item"), F.lit(item_blocks)).cast("int"),
-    })
-    # a rating goes only to the blocks that hold another rating of its item: one copy per
-    # such block, not per such user
-    meets = placed.select("item", F.col("block").alias("other")).distinct()
-    tiles = placed.join(meets, "item").withColumns({
-        "lo": F.least("block", "other"), "hi": F.greatest("block", "other"),
-    }).drop("other")
-
-    def tile(pdf: pd.DataFrame) -> pd.DataFrame:
-        lo, hi = int(pdf["lo"].iloc[0]), int(pdf["hi"].iloc[0])
-        left = pdf[pdf["block"] == lo]
-        right = pdf[pdf["block"] == hi]
-        if left.empty or right.empty:
-            return pd.DataFrame(columns=["user1", "user2", "n", "sx", "sy", "sxx", "syy", "sxy"])
-        lu, ru, n, sx, sy, sxx, syy, sxy = _pair_sums(left, right)
-        # with a single item block a pair below the overlap can be dropped here
-        keep = n >= (MIN_OVERLAP if item_blocks == 1 else 1)
-        if lo == hi:
-            keep &= lu[:, None] < ru[None, :]
-        i, j = np.nonzero(keep)
-        return pd.DataFrame({
-            "user1": lu[i], "user2": ru[j], "n": n[i, j].astype("int64"), "sx": sx[i, j], "sy": sy[i, j],
-            "sxx": sxx[i, j], "syy": syy[i, j], "sxy": sxy[i, j],
-        })
-
-    schema = f"user1 {key_type}, user2 {key_type}, n bigint, sx double, sy double, sxx double, syy double, sxy double"
-    pairs = tiles.groupBy("lo", "hi", "item_block").applyInPandas(tile, schema)
-    if item_blocks > 1:
-        pairs = pairs.groupBy("user1", "user2").agg(*[
-            F.sum(c).alias(c) for c in ("n", "sx", "sy", "sxx", "syy", "sxy")
-        ]).filter(F.col("n") >= MIN_OVERLAP)
-    n = F.col("n").cast("double")
-    var_x, var_y = n * F.col("sxx") - F.col("sx") * F.col("sx"), n * F.col("syy") - F.col("sy") * F.col("sy")
-    varied = (var_x > ZERO_VARIANCE) & (var_y > ZERO_VARIANCE)
-    corr = F.when(varied, F.try_divide(n * F.col("sxy") - F.col("sx") * F.col("sy"), F.sqrt(var_x) * F.sqrt(var_y)))
-    both = F.explode(F.array(
-        F.struct(F.col("user1"), F.col("user2")),
-        F.struct(F.col("user2").alias("user1"), F.col("user1").alias("user2")),
-    ))
-    return pairs.select(both.alias("p"), F.col("n").alias("common_items"), corr.alias("similarity_score")).select(
-        "p.user1", "p.user2", "common_items", "similarity_score",
+        joined, [user], "avg_rating", descending=True, rank="user_product_rank", source=matrix,
     )

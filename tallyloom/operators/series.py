@@ -64,9 +64,9 @@ def zscore_anomalies(df: DataFrame, value: str, p: Params) -> DataFrame:
     )
 
 
-def iqr_anomalies(df: DataFrame, value: str, p: Params, limit: int = ordered.GROUP_LIMIT) -> DataFrame:
+def iqr_anomalies(df: DataFrame, value: str, p: Params) -> DataFrame:
     """Values outside the quartiles by more than ``p.iqr_factor`` interquartile ranges."""
-    row = ordered.exact_percentiles(df, [], value, {"q1": 0.25, "q3": 0.75}, limit).first()
+    row = ordered.exact_percentiles(df, [], value, {"q1": 0.25, "q3": 0.75}).first()
     q1, q3 = (row["q1"], row["q3"]) if row else (None, None)
     x = F.col(value).cast("double")
     low, high = F.lit(q1).cast("double"), F.lit(q3).cast("double")

@@ -13,12 +13,11 @@ from ..sources.staging import stage
 
 def cohort_analysis(
     base: DataFrame, p: Params, entity: str = "order_id", tie_break: tuple[str, ...] = (),
-    limit: int = ordered.GROUP_LIMIT,
 ) -> DataFrame:
     """``entity`` is what returns: the order by default, a customer key where there is one.
 
-    Entities outside the reported cohorts are dropped before any window runs.  The line
-    history is staged narrow because three aggregations read it.  Distinct entity counts
+    First dates and running sums come from one pass over the same keys.  The line history is
+    staged narrow because three aggregations read it.  Distinct entity counts
     become plain counts after one pre-aggregation per entity and month.
     """
     who = [entity, "customer_segment", "partner_channel"]
@@ -26,25 +25,16 @@ def cohort_analysis(
     cell = [*cohort, "period_number"]
     today = F.lit(p.as_of)
 
-    first = base.groupBy(*who).agg(F.min("order_date").alias("first_order_date")).withColumn(
-        "cohort_month", F.trunc("first_order_date", "month")
-    ).filter(F.col("cohort_month") >= months_back(today, p.cohort_months))
     used = [*who, "order_date", "revenue", "quantity", "product_category", "order_value_tier", *tie_break]
-    lines = base.select(*dict.fromkeys(used))
-    history = ordered.null_safe_join(lines, first, who)
-    history = stage(history.withColumn("period_number", month_diff("first_order_date", "order_date")), "history")
     history = ordered.running_sums(
-        history, who, [F.col(c).asc_nulls_last() for c in ("order_date", *tie_break)],
-        {
-            "cumulative_revenue": F.col("revenue"),
-            "cumulative_quantity": F.col("quantity").cast("bigint"),
-            "order_sequence": F.lit(1).cast("bigint"),
-        },
-        limit,
-    )
+        base.select(*dict.fromkeys(used)), who, [F.col(c).asc_nulls_last() for c in ("order_date", *tie_break)],
+        {"cumulative_revenue": F.col("revenue"), "order_sequence": F.lit(1).cast("bigint")},
+        lowest={"first_order_date": "order_date"},
+    ).withColumn("cohort_month", F.trunc("first_order_date", "month"))
+    history = history.filter(F.col("cohort_month") >= months_back(today, p.cohort_months))
     history = stage(history.select(
-        *who, "cohort_month", "period_number", "product_category", "order_value_tier", "revenue", "quantity",
-        "cumulative_revenue", "order_sequence",
+        *who, "cohort_month", month_diff("first_order_date", "order_date").alias("period_number"), "product_category",
+        "order_value_tier", "revenue", "quantity", "cumulative_revenue", "order_sequence",
     ), "history")
 
     per_entity = history.groupBy(*cell, entity).agg(
@@ -65,7 +55,7 @@ def cohort_analysis(
         F.count_if("is_repeat").alias("repeat_customers"),
     )
     categories = history.groupBy(*cell).agg(F.count_distinct("product_category").alias("unique_categories_purchased"))
-    medians = ordered.exact_percentiles(history, cell, "revenue", {"median_revenue_per_customer": 0.5}, limit)
+    medians = ordered.exact_percentiles(history, cell, "revenue", {"median_revenue_per_customer": 0.5})
     # from here on the grain is a calendar cell: small
     df = metrics.join(categories, cell).join(medians, cell)
 

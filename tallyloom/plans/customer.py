@@ -20,7 +20,7 @@ def customer_id():
     ).otherwise(F.md5(concat_skip_nulls("sales_channel", "city_tier", "customer_segment")))
 
 
-def customer_analytics(unified: DataFrame, p: Params, limit: int = ordered.GROUP_LIMIT) -> DataFrame:
+def customer_analytics(unified: DataFrame, p: Params) -> DataFrame:
     """RFM scores, lifecycle, value, engagement, season and simple predictions per buyer."""
     group = [
         "customer_id", "sales_channel", "customer_segment", "city_tier", "is_b2b",
@@ -58,7 +58,7 @@ def customer_analytics(unified: DataFrame, p: Params, limit: int = ordered.GROUP
         "recency_score": [F.col("days_since_last_order").desc_nulls_last(), *ties],
         "frequency_score": [F.col("total_orders").asc_nulls_last(), *ties],
         "monetary_score": [F.col("total_revenue").asc_nulls_last(), *ties],
-    }, limit)
+    }, [*group, "days_since_last_order", "total_orders", "total_revenue"])
     silent = F.col("days_since_last_order")
     churn = reduce(
         lambda c, step: c.when(silent > step[0], step[1]), V.CHURN_STEPS[1:],

@@ -117,12 +117,12 @@ def price_by_tier(catalog: DataFrame) -> DataFrame:
     return catalog.groupBy("product_tier").agg(F.avg("avg_marketplace_price").alias("avg_price"))
 
 
-def margin_quartiles(catalog: DataFrame, limit: int = ordered.GROUP_LIMIT) -> DataFrame:
+def margin_quartiles(catalog: DataFrame) -> DataFrame:
     """Margins of two marketplaces in long form, reduced to box-plot quartiles."""
     margins = ["amazon_margin_percent", "flipkart_margin_percent"]
     long = catalog.select(*margins).unpivot([], margins, "variable", "value")
     wanted = {"q0": 0.0, "q1": 0.25, "q2": 0.5, "q3": 0.75, "q4": 1.0}
-    return ordered.exact_percentiles(long, ["variable"], "value", wanted, limit)
+    return ordered.exact_percentiles(long, ["variable"], "value", wanted)
 
 
 def revenue_moving_average(sales: DataFrame) -> DataFrame:

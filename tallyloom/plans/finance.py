@@ -122,6 +122,6 @@ def financial_summary(financial: DataFrame, p: Params) -> DataFrame:
 
 
 def save_financial_summary(spark: SparkSession, summary: DataFrame, path: str) -> None:
-    """Upsert summary rows by key into the table partitioned by order month."""
+    """Upsert summary rows by key into the table partitioned by order month; the latest created row of a key wins."""
     rows = summary.withColumn("order_month", F.date_format("order_date", "yyyy-MM"))
-    upsert_partitions(spark, path, rows, ["financial_summary_key"], "order_month")
+    upsert_partitions(spark, path, rows, ["financial_summary_key"], "order_month", "summary_created_at")

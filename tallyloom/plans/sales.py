@@ -66,7 +66,7 @@ def _dated(*more: str):
 
 
 def union_sales(
-    orders: DataFrame, international: DataFrame, limit: int = ordered.GROUP_LIMIT, order_ids: bool = True,
+    orders: DataFrame, international: DataFrame, order_ids: bool = True,
 ) -> DataFrame:
     """Marketplace and international lines in one shape.
 
@@ -91,49 +91,49 @@ def union_sales(
     })
     number = F.lit(None).cast("string")
     if order_ids:
-        abroad = ordered.row_numbers(abroad, [], _dated(*TIE_BREAK), "line_no", limit)
+        abroad = ordered.row_numbers(abroad, [], _dated(*TIE_BREAK), "line_no")
         number = F.concat(F.lit("INTL-"), F.col("line_no").cast("string"))
     abroad = abroad.withColumn("order_id", number)
     return market.select(*_UNIFIED).unionByName(abroad.select(*_UNIFIED))
 
 
-def unified_sales(orders: DataFrame, international: DataFrame, limit: int = ordered.GROUP_LIMIT) -> DataFrame:
+def unified_sales(orders: DataFrame, international: DataFrame) -> DataFrame:
     """Unified lines with lags, rolling values, sequences and ranks.
 
-    The union is staged because eight window groups use it.  Channels, segments and
-    categories are few and hold most of the rows, so their windows go through the ordered
-    operators, which split big groups.
+    The union is staged once with a row key.  Windows run over narrow rows (key, order and the two amounts); one
+    layout by channel serves the rolling mean and the count per segment, one by SKU the sequence, lag and
+    rolling revenue.  The wide rows meet the results in one join by row key and in small rank tables.
     """
-    base = stage(union_sales(orders, international, limit).withColumn("order_cohort", year_month("order_date")), "unified")
+    base = ordered.with_row_key(union_sales(orders, international).withColumn("order_cohort", year_month("order_date")), "unified")
     order = _dated(*TIE_BREAK)
+    key = ordered.ROW_KEY
+    ordering = [key, "order_date", *TIE_BREAK]
+
+    by_channel = ordered.with_frames(
+        base.select(*ordering, "sales_channel", "customer_segment"), ["sales_channel"], order,
+        lambda w: {"rolling_30d_avg_order_value": mean_over("order_amount", w.rowsBetween(-29, 0))}, reach=29,
+        counts={"customer_segment_order_count": ["customer_segment"]},
+    ).select(key, "rolling_30d_avg_order_value", "customer_segment_order_count")
+    by_sku = ordered.row_numbers(base.select(*ordering, "sku"), ["sku"], order, "product_order_sequence").select(
+        key, "product_order_sequence")
+    by_channel_sku = ordered.with_frames(
+        base.select(*ordering, "sales_channel", "sku", "recognized_revenue"), ["sales_channel", "sku"], order, lambda w: {
+            "prev_order_amount": F.lag("order_amount", 1).over(w),
+            "rolling_7d_revenue": F.sum("recognized_revenue").over(w.rowsBetween(-6, 0)),
+        }, reach=6,
+    ).select(key, "prev_order_amount", "rolling_7d_revenue")
+    df = base
+    for found in (by_channel, by_sku, by_channel_sku):
+        df = df.join(found, key)
 
     df = ordered.value_ranks(
-        base, ["product_category"], "composite_performance_score", descending=True,
-        dense="category_performance_rank", limit=limit, compact=True, source=base,
-    )
+        df, ["product_category"], "composite_performance_score", descending=True, dense="category_performance_rank", source=base)
     df = ordered.value_ranks(
-        df, ["sales_channel"], "composite_performance_score",
-        percent="channel_performance_percentile", limit=limit, compact=True, source=base,
-    )
+        df, ["sales_channel"], "composite_performance_score", percent="channel_performance_percentile", source=base)
+    df = ordered.value_ranks(
+        df, ["sales_channel", "order_date"], "order_amount", descending=True, rank="daily_order_rank", source=base)
     seasonal = stage(
-        base.groupBy("season", "product_category").agg(mean("order_amount").alias("seasonal_avg_order_value")), "seasonal",
-    )
+        base.groupBy("season", "product_category").agg(mean("order_amount").alias("seasonal_avg_order_value")), "seasonal")
     df = ordered.null_safe_join(df, seasonal, ["season", "product_category"], "left")
-    df = ordered.value_ranks(
-        df, ["sales_channel", "order_date"], "order_amount", descending=True, rank="daily_order_rank",
-        limit=limit, source=base,
-    )
-    df = ordered.with_frames(df, ["sales_channel"], order, lambda w: {
-        "rolling_30d_avg_order_value": mean_over("order_amount", w.rowsBetween(-29, 0)),
-    }, reach=29, limit=limit, source=base)
-    df = ordered.row_numbers(
-        df, ["sales_channel", "customer_segment"], order, "customer_segment_order_count", limit, source=base,
-    )
-    # by SKU first: that partitioning also serves the windows by channel and SKU
-    df = ordered.row_numbers(df, ["sku"], order, "product_order_sequence", limit, source=base)
-    df = ordered.with_frames(df, ["sales_channel", "sku"], order, lambda w: {
-        "prev_order_amount": F.lag("order_amount", 1).over(w),
-        "rolling_7d_revenue": F.sum("recognized_revenue").over(w.rowsBetween(-6, 0)),
-    }, reach=6, limit=limit, source=base)
     growth = safe_divide(F.col("order_amount") - F.col("prev_order_amount"), "prev_order_amount") * 100
-    return df.withColumn("order_value_growth_rate", F.round(growth, 2))
+    return df.withColumn("order_value_growth_rate", F.round(growth, 2)).drop(key)

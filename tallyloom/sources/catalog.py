@@ -61,16 +61,30 @@ SOURCES = {
 
 
 def read_source(spark: SparkSession, name: str, folder: str) -> DataFrame:
+    """Declared columns of a file, all text.
+
+    Columns of a file with a header are found by their header text, wherever they stand; further columns
+    are ignored and a missing one is an error.  Several files of one source must have the same header.
+    """
     s = SOURCES[name]
-    return spark.read.csv(f"{folder}/{s.file}", header=s.header, schema=s.schema, quote='"', escape='"')
+    path, how = f"{folder}/{s.file}", {"quote": '"', "escape": '"'}
+    if not s.header:
+        return spark.read.csv(path, schema=s.schema, **how)
+    # reads the first line only: without inference every column is text
+    found = spark.read.csv(path, header=True, enforceSchema=False, **how)
+    missing = [c for c in s.columns if c not in found.columns]
+    if missing:
+        raise ValueError(f"{s.file} has no column {missing}")
+    return found.select(*[F.col(f"`{c}`").alias(c, metadata={"comment": d}) for c, d in s.columns.items()])
 
 
 def skip_rows(df: DataFrame, n: int) -> DataFrame:
-    """Drop the first ``n`` rows by position in the file (title or header lines).
+    """Drop the first ``n`` rows of one file by position (title or header lines).
 
-    Only meaningful for a frame read from one file: there the generated id follows the
-    order of lines, and ids of the first split start at zero.
+    A frame over more than one file is refused: there the generated id does not follow the lines.
     """
+    if len(df.inputFiles()) > 1:
+        raise ValueError("rows can be skipped by position in a single file only")
     return df.withColumn("__line", F.monotonically_increasing_id()).filter(F.col("__line") >= n).drop("__line")
 
 

@@ -48,18 +48,27 @@ def merge_rows(old: DataFrame, new: DataFrame, key: Sequence[str]) -> DataFrame:
     return old.join(new, cond, "left_anti").unionByName(new)
 
 
+def last_versions(df: DataFrame, key: Sequence[str], order: str) -> DataFrame:
+    """One row per key: the one with the largest ``order``."""
+    row = F.struct(*[F.col(f"`{c}`") for c in df.columns])
+    return df.groupBy(*[F.col(k).alias(f"__{k}") for k in key]).agg(F.max(F.struct(F.col(order).alias("o"), row.alias("r"))).alias("v")).select("v.r.*")
+
+
 def upsert_partitions(
-    spark: SparkSession, path: str, new: DataFrame, key: Sequence[str], partition: str,
+    spark: SparkSession, path: str, new: DataFrame, key: Sequence[str], partition: str, order: str,
 ) -> None:
     """Keyed upsert into a Parquet table partitioned by ``partition`` (which ``key`` determines).
 
-    Only the partitions that occur in ``new`` are read and replaced, so the cost follows
-    the size of the change, not of the table.  Running it twice changes nothing.  ``new``
-    is staged first: it is used twice and must not depend on the files being replaced.
+    Of several rows of one key in ``new`` the one with the largest ``order`` wins (NULL is the smallest; of
+    equals the row that sorts last).  Only the partitions that occur in ``new`` are read and
+    replaced, so the cost follows the size of the change, not of the table.  Running it twice changes
+    nothing.  ``new`` is staged first: it is used twice and must not depend on the files being
+    replaced.  The final overwrite replaces folders one after another: if it fails halfway, run the same
+    load again; readers that need all or nothing read a copy.
     """
-    from .staging import stage
+    from .staging import stage, unstage
 
-    new = stage(new, "upsert")
+    new = stage(last_versions(new, key, order), "upsert")
     hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     fs = hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
     merged = new
@@ -70,8 +79,12 @@ def upsert_partitions(
         touched = new.select(partition).distinct()
         # pruned at run time to the partitions present in `touched`
         merged = stage(merge_rows(old.join(touched, partition, "left_semi"), new, key), "upsert")
+    # rebalancing gathers small partitions into one file and spreads a large one over several tasks
     (
-        merged.repartition(F.col(partition))
+        merged.hint("rebalance", partition)
         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
         .partitionBy(partition).parquet(path)
     )
+    unstage(new)
+    if merged is not new:
+        unstage(merged)

@@ -48,7 +48,7 @@ def orders_per_hour(events: DataFrame, table: str, checkpoint: str, trigger: dic
     """
     def save(batch: DataFrame, _: int) -> None:
         rows = batch.withColumn("day", F.to_date("hour").cast("string"))
-        upsert_partitions(batch.sparkSession, table, rows, ["hour"], "day")
+        upsert_partitions(batch.sparkSession, table, rows, ["hour"], "day", "events")
 
     return (
         hourly_counts(events).writeStream.outputMode("update").foreachBatch(save)

@@ -48,30 +48,6 @@ def test_rfm_buckets(spark, params):
     assert out.filter("u = 10").first().rfm_segment in ("Champions", "Potential Loyalists")
 
 
-def test_similarity_matches_brute_force(spark):
-    rng = np.random.default_rng(1)
-    data = [(int(u), int(i), float(rng.integers(1, 6))) for u in range(30) for i in rng.choice(20, 8, replace=False)]
-    data += [(u, 99, 3.0) for u in range(30)] + [(77, 1, 2.0), (77, 2, 2.0), (77, 3, 2.0)]
-    df = spark.createDataFrame(data, "u int, i int, r double")
-    table = defaultdict(dict)
-    for u, i, r in data:
-        table[u][i] = r
-    want = {}
-    for a in table:
-        for b in table:
-            common = sorted(set(table[a]) & set(table[b]))
-            if a != b and len(common) >= 3:
-                x, y = [table[a][i] for i in common], [table[b][i] for i in common]
-                flat = np.std(x) == 0 or np.std(y) == 0
-                want[a, b] = (len(common), None if flat else float(np.corrcoef(x, y)[0, 1]))
-    for users_per_block, rows_per_block in ((1000, 1000), (7, 1000), (7, 5)):
-        out = recommend.user_similarity(df, "u", "i", "r", users_per_block, rows_per_block)
-        got = {(r.user1, r.user2): (r.common_items, r.similarity_score) for r in out.collect()}
-        assert got.keys() == want.keys()
-        for k, (n, s) in want.items():
-            assert got[k][0] == n and got[k][1] == (None if s is None else pytest.approx(s))
-
-
 def test_recommendation_features(spark):
     df = spark.createDataFrame([(1, "a", 5), (1, "a", 3), (1, "b", 4), (2, "a", 1)], "u int, i string, r int")
     out = recommend.recommendation_features(df, "u", "i", "r")

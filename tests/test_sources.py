@@ -119,11 +119,11 @@ def test_sinks(spark, tmp_path):
     old = spark.createDataFrame([(1, "a", "x"), (2, "b", "y")], "id int, v string, p string")
     new = spark.createDataFrame([(2, "B", "y"), (3, "c", "z")], "id int, v string, p string")
     for batch in (old, new, new):  # the second load of the same rows changes nothing
-        sinks.upsert_partitions(spark, path, batch, ["id"], "p")
+        sinks.upsert_partitions(spark, path, batch, ["id"], "p", "v")
         now = rows(spark.read.parquet(path), "id", "v", "p")
     assert now == [(1, "a", "x"), (2, "B", "y"), (3, "c", "z")]
     with pytest.raises(ValueError):
-        sinks.upsert_partitions(spark, path, new.withColumn("more", F.lit(1)), ["id"], "p")
+        sinks.upsert_partitions(spark, path, new.withColumn("more", F.lit(1)), ["id"], "p", "v")
     with pytest.raises(ValueError):
         sinks.check_schema(old, new.withColumn("id", F.col("id").cast("bigint")).schema)
     sinks.write_table(old, str(tmp_path / "full"))
@@ -137,6 +137,22 @@ def test_sinks(spark, tmp_path):
     assert spark.table("sinks_view").count() == 2
 
 
+def test_upsert_keeps_the_last_version(spark, tmp_path):
+    path = str(tmp_path / "v")
+    batch = spark.createDataFrame([(1, 1, "x"), (1, 3, "x"), (1, 2, "x"), (2, None, "y")], "id int, n int, p string")
+    sinks.upsert_partitions(spark, path, batch, ["id"], "p", "n")
+    assert rows(spark.read.parquet(path), "id", "n", "p") == [(1, 3, "x"), (2, None, "y")]
+
+
+def test_headers_decide(spark, tmp_path):
+    (tmp_path / "Sale Report.csv").write_text("index,Stock,SKU Code,Design No.,Category,Size,Color\n0,7,A_S,D,K,S,Red\n")
+    row = catalog.read_source(spark, "stock_report", str(tmp_path)).first()
+    assert (row["SKU Code"], row["Stock"], row["Color"]) == ("A_S", "7", "Red")
+    (tmp_path / "Sale Report.csv").write_text("SKU Code,Stock\nA_S,7\n")
+    with pytest.raises(ValueError, match="Color"):
+        catalog.read_source(spark, "stock_report", str(tmp_path))
+
+
 def test_stage_reads_session_folder(spark):
     df = stage(spark.range(3), "x")
     assert spark.conf.get("spark.checkpoint.dir") in df.inputFiles()[0] and df.count() == 3
