@@ -12,7 +12,7 @@ from tallyloom.sources.staging import stage, unstage  # noqa: F401  (re-exported
 
 # a word is a run of characters other than ASCII white space
 WORD = r"[^\x20\x09-\x0D]+"
-NULL_ID = -(2**63)  # rows without an id share this one, which sorts before all others
+NULL_ID = -(2**63)  # stands for a missing id where ids are joined, and sorts before all others
 
 _UPPER = bytes(range(65, 91))
 LOWER_ASCII = bytes.maketrans(_UPPER, _UPPER.lower())

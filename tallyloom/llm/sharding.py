@@ -14,7 +14,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from .common import id_back, id_key, stage, text_of
+from .common import stage, text_of
 
 # fixed value of the published hash: the multiplier of its generator
 MULTIPLIER = 2862933555777941757
@@ -78,7 +78,7 @@ def assign_shards(docs: DataFrame, shards: int = 16, id_col: str = "doc_id", tex
     """
     text = text_of(text_col)
     rows = docs.select(
-        id_key(id_col).alias(id_col), (F.octet_length(text).cast("long") + 1).alias("size"),
+        F.col(id_col).cast("long").alias(id_col), (F.octet_length(text).cast("long") + 1).alias("size"),
         F.crc32(text.cast("binary")).alias("text_crc32"), F.coalesce(F.col(id_col).cast("long"), F.lit(0)).alias("_key"),
     )
     rows = rows.withColumn("_s", jump_shards("_key", [shards, shards + 1])).select(
@@ -87,8 +87,7 @@ def assign_shards(docs: DataFrame, shards: int = 16, id_col: str = "doc_id", tex
     )
     numbered = number_within(rows, "shard", [id_col, "text_crc32", "size"], "slot")
     return numbered.select(
-        id_back(id_col).alias(id_col), "size", "text_crc32", "law", "shard", F.col("slot").cast("long").alias("slot"),
-        "grown_shard",
+        id_col, "size", "text_crc32", "law", "shard", F.col("slot").cast("long").alias("slot"), "grown_shard",
     )
 
 

@@ -134,6 +134,7 @@ def leaks(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: s
     ``changed`` tells that some slot has another value than in the item.  k and th key the document (``row_keys``).
     """
     bench = items.select(F.col(item_col).cast("long").alias("k"), F.xxhash64("text").alias("th"), text_of("text").alias("text"))
+    bench = bench.dropDuplicates(["k", "th"])
     asked = docs.select(*row_keys(id_col, text_col), text_of(text_col).alias("text"))
     own = stage(_windows(bench, WINDOW, None), "bench").select(
         "fp", F.col("k").alias("item_id"), F.col("th").alias("item_th"), F.col("at").alias("item_at"), F.col("slots").alias("item_slots"),
