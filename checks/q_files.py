@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import functions as F
 
+from tallyloom.plans import raw
 from tallyloom.sources import catalog, sinks
 from tallyloom.sources.staging import new_path
 
 from .q_staging import sql
 from .spec import register
-from .tables import INTERNATIONAL_HEADERS, MARKET_HEADERS, PRICE_HEADERS, STOCK_HEADERS
+from .tables import INTERNATIONAL_HEADERS, MARKET_HEADERS, NOW, PARAMS, PRICE_HEADERS, STOCK_HEADERS
 
 
 def _csv(t, name: str, report):
@@ -75,3 +78,25 @@ def _failures(t):
     }, folder)
     parts = [t.spark.read.parquet(f"{folder}/{n}").select(F.lit(n).alias("check_name"), "o_orderkey") for n in ("no_line", "open")]
     return parts[0].unionByName(parts[1])
+
+
+@register(
+    "raw_audit", "table_name:s key:s ingested_at:s ingestion_run_id:s",
+    sql("""SELECT *, '2001-08-01 00:00:00' AS ingested_at, 'run-7' AS ingestion_run_id FROM (
+             SELECT 'orders' AS table_name, order_id AS key FROM market_raw WHERE order_id IS NOT NULL
+             UNION ALL SELECT 'international', sku FROM international_raw WHERE sku IS NOT NULL
+             UNION ALL SELECT 'stock', sku_code FROM stock_raw WHERE sku_code IS NOT NULL
+             UNION ALL SELECT 'prices', sku FROM prices_raw WHERE sku IS NOT NULL) AS u"""),
+)
+def _audit(t):
+    loads = {
+        "orders": (raw.marketplace_orders(t.market_raw, PARAMS), "order_id"), "international": (t.international, "sku"),
+        "stock": (raw.stock_levels(t.stock_raw), "sku_code"), "prices": (t.catalog, "sku"),
+    }
+    parts = [
+        raw.with_audit(df, NOW, "run-7").select(
+            F.lit(n).alias("table_name"), F.col(key).alias("key"), F.date_format("ingested_at", "yyyy-MM-dd HH:mm:ss").alias("ingested_at"),
+            "ingestion_run_id")
+        for n, (df, key) in loads.items()
+    ]
+    return reduce(lambda a, b: a.unionByName(b), parts)

@@ -402,7 +402,8 @@ def summary(t):
 
 
 def dashboard(t):
-    return partner.partner_dashboard(daily(t), financial(t), PARAMS)
+    lines = t.base_once
+    return partner.partner_dashboard(partner.daily_partner_metrics(lines), finance.financial_performance(lines), PARAMS)
 
 
 DAILY_OUT = """daily_metrics_key:s partner_channel:s order_date:t channel_group:s customer_segment:s daily_orders:i daily_units_sold:i

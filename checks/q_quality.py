@@ -8,11 +8,12 @@ from pyspark.sql import functions as F
 
 from tallyloom import fixed_values as V
 from tallyloom.quality import checks, monitor, profile
+from tallyloom.sources.staging import new_path, stage
 
 from . import sqlgen as q
 from .q_marts import dashboard, mart_sql, summary
 from .q_staging import sql
-from .spec import register
+from .spec import REGISTRY, register
 from .tables import AS_OF, NOW, PARAMS, TODAY
 
 # ---- table-level checks ------------------------------------------------------------
@@ -339,7 +340,7 @@ def _with_costs(t):
     from tallyloom.plans import finance, partner
 
     cost = F.col("revenue") * F.when(F.col("fulfillment_type") == "Merchant", F.lit("1.35").cast("decimal(3,2)")).otherwise(F.lit("0.75").cast("decimal(3,2)"))
-    lines = t.base.withColumn("cost", cost)
+    lines = t.base_once.withColumn("cost", cost)
     return partner.partner_dashboard(partner.daily_partner_metrics(lines), finance.financial_performance(lines, "cost"), PARAMS)
 
 
@@ -387,6 +388,17 @@ register(
     ),
 )(lambda t: monitor.quality_report(_results(t), _anomalies(t)))
 
+@register("monitoring_cycle", "section:s item:s figure:d", REGISTRY["quality_report"].sql)
+def _cycle(t):
+    """A whole cycle; the figures come from the metrics table that it appends to."""
+    folder = new_path(t.spark, "monitor")
+    dash, days = stage(dashboard(t), "dashboard"), stage(summary(t), "summary")
+    tables = {monitor.PARTNER_DASHBOARD: lambda: dash, monitor.FINANCIAL_SUMMARY: lambda: days, "missing": lambda: None, "broken": _broken}
+    monitor.monitoring_cycle(t.spark, tables, folder, NOW, PARAMS)
+    found = t.spark.read.parquet(f"{folder}/quality_metrics")
+    return found.select(F.col("dimension").alias("section"), F.col("metric_name").alias("item"), F.col("metric_value").alias("figure"))
+
+
 register(
     "alert_digest", "section:s table_name:s section_size:i position:i",
     mart_sql(

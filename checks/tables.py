@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tallyloom import Params
 from tallyloom.plans import raw, staging
+from tallyloom.sources.staging import stage
 
 AS_OF = date(2001, 8, 1)
 NOW = datetime(2001, 8, 1)
@@ -258,3 +259,8 @@ class Tables:
     def base(self) -> DataFrame:
         """Partner base over all lines of the three channels."""
         return staging.partner_base(self.lines, PARAMS)
+
+    @cached_property
+    def base_once(self) -> DataFrame:
+        """The partner base staged, for queries that read it more than once."""
+        return stage(self.base, "base")

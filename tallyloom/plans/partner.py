@@ -100,16 +100,25 @@ def partner_dashboard(daily: DataFrame, financial: DataFrame, p: Params) -> Data
     # only recent days contribute here, so the filter can go below the aggregation
     fresh = financial.filter(recent)
     keys = ["partner_channel", "customer_segment"]
-    profit = fresh.groupBy(*keys).agg(
-        F.sum("gross_profit").alias("gross_profit_30d"),
-        F.avg("gross_margin_rate").alias("avg_gross_margin_30d"),
-        F.avg("gross_profit_per_unit").alias("avg_gross_profit_per_unit_30d"),
-        F.avg("performance_score").alias("avg_performance_score_30d"),
+    # per tier first: a few rows per channel and segment give sums, means and the most frequent tier
+    means = {
+        "gross_margin_rate": "avg_gross_margin_30d", "gross_profit_per_unit": "avg_gross_profit_per_unit_30d",
+        "performance_score": "avg_performance_score_30d",
+    }
+    tiers = fresh.groupBy(*keys, "profitability_tier").agg(
+        F.sum("gross_profit").alias("gross_profit"), F.count(F.lit(1)).alias("n"),
+        *[f(F.col(c).cast("double")).alias(f"{f.__name__}_{c}") for c in means for f in (F.sum, F.count)],
         F.count_if(F.col("margin_health_flag") == "red_flag").alias("red_flag_days"),
         F.count_if(F.col("channel_efficiency_flag") == "efficient").alias("efficient_days"),
     )
-    modes = ordered.most_frequent(fresh, keys, "profitability_tier", "dominant_profitability_tier")
-    df = summary.join(profit, keys, "left").join(modes, keys, "left")
+    known = F.when(F.col("profitability_tier").isNotNull(), F.struct(-F.col("n"), "profitability_tier"))
+    profit = tiers.groupBy(*keys).agg(
+        F.sum("gross_profit").alias("gross_profit_30d"),
+        *[F.try_divide(F.sum(f"sum_{c}"), F.sum(f"count_{c}")).alias(out) for c, out in means.items()],
+        F.sum("red_flag_days").alias("red_flag_days"), F.sum("efficient_days").alias("efficient_days"),
+        F.min_by("profitability_tier", known).alias("dominant_profitability_tier"),
+    )
+    df = summary.join(profit, keys, "left")
     zero_filled = (
         "gross_profit_30d", "avg_gross_margin_30d", "avg_gross_profit_per_unit_30d",
         "avg_performance_score_30d", "red_flag_days", "efficient_days",

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import datetime
+
 from pyspark.sql import DataFrame, functions as F
 
 from .. import fixed_values as V
@@ -12,6 +14,11 @@ from ..functions import (
 from ..params import Params
 
 
+def with_audit(df: DataFrame, ingested_at: datetime, run_id: str) -> DataFrame:
+    """A raw table with the time and the run of its load."""
+    return df.withColumns({"ingested_at": F.lit(ingested_at).cast("timestamp"), "ingestion_run_id": F.lit(run_id)})
+
+
 def _rename(df: DataFrame, names: dict[str, str]) -> DataFrame:
     return df.select(*[F.col(f"`{src}`").alias(dst) for src, dst in names.items()])
 
