@@ -158,7 +158,7 @@ register(
     "product_category:s amazon:d international:d merchant_website:d",
     sql(f"""SELECT product_category, {', '.join(f"SUM(CASE WHEN partner_channel = '{c}' THEN revenue ELSE 0 END) AS {c}" for c in V.CHANNELS)}
             FROM lines GROUP BY 1"""),
-)(lambda t: reshape.pivot_table(t.lines, ["product_category"], "partner_channel", "revenue"))
+)(lambda t: reshape.pivot_table(t.lines, ["product_category"], "partner_channel", "revenue", values=V.CHANNELS))
 
 
 register(

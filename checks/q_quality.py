@@ -259,32 +259,45 @@ _CHECKED = {
     monitor.PARTNER_DASHBOARD: ("dashboard", ["dashboard_key"], ["dashboard_key", "revenue_30d", "overall_health_score"], "dashboard_updated_at"),
     monitor.FINANCIAL_SUMMARY: ("summary", ["financial_summary_key"], ["financial_summary_key", "order_date"], "summary_created_at"),
 }
-_RESULT_COLS = "check_name, table_name, column_name, check_type, status, value, threshold, severity"
+_RESULT_COLS = "check_name, table_name, column_name, check_type, status, value, threshold, severity, message"
+
+
+def _severity(low: str, steps: list[tuple[str, str]]) -> str:
+    return "CASE " + " ".join(f"WHEN rate {cond} THEN '{name}'" for cond, name in steps) + f" ELSE '{low}' END"
 
 
 def _monitor_sql() -> str:
+    """Limits, severities and texts are written out here, apart from the operator's own tables."""
     parts = []
 
-    def add(name, table, source, column, kind, rate, threshold, passed, severity, fail="FAIL"):
+    def add(name, table, source, column, kind, rate, threshold, passed, severity, text, figures, part="0", fail="FAIL"):
         parts.append(
             f"SELECT '{name}', '{table}', {q.lit(column)}, '{kind}', CASE WHEN {passed} THEN 'PASS' ELSE '{fail}' END, rate, {threshold}, "
-            f"{q.bands('rate', severity)} FROM (SELECT {rate} AS rate FROM {source}) AS r"
+            f"{severity}, printf('{text}', {figures}) FROM (SELECT {rate} AS rate, {part} AS part, COUNT(*) AS n FROM {source}) AS r"
         )
 
     for table, (source, keys, complete, stamp) in _CHECKED.items():
         for c in complete:
-            add("data_completeness", table, source, c, "COMPLETENESS", f"CAST(COUNT({c}) AS DOUBLE) / COUNT(*)", 0.95, "rate >= 0.95", V.COMPLETENESS_SEVERITY)
-        add("data_freshness", table, source, stamp, "FRESHNESS", "MAX(0.0::DOUBLE)", 24, "rate <= 24", V.FRESHNESS_SEVERITY)
+            add("data_completeness", table, source, c, "COMPLETENESS", f"CAST(COUNT({c}) AS DOUBLE) / COUNT(*)", 0.95, "rate >= 0.95",
+                _severity("LOW", [("< 0.8", "HIGH"), ("< 0.95", "MEDIUM")]), "Completeness rate: %.2f%% (%d/%d)", "rate * 100, part, n", f"COUNT({c})")
+        add("data_freshness", table, source, stamp, "FRESHNESS", "MAX(0.0::DOUBLE)", 24, "rate <= 24",
+            _severity("LOW", [("> 48", "CRITICAL"), ("> 24", "HIGH")]), "Data is %.1f hours old", "rate")
         for c in keys:
-            add("data_uniqueness", table, source, c, "UNIQUENESS", f"CAST(COUNT(DISTINCT {c}) AS DOUBLE) / COUNT(*)", 1.0, "rate = 1", V.UNIQUENESS_SEVERITY)
+            add("data_uniqueness", table, source, c, "UNIQUENESS", f"CAST(COUNT(DISTINCT {c}) AS DOUBLE) / COUNT(*)", 1.0, "rate = 1",
+                _severity("MEDIUM", [("< 0.9", "HIGH")]), "Uniqueness rate: %.2f%% (%d/%d)", "rate * 100, part, n", f"COUNT(DISTINCT {c})")
         if source == "dashboard":
-            for name, c, bad in (("revenue_validity", "revenue_30d", "revenue_30d < 0"), ("health_score_validity", "overall_health_score", "overall_health_score NOT BETWEEN 0 AND 100")):
-                add(name, table, source, c, "VALIDITY", f"CAST(COUNT(*) - COUNT_IF({bad}) AS DOUBLE) / COUNT(*)", 1.0, "rate = 1", V.VALIDITY_SEVERITY)
+            for name, c, bad, text in (
+                ("revenue_validity", "revenue_30d", "revenue_30d < 0", "Revenue validity: %.2f%% (%d negative values)"),
+                ("health_score_validity", "overall_health_score", "overall_health_score NOT BETWEEN 0 AND 100", "Health score validity: %.2f%% (%d invalid values)"),
+            ):
+                add(name, table, source, c, "VALIDITY", f"CAST(COUNT(*) - COUNT_IF({bad}) AS DOUBLE) / COUNT(*)", 1.0, "rate = 1",
+                    _severity("MEDIUM", [("< 0.95", "HIGH")]), text, "rate * 100, part", f"COUNT_IF({bad})")
+            odd = "COUNT_IF(revenue_30d > 50000 AND overall_health_score < 30)"
             add(
-                "revenue_health_consistency", table, source, None, "BUSINESS_RULE",
-                "CAST(COUNT(*) - COUNT_IF(revenue_30d > 50000 AND overall_health_score < 30) AS DOUBLE) / COUNT(*)", 0.95, "rate >= 0.95", V.COMPLIANCE_SEVERITY, "WARN",
+                "revenue_health_consistency", table, source, None, "BUSINESS_RULE", f"CAST(COUNT(*) - {odd} AS DOUBLE) / COUNT(*)", 0.95, "rate >= 0.95",
+                _severity("LOW", [("< 0.9", "MEDIUM")]), "Revenue-health consistency: %.2f%% (%d anomalous)", "rate * 100, part", odd, "WARN",
             )
-    parts.append("SELECT 'table_accessibility', 'broken', NULL, 'SYSTEM', 'FAIL', 0, 1, 'HIGH'")
+    parts.append("SELECT 'table_accessibility', 'broken', NULL, 'SYSTEM', 'FAIL', 0, 1, 'HIGH', 'Table check failed: cannot read'")
     return f"SELECT * FROM ({' UNION ALL '.join(parts)}) AS m({_RESULT_COLS})"
 
 
@@ -302,7 +315,7 @@ def _results(t):
 
 register(
     "monitor_results",
-    "check_name:s table_name:s column_name:s check_type:s status:s value:d threshold:d severity:s",
+    "check_name:s table_name:s column_name:s check_type:s status:s value:d threshold:d severity:s message:s",
     mart_sql(_monitor_sql()),
 )(_results)
 
@@ -400,11 +413,11 @@ def _cycle(t):
 
 
 register(
-    "alert_digest", "section:s table_name:s section_size:i position:i",
+    "alert_digest", "section:s table_name:s section_size:i position:i line:s",
     mart_sql(
-        """SELECT section, table_name, section_size, position FROM (
+        """SELECT section, table_name, section_size, position, line FROM (
                SELECT *, COUNT(*) OVER (PARTITION BY section) AS section_size, ROW_NUMBER() OVER (PARTITION BY section ORDER BY line) AS position
-               FROM (SELECT severity AS section, table_name, table_name || check_name AS line FROM results WHERE severity IN ('CRITICAL', 'HIGH')
+               FROM (SELECT severity AS section, table_name, table_name || ': ' || message AS line FROM results WHERE severity IN ('CRITICAL', 'HIGH')
                      UNION ALL SELECT 'ANOMALY', table_name, printf('%s: %s anomaly (score: %.2f)', table_name, metric_name, score) FROM found) AS l) AS r
            WHERE position <= 5""", **_report_ctes(),
     ),

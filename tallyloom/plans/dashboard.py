@@ -75,7 +75,7 @@ def category_performance(sales: DataFrame) -> DataFrame:
 
 
 def category_channel_pivot(sales: DataFrame) -> DataFrame:
-    return pivot_table(sales, ["product_category"], "sales_channel", "recognized_revenue")
+    return pivot_table(sales, ["product_category"], "sales_channel", "recognized_revenue", values=("AMAZON", "INTERNATIONAL"))
 
 
 def monthly_pattern(sales: DataFrame) -> DataFrame:

@@ -3,10 +3,10 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from datetime import date, datetime
+from datetime import date, datetime, timedelta
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import NumericType, StringType
 
 from .. import fixed_values as V
@@ -128,10 +128,12 @@ def detect_drift(
 ) -> DataFrame:
     """Mean shift in baseline standard deviations per column, and change of volume, between two days.
 
-    Both days are read in one pass; the date filter reaches the scan.
+    Both days are read in one pass; ranges on the column itself, not on its date, reach the scan.
     """
-    day = F.to_date(date_column)
-    is_base, is_now = day == F.lit(baseline), day == F.lit(current)
+    def on(day: date) -> Column:
+        return (F.col(date_column) >= F.lit(day)) & (F.col(date_column) < F.lit(day + timedelta(days=1)))
+
+    is_base, is_now = on(baseline), on(current)
     aggs = [F.count_if(is_base).alias("baseline_count"), F.count_if(is_now).alias("current_count")]
     for c in columns:
         x = F.col(c).cast("double")
