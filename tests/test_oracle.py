@@ -14,7 +14,8 @@ pytestmark = pytest.mark.skipif(not os.path.isdir(SMALL), reason="test tables no
 CHECKED = (
     "agg_daily_sales", "price_catalog", "financial_summary", "partner_optimization", "unified_sales", "customer_analytics",
     "customer_segments", "product_intelligence", "cohort_analysis", "incremental_upsert", "orders_per_hour", "split_windows",
-    "margin_quartiles", "quality_report",
+    "margin_quartiles", "quality_report", "monitor_results", "alert_digest", "csv_orders", "csv_expenses", "upsert_versions", "raw_audit",
+    "isolation_facts", "forest_facts", "kmeans_facts", "test_relationships", "row_hash_changes", "sink_failures",
 )
 
 
