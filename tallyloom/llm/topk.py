@@ -1,10 +1,11 @@
 """Exact top-k search by pivot-table elimination.
 
-Scores are integer inner products.  Distances of every vector to a table of pivots are computed once; by the triangle
-inequality the largest difference to a query's own distances bounds their distance from below, and with the two norms
-the score from above.  Within a block of candidates a query evaluates them in the order of that bound and stops when the
-bound falls under its k-th best score.  Candidates and queries are packed into blocks by hash, every query block
-meets every candidate block once, and the best k of each meeting are merged by rank.
+Scores are integer inner products.  The distances of a vector to the origin and to a table of pivots fix its place in the span
+of the pivots and its distance from that span; the two together bound the distance of two vectors from below (more
+closely than the largest single difference of pivot distances, which eliminates nothing among vectors of many independent
+components), and so their score from above.  Within a block of candidates a query evaluates them in the order of that
+bound and stops when the bound falls under its k-th best score.  Candidates and queries are packed into blocks by hash, every
+query block meets every candidate block once, and the best k of each meeting are merged by rank.
 
 Edge cases: a vector that is NULL or holds a NULL, NaN or infinite component, or has another length than most do,
 takes no part; NULL ids take no part; with fewer than k candidates all are returned; ties go to the smaller id; repeated
@@ -22,11 +23,11 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from .common import stage
 
-PIVOTS = 32
+PIVOTS = 56
 SAMPLE = 2048
 CANDIDATE_BLOCK = 4096
 QUERY_BLOCK = 256
-_STEP = 256
+FIRST, _STEP = 128, 256
 
 
 def grid(embedding: str, scale: int = 64) -> Column:
@@ -37,42 +38,67 @@ def grid(embedding: str, scale: int = 64) -> Column:
 
 
 def choose_pivots(sample: np.ndarray) -> np.ndarray:
-    """Pivots far from each other, greedily, from a bounded sample."""
-    picked = [int(np.argmax((sample**2).sum(axis=1)))]
-    far = ((sample - sample[picked[0]]) ** 2).sum(axis=1)
-    while len(picked) < min(PIVOTS, len(sample)):
-        picked.append(int(np.argmax(far)))
-        far = np.minimum(far, ((sample - sample[picked[-1]]) ** 2).sum(axis=1))
+    """Independent pivots from a bounded sample: each the vector farthest from the span of those before."""
+    rest, picked = sample.copy(), []
+    least = 1e-6 * (sample**2).sum(axis=1).max(initial=0)
+    while len(picked) < min(PIVOTS, *sample.shape):
+        far = (rest**2).sum(axis=1)
+        best = int(np.argmax(far))
+        if far[best] <= least:
+            break
+        picked.append(best)
+        unit = rest[best] / np.sqrt(far[best])
+        rest -= np.outer(rest @ unit, unit)
     return sample[picked]
 
 
 def pivot_distances(x: np.ndarray, pivots: np.ndarray) -> np.ndarray:
-    squares = (x**2).sum(axis=1)[:, None] + (pivots**2).sum(axis=1)[None, :] - 2 * x @ pivots.T
-    return np.sqrt(np.maximum(squares, 0))
+    """Squared distances to the origin and to each pivot: whole numbers for whole vectors."""
+    squares = (x**2).sum(axis=1)
+    to_pivots = squares[:, None] + (pivots**2).sum(axis=1)[None, :] - 2 * x @ pivots.T
+    return np.column_stack((squares, to_pivots))
+
+
+def place(far: np.ndarray, pivots: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Coordinates in the span of the pivots that the distances fix, and the distance from that span."""
+    squares = far[:, :1]
+    products = (squares + (pivots**2).sum(axis=1)[None, :] - far[:, 1:]) / 2
+    if not len(pivots):
+        return np.zeros((len(far), 0)), np.sqrt(squares[:, 0])
+    triangle = np.linalg.qr(pivots.T, mode="r")
+    at = np.linalg.solve(triangle.T, products.T).T
+    return at, np.sqrt(np.maximum(squares[:, 0] - (at**2).sum(axis=1), 0))
+
+
+def best_of(ids: np.ndarray, rows: np.ndarray, scores: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+    top = np.lexsort((ids[rows], -scores))[:k]
+    return rows[top], scores[top]
 
 
 def search_block(
-    q_ids: np.ndarray, q: np.ndarray, q_far: np.ndarray, ids: np.ndarray, x: np.ndarray, far: np.ndarray, k: int
+    q_ids: np.ndarray, q: np.ndarray, ids: np.ndarray, x: np.ndarray, pivots: np.ndarray, k: int
 ) -> list[tuple[int, np.ndarray, np.ndarray]]:
     """For each query the rows of its best k candidates in the block, and their scores."""
-    squares = (x**2).sum(axis=1)
+    (q_at, q_off), (x_at, x_off) = (place(pivot_distances(v, pivots), pivots) for v in (q, x))
+    # |q - x|^2 is at least the squared distance in the span plus (q_off - x_off)^2, so <q, x> is at most this;
+    # the last terms are more than rounding can take away
+    bounds = q_at @ x_at.T + np.outer(q_off, x_off) + 0.5 + 1e-9 * np.outer((q**2).sum(axis=1), np.ones(len(x)))
     found = []
     for i in range(len(q_ids)):
-        gap = np.abs(far - q_far[i]).max(axis=1)
-        # <q, x> = (|q|^2 + |x|^2 - |q - x|^2) / 2; one half more than rounding can take away
-        bound = (float(q[i] @ q[i]) + squares - gap * gap) / 2 + 0.5
-        order = np.argsort(-bound, kind="stable")
-        best = np.empty(0, np.int64)
-        scores = np.empty(0, np.int64)
+        bound = bounds[i]
+        bound[ids == q_ids[i]] = -np.inf  # no row is its own candidate
+        first = np.argpartition(-bound, FIRST)[:FIRST] if len(bound) > FIRST else np.arange(len(bound))
+        first = first[bound[first] > -np.inf]
+        best, scores = best_of(ids, first, (x[first] @ q[i]).astype(np.int64), k)
+        bound[first] = -np.inf
+        rest = np.nonzero(bound >= (scores[-1] if len(best) == k else -1e300))[0]
+        order = rest[np.argsort(-bound[rest], kind="stable")]
         for at in range(0, len(order), _STEP):
             if len(best) == k and bound[order[at]] < scores[-1]:
                 break
             rows = order[at : at + _STEP]
-            rows = rows[ids[rows] != q_ids[i]]
-            best = np.concatenate((best, rows))
-            scores = np.concatenate((scores, (x[rows] @ q[i]).astype(np.int64)))
-            top = np.lexsort((ids[best], -scores))[:k]
-            best, scores = best[top], scores[top]
+            best, scores = best_of(
+                ids, np.concatenate((best, rows)), np.concatenate((scores, (x[rows] @ q[i]).astype(np.int64))), k)
         found.append((i, best, scores))
     return found
 
@@ -89,7 +115,7 @@ def exact_top_k(
     given = given.filter(F.size("x") == width)
     n = widths.n if widths else 0
     drawn = given.orderBy(F.xxhash64("vec_id"), "vec_id").select("x").limit(SAMPLE).collect()
-    pivots = choose_pivots(np.array([r.x for r in drawn], np.float64)) if drawn else np.zeros((1, width))
+    pivots = choose_pivots(np.array([r.x for r in drawn], np.float64)) if drawn else np.zeros((0, width))
     q_blocks, x_blocks = (max(1, math.ceil(n / size)) for size in (QUERY_BLOCK * 20, CANDIDATE_BLOCK))
 
     def packed(rows: DataFrame, blocks: int, block: str) -> DataFrame:
@@ -111,7 +137,7 @@ def exact_top_k(
             for i in range(b.num_rows):
                 q_ids, q = unpack(b.column("q_rows").slice(i, 1))
                 ids, x = unpack(b.column("c_rows").slice(i, 1))
-                found = search_block(q_ids, q, pivot_distances(q, pivots), ids, x, pivot_distances(x, pivots), k)
+                found = search_block(q_ids, q, ids, x, pivots, k)
                 lens = [len(rows) for _, rows, _ in found]
                 rows = np.concatenate([r for _, r, _ in found])
                 yield pa.RecordBatch.from_pydict({
