@@ -29,7 +29,7 @@ from .labels import fold, training_texts
 WORDS = re.compile(r"\w+")
 SPACE = 1 << 20
 PREFIXES = (4, 5, 6, 7)
-MOST_LABELLED = 12000
+MOST_LABELLED = 8000
 MOST_FEATURES = 3000
 LEAST_Z = 3.0
 SWAP_WEIGHT, DECAY, STEPS, RATE = 5.0, 2e-4, 400, 0.05
@@ -107,8 +107,9 @@ class SwapModel:
     @staticmethod
     def _choose(rows: list[np.ndarray], y: np.ndarray, always: np.ndarray) -> np.ndarray:
         """Features of largest two-proportion z, and those that always enter; sorted."""
-        one = np.bincount(np.concatenate([r for r, t in zip(rows, y) if t > 0] or [np.empty(0, np.int64)]), minlength=SPACE)
-        zero = np.bincount(np.concatenate([r for r, t in zip(rows, y) if t == 0] or [np.empty(0, np.int64)]), minlength=SPACE)
+        one, zero = np.zeros(SPACE, np.int32), np.zeros(SPACE, np.int32)
+        for r, t in zip(rows, y):  # a row holds a feature once
+            (one if t > 0 else zero)[r] += 1
         n1, n0 = max(int((y > 0).sum()), 1), max(int((y == 0).sum()), 1)
         rate = (one + zero) / (n1 + n0)
         z = (one / n1 - zero / n0) / np.sqrt(rate * (1 - rate) * (1 / n1 + 1 / n0) + 1e-9)
@@ -117,12 +118,9 @@ class SwapModel:
         return np.unique(np.concatenate((best[np.abs(z[best]) >= LEAST_Z], always)))
 
     def _flat(self, rows: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-        lens = np.array([len(r) for r in rows], np.int64)
-        every = np.concatenate(rows) if rows else np.empty(0, np.int64)
-        at = np.repeat(np.arange(len(rows)), lens)
-        col = np.minimum(np.searchsorted(self.chosen, every), len(self.chosen) - 1)
-        ok = self.chosen[col] == every
-        return at[ok], col[ok]
+        found = [np.searchsorted(self.chosen, r[np.isin(r, self.chosen)]) for r in rows]
+        at = np.repeat(np.arange(len(rows)), [len(f) for f in found])
+        return at, np.concatenate(found) if found else np.empty(0, np.int64)
 
 
 def fit_toxicity(
@@ -135,15 +133,16 @@ def fit_toxicity(
             for t in str_texts(b, "text"):
                 words = set(WORDS.findall(t.lower()))
                 other = swapped(words, groups)
-                own.append(made.of(words).astype(np.int32).tobytes())
-                swap.append(None if other is None else made.of(other).astype(np.int32).tobytes())
+                own.append(np.sort(made.of(words)).astype(np.int32).tobytes())
+                swap.append(None if other is None else np.sort(made.of(other)).astype(np.int32).tobytes())
             yield pa.RecordBatch.from_arrays(
                 [b.column("key"), b.column("label"), pa.array(own, pa.binary()), pa.array(swap, pa.binary())], ["key", "label", "own", "swap"])
 
     texts = training_texts(docs, labels, "toxic", folds, left_out, MOST_LABELLED)
     got = texts.mapInArrow(features, "key long, label int, own binary, swap binary").orderBy("key").limit(MOST_LABELLED).collect()
-    rows = [np.sort(np.frombuffer(r.own, np.int32)).astype(np.int64) for r in got]
-    swaps = [None if r.swap is None else np.sort(np.frombuffer(r.swap, np.int32)).astype(np.int64) for r in got]
+    # views of the collected bytes: nothing is copied
+    rows = [np.frombuffer(r.own, np.int32) for r in got]
+    swaps = [None if r.swap is None else np.frombuffer(r.swap, np.int32) for r in got]
     terms = Features().of({t for g in groups for t in g})
     return SwapModel(rows, swaps, np.array([r.label for r in got], np.float64), terms)
 
