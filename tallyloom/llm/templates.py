@@ -40,17 +40,20 @@ UNITS = (
     "week", "weeks", "month", "months", "year", "years", "dollar", "dollars", "euro", "euros", "cent", "cents", "percent", "degrees", "mph",
 )
 _NUMBER = r"\d+(?:[.,]\d+)*"
+_NUMBERS = re.compile(_NUMBER)
 _WORDY = re.compile(rf"{_NUMBER}|[^\W\d_]+")
 _NUM, _NAME, _UNIT = "\x01", "\x02", "\x03"
-# a capital followed by a small letter, after a word and a space or a comma and a space
-_NAMES = re.compile(r"(?<=[\w,] )[^\W\d_a-z][a-zà-ÿ]+")
+_PLAIN_OR_SLOT = re.compile(r"[^\W\d_]+|[\x01\x02]")
+# a word of one capital and small letters, after a word and a space or a comma and a space
+_NAMES = re.compile(r"(?<=[\w,] )[A-ZÀ-ÖØ-ÞΑ-ΩА-Я][a-zß-öø-ÿα-ωа-я]+(?![^\W\d_])")
+_UNIT_SET = frozenset(UNITS)
 
 
 def template(text: str) -> tuple[list[str], list[str]]:
     """Template words and, beside each, the value it stands for ('' for a plain word)."""
+    text = text.replace(_NUM, " ").replace(_NAME, " ")
     words, values = [], []
-    names = {m.start() for m in _NAMES.finditer(text) if m.group()[0].isupper()}
-    units = frozenset(UNITS)
+    names = {m.start() for m in _NAMES.finditer(text)}
     for m in _WORDY.finditer(text):
         raw = m.group()
         if raw[0].isdigit():
@@ -59,7 +62,7 @@ def template(text: str) -> tuple[list[str], list[str]]:
         elif m.start() in names:
             words.append(_NAME)
             values.append(raw.lower())
-        elif words and words[-1] == _NUM and raw.lower() in units:
+        elif words and words[-1] == _NUM and raw.lower() in _UNIT_SET:
             words.append(_UNIT)
             values.append(raw.lower())
         else:
@@ -68,15 +71,24 @@ def template(text: str) -> tuple[list[str], list[str]]:
     return words, values
 
 
+def template_words(text: str) -> list[str]:
+    """The template words alone, by substitutions over the whole text."""
+    text = _NAMES.sub(_NAME, text.replace(_NUM, " ").replace(_NAME, " "))
+    words = _PLAIN_OR_SLOT.findall(_NUMBERS.sub(_NUM, text).lower())
+    if _NUM in words:
+        words = [_UNIT if w in _UNIT_SET and before == _NUM else w for before, w in zip([""] + words, words)]
+    return words
+
+
 def window_hashes(words: list[str], hashes: WordHashes, length: int) -> tuple[np.ndarray, np.ndarray]:
     """Starts of the telling windows of ``length`` template words, and their hashes."""
     n = len(words) - length + 1
     if n < 1:
         return np.empty(0, np.int64), np.empty(0, np.uint64)
-    plain = np.fromiter((w > _UNIT for w in words), np.int64, len(words))
-    so_far = np.concatenate(([0], np.cumsum(plain)))
-    starts = np.nonzero(so_far[length:] - so_far[:-length] >= min(LEAST_LITERALS, length))[0]
     h = hashes.of(words)
+    slots = np.isin(h, hashes.of([_NUM, _NAME, _UNIT]))
+    so_far = np.concatenate(([0], np.cumsum(~slots)))
+    starts = np.nonzero(so_far[length:] - so_far[:-length] >= min(LEAST_LITERALS, length))[0]
     return starts, run_hashes(h, starts, length, 0) + np.uint64(length)
 
 
@@ -93,7 +105,7 @@ def _windows(texts: DataFrame, length: int | None, sieve: tuple[np.ndarray, list
         for b in slices(batches):
             out: list[list] = [[], [], [], [], []]
             for row, text in enumerate(str_texts(b, "text")):
-                words, values = template(text)
+                words, values = template_words(text), None
                 sizes = lengths if lengths is not None else [length if len(words) >= length else max(len(words), 1)]
                 for size in sizes:
                     starts, fps = window_hashes(words, hashes, size)
@@ -102,6 +114,9 @@ def _windows(texts: DataFrame, length: int | None, sieve: tuple[np.ndarray, list
                         starts, fps = starts[near], fps[near]
                         sure = known[np.minimum(np.searchsorted(known, fps), len(known) - 1)] == fps
                         starts, fps = starts[sure], fps[sure]
+                    if not len(starts):
+                        continue
+                    values = template(text)[1] if values is None else values
                     out[0] += fps.view(np.int64).tolist()
                     out[1] += [row] * len(starts)
                     out[2] += starts.tolist()

@@ -190,8 +190,10 @@ def test_bound_order_stops_early():
     centres = rng.normal(0, 60, (8, 16))
     x = np.floor(centres[rng.integers(0, 8, 3000)] + rng.normal(0, 2, (3000, 16)))
     pivots = topk.choose_pivots(x[:500])
-    far = topk.pivot_distances(x, pivots)
-    for i, rows, scores in topk.search_block(np.arange(5), x[:5], far[:5], np.arange(3000), x, far, 10):
+    at, off = topk.place(topk.pivot_distances(x, pivots), pivots)
+    exact = x[:50] @ x.T
+    assert (at[:50] @ at.T + np.outer(off[:50], off) + 0.5 >= exact).all()
+    for i, rows, scores in topk.search_block(np.arange(5), x[:5], np.arange(3000), x, pivots, 10):
         best = sorted((-int(x[i] @ x[j]), j) for j in range(3000) if j != i)[:10]
         assert [(-s, r) for r, s in zip(rows.tolist(), scores.tolist())] == best
 
@@ -228,3 +230,11 @@ def test_template_types():
     words, values = templates.template("In town Anna ran 3.5 miles, then saw Bob. Then 7 dogs")
     assert words == ["in", "town", "\x02", "ran", "\x01", "\x03", "then", "saw", "\x02", "then", "\x01", "dogs"]
     assert [v for v in values if v] == ["anna", "3.5", "miles", "bob", "7"]
+
+
+def test_both_ways_to_template_words_agree():
+    rng = random.Random(6)
+    pieces = ["Anna", "anna", "Élan", "élan", "McDonald", "12", "3.5", "1,000.", "kg", "KG", "5kg", "miles", "is", "IT", ",", ".", "\n", "_x", "\x01", "Bob's", "µm", "ßa", "٣", "word"]
+    for _ in range(3000):
+        text = "".join(rng.choice(pieces) + rng.choice([" ", " ", "", ", "]) for _ in range(rng.randrange(12)))
+        assert templates.template_words(text) == templates.template(text)[0], text
