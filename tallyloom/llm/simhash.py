@@ -22,9 +22,9 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from .common import LOWER_ASCII, byte_texts, free_name, slices, stage, unstage
+from .common import LOWER_ASCII, byte_texts, slices, stage, text_of, unstage
 from .substrings import WordHashes, run_hashes
 
 SAMPLE = 16384
@@ -70,12 +70,12 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 class VantageTree:
     """Binary tree over fingerprints in heap order: a vantage point and a ball radius per node."""
 
-    def __init__(self, sample: np.ndarray, levels: int, radius: int, bits: int = 64):
+    def __init__(self, sample: np.ndarray, levels: int, radius: int):
         rng = np.random.default_rng(SEED)
         inner = 2**levels - 1
         self.levels, self.radius = levels, radius
-        self.points = rng.integers(0, 2**bits, max(inner, 1), dtype=np.uint64)
-        self.balls = np.full(max(inner, 1), (bits - 1) // 2, np.int64)
+        self.points = rng.integers(0, 2**64, max(inner, 1), dtype=np.uint64)
+        self.balls = np.full(max(inner, 1), 31, np.int64)
         members = {0: sample}
         for node in range(inner):
             own = members.pop(node, np.empty(0, np.uint64))
@@ -121,41 +121,27 @@ def local_roots(n: int, a: np.ndarray, b: np.ndarray, roots: np.ndarray | None =
     return label
 
 
-def shard_links(
-    fps: np.ndarray, radius: int, names: np.ndarray | None = None, sketches: np.ndarray | None = None, spread: float = 0
-) -> tuple[np.ndarray, np.ndarray]:
-    """All links among the points of one shard, as (name, smallest name of its local component).
-
-    names default to the fingerprints.  With ``sketches`` (rows of words) a pair links only if they differ in
-    at most ``spread`` bits.
-    """
-    names, first = np.unique(fps if names is None else names, return_index=True)
-    fps, sketches = fps[first], sketches[first] if sketches is not None else None
-    n = len(fps)
+def shard_links(fps: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray]:
+    """All links among the points of one shard, as (point, smallest point of its local component)."""
+    names = np.unique(fps)
+    n = len(names)
     # order by distance to one more vantage point: linked points are at most radius apart in it
-    d = np.bitwise_count(fps ^ fps[0]).astype(np.int64)
+    d = np.bitwise_count(names ^ names[0]).astype(np.int64)
     order = np.argsort(d, kind="stable")
-    p, d, names = fps[order], d[order], names[order]
-    sketches = sketches[order] if sketches is not None else None
+    p, d = names[order], d[order]
     label = np.arange(n)
     for lo in range(0, n, 256):
         hi = min(lo + 256, n)
         end = int(np.searchsorted(d, d[hi - 1] + radius, side="right"))
         a, b = np.nonzero(np.bitwise_count(p[lo:hi, None] ^ p[None, lo:end]) <= radius)
         up = b > a
-        a, b = a[up] + lo, b[up] + lo
-        for at in range(0, len(a), 1 << 18) if sketches is not None else ():
-            i, j = a[at : at + (1 << 18)], b[at : at + (1 << 18)]
-            near = np.bitwise_count(sketches[i] ^ sketches[j]).sum(axis=1, dtype=np.int64) <= spread
-            label = local_roots(n, i[near], j[near], label)
-        if sketches is None:
-            label = local_roots(n, a, b, label)
+        label = local_roots(n, a[up] + lo, b[up] + lo, label)
     # components are labelled by order; name them by their smallest member
-    smallest = np.full(n, np.iinfo(names.dtype).max, names.dtype)
-    np.minimum.at(smallest, label, names)
+    smallest = np.full(n, np.iinfo(p.dtype).max, p.dtype)
+    np.minimum.at(smallest, label, p)
     root = smallest[label]
-    linked = root != names
-    return names[linked], root[linked]
+    linked = root != p
+    return p[linked], root[linked]
 
 
 def _levels(n: int) -> int:
@@ -247,91 +233,155 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 
 
 # ---- groups by similarity of shingle sets -------------------------------------------------------------
-# At a Jaccard similarity of 0.8 two 64-bit fingerprints differ in about ten bits, and no tree prunes at such a radius.
-# So the search runs over TABLES short fingerprints of word pairs, where a near copy is likely to differ in at most one
-# bit in some table, and links found there must also agree in a wide sketch of the longer shingles.
-WIDE = 256
-TABLES, SHORT_BITS, SHORT_RADIUS = 10, 24, 1
-_MIX = np.random.default_rng(SEED).integers(0, 2**63, WIDE // 64, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+# At a Jaccard similarity of 0.8 fingerprints of 64 bits differ in about ten, and no metric tree prunes at such a radius.  So
+# this part leaves the tree: it joins prefixes of the shingle sets under one order of all shingles and compares whole sets.
+#: texts that tell which shingles are common, and how many of those are known; the order never decides what is compared
+RANKED, MOST_COMMON = 4096, 100_000
+#: nodes up to which their sets are picked by a broadcast
+MOST_BROADCAST = 500_000
+_EPS = 1e-9
 
 
-def wide_simhash(h: np.ndarray, shingle: int) -> np.ndarray:
-    """WIDE-bit fingerprint of a sequence of word hashes as 64-bit words; zeros for no words."""
+def shingle_set(h: np.ndarray, shingle: int) -> np.ndarray:
+    """Distinct hashes of the shingles of a sequence of word hashes, ascending; fewer words make one shingle."""
     if not len(h):
-        return np.zeros(WIDE // 64, np.uint64)
+        return np.empty(0, np.uint64)
     length = min(shingle, len(h))
-    hashes = run_hashes(h, np.arange(len(h) - length + 1), length, 0)
-    ones = np.zeros(WIDE, np.int64)
-    for at in range(0, len(hashes), 4096):
-        x = hashes[at : at + 4096, None] * _MIX[None, :]
-        x ^= x >> np.uint64(31)
-        x *= _MIX[0]
-        x ^= x >> np.uint64(29)
-        ones += np.unpackbits(x.view(np.uint8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
-    return np.packbits(ones * 2 > len(hashes), bitorder="little").view("<u8")
+    return np.unique(run_hashes(h, np.arange(len(h) - length + 1), length, 0))
+
 
+def rare_first(kinds: np.ndarray, common: np.ndarray, times: np.ndarray) -> np.ndarray:
+    """The set ordered by how common its shingles are, then by hash."""
+    if not len(common):
+        return kinds
+    at = np.minimum(np.searchsorted(common, kinds), len(common) - 1)
+    return kinds[np.lexsort((kinds, np.where(common[at] == kinds, times[at], 0)))]
 
-def sketch_spread(similarity: float) -> float:
-    """Bits in which the sketches of two texts of this Jaccard similarity differ: the mean and one deviation."""
-    p = math.acos(min(1.0, 2 * similarity / (1 + similarity))) / math.pi
-    return WIDE * p + math.sqrt(WIDE * p * (1 - p))
 
+def _common(texts: DataFrame, shingle: int) -> tuple[np.ndarray, np.ndarray]:
+    """Shingles that lie in several of some RANKED texts, ascending, and in how many."""
 
-def short_prints(pairs: np.ndarray) -> np.ndarray:
-    """TABLES short fingerprints of each wide fingerprint (a row of bytes)."""
-    bits = np.unpackbits(pairs, axis=1, bitorder="little")[:, : TABLES * SHORT_BITS].reshape(-1, TABLES, SHORT_BITS)
-    return (bits.astype(np.uint64) << np.arange(SHORT_BITS, dtype=np.uint64)).sum(axis=2, dtype=np.uint64)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        words = WordHashes()
+        for b in slices(batches):
+            found = [shingle_set(words.of(t.translate(LOWER_ASCII).split()), shingle) for t in byte_texts(b, "text")]
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(found).view(np.int64))], ["s"])
 
+    part = max(1, texts.count() // RANKED)
+    drawn = texts.filter(F.pmod(F.xxhash64("th", "k"), F.lit(part)) == 0).select("text")
+    often = drawn.mapInArrow(run, "s long").groupBy("s").agg(F.count("*").alias("n")).filter("n > 2")
+    rows = sorted((r.s % 2**64, r.n) for r in often.orderBy(F.desc("n"), "s").limit(MOST_COMMON).collect())
+    return np.array([s for s, _ in rows], np.uint64), np.array([n for _, n in rows], np.int64)
 
-def _sketched(docs: DataFrame, text_col: str, shingle: int, columns: tuple[str, str, str]) -> DataFrame:
-    """docs with node (hash of the sketch), sketch, and the wide fingerprint of word pairs, in the named columns."""
+
+def _shingled(texts: DataFrame, shingle: int, similarity: float) -> DataFrame:
+    """(k, th, node, n, prefix, shingles): node is the hash of the set, n its size, shingles the set itself.
+
+    prefix holds so many of its rarest shingles that two sets of the similarity share one of them.
+    """
+    common, times = _common(texts, shingle)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = WordHashes()
         for b in slices(batches):
-            node, sketch, pairs = [], [], []
-            for text in byte_texts(b, text_col):
-                h = words.of(text.translate(LOWER_ASCII).split())
-                sketch.append(wide_simhash(h, shingle).tobytes())
-                pairs.append(wide_simhash(h, 2).tobytes())
-                node.append(xxhash.xxh64_intdigest(sketch[-1]))
-            made = [pa.array(np.array(node, np.uint64).view(np.int64)), pa.array(sketch, pa.binary()), pa.array(pairs, pa.binary())]
-            yield pa.RecordBatch.from_arrays([*b.columns, *made], [*b.schema.names, *columns])
+            node, n, prefix, kinds = [], [], [], []
+            for text in byte_texts(b, "text"):
+                own = shingle_set(words.of(text.translate(LOWER_ASCII).split()), shingle)
+                node.append(xxhash.xxh64_intdigest(own.tobytes()))
+                n.append(len(own))
+                kinds.append(own.tobytes())
+                longest = len(own) - math.ceil(similarity * len(own) - _EPS) + 1 if len(own) else 0
+                prefix.append(rare_first(own, common, times)[:longest].tobytes())
+            yield pa.RecordBatch.from_arrays(
+                [b.column("k"), b.column("th"), pa.array(np.array(node, np.uint64).view(np.int64)), pa.array(n, pa.int32()),
+                 pa.array(prefix, pa.binary()), pa.array(kinds, pa.binary())],
+                ["k", "th", "node", "n", "prefix", "shingles"])
 
-    kinds = (T.LongType(), T.BinaryType(), T.BinaryType())
-    return docs.mapInArrow(run, T.StructType([*docs.schema.fields, *(T.StructField(c, k) for c, k in zip(columns, kinds))]))
+    return texts.select("k", "th", "text").mapInArrow(run, "k long, th long, node long, n int, prefix binary, shingles binary")
 
 
-def similar_links(points: DataFrame, similarity: float) -> DataFrame:
-    """Distinct points (node, sketch, pairs) to links (a, b) of nodes that span every group of similar texts."""
-    levels = _levels(points.count())
-    drawn = points.orderBy("node").select("pairs").limit(SAMPLE // TABLES).collect() if levels else []
-    sample = short_prints(np.array([np.frombuffer(r.pairs, np.uint8) for r in drawn])).ravel() if drawn else np.empty(0, np.uint64)
-    tree = VantageTree(np.unique(sample), levels, SHORT_RADIUS, SHORT_BITS)
-    spread = sketch_spread(similarity)
+def _entries(points: DataFrame) -> DataFrame:
+    """(s, node, n, i): the prefix shingles s of each point and their places i."""
 
-    def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in slices(batches, 1024):
-            pairs = np.frombuffer(b"".join(b.column("pairs").to_pylist()), np.uint8).reshape(b.num_rows, WIDE // 8)
-            prints = short_prints(pairs)
-            for t in range(TABLES):
-                at, shard = tree.route(prints[:, t])
-                take = pa.array(at)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.full(len(at), t, np.int32)), pa.array(shard.astype(np.int32)), b.column("node").take(take),
-                     pa.array(prints[at, t].astype(np.int64)), b.column("sketch").take(take)],
-                    ["tab", "shard", "node", "fp", "sketch"])
-
-    routed = stage(points.mapInArrow(send, "tab int, shard int, node long, fp long, sketch binary"), "vantage")
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in slices(batches):
+            own = [np.frombuffer(x, np.int64) for x in b.column("prefix").to_pylist()]
+            row = pa.array(np.repeat(np.arange(len(own)), [len(x) for x in own]))
+            at = [np.arange(len(x), dtype=np.int32) for x in own]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.concatenate(own)), b.column("node").take(row), b.column("n").take(row), pa.array(np.concatenate(at))],
+                ["s", "node", "n", "i"])
 
-    def links(pdf: pd.DataFrame) -> pd.DataFrame:
-        sketches = np.frombuffer(b"".join(pdf["sketch"]), np.uint64).reshape(len(pdf), WIDE // 64)
-        a, b = shard_links(pdf["fp"].to_numpy().view(np.uint64), SHORT_RADIUS, pdf["node"].to_numpy(), sketches, spread)
-        return pd.DataFrame({"a": a, "b": b})
+    return points.select("node", "n", "prefix").mapInArrow(run, "s long, node long, n int, i int")
 
-    found = stage(_dealt(routed, ["tab", "shard"], "node").groupBy("tab", "shard", "i", "j").applyInPandas(links, "a long, b long").distinct(), "links")
-    unstage(routed)
-    return found
+
+def _verified(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
+    """The pairs (a, b) whose shingle sets are as similar as asked for."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in slices(batches):
+            alike = []
+            for x, y in zip(b.column("x").to_pylist(), b.column("y").to_pylist()):
+                x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
+                both = len(np.intersect1d(x, y, assume_unique=True))
+                alike.append(both >= similarity * (len(x) + len(y) - both) - _EPS)
+            yield b.select(["a", "b"]).filter(pa.array(alike, pa.bool_()))
+
+    pairs = stage(pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "pairs")
+    nodes = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+    asked = F.broadcast(nodes) if 2 * pairs.count() <= MOST_BROADCAST else nodes
+    own = stage(sets.select("node", "shingles").join(asked, "node", "left_semi").groupBy("node").agg(F.first("shingles").alias("own")), "sets")
+    both = pairs.join(own.select(F.col("node").alias("a"), F.col("own").alias("x")), "a")
+    both = both.join(own.select(F.col("node").alias("b"), F.col("own").alias("y")), "b")
+    links = stage(both.select("a", "b", "x", "y").mapInArrow(run, "a long, b long"), "links")
+    for done in (pairs, own):
+        unstage(done)
+    return links
+
+
+def similar_roots(points: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
+    """(node, root) of each node in a component of similar sets, root the smallest node.
+
+    Points are compared that share a prefix shingle at places that still allow the similarity: first neighbours by
+    size, then neighbours in other orders that are not in one component yet, at last all pairs of different components.
+    """
+    share = similarity / (1 + similarity)
+
+    def may(a: str, b: str) -> Column:
+        return F.expr(f"least({a}.n - {a}.i, {b}.n - {b}.i) >= ceil({share!r}D * ({a}.n + {b}.n) - {_EPS!r}D)")
+
+    def open_buckets() -> DataFrame:
+        held = buckets.select("s", "node", "n", "i").join(roots.withColumnRenamed("root", "r"), "node", "left")
+        one = Window.partitionBy("s")
+        held = held.withColumn("r", F.coalesce("r", "node"))
+        ends = held.withColumn("lo", F.min("r").over(one)).withColumn("hi", F.max("r").over(one))
+        return ends.filter("lo <> hi").select("s", F.struct("node", "n", "i", "r").alias("me"))
+
+    def joined(pairs: DataFrame, a: str, b: str) -> DataFrame:
+        new = _verified(pairs.select(F.col(f"{a}.node").alias("a"), F.col(f"{b}.node").alias("b")), sets, similarity)
+        if roots is None:
+            return components(new)
+        return roots if new.isEmpty() else components(roots.toDF("a", "b").unionByName(new))
+
+    place = Window.partitionBy("s").orderBy("n", "node")
+    buckets = _entries(points).withColumn("me", F.struct("node", "n", "i"))
+    buckets = buckets.withColumn("prev", F.lag("me").over(place)).withColumn("next", F.lead("node").over(place))
+    buckets = stage(buckets.filter("prev is not null or next is not null").drop("next"), "buckets")
+    roots = None
+    roots = joined(buckets.filter("prev is not null").filter(may("me", "prev")), "me", "prev")
+
+    mixed = Window.partitionBy("s").orderBy(F.xxhash64("me.node", "s"))
+    near = open_buckets().withColumn("prev", F.lag("me").over(mixed))
+    roots = joined(near.filter("me.r <> prev.r").filter(may("me", "prev")), "me", "prev")
+
+    rest = stage(open_buckets(), "open")
+    pairs = rest.withColumnRenamed("me", "one").join(
+        rest.select(F.col("s").alias("t"), F.col("me").alias("two")),
+        (F.col("s") == F.col("t")) & F.expr("one.node < two.node and one.r <> two.r") & may("one", "two"))
+    roots = joined(pairs, "one", "two")
+    unstage(buckets)
+    unstage(rest)
+    return roots
 
 
 def keep_one(
@@ -339,22 +389,17 @@ def keep_one(
 ) -> DataFrame:
     """The documents with one row left of each group of similar texts: that of the smallest id (NULL last).
 
-    Two texts link when the Jaccard similarity of their word shingles, as estimated by their sketches, is at least
-    ``similarity`` less one deviation of the estimate; groups are connected components.
+    Two texts link when the Jaccard similarity of their sets of word shingles is at least ``similarity``; groups are
+    connected components.  Every such pair is found and every link is decided by the two sets.
     """
-    names = tuple(free_name(docs, c) for c in ("_node", "_sketch", "_pairs"))
-    last = F.lit(2**63 - 1)
-    narrow = docs.select(F.coalesce(F.col(id_col).cast("long"), last).alias("k"), F.col(text_col).alias("text"))
-    prints = _sketched(narrow, "text", shingle, ("node", "sketch", "pairs")).select("k", "node", "sketch", "pairs")
-    points = prints.groupBy("node").agg(F.min("k").alias("k"), F.min("sketch").alias("sketch"), F.min("pairs").alias("pairs"))
+    keys = [F.coalesce(F.col(id_col).cast("long"), F.lit(2**63 - 1)).alias("k"), F.xxhash64(text_of(text_col)).alias("th")]
+    sets = stage(_shingled(docs.select(*keys, text_of(text_col).alias("text")), shingle, similarity), "shingles")
+    points = sets.groupBy("node").agg(F.min(F.struct("k", "th")).alias("head"), F.max("n").alias("n"), F.max("prefix").alias("prefix"))
     points = stage(points, "points")
-    links = similar_links(points.select("node", "sketch", "pairs"), similarity)
-    roots = components(links).withColumnRenamed("node", "_n")
-    unstage(links)
-    placed = points.join(roots, points.node == roots["_n"], "left").select("k", "node", F.coalesce("root", "node").alias("root"))
-    heads = placed.groupBy("root").agg(F.min(F.struct("k", "node")).alias("head"))
-    heads = stage(heads.select("head.k", "head.node"), "heads")
+    roots = similar_roots(points, sets, similarity).withColumnRenamed("node", "_n")
+    unstage(sets)
+    placed = points.join(roots, points.node == roots["_n"], "left").select("head", F.coalesce("root", "node").alias("root"))
+    heads = stage(placed.groupBy("root").agg(F.min("head").alias("head")).select("head.k", "head.th"), "heads")
+    unstage(points)
     whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
-    marked = _sketched(docs, text_col, shingle, names)
-    keyed = marked.select(F.coalesce(F.col(id_col).cast("long"), last).alias("k"), F.col(names[0]).alias("node"), whole.alias("doc"))
-    return keyed.join(heads, ["k", "node"], "left_semi").dropDuplicates(["k", "node"]).select("doc.*")
+    return docs.select(*keys, whole.alias("doc")).join(heads, ["k", "th"], "left_semi").dropDuplicates(["k", "th"]).select("doc.*")

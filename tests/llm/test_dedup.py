@@ -197,3 +197,63 @@ def test_every_row_of_a_repeated_line_is_found(spark):
     df = corpus(spark, [(i, f"start{i} {passage} end{i}") for i in range(200)])
     got = substrings.substring_digest(df).agg(F.sum("n_removed")).first()[0]
     assert got == 199 * 22
+
+
+def brute_heads(data, shingle=5, bar=0.8):
+    """Smallest id of each group of (id, text) linked by the Jaccard similarity of their shingle sets."""
+    sets = {}
+    for i, text in data:
+        w = text.lower().split()
+        sets[i] = {tuple(w[a : a + shingle]) for a in range(max(len(w) - shingle + 1, 1))}
+    root = {i: i for i in sets}
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for a in sets:
+        for b in sets:
+            if a < b and len(sets[a] & sets[b]) >= bar * len(sets[a] | sets[b]):
+                x, y = sorted((find(a), find(b)))
+                root[y] = x
+    return sorted({find(i) for i in sets})
+
+
+def test_keep_one_finds_block_edits(spark):
+    """Tails cut or added and blocks replaced, all just above the bar."""
+    rng = random.Random(31)
+    data = []
+    for i in range(40):
+        words = [f"b{rng.randrange(5000)}" for _ in range(200)]
+        block = [f"c{rng.randrange(5000)}" for _ in range(49)]
+        data += [(i, " ".join(words)), (100 + i, " ".join(words[:161])), (200 + i, " ".join(words + block[:48])),
+                 (300 + i, " ".join(words[:90] + block[:16] + words[106:]))]
+    assert brute_heads(data) == list(range(40))
+    kept = simhash.keep_one(corpus(spark, data)).select("doc_id").collect()
+    assert sorted(r.doc_id for r in kept) == list(range(40))
+
+
+@pytest.mark.parametrize("ranked,broadcast", [(4096, 500_000), (20, 0)])
+def test_keep_one_matches_brute_force(spark, ranked, broadcast, monkeypatch):
+    """Chains of edits and boilerplate on both sides of the bar, groups in which only some pairs link."""
+    monkeypatch.setattr(simhash, "RANKED", ranked)
+    monkeypatch.setattr(simhash, "MOST_BROADCAST", broadcast)
+    rng = random.Random(32)
+    common = [f"m{i}" for i in range(60)]
+    data, i = [], 0
+    for _ in range(12):
+        words = [f"d{rng.randrange(3000)}" for _ in range(rng.randrange(6, 120))]
+        for _ in range(12):
+            data.append((i, " ".join(words)))
+            i += 1
+            words = list(words)
+            for _ in range(rng.randrange(1, 4)):
+                at = rng.randrange(len(words))
+                words[at : at + rng.randrange(0, 3)] = [f"e{rng.randrange(3000)}"]
+    for _ in range(60):
+        data.append((i, " ".join(common + [f"f{rng.randrange(3000)}" for _ in range(rng.randrange(1, 30))])))
+        i += 1
+    want = brute_heads(data)
+    assert len(data) // 5 < len(want) < len(data)
+    assert sorted(r.doc_id for r in simhash.keep_one(corpus(spark, data)).select("doc_id").collect()) == want
