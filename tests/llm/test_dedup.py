@@ -257,3 +257,19 @@ def test_keep_one_matches_brute_force(spark, ranked, broadcast, monkeypatch):
     want = brute_heads(data)
     assert len(data) // 5 < len(want) < len(data)
     assert sorted(r.doc_id for r in simhash.keep_one(corpus(spark, data)).select("doc_id").collect()) == want
+
+
+def test_keep_one_keeps_texts_that_only_share_repeats(spark):
+    """A line repeated 20 times counts once; one dominating shingle, or a similarity of 0.75, links nothing."""
+    rng = random.Random(33)
+    data = []
+    for i in range(20):
+        line = " ".join(f"g{rng.randrange(4000)}" for _ in range(12))
+        own = [" ".join(f"h{rng.randrange(9000)}" for _ in range(60)) for _ in range(2)]
+        data += [(10 * i + n, "\n".join([line] * 20 + [x])) for n, x in enumerate(own)]
+        data += [(10 * i + 2 + n, " ".join(["same"] * 200 + x.split()[:40])) for n, x in enumerate(own)]
+        words = [f"j{rng.randrange(9000)}" for _ in range(200)]
+        data += [(10 * i + 4, " ".join(words)), (10 * i + 5, " ".join(words[:151]))]
+    want = brute_heads(data)
+    assert len(want) == len(data)
+    assert sorted(r.doc_id for r in simhash.keep_one(corpus(spark, data)).select("doc_id").collect()) == want
