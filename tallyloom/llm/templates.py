@@ -2,9 +2,9 @@
 
 Texts become sequences of lower-case words in which numbers, names (capitalised inside a sentence) and units
 (after a number) are typed placeholders.  Windows of ``WINDOW`` template words are hashed and joined with
-those of the benchmark.  Matching windows of a document and an item are lined up by their distance; along one
-line the slots must be consistent: each value of the item stands for one value of the document and the other
-way round.  A document is contaminated by an item if consistent windows cover at least ``COVERED`` of the item's.
+those of the benchmark.  Matching windows of a document and an item are lined up by their distance.  Along one line
+each value of the item, by type, stands for the value that most of its places have in the document (over half; units
+count in singular).  Windows whose values are the item's always count, others only if no slot contradicts that.  A document is contaminated by an item if consistent windows cover at least ``COVERED`` of the item's.
 Equal questions, and questions with other numbers, names or units, are both caught.
 
 Windows with fewer than ``LEAST_LITERALS`` words that are no placeholders say nothing and are left out.  An item
@@ -18,6 +18,7 @@ tables are read.
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -47,6 +48,7 @@ _PLAIN_OR_SLOT = re.compile(r"[^\W\d_]+|[\x01\x02]")
 # a word of one capital and small letters, after a word and a space or a comma and a space
 _NAMES = re.compile(r"(?<=[\w,] )[A-ZÀ-ÖØ-ÞΑ-ΩА-Я][a-zß-öø-ÿα-ωа-я]+(?![^\W\d_])")
 _UNIT_SET = frozenset(UNITS)
+_SINGULAR = {u: u[:-1] for u in UNITS if u[:-1] in UNITS and len(u) > 2} | {"feet": "foot", "inches": "inch", "degrees": "degree"}
 
 
 def template(text: str) -> tuple[list[str], list[str]]:
@@ -93,7 +95,11 @@ def window_hashes(words: list[str], hashes: WordHashes, length: int) -> tuple[np
 
 
 def _windows(texts: DataFrame, length: int | None, sieve: tuple[np.ndarray, list[int]] | None) -> DataFrame:
-    """(fp, k, th, at, n, slots) of windows; of items (``length``) or of documents, sieved to known hashes and lengths."""
+    """(fp, k, th, at, n, slots) of windows; of items (``length``) or of documents, sieved to known hashes and lengths.
+
+    Windows of items also have kinds: type and place in the item of each slot.
+    """
+    of_items = sieve is None
     known, lengths = (sieve[0], sieve[1]) if sieve else (None, None)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -103,7 +109,7 @@ def _windows(texts: DataFrame, length: int | None, sieve: tuple[np.ndarray, list
             gate = np.zeros(1 << 20, bool)
             gate[(known & np.uint64((1 << 20) - 1)).astype(np.int64)] = True
         for b in slices(batches):
-            out: list[list] = [[], [], [], [], []]
+            out: list[list] = [[], [], [], [], [], []]
             for row, text in enumerate(str_texts(b, "text")):
                 words, values = template_words(text), None
                 sizes = lengths if lengths is not None else [length if len(words) >= length else max(len(words), 1)]
@@ -122,14 +128,52 @@ def _windows(texts: DataFrame, length: int | None, sieve: tuple[np.ndarray, list
                     out[2] += starts.tolist()
                     out[3] += [len(words) - size + 1] * len(starts)
                     out[4] += [[v for v in values[s : s + size] if v] for s in starts.tolist()]
+                    if of_items:
+                        out[5] += [[f"{words[i]}{i}" for i in range(s, s + size) if values[i]] for s in starts.tolist()]
             if out[0]:
                 row = pa.array(out[1], pa.int64())
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(out[0], pa.int64()), b.column("k").take(row), b.column("th").take(row), pa.array(out[2], pa.int32()),
-                     pa.array(out[3], pa.int32()), pa.array(out[4], pa.list_(pa.string()))],
-                    ["fp", "k", "th", "at", "n", "slots"])
+                made = [pa.array(out[0], pa.int64()), b.column("k").take(row), b.column("th").take(row), pa.array(out[2], pa.int32()),
+                        pa.array(out[3], pa.int32()), pa.array(out[4], pa.list_(pa.string()))]
+                names = ["fp", "k", "th", "at", "n", "slots"]
+                if of_items:
+                    made, names = [*made, pa.array(out[5], pa.list_(pa.string()))], [*names, "kinds"]
+                yield pa.RecordBatch.from_arrays(made, names)
+
+    return texts.mapInArrow(run, "fp long, k long, th long, at int, n int, slots array<string>" + (", kinds array<string>" if of_items else ""))
+
+
+def consistent(windows: list[dict]) -> list[dict]:
+    """Those windows of one line (kinds, item_slots, slots) that are verbatim or agree with most places of their values."""
+    places: dict[tuple, dict] = {}
+
+    def swaps(w: dict) -> Iterator[tuple]:
+        for kind, old, new in zip(w["kinds"], w["item_slots"], w["slots"]):
+            if kind[0] == _UNIT:
+                old, new = _SINGULAR.get(old, old), _SINGULAR.get(new, new)
+            yield kind, (kind[0], old), new
+
+    for w in windows:
+        for kind, old, new in swaps(w):
+            places.setdefault(old, {})[kind] = new
+    stands = {}
+    for old, found in places.items():
+        new, times = Counter(found.values()).most_common(1)[0]
+        stands[old] = new if 2 * times > len(found) else None
+    return [w for w in windows if w["slots"] == w["item_slots"] or all(stands[old] == new for _, old, new in swaps(w))]
 
-    return texts.mapInArrow(run, "fp long, k long, th long, at int, n int, slots array<string>")
+
+def _judged(lines: DataFrame) -> DataFrame:
+    """(k, th, item_id, item_th, ats, changed) of the consistent windows of each line."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in slices(batches):
+            good = [consistent(w) for w in b.column("wins").to_pylist()]
+            made = [pa.array([[w["item_at"] for w in x] for x in good], pa.list_(pa.int32())),
+                    pa.array([any(w["slots"] != w["item_slots"] for w in x) for x in good], pa.bool_())]
+            yield pa.RecordBatch.from_arrays([*(b.column(c) for c in keys), *made], [*keys, "ats", "changed"])
+
+    keys = ["k", "th", "item_id", "item_th"]
+    return lines.select(*keys, "wins").mapInArrow(run, "k long, th long, item_id long, item_th long, ats array<int>, changed boolean")
 
 
 def _lengths(items: DataFrame) -> list[int]:
@@ -152,7 +196,7 @@ def leaks(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: s
     bench = bench.dropDuplicates(["k", "th"])
     asked = docs.select(*row_keys(id_col, text_col), text_of(text_col).alias("text"))
     own = stage(_windows(bench, WINDOW, None), "bench").select(
-        "fp", F.col("k").alias("item_id"), F.col("th").alias("item_th"), F.col("at").alias("item_at"), F.col("slots").alias("item_slots"),
+        "fp", F.col("k").alias("item_id"), F.col("th").alias("item_th"), F.col("at").alias("item_at"), F.col("slots").alias("item_slots"), "kinds",
     )
     totals = own.groupBy("item_id", "item_th").agg(F.count("*").alias("item_windows"))
     kinds = own.select("fp").distinct()
@@ -165,13 +209,8 @@ def leaks(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: s
     pairs = seen.drop("n").join(own, "fp")
     # item and document slots of a window have the same types, as their templates are equal
     line = pairs.withColumn("line", F.col("at") - F.col("item_at")).groupBy("k", "th", "item_id", "item_th", "line").agg(
-        F.collect_set("item_at").alias("ats"),
-        F.array_distinct(F.flatten(F.collect_set(F.arrays_zip("item_slots", "slots")))).alias("swaps"),
-    )
-    sizes = [F.size("swaps"), *(F.size(F.array_distinct(F.col(f"swaps.{c}"))) for c in ("item_slots", "slots"))]
-    line = line.filter((sizes[0] == sizes[1]) & (sizes[0] == sizes[2]))
-    line = line.withColumn("changed", F.exists("swaps", lambda x: x["item_slots"] != x["slots"]))
-    found = line.groupBy("k", "th", "item_id", "item_th").agg(
+        F.collect_set(F.struct("item_at", "kinds", "item_slots", "slots")).alias("wins"))
+    found = _judged(line).groupBy("k", "th", "item_id", "item_th").agg(
         F.size(F.array_distinct(F.flatten(F.collect_list("ats")))).alias("windows"), F.max("changed").alias("changed"))
     found = found.join(totals, ["item_id", "item_th"]).filter(F.col("windows") >= COVERED * F.col("item_windows"))
     return found.select("k", "th", "item_id", "windows", "item_windows", "changed")

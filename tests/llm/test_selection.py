@@ -238,3 +238,19 @@ def test_both_ways_to_template_words_agree():
     for _ in range(3000):
         text = "".join(rng.choice(pieces) + rng.choice([" ", " ", "", ", "]) for _ in range(rng.randrange(12)))
         assert templates.template_words(text) == templates.template(text)[0], text
+
+
+def found_in(spark, texts, items):
+    """(doc, item, changed) with places in the lists as ids."""
+    benchmark = spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
+    found = templates.contaminated(docs(spark, [(i, t, None, None) for i, t in enumerate(texts)]), benchmark).collect()
+    return {(r.doc_id, r.item_id, r.changed) for r in found}
+
+
+def test_one_contradicting_slot_spoils_only_its_windows(spark):
+    timed = "Stir the thick soup for 2 minutes over a low flame and then let it rest in the covered pot for 3 minutes before you serve it warm"
+    texts = [
+        ITEM.replace("named Alma", "named Boris"), ITEM.replace("12 kg", "3 kg"), timed.replace("2 minutes", "1 minute"),
+        ITEM.replace("named Alma", "named Boris").replace("does Alma", "does Carla"),  # no value in most places
+    ]
+    assert found_in(spark, texts, [ITEM, timed]) == {(0, 0, False), (1, 0, True), (2, 1, True)}
