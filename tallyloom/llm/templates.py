@@ -7,8 +7,9 @@ each value of the item, by type, stands for the value that most of its places ha
 count in singular).  Windows whose values are the item's always count, others only if no slot contradicts that.  A document is contaminated by an item if consistent windows cover at least ``COVERED`` of the item's.
 Equal questions, and questions with other numbers, names or units, are both caught.
 
-Windows with fewer than ``LEAST_LITERALS`` words that are no placeholders say nothing and are left out.  An item
-shorter than a window is one window of its own length; an item with too few literals can't match.
+Windows with fewer than ``LEAST_LITERALS`` words that are no placeholders say little as templates; they are hashed as
+plain words with their values and match exactly.  An item shorter than a window is one window of its own length, down to
+a single word.  An item whose other windows alone are covered by half is found too.
 
 Edge cases: NULL and empty texts have no windows; repeated rows are judged together (a row of the result per
 id, text and item); NULL ids are kept; an empty table or benchmark gives an empty result.  Only the id and text of both
@@ -19,7 +20,7 @@ from __future__ import annotations
 
 import re
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -82,22 +83,33 @@ def template_words(text: str) -> list[str]:
     return words
 
 
-def window_hashes(words: list[str], hashes: WordHashes, length: int) -> tuple[np.ndarray, np.ndarray]:
-    """Starts of the telling windows of ``length`` template words, and their hashes."""
+def plain_words(text: str) -> list[str]:
+    """The words of ``template_words`` with values in place of slots."""
+    return _WORDY.findall(text.replace(_NUM, " ").replace(_NAME, " ").lower())
+
+
+def window_hashes(words: list[str], hashes: WordHashes, length: int, plain: Callable[[], list[str]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Starts of all windows of ``length`` template words, their hashes, and whether these are of the template.
+
+    Windows with few plain words are hashed as the words of ``plain``.
+    """
     n = len(words) - length + 1
     if n < 1:
-        return np.empty(0, np.int64), np.empty(0, np.uint64)
+        return np.empty(0, np.int64), np.empty(0, np.uint64), np.empty(0, bool)
     h = hashes.of(words)
     slots = np.isin(h, hashes.of([_NUM, _NAME, _UNIT]))
     so_far = np.concatenate(([0], np.cumsum(~slots)))
-    starts = np.nonzero(so_far[length:] - so_far[:-length] >= min(LEAST_LITERALS, length))[0]
-    return starts, run_hashes(h, starts, length, 0) + np.uint64(length)
+    starts, telling = np.arange(n), so_far[length:] - so_far[:-length] >= min(LEAST_LITERALS, length)
+    found = run_hashes(h, starts, length, 0)
+    if not telling.all():
+        found[~telling] = run_hashes(hashes.of(plain()), starts[~telling], length, 1)
+    return starts, found + np.uint64(length), telling
 
 
 def _windows(texts: DataFrame, length: int | None, sieve: tuple[np.ndarray, list[int]] | None) -> DataFrame:
     """(fp, k, th, at, n, slots) of windows; of items (``length``) or of documents, sieved to known hashes and lengths.
 
-    Windows of items also have kinds: type and place in the item of each slot.
+    Windows of items also have kinds (type and place in the item of each slot) and telling (hashed as a template).
     """
     of_items = sieve is None
     known, lengths = (sieve[0], sieve[1]) if sieve else (None, None)
@@ -109,12 +121,12 @@ def _windows(texts: DataFrame, length: int | None, sieve: tuple[np.ndarray, list
             gate = np.zeros(1 << 20, bool)
             gate[(known & np.uint64((1 << 20) - 1)).astype(np.int64)] = True
         for b in slices(batches):
-            out: list[list] = [[], [], [], [], [], []]
+            out: list[list] = [[], [], [], [], [], [], []]
             for row, text in enumerate(str_texts(b, "text")):
                 words, values = template_words(text), None
                 sizes = lengths if lengths is not None else [length if len(words) >= length else max(len(words), 1)]
                 for size in sizes:
-                    starts, fps = window_hashes(words, hashes, size)
+                    starts, fps, telling = window_hashes(words, hashes, size, lambda: plain_words(text))
                     if gate is not None and len(fps):
                         near = gate[(fps & np.uint64((1 << 20) - 1)).astype(np.int64)]
                         starts, fps = starts[near], fps[near]
@@ -129,17 +141,18 @@ def _windows(texts: DataFrame, length: int | None, sieve: tuple[np.ndarray, list
                     out[3] += [len(words) - size + 1] * len(starts)
                     out[4] += [[v for v in values[s : s + size] if v] for s in starts.tolist()]
                     if of_items:
-                        out[5] += [[f"{words[i]}{i}" for i in range(s, s + size) if values[i]] for s in starts.tolist()]
+                        out[5] += [[f"{words[i]}{i}" for i, v in enumerate(values[s : s + size], s) if v] for s in starts.tolist()]
+                        out[6] += telling.tolist()
             if out[0]:
                 row = pa.array(out[1], pa.int64())
                 made = [pa.array(out[0], pa.int64()), b.column("k").take(row), b.column("th").take(row), pa.array(out[2], pa.int32()),
                         pa.array(out[3], pa.int32()), pa.array(out[4], pa.list_(pa.string()))]
                 names = ["fp", "k", "th", "at", "n", "slots"]
                 if of_items:
-                    made, names = [*made, pa.array(out[5], pa.list_(pa.string()))], [*names, "kinds"]
+                    made, names = [*made, pa.array(out[5], pa.list_(pa.string())), pa.array(out[6], pa.bool_())], [*names, "kinds", "telling"]
                 yield pa.RecordBatch.from_arrays(made, names)
 
-    return texts.mapInArrow(run, "fp long, k long, th long, at int, n int, slots array<string>" + (", kinds array<string>" if of_items else ""))
+    return texts.mapInArrow(run, "fp long, k long, th long, at int, n int, slots array<string>" + (", kinds array<string>, telling boolean" if of_items else ""))
 
 
 def consistent(windows: list[dict]) -> list[dict]:
@@ -163,17 +176,18 @@ def consistent(windows: list[dict]) -> list[dict]:
 
 
 def _judged(lines: DataFrame) -> DataFrame:
-    """(k, th, item_id, item_th, ats, changed) of the consistent windows of each line."""
+    """(k, th, item_id, item_th, ats, told, changed) of the consistent windows of each line, told those of templates."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in slices(batches):
             good = [consistent(w) for w in b.column("wins").to_pylist()]
             made = [pa.array([[w["item_at"] for w in x] for x in good], pa.list_(pa.int32())),
+                    pa.array([[w["item_at"] for w in x if w["telling"]] for x in good], pa.list_(pa.int32())),
                     pa.array([any(w["slots"] != w["item_slots"] for w in x) for x in good], pa.bool_())]
-            yield pa.RecordBatch.from_arrays([*(b.column(c) for c in keys), *made], [*keys, "ats", "changed"])
+            yield pa.RecordBatch.from_arrays([*(b.column(c) for c in keys), *made], [*keys, "ats", "told", "changed"])
 
     keys = ["k", "th", "item_id", "item_th"]
-    return lines.select(*keys, "wins").mapInArrow(run, "k long, th long, item_id long, item_th long, ats array<int>, changed boolean")
+    return lines.select(*keys, "wins").mapInArrow(run, "k long, th long, item_id long, item_th long, ats array<int>, told array<int>, changed boolean")
 
 
 def _lengths(items: DataFrame) -> list[int]:
@@ -184,7 +198,7 @@ def _lengths(items: DataFrame) -> list[int]:
             yield pa.RecordBatch.from_arrays([pa.array([min(len(template(t)[0]), WINDOW) for t in str_texts(b, "text")], pa.int32())], ["n"])
 
     found = {r.n for r in items.select("text").mapInArrow(run, "n int").distinct().collect()}
-    return sorted(n for n in found if n >= LEAST_LITERALS)
+    return sorted(n for n in found if n)
 
 
 def leaks(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id") -> DataFrame:
@@ -196,9 +210,9 @@ def leaks(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: s
     bench = bench.dropDuplicates(["k", "th"])
     asked = docs.select(*row_keys(id_col, text_col), text_of(text_col).alias("text"))
     own = stage(_windows(bench, WINDOW, None), "bench").select(
-        "fp", F.col("k").alias("item_id"), F.col("th").alias("item_th"), F.col("at").alias("item_at"), F.col("slots").alias("item_slots"), "kinds",
+        "fp", F.col("k").alias("item_id"), F.col("th").alias("item_th"), F.col("at").alias("item_at"), F.col("slots").alias("item_slots"), "kinds", "telling",
     )
-    totals = own.groupBy("item_id", "item_th").agg(F.count("*").alias("item_windows"))
+    totals = own.groupBy("item_id", "item_th").agg(F.count("*").alias("item_windows"), F.count_if("telling").alias("item_told"))
     kinds = own.select("fp").distinct()
     lengths = _lengths(bench)
     known = kinds.limit(MOST_SIEVED + 1).collect()
@@ -209,10 +223,12 @@ def leaks(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: s
     pairs = seen.drop("n").join(own, "fp")
     # item and document slots of a window have the same types, as their templates are equal
     line = pairs.withColumn("line", F.col("at") - F.col("item_at")).groupBy("k", "th", "item_id", "item_th", "line").agg(
-        F.collect_set(F.struct("item_at", "kinds", "item_slots", "slots")).alias("wins"))
+        F.collect_set(F.struct("item_at", "kinds", "telling", "item_slots", "slots")).alias("wins"))
     found = _judged(line).groupBy("k", "th", "item_id", "item_th").agg(
-        F.size(F.array_distinct(F.flatten(F.collect_list("ats")))).alias("windows"), F.max("changed").alias("changed"))
-    found = found.join(totals, ["item_id", "item_th"]).filter(F.col("windows") >= COVERED * F.col("item_windows"))
+        *(F.size(F.array_distinct(F.flatten(F.collect_list(c)))).alias(n) for c, n in (("ats", "windows"), ("told", "told"))),
+        F.max("changed").alias("changed"))
+    half = (F.col("windows") >= COVERED * F.col("item_windows")) | (F.col("item_told") > 0) & (F.col("told") >= COVERED * F.col("item_told"))
+    found = found.join(totals, ["item_id", "item_th"]).filter(half)
     return found.select("k", "th", "item_id", "windows", "item_windows", "changed")
 
 

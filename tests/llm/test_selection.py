@@ -254,3 +254,19 @@ def test_one_contradicting_slot_spoils_only_its_windows(spark):
         ITEM.replace("named Alma", "named Boris").replace("does Alma", "does Carla"),  # no value in most places
     ]
     assert found_in(spark, texts, [ITEM, timed]) == {(0, 0, False), (1, 0, True), (2, 1, True)}
+
+
+@pytest.mark.parametrize("sieved", [1000, 0])
+def test_items_of_few_plain_words_are_found_as_they_are(spark, sieved, monkeypatch):
+    monkeypatch.setattr(templates, "MOST_SIEVED", sieved)
+    items = ["What is 12 + 35 - 7 * 4?", "Who is Alan Turing?", "1 km 1000 m 2 km 2000 m 3 km 3000 m", "Then Alan, Bob", "7 * 8 = ?", None, ""]
+    texts = [f"Here is some text before it. {t} And some more text after it" for t in items[:5]]
+    texts += ["What is 12 + 35 - 7 * 5?", "Who is Ada Lovelace?", "1 km 1000 m 2 km 2000 m 4 km 4000 m 5 km", "Then Alan, Bert", "7 * 9 = ?", "", None]
+    assert found_in(spark, texts, items) == {(i, i, False) for i in range(5)}
+
+
+def test_windows_of_few_plain_words_spoil_no_other_match(spark):
+    """An item mostly of numbers is still found with other numbers by its windows of prose."""
+    table = "The clerk writes down all of these amounts in one long row for the king: "
+    item, other = (table + " ".join(str(n) for n in range(a, a + 40)) for a in (100, 300))
+    assert found_in(spark, [item, other], [item]) == {(0, 0, False), (1, 0, True)}
