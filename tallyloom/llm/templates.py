@@ -206,7 +206,7 @@ def leaks(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: s
 
     ``changed`` tells that some slot has another value than in the item.  k and th key the document (``row_keys``).
     """
-    bench = items.select(F.col(item_col).cast("long").alias("k"), F.xxhash64("text").alias("th"), text_of("text").alias("text"))
+    bench = items.select(id_key(item_col).alias("k"), F.xxhash64("text").alias("th"), text_of("text").alias("text"))
     bench = bench.dropDuplicates(["k", "th"])
     asked = docs.select(*row_keys(id_col, text_col), text_of(text_col).alias("text"))
     own = stage(_windows(bench, WINDOW, None), "bench").select(
@@ -229,7 +229,7 @@ def leaks(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: s
         F.max("changed").alias("changed"))
     half = (F.col("windows") >= COVERED * F.col("item_windows")) | (F.col("item_told") > 0) & (F.col("told") >= COVERED * F.col("item_told"))
     found = found.join(totals, ["item_id", "item_th"]).filter(half)
-    return found.select("k", "th", "item_id", "windows", "item_windows", "changed")
+    return found.select("k", "th", id_back("item_id").alias("item_id"), "windows", "item_windows", "changed")
 
 
 def row_keys(id_col: str = "doc_id", text_col: str = "text") -> list:

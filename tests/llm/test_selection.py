@@ -270,3 +270,10 @@ def test_windows_of_few_plain_words_spoil_no_other_match(spark):
     table = "The clerk writes down all of these amounts in one long row for the king: "
     item, other = (table + " ".join(str(n) for n in range(a, a + 40)) for a in (100, 300))
     assert found_in(spark, [item, other], [item]) == {(0, 0, False), (1, 0, True)}
+
+
+def test_items_without_an_id_are_found(spark):
+    items = spark.createDataFrame([(None, ITEM), (3, "Short item, with five words.")], "item_id long, text string")
+    texts = docs(spark, [(1, ITEM, None, None), (2, "short item with five words", None, None), (4, "nothing of that", None, None)])
+    assert {(r.doc_id, r.item_id) for r in templates.contaminated(texts, items).collect()} == {(1, None), (2, 3)}
+    assert [r.doc_id for r in templates.drop_contaminated(texts, items).collect()] == [4]
