@@ -56,9 +56,12 @@ def _check_exact(df: DataFrame, sums: dict[str, Column]) -> None:
 def running_sums(
     df: DataFrame, keys: Sequence[str], order: Sequence[Column], sums: dict[str, Column],
     lowest: dict[str, str] | None = None, counts: dict[str, Sequence[str]] | None = None,
+    totals: dict[str, str] | None = None,
 ) -> DataFrame:
     """Inclusive running sums per group (``ROWS UNBOUNDED PRECEDING``), and group minima of ``lowest`` columns.
 
+    ``totals`` names whole sums of the group, by the running sum that they end in.
+
     ``counts`` names running counts within subgroups (further key columns) that the same layout serves.
 
     The sums that precede a part come from one row per group and part: a group has at most as many of
@@ -73,7 +76,8 @@ def running_sums(
     before = whole.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
     starts = per_part.select(
         "__k", "__part", *[F.sum(f"__s_{n}").over(before).alias(f"__before_{n}") for n in sums],
-        *[F.min(f"__m_{n}").over(whole).alias(n) for n in lowest])
+        *[F.min(f"__m_{n}").over(whole).alias(n) for n in lowest],
+        *[F.sum(f"__s_{n}").over(whole).alias(out) for out, n in (totals or {}).items()])
     w = Window.partitionBy("__k", "__part").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
     local = laid.withColumns({f"__local_{n}": F.sum(c).over(w) for n, c in sums.items()})
     joined = local.join(starts, ["__k", "__part"])
@@ -87,11 +91,11 @@ def running_sums(
         joined = joined.join(first, ["__k", "__part", "__sub"]).withColumn(out, F.col("__first") + F.col("__at"))
         joined = joined.drop("__sub", "__at", "__first")
     # NULL until the first known value of the group, as in a plain running sum
-    totals = {
+    running = {
         n: F.coalesce(F.col(f"__local_{n}") + F.col(f"__before_{n}"), f"__local_{n}", f"__before_{n}") for n in sums
     }
     helper = [f"__local_{n}" for n in sums] + [f"__before_{n}" for n in sums]
-    return joined.withColumns(totals).drop("__k", "__part", *helper)
+    return joined.withColumns(running).drop("__k", "__part", *helper)
 
 
 def row_numbers(df: DataFrame, keys: Sequence[str], order: Sequence[Column], out: str) -> DataFrame:
