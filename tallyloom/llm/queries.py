@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import lines, mixing, quality, sharding, simhash, substrings, templates, topk, toxicity, urls
+from . import lines, merkle, mixing, quality, ranking, setjoin, sharding, simhash, substrings, templates, topk, toxicity, urls
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -85,3 +85,21 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The 20 best other vectors of every vector whose id is divisible by 20."""
     return topk.exact_top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
+@register("op11_chosen_path")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Size of every document's set of two-word shingles and its group of similar documents."""
+    return setjoin.similar_groups(table(spark, sf_dir, "documents"), shingle=2, percent=80)
+
+
+@register("op12_merkle", merkle.merkle_sql())
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Manifest digest of every document, and its proof after a third of the texts were tampered with."""
+    return merkle.tamper_report(table(spark, sf_dir, "documents"))
+
+
+@register("op13_ranked_search", ranking.RANKED_SQL)
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 50 best documents of every benchmark item."""
+    return ranking.ranked(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
