@@ -30,7 +30,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from .common import LOWER_ASCII, byte_texts, slices, stage, text_of, unstage
 from .simhash import components
@@ -210,17 +210,19 @@ def _placed(points: DataFrame, trees: int, maps: list[np.ndarray]) -> DataFrame:
 
 
 def _whole_nodes(batches: Iterator[pa.RecordBatch], most: int | None) -> Iterator[pa.Table]:
-    """Rows sorted by node as tables that hold whole nodes, or runs of ``most`` rows of one that is longer (column ``run``)."""
+    """Rows sorted by node as tables of whole nodes, or with ``most`` of whole runs of that many rows."""
     left = None
     for b in batches:
         new = pa.Table.from_batches([b])
         left = new if left is None else pa.concat_tables([left, new])
         if left.num_rows < 8192:
             continue
-        node = left.column("node").to_numpy()
-        cut = int(np.searchsorted(node != node[-1], False)) if most is None else left.num_rows // most * most
-        starts = np.nonzero(node != node[-1])[0]
-        cut = (int(starts[-1]) + 1 if len(starts) else 0) if most is None else cut
+        if most:
+            cut = left.num_rows // most * most
+        else:
+            node = left.column("node").to_numpy()
+            others = np.nonzero(node != node[-1])[0]
+            cut = int(others[-1]) + 1 if len(others) else 0
         if cut:
             yield left.slice(0, cut)
             left = left.slice(cut)
@@ -362,7 +364,7 @@ def _crowd_pairs(crowd: DataFrame, percent: int, bits: int) -> DataFrame:
     return met.select(F.least("p", "p_").alias("a"), F.greatest("p", "p_").alias("b")).distinct()
 
 
-def _roots(spark: SparkSession, texts: DataFrame, points: DataFrame, shingle: int, percent: int, trees: int) -> DataFrame:
+def _roots(texts: DataFrame, points: DataFrame, shingle: int, percent: int, trees: int) -> DataFrame:
     """(node, root) of each point in a group of similar sets, root the smallest point."""
     bits = least_agreement(percent)
     maps = _large_nodes(points, trees)
@@ -410,7 +412,7 @@ def similar_groups(
     same = described.filter("n > 0").groupBy("h1", "h2").agg(
         F.min(F.struct("k", "th")).alias("head"), *[F.first(c).alias(c) for c in ("n", "sketch", "chosen")])
     points = stage(same.select(F.monotonically_increasing_id().alias("p"), "h1", "h2", "head.k", "head.th", "n", "sketch", "chosen"), "points")
-    roots = _roots(docs.sparkSession, texts, points, shingle, percent, trees).withColumnRenamed("node", "p")
+    roots = _roots(texts, points, shingle, percent, trees).withColumnRenamed("node", "p")
     named = points.select("p", "h1", "h2", "k").join(roots, "p", "left").withColumn("root", F.coalesce("root", "p"))
     heads = named.groupBy("root").agg(F.min("k").alias("head"))
     named = stage(named.join(heads, "root").select("h1", "h2", "head"), "named")
