@@ -9,8 +9,8 @@ branch again, up to ``DEPTH`` levels.  Similar sets mostly choose a common token
 pair together with probability (1 - (1 - s) ** BRANCHES) ** DEPTH or more; independent trees are repeated to the target recall.
 Which nodes are large is known from counts, sent to the tasks as a bitmap of fixed size (a wrong hit only branches once more).
 
-Comparisons first look at 256-bit sketches of one minwise bit each (threshold from the binomial tail); candidates that
-pass are decided by their whole sets.  Every point first meets its best mate of each node; once those links
+Comparisons first look at sizes and sketches: 512 parities of the set's tokens, whose differing bits never exceed the tokens
+that only one set has, and 128 minwise bits (threshold from the binomial tail).  Candidates that pass are decided by their whole sets.  Every point first meets its best mate of each node; once those links
 have merged groups, only pairs of different groups are compared further, all of them.  Nodes that stay large at the last
 level are cut into bounded runs, then represented by one point per group, and at last the points outside a node's main group are
 compared with the whole node, so a group of copies never forms all its pairs.
@@ -38,13 +38,14 @@ from .substrings import WordHashes, run_hashes
 
 BRANCHES, DEPTH, SMALL = 2, 3, 64
 RECALL, SKETCH_MISS = 0.99999, 1e-7
-#: words of 64 minwise bits in a sketch
-SKETCH_WORDS = 4
+#: words of 64 minwise bits, and words of 64 parities
+SKETCH_WORDS, PARITY_WORDS = 2, 8
 #: bits of the maps of large nodes and of points whose sets are needed
 MAP_BITS, NEEDED_BITS = 2**23, 2**25
 #: points that are compared at a time in a node that stays large, and parts of such a node when it is compared as a whole
 RUN, SALTS = 512, 16
-_SKETCH = [f"s{i}" for i in range(SKETCH_WORDS)]
+_MINWISE, _PARITY = [f"s{i}" for i in range(SKETCH_WORDS)], [f"x{i}" for i in range(PARITY_WORDS)]
+_SKETCH = _MINWISE + _PARITY
 _ROW = "node long, p long, n int, " + ", ".join(f"{s} long" for s in _SKETCH)
 _RNG = np.random.default_rng(11)
 _ODD = _RNG.integers(0, 2**63, 64 * SKETCH_WORDS + 4, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -93,6 +94,13 @@ def sketch_of(tokens: np.ndarray) -> np.ndarray:
     return np.packbits((_mixed(least, 0) >> np.uint64(63)).astype(np.uint8), bitorder="little").view("<u8")
 
 
+def parities_of(tokens: np.ndarray) -> np.ndarray:
+    """Parities of the numbers of tokens that fall on each of 64 * PARITY_WORDS places."""
+    places = (_mixed(tokens, 0) >> np.uint64(32)).astype(np.int64) % (64 * PARITY_WORDS)
+    odd = np.bincount(places, minlength=64 * PARITY_WORDS) & 1
+    return np.packbits(odd.astype(np.uint8), bitorder="little").view("<u8")
+
+
 def chosen_tokens(tokens: np.ndarray, orders: np.ndarray) -> np.ndarray:
     """The BRANCHES smallest tokens under each order; small sets repeat their last one."""
     if len(tokens) > BRANCHES:
@@ -115,7 +123,7 @@ def _described(texts: DataFrame, shingle: int, trees: int) -> DataFrame:
                 own = token_set(words, text, shingle)
                 names.append(xxhash.xxh128_digest(own.tobytes()))
                 n.append(len(own))
-                sketch.append(sketch_of(own).tobytes() if len(own) else None)
+                sketch.append(sketch_of(own).tobytes() + parities_of(own).tobytes() if len(own) else None)
                 chosen.append(chosen_tokens(own, orders).tobytes() if len(own) else None)
             h = np.frombuffer(b"".join(names), np.int64).reshape(-1, 2)
             yield pa.RecordBatch.from_arrays(
@@ -194,7 +202,7 @@ def _placed(points: DataFrame, trees: int, maps: list[np.ndarray]) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in slices(batches, 2048):
-            sketch = np.frombuffer(b"".join(b.column("sketch").to_pylist()), np.int64).reshape(b.num_rows, SKETCH_WORDS)
+            sketch = np.frombuffer(b"".join(b.column("sketch").to_pylist()), np.int64).reshape(b.num_rows, len(_SKETCH))
             for level, row, node, large in _paths(_tokens(b, trees), maps[:-1]):
                 last = level == len(maps) - 1
                 crowd = _in_bitmap(maps[-1], node, MAP_BITS) if last else large
@@ -203,7 +211,7 @@ def _placed(points: DataFrame, trees: int, maps: list[np.ndarray]) -> DataFrame:
                 at = pa.array(row)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(node.view(np.int64)), b.column("p").take(at), b.column("n").take(at),
-                     *[pa.array(sketch[row, i]) for i in range(SKETCH_WORDS)], pa.array(crowd)],
+                     *[pa.array(sketch[row, i]) for i in range(len(_SKETCH))], pa.array(crowd)],
                     ["node", "p", "n", *_SKETCH, "crowd"])
 
     return points.select("p", "n", "sketch", "chosen").mapInArrow(run, f"{_ROW}, crowd boolean")
@@ -231,9 +239,13 @@ def _whole_nodes(batches: Iterator[pa.RecordBatch], most: int | None) -> Iterato
 
 
 def _alike(t: pa.Table, percent: int, bits: int, most: int | None) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-    """Pairs (i, j, equal bits) of rows of one node and run whose sizes and sketches allow the similarity (and whose groups differ)."""
+    """Pairs (i, j, less the unequal parities) of rows of one node and run whose sizes and sketches allow the similarity (and whose groups differ)."""
     node, n = t.column("node").to_numpy(), t.column("n").to_numpy().astype(np.int64)
-    sketch = [t.column(s).to_numpy() for s in _SKETCH]
+    minwise, parity = ([t.column(s).to_numpy().view(np.uint64) for s in names] for names in (_MINWISE, _PARITY))
+
+    def unlike(words: list[np.ndarray], i: np.ndarray, j: np.ndarray) -> np.ndarray:
+        return sum(np.bitwise_count(w[i] ^ w[j]).astype(np.int64) for w in words)
+
     root = t.column("root").to_numpy() if "root" in t.column_names else None
     run = np.arange(len(node)) // most if most else np.zeros(len(node), np.int64)
     near = np.arange(len(node))
@@ -247,11 +259,11 @@ def _alike(t: pa.Table, percent: int, bits: int, most: int | None) -> Iterator[t
         if root is not None:
             ok &= root[near] != root[far]
         i, j = near[ok], far[ok]
-        same = np.full(len(i), 64 * SKETCH_WORDS)
-        for s in sketch:
-            same -= np.bitwise_count(s[i].view(np.uint64) ^ s[j].view(np.uint64))
-        good = same >= bits
-        yield i[good], j[good], same[good]
+        apart = unlike(parity, i, j)
+        ok = (100 + percent) * apart <= (100 - percent) * (n[i] + n[j])
+        i, j, apart = i[ok], j[ok], apart[ok]
+        good = 64 * SKETCH_WORDS - unlike(minwise, i, j) >= bits
+        yield i[good], j[good], -apart[good]
 
 
 def _mates(rows: DataFrame, percent: int, bits: int, most: int | None) -> DataFrame:
@@ -259,14 +271,15 @@ def _mates(rows: DataFrame, percent: int, bits: int, most: int | None) -> DataFr
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for t in _whole_nodes(batches, most):
-            best = np.full(t.num_rows, -1, np.int64)
+            none = -64 * PARITY_WORDS - 1
+            best = np.full(t.num_rows, none, np.int64)
             mate = np.zeros(t.num_rows, np.int64)
             for i, j, same in _alike(t, percent, bits, most):
                 # in one step every row is the left one of at most one pair, and the right one of at most one
                 for one, other in ((i, j), (j, i)):
                     better = same > best[one]
                     best[one[better]], mate[one[better]] = same[better], other[better]
-            found = np.nonzero(best >= 0)[0]
+            found = np.nonzero(best > none)[0]
             out = t.take(pa.array(found)).append_column("mate", t.column("p").take(pa.array(mate[found])))
             yield from out.select([*columns, "mate"]).combine_chunks().to_batches()
 
@@ -355,11 +368,11 @@ def _crowd_pairs(crowd: DataFrame, percent: int, bits: int) -> DataFrame:
     rows = crowd.withColumn("salt", F.pmod(F.xxhash64("p"), F.lit(SALTS)).cast("int")).join(main, ["node", "salt"])
     rest = rows.filter("root <> main").drop("salt", "main")
     rest = rest.select("*", salts).withColumnsRenamed({c: f"{c}_" for c in ("p", "n", "root", *_SKETCH)})
-    other = " + ".join(f"bit_count({s} ^ {s}_)" for s in _SKETCH)
+    other, odd = (" + ".join(f"bit_count({s} ^ {s}_)" for s in names) for names in (_MINWISE, _PARITY))
     # of two points outside the main group the pair is met twice and kept once
     allowed = F.expr(
         f"root <> root_ and (root = main or p < p_) and 100 * least(n, n_) >= {percent} * greatest(n, n_)"
-        f" and {other} <= {64 * SKETCH_WORDS - bits}")
+        f" and {100 + percent} * ({odd}) <= {100 - percent} * (n + n_) and {other} <= {64 * SKETCH_WORDS - bits}")
     met = rows.join(rest, ["node", "salt"]).filter(allowed)
     return met.select(F.least("p", "p_").alias("a"), F.greatest("p", "p_").alias("b")).distinct()
 
