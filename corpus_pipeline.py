@@ -2,6 +2,9 @@
 
 Each stage takes (spark, docs, sf_dir) and works on all that its predecessor kept; all but the last return the
 columns of documents.  Mixing repeats a document once per epoch in which it is drawn; sharding adds ``shard``.
+
+Edge cases follow the operators': NULL and empty texts are documents without words, and all fingerprints of zero are one
+group; of rows of one id and text one stays; a NULL id sorts last among a group's rows; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -9,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from tallyloom.llm import mixing, quality, sharding, simhash, templates
-from tallyloom.llm.common import stage
+from tallyloom.llm.common import stage, unstage
 
 
 def good_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -18,8 +21,8 @@ def good_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def distinct_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of texts similar in their five-word shingles (operator 3)."""
-    return simhash.keep_one(docs, shingle=5, similarity=0.8)
+    """One document of each group whose fingerprints of three-word shingles link within two bits (operator 3)."""
+    return simhash.keep_one(docs, shingle=3, radius=2)
 
 
 def clean_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -48,6 +51,10 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    before = None
     for name, step in STAGES[:-1]:
         docs = stage(step(spark, docs, sf_dir), name)
+        if before is not None:
+            unstage(before)  # the next stage reads only the table just written
+        before = docs
     return STAGES[-1][1](spark, docs, sf_dir)
