@@ -65,10 +65,9 @@ def rfm(df: DataFrame, customer: str, date: str, revenue: str, p: Params) -> Dat
         F.col("total_revenue").alias("monetary_value"),
         F.datediff(F.lit(p.as_of), "last_purchase").alias("recency_days"),
     )
-    tie = F.col(customer).asc_nulls_last()
     out = ordered.ntile_scores(out, 5, {
-        "recency_score": [F.col("recency_days").desc_nulls_last(), tie],
-        "frequency_score": [F.col("frequency").asc_nulls_last(), tie],
-        "monetary_score": [F.col("monetary_value").asc_nulls_last(), tie],
-    }, [customer, "recency_days", "frequency", "monetary_value"])
+        "recency_score": [ordered.By("recency_days", descending=True), ordered.By(customer)],
+        "frequency_score": ordered.by("frequency", customer),
+        "monetary_score": ordered.by("monetary_value", customer),
+    })
     return out.withColumn("rfm_segment", decide(V.RFM_SEGMENT))

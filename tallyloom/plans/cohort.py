@@ -26,8 +26,9 @@ def cohort_analysis(
     today = F.lit(p.as_of)
 
     used = [*who, "order_date", "revenue", "quantity", "product_category", "order_value_tier", *tie_break]
+    lines = stage(base.select(*dict.fromkeys(used)), "cohort_lines")
     history = ordered.running_sums(
-        base.select(*dict.fromkeys(used)), who, [F.col(c).asc_nulls_last() for c in ("order_date", *tie_break)],
+        lines, who, ordered.by("order_date", *tie_break),
         {"cumulative_revenue": F.col("revenue"), "order_sequence": F.lit(1).cast("bigint")},
         lowest={"first_order_date": "order_date"},
     ).withColumn("cohort_month", F.trunc("first_order_date", "month"))

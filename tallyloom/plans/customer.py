@@ -53,12 +53,12 @@ def customer_analytics(unified: DataFrame, p: Params) -> DataFrame:
     df = df.withColumn(
         "annual_order_frequency", F.when(span > 0, safe_divide("total_orders", span) * 365).otherwise(0.0)
     )
-    ties = [F.col(c).asc_nulls_last() for c in group]
+    ties = ordered.by(*group)
     df = ordered.ntile_scores(df, 5, {
-        "recency_score": [F.col("days_since_last_order").desc_nulls_last(), *ties],
-        "frequency_score": [F.col("total_orders").asc_nulls_last(), *ties],
-        "monetary_score": [F.col("total_revenue").asc_nulls_last(), *ties],
-    }, [*group, "days_since_last_order", "total_orders", "total_revenue"])
+        "recency_score": [ordered.By("days_since_last_order", descending=True), *ties],
+        "frequency_score": [ordered.By("total_orders"), *ties],
+        "monetary_score": [ordered.By("total_revenue"), *ties],
+    })
     silent = F.col("days_since_last_order")
     churn = reduce(
         lambda c, step: c.when(silent > step[0], step[1]), V.CHURN_STEPS[1:],

@@ -61,8 +61,8 @@ _UNIFIED = (
 TIE_BREAK = ("order_item_key", "order_amount", "quantity", "unit_price")
 
 
-def _dated(*more: str):
-    return [F.col(c).asc_nulls_last() for c in ("order_date", *more)]
+def _dated(*more: str) -> list[ordered.By]:
+    return ordered.by("order_date", *more)
 
 
 def union_sales(
@@ -91,6 +91,7 @@ def union_sales(
     })
     number = F.lit(None).cast("string")
     if order_ids:
+        abroad = stage(abroad.select(*[c for c in _UNIFIED if c != "order_id"]), "international")
         abroad = ordered.row_numbers(abroad, [], _dated(*TIE_BREAK), "line_no")
         number = F.concat(F.lit("INTL-"), F.col("line_no").cast("string"))
     abroad = abroad.withColumn("order_id", number)
@@ -100,9 +101,8 @@ def union_sales(
 def unified_sales(orders: DataFrame, international: DataFrame) -> DataFrame:
     """Unified lines with lags, rolling values, sequences and ranks.
 
-    The union is staged once with a row key.  Windows run over narrow rows (key, order and the two amounts); one
-    layout by channel serves the rolling mean and the count per segment, one by SKU the sequence, lag and
-    rolling revenue.  The wide rows meet the results in one join by row key and in small rank tables.
+    The union is staged once with a row key.  Windows and ranks run over narrow rows (row key, order, the columns they read); their
+    results meet each other by row key, and the wide rows meet them once.
     """
     base = ordered.with_row_key(union_sales(orders, international).withColumn("order_cohort", year_month("order_date")), "unified")
     order = _dated(*TIE_BREAK)
@@ -122,18 +122,17 @@ def unified_sales(orders: DataFrame, international: DataFrame) -> DataFrame:
             "rolling_7d_revenue": F.sum("recognized_revenue").over(w.rowsBetween(-6, 0)),
         }, reach=6,
     ).select(key, "prev_order_amount", "rolling_7d_revenue")
-    df = base
-    for found in (by_channel, by_sku, by_channel_sku):
-        df = df.join(found, key)
-
-    df = ordered.value_ranks(
-        df, ["product_category"], "composite_performance_score", descending=True, dense="category_performance_rank", source=base)
-    df = ordered.value_ranks(
-        df, ["sales_channel"], "composite_performance_score", percent="channel_performance_percentile", source=base)
-    df = ordered.value_ranks(
-        df, ["sales_channel", "order_date"], "order_amount", descending=True, rank="daily_order_rank", source=base)
-    seasonal = stage(
-        base.groupBy("season", "product_category").agg(mean("order_amount").alias("seasonal_avg_order_value")), "seasonal")
+
+    score, ranked = "composite_performance_score", base.select(
+        key, "product_category", "sales_channel", "order_date", "composite_performance_score", "order_amount")
+    ranks = ordered.value_ranks(ranked, ["product_category"], score, descending=True, dense="category_performance_rank")
+    ranks = ordered.value_ranks(ranks, ["sales_channel"], score, percent="channel_performance_percentile", source=ranked)
+    ranks = ordered.value_ranks(
+        ranks, ["sales_channel", "order_date"], "order_amount", descending=True, rank="daily_order_rank", source=ranked)
+    ranks = ranks.select(key, "category_performance_rank", "channel_performance_percentile", "daily_order_rank")
+
+    df = base.join(by_channel.join(by_sku, key).join(by_channel_sku, key).join(ranks, key), key)
+    seasonal = base.groupBy("season", "product_category").agg(mean("order_amount").alias("seasonal_avg_order_value"))
     df = ordered.null_safe_join(df, seasonal, ["season", "product_category"], "left")
     growth = safe_divide(F.col("order_amount") - F.col("prev_order_amount"), "prev_order_amount") * 100
     return df.withColumn("order_value_growth_rate", F.round(growth, 2)).drop(key)

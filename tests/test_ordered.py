@@ -21,55 +21,91 @@ def skewed(spark):
     return spark.createDataFrame(data, "k string, o int, id int, v int").repartition(5)
 
 
-@pytest.fixture(autouse=True)
-def many_ranges(spark):
-    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
-    yield
-    spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+@pytest.fixture(params=[20, 500_000])
+def part_rows(request, monkeypatch):
+    """Many small parts, and none."""
+    monkeypatch.setattr(ordered, "PART_ROWS", request.param)
+    return request.param
 
 
 def order():
     return [F.col("o").asc(), F.col("id").asc()]
 
 
+def by():
+    return ordered.by("o", "id")
+
+
 @pytest.mark.parametrize("keys", [["k"], []])
-def test_running_sums_and_row_numbers(skewed, keys):
+def test_running_sums_and_row_numbers(skewed, keys, part_rows):
     upto = Window.partitionBy(*keys).orderBy(*order()).rowsBetween(Window.unboundedPreceding, 0)
-    plain = skewed.withColumns({"s": F.sum("v").over(upto), "c": F.count("*").over(upto), "low": F.min("o").over(Window.partitionBy(*keys))})
-    got = ordered.running_sums(skewed, keys, order(), {"s": F.col("v"), "c": F.lit(1)}, lowest={"low": "o"})
-    assert rows(got, "id", "s", "c", "low") == rows(plain, "id", "s", "c", "low")
-    assert rows(ordered.row_numbers(skewed, keys, order(), "n"), "id", "n") == rows(plain, "id", "c")
+    plain = skewed.withColumns({"s": F.sum("v").over(upto), "c": F.count("*").over(upto), "low": F.min("o").over(Window.partitionBy(*keys)), "all": F.sum("v").over(Window.partitionBy(*keys))})
+    got = ordered.running_sums(skewed, keys, by(), {"s": F.col("v"), "c": F.lit(1)}, lowest={"low": "o"}, totals={"all": "s"})
+    assert rows(got, "id", "s", "c", "low", "all") == rows(plain, "id", "s", "c", "low", "all")
+    assert rows(ordered.row_numbers(skewed, keys, by(), "n"), "id", "n") == rows(plain, "id", "c")
 
 
-def test_counts_of_subgroups_share_the_layout(skewed):
+def test_counts_of_subgroups_share_the_layout(skewed, part_rows):
     plain = skewed.withColumn("n", F.row_number().over(Window.partitionBy("k", "v").orderBy(*order())))
-    got = ordered.running_sums(skewed, ["k"], order(), {"c": F.lit(1)}, counts={"n": ["v"]})
+    got = ordered.running_sums(skewed, ["k"], by(), {"c": F.lit(1)}, counts={"n": ["v"]})
     assert rows(got, "id", "n") == rows(plain, "id", "n")
 
 
 def test_double_sums_are_refused(skewed):
     with pytest.raises(TypeError):
-        ordered.running_sums(skewed, ["k"], order(), {"s": F.col("v").cast("double")})
+        ordered.running_sums(skewed, ["k"], by(), {"s": F.col("v").cast("double")})
 
 
-@pytest.mark.parametrize("block", [7, 40, 1000])
-def test_frames_reach_over_block_borders(skewed, block):
+@pytest.mark.parametrize("reach", [6, 40])
+def test_frames_reach_over_parts(skewed, reach, part_rows):
     def exprs(w):
-        return {"lag5": F.lag("v", 5).over(w), "sum7": F.sum("v").over(w.rowsBetween(-6, 0))}
+        return {"lag": F.lag("v", reach).over(w), "sum": F.sum("v").over(w.rowsBetween(-reach, 0))}
 
     plain = skewed.withColumns(exprs(Window.partitionBy("k").orderBy(*order())))
-    got = ordered.with_frames(skewed, ["k"], order(), exprs, reach=6, block=block)
-    assert rows(got, "id", "lag5", "sum7") == rows(plain, "id", "lag5", "sum7")
-
-
-def test_ntile(skewed):
-    plain = skewed.withColumn("t", F.ntile(7).over(Window.orderBy(*order())))
-    assert rows(ordered.ntiles(skewed, 7, order(), "t"), "id", "t") == rows(plain, "id", "t")
-    both = ordered.ntile_scores(skewed, 7, {"t": order(), "u": [F.col("id").desc()]}, ["o", "id"])
-    assert rows(both, "id", "t") == rows(plain, "id", "t") and both.count() == 400
-
-
-def test_value_ranks(skewed):
+    plain = plain.withColumn("n", F.row_number().over(Window.partitionBy("k", "v").orderBy(*order())))
+    got = ordered.with_frames(skewed, ["k"], by(), exprs, reach=reach, counts={"n": ["v"]})
+    assert set(got.columns) == set(plain.columns)
+    assert rows(got, "id", "lag", "sum", "n") == rows(plain, "id", "lag", "sum", "n")
+
+
+@pytest.mark.parametrize("n", [7, 399])
+def test_ntile(skewed, n, part_rows):
+    down = [F.col("v").desc_nulls_last(), F.col("o").desc_nulls_first(), F.col("id").desc()]
+    plain = skewed.withColumns({"t": F.ntile(n).over(Window.orderBy(*order())), "u": F.ntile(n).over(Window.orderBy(*down))})
+    turned = [ordered.By("v", True), ordered.By("o", True, True), ordered.By("id", True)]
+    got = ordered.ntile_scores(skewed, n, {"t": by(), "u": turned})
+    assert rows(got, "id", "t", "u") == rows(plain, "id", "t", "u")
+    assert ordered.ntile_scores(skewed.limit(0), 5, {"t": by()}).count() == 0
+
+
+def test_code_follows_the_ordering(spark):
+    """The code never falls along the ordering, for every kind of column, direction and place of NULLs."""
+    import datetime as dt
+
+    rng = random.Random(6)
+    texts = ["", "a", "ab", "abc", "abcde", "abcdf", "z", "é", "ÿ", "\u4e2d", "~", "Z", None]
+    data = [(rng.choice([None, dt.date(1960 + i, 1, 1 + i % 3)]) if i % 4 else dt.date(2000, 1, 1), rng.choice(texts),
+             rng.choice([None, float("nan"), -1.5, 0.0, 7e20, float("inf"), -float("inf")]), i) for i in range(60)]
+    df = spark.createDataFrame(data, "d date, s string, x double, i int").withColumn("ts", F.timestamp_seconds(F.col("i") * 1000 - 20000))
+    for columns in (["d", "s", "i"], ["s", "i"], ["x", "i"], ["ts"], ["d", "x", "i"]):
+        for down in (False, True):
+            for first in (False, True):
+                o = ordered.by(*columns, descending=down, nulls_first=first)
+                codes = [r.c for r in df.withColumn("c", ordered._code(df, o)).orderBy(*[b.sort() for b in o]).collect()]
+                assert codes == sorted(codes), (columns, down, first)
+
+
+def test_one_exchange_serves_sums_counts_and_minima(skewed, spark, part_rows):
+    got = ordered.running_sums(
+        skewed, ["k"], by(), {"s": F.col("v")}, lowest={"low": "o"}, totals={"all": "s"}, counts={"n": ["v"]})
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    # sums per part of large groups are a small second branch
+    assert "Exchange hashpartitioning" in plan and "rangepartitioning" not in plan
+    if part_rows == 500_000:
+        assert plan.count("Exchange hashpartitioning") == 1
+
+
+def test_value_ranks(skewed, part_rows):
     w = Window.partitionBy("k").orderBy(F.col("v").desc_nulls_last())
     plain = skewed.withColumns({"r": F.rank().over(w), "d": F.dense_rank().over(w), "p": F.percent_rank().over(w)})
     got = ordered.value_ranks(skewed, ["k"], "v", True, "r", "d", "p")
