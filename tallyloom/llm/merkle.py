@@ -104,7 +104,7 @@ def _proved(tiers: list[DataFrame], above: DataFrame, fan: int, levels: int, car
     return _leaves(_joined_up(tiers[0], above, carried), fan, levels, carried)
 
 
-def _ranked(rows: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
+def _ranked(rows: DataFrame, keys: Sequence[str], order: Sequence[ordered.By]) -> DataFrame:
     """Rows with their rank from 0 (pos) and the number of rows (n) in their group."""
     found = ordered.running_sums(rows, keys, order, {"pos": F.lit(1).cast("bigint")}, totals={"n": "pos"})
     return found.withColumn("pos", F.col("pos") - 1)
@@ -120,18 +120,19 @@ def manifest(
     """
     item = F.struct(F.col(id_col).alias("id"), *[c.alias(name) for name, c in (extras or {}).items()])
     rows = docs.select(F.col(group_col).alias("g"), F.col(id_col).alias("id"), leaf_hash(columns).alias("h"), item.alias("item"))
-    nodes = _ranked(rows, ["g"], [F.col("id").asc_nulls_first(), F.col("h").asc()]).select("g", "n", "pos", "h", "item")
+    rows = stage(rows, "leaves")
+    nodes = _ranked(rows, ["g"], ordered.by("id", "h", nulls_first=True)).select("g", "n", "pos", "h", "item")
     tiers = _rolled(nodes, fan, levels)
 
     tops = tiers[-1].select(F.col("g").alias("item"), "h")
-    heads = _ranked(tops, [], [F.col("item").asc_nulls_first()]).withColumn("g", F.lit(0))
+    heads = _ranked(tops, [], ordered.by("item", nulls_first=True)).withColumn("g", F.lit(0))
     head_tiers = _rolled(heads.select("g", "n", "pos", "h", "item"), fan, levels)
     root = head_tiers[-1].select("g", "block", F.lit(None).cast(_PATH).alias("path"), F.col("h").alias("root"))
     root = root.withColumn("path", F.array().cast(_PATH))
     groups = stage(_proved(head_tiers, root, fan, levels, ["root"]), "groups")
     above = groups.select(F.col("item").alias("g"), F.lit(0).cast("long").alias("block"), "path", F.col("h").alias("subroot"), "root")
-    for tier in head_tiers:
-        unstage(tier)
+    for done in (rows, *head_tiers):
+        unstage(done)
     found = _proved(tiers, above, fan, levels, ["subroot", "root"])
     kept = [F.col(f"item.`{name}`").alias(name) for name in (extras or {})]
     return found.select(F.col("item.id").alias(id_col), F.col("h").alias("leaf"), "subroot", "root", F.col("path").alias("proof"), *kept)

@@ -67,7 +67,7 @@ def _item_terms(items: DataFrame, id_col: str, text_col: str) -> DataFrame:
     texts = items.select(id_key(id_col).alias("q"), text_of(text_col).alias("text"))
     pairs = stage(texts.mapInArrow(run, "q long, term binary").distinct(), "item_terms")
     sizes = pairs.groupBy("q").agg(F.count("*").alias("n"))
-    placed = ordered.running_sums(sizes, [], [F.col("q")], {"upto": F.col("n")})
+    placed = ordered.running_sums(sizes, [], ordered.by("q"), {"upto": F.col("n")})
     placed = placed.select("q", F.expr(f"upto div {BLOCK_TERMS}").alias("block"))
     return stage(pairs.join(placed, "q"), "item_blocks")
 
