@@ -107,8 +107,10 @@ def _code(df: DataFrame, order: Sequence[By]) -> Column:
     return F.coalesce(code, F.lit(-_FAR if first.nulls_first else _FAR))
 
 
-def _large_groups(df: DataFrame, keys: Sequence[str]) -> tuple[list[int], int]:
-    """Hashes of the groups that are cut, and the rows of a part."""
+def _large_groups(df: DataFrame, keys: Sequence[str], at_most: int | None) -> tuple[list[int], int]:
+    """Hashes of the groups that are cut, and the rows of a part; a table known to fit into a part is not looked at."""
+    if at_most is not None and at_most <= PART_ROWS:
+        return [], PART_ROWS
     if keys:
         found = df.agg(F.count("*").alias("n"), F.expr(f"approx_top_k(xxhash64({', '.join(f'`{k}`' for k in keys)}), {LARGEST}, {TRACKED})").alias("top")).first()
     else:
@@ -131,9 +133,9 @@ def _cuts(df: DataFrame, large: list[int], rows: int) -> list[tuple[int, list[fl
     return [(r["__h"], list(r.cuts)) for r in found.collect()]
 
 
-def _parted(df: DataFrame, keys: Sequence[str], order: Sequence[By]) -> tuple[DataFrame, bool]:
+def _parted(df: DataFrame, keys: Sequence[str], order: Sequence[By], at_most: int | None = None) -> tuple[DataFrame, bool]:
     """Rows with ``__k`` and ``__part``, and whether any group has several parts."""
-    large, rows = _large_groups(df, keys)
+    large, rows = _large_groups(df, keys, at_most)
     laid = df.withColumn("__k", _group(keys))
     if not large:
         return laid.withColumn("__part", F.lit(0)), False
@@ -184,16 +186,16 @@ def _with_counts(laid: DataFrame, cut: bool, order: Sequence[By], counts: dict[s
 def running_sums(
     df: DataFrame, keys: Sequence[str], order: Sequence[By], sums: dict[str, Column],
     lowest: dict[str, str] | None = None, counts: dict[str, Sequence[str]] | None = None,
-    totals: dict[str, str] | None = None,
+    totals: dict[str, str] | None = None, at_most: int | None = None,
 ) -> DataFrame:
     """Inclusive running sums per group (``ROWS UNBOUNDED PRECEDING``), and group minima of ``lowest`` columns.
 
     ``totals`` names whole sums of the group, by the running sum that they end in; ``counts`` running counts
-    within subgroups (further key columns).  All share one exchange.
+    within subgroups (further key columns).  All share one exchange.  ``at_most`` is a known bound of the rows, if any.
     """
     _check_exact(df, sums)
     lowest, totals = lowest or {}, totals or {}
-    laid, cut = _parted(df, keys, order)
+    laid, cut = _parted(df, keys, order, at_most)
     part = Window.partitionBy("__k", "__part")
     upto = part.orderBy(*_sorts(order)).rowsBetween(Window.unboundedPreceding, 0)
     found = laid.withColumns({f"__local_{n}": F.sum(c).over(upto) for n, c in sums.items()})
@@ -212,9 +214,9 @@ def running_sums(
     return found.select(*[F.col(f"`{c}`") for c in kept], *[c.alias(n) for n, c in outs.items()])
 
 
-def row_numbers(df: DataFrame, keys: Sequence[str], order: Sequence[By], out: str) -> DataFrame:
+def row_numbers(df: DataFrame, keys: Sequence[str], order: Sequence[By], out: str, at_most: int | None = None) -> DataFrame:
     """1-based position of each row within its group."""
-    return running_sums(df, keys, order, {out: F.lit(1).cast("bigint")})
+    return running_sums(df, keys, order, {out: F.lit(1).cast("bigint")}, at_most=at_most)
 
 
 def _with_copies(laid: DataFrame, order: Sequence[By], reach: int) -> DataFrame:
@@ -238,12 +240,13 @@ def _with_copies(laid: DataFrame, order: Sequence[By], reach: int) -> DataFrame:
 def with_frames(
     df: DataFrame, keys: Sequence[str], order: Sequence[By],
     exprs: Callable[[WindowSpec], dict[str, Column]], reach: int, counts: dict[str, Sequence[str]] | None = None,
+    at_most: int | None = None,
 ) -> DataFrame:
     """Window expressions that look back at most ``reach`` rows (lags, rolling frames), and subgroup counts beside them.
 
     Parts of large groups also get copies of the ``reach`` rows before them, so every frame is complete inside its part.
     """
-    laid, cut = _parted(df, keys, order)
+    laid, cut = _parted(df, keys, order, at_most)
     if cut:
         laid = _with_copies(laid, order, reach)
     found = laid.withColumns(exprs(Window.partitionBy("__k", "__part").orderBy(*_sorts(order))))
@@ -251,9 +254,8 @@ def with_frames(
     return (found.filter("not __copy") if cut else found).drop("__k", "__part", "__copy")
 
 
-def _tile_starts(df: DataFrame, n: int, order: Sequence[By]) -> list[tuple]:
+def _tile_starts(df: DataFrame, total: int, n: int, order: Sequence[By]) -> list[tuple]:
     """The ordering's values of the first row of each tile but the first."""
-    total = df.count()
     q, r = divmod(total, n)
     places = [p for p in (b * q + min(b, r) + 1 for b in range(1, n)) if p <= total]
     if not places:
@@ -289,26 +291,33 @@ def ntile_scores(df: DataFrame, n: int, orders: dict[str, Sequence[By]]) -> Data
     """Several ``NTILE(n)`` columns over the whole table.
 
     A tile is known by the first row of each tile: n - 1 places, found by counts of the leading value and, inside the few values in
-    which a tile starts, by the rest of the ordering.  Rows are compared with those places and never moved.
+    which a tile starts, by the rest of the ordering.  Rows are compared with those places and never moved.  A table that
+    fits into one part is numbered there.
     """
     wide = stage(df, "scored")
-    return wide.withColumns({out: _tile(order, _tile_starts(wide, n, order)) for out, order in orders.items()})
+    total = wide.count()
+    if total <= PART_ROWS:
+        return wide.withColumns({out: F.ntile(n).over(Window.orderBy(*_sorts(order))).cast("bigint") for out, order in orders.items()})
+    return wide.withColumns({out: _tile(order, _tile_starts(wide, total, n, order)) for out, order in orders.items()})
 
 
 def value_ranks(
     df: DataFrame, keys: Sequence[str], value: str, descending: bool = False,
     rank: str | None = None, dense: str | None = None, percent: str | None = None, source: DataFrame | None = None,
+    at_most: int | None = None,
 ) -> DataFrame:
     """RANK / DENSE_RANK / PERCENT_RANK of a value within its group.
 
     Ranks depend on the value alone, so the distinct values are ranked, counted with map-side combining, and the
-    result is joined back.  ``source`` may name a cheaper frame with the same rows to count on.
+    result is joined back.  ``source`` may name a cheaper frame with the same rows to count on, ``at_most`` a bound of its rows.
     """
     source = df if source is None else source
-    hist = stage(source.groupBy(*keys, value).agg(F.count(F.lit(1)).alias("__n")), "counts")
+    hist = source.groupBy(*keys, value).agg(F.count(F.lit(1)).alias("__n"))
+    if at_most is None or at_most > PART_ROWS:
+        hist = stage(hist, "counts")
     hist = running_sums(
         hist, keys, by(value, descending=descending), {"__upto": F.col("__n"), "__dense": F.lit(1).cast("bigint")},
-        totals={"__total": "__upto"})
+        totals={"__total": "__upto"}, at_most=at_most)
     hist = hist.withColumn("__rank", F.col("__upto") - F.col("__n") + 1)
     outs: dict[str, Column] = {}
     if rank:

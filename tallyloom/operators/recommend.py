@@ -25,5 +25,5 @@ def recommendation_features(df: DataFrame, user: str, item: str, rating: str | N
     # by item before by user: the ranking shuffle is the last one
     joined = matrix.join(popularity, item)
     return ordered.value_ranks(
-        joined, [user], "avg_rating", descending=True, rank="user_product_rank", source=matrix,
+        joined, [user], "avg_rating", descending=True, rank="user_product_rank", source=matrix, at_most=matrix.count(),
     )

@@ -30,7 +30,7 @@ def cohort_analysis(
     history = ordered.running_sums(
         lines, who, ordered.by("order_date", *tie_break),
         {"cumulative_revenue": F.col("revenue"), "order_sequence": F.lit(1).cast("bigint")},
-        lowest={"first_order_date": "order_date"},
+        lowest={"first_order_date": "order_date"}, at_most=lines.count(),
     ).withColumn("cohort_month", F.trunc("first_order_date", "month"))
     history = history.filter(F.col("cohort_month") >= months_back(today, p.cohort_months))
     history = stage(history.select(

@@ -92,7 +92,7 @@ def union_sales(
     number = F.lit(None).cast("string")
     if order_ids:
         abroad = stage(abroad.select(*[c for c in _UNIFIED if c != "order_id"]), "international")
-        abroad = ordered.row_numbers(abroad, [], _dated(*TIE_BREAK), "line_no")
+        abroad = ordered.row_numbers(abroad, [], _dated(*TIE_BREAK), "line_no", abroad.count())
         number = F.concat(F.lit("INTL-"), F.col("line_no").cast("string"))
     abroad = abroad.withColumn("order_id", number)
     return market.select(*_UNIFIED).unionByName(abroad.select(*_UNIFIED))
@@ -106,29 +106,29 @@ def unified_sales(orders: DataFrame, international: DataFrame) -> DataFrame:
     """
     base = ordered.with_row_key(union_sales(orders, international).withColumn("order_cohort", year_month("order_date")), "unified")
     order = _dated(*TIE_BREAK)
-    key = ordered.ROW_KEY
+    key, rows = ordered.ROW_KEY, base.count()
     ordering = [key, "order_date", *TIE_BREAK]
 
     by_channel = ordered.with_frames(
         base.select(*ordering, "sales_channel", "customer_segment"), ["sales_channel"], order,
         lambda w: {"rolling_30d_avg_order_value": mean_over("order_amount", w.rowsBetween(-29, 0))}, reach=29,
-        counts={"customer_segment_order_count": ["customer_segment"]},
+        counts={"customer_segment_order_count": ["customer_segment"]}, at_most=rows,
     ).select(key, "rolling_30d_avg_order_value", "customer_segment_order_count")
-    by_sku = ordered.row_numbers(base.select(*ordering, "sku"), ["sku"], order, "product_order_sequence").select(
+    by_sku = ordered.row_numbers(base.select(*ordering, "sku"), ["sku"], order, "product_order_sequence", rows).select(
         key, "product_order_sequence")
     by_channel_sku = ordered.with_frames(
         base.select(*ordering, "sales_channel", "sku", "recognized_revenue"), ["sales_channel", "sku"], order, lambda w: {
             "prev_order_amount": F.lag("order_amount", 1).over(w),
             "rolling_7d_revenue": F.sum("recognized_revenue").over(w.rowsBetween(-6, 0)),
-        }, reach=6,
+        }, reach=6, at_most=rows,
     ).select(key, "prev_order_amount", "rolling_7d_revenue")
 
     score, ranked = "composite_performance_score", base.select(
         key, "product_category", "sales_channel", "order_date", "composite_performance_score", "order_amount")
-    ranks = ordered.value_ranks(ranked, ["product_category"], score, descending=True, dense="category_performance_rank")
-    ranks = ordered.value_ranks(ranks, ["sales_channel"], score, percent="channel_performance_percentile", source=ranked)
+    ranks = ordered.value_ranks(ranked, ["product_category"], score, descending=True, dense="category_performance_rank", at_most=rows)
+    ranks = ordered.value_ranks(ranks, ["sales_channel"], score, percent="channel_performance_percentile", source=ranked, at_most=rows)
     ranks = ordered.value_ranks(
-        ranks, ["sales_channel", "order_date"], "order_amount", descending=True, rank="daily_order_rank", source=ranked)
+        ranks, ["sales_channel", "order_date"], "order_amount", descending=True, rank="daily_order_rank", source=ranked, at_most=rows)
     ranks = ranks.select(key, "category_performance_rank", "channel_performance_percentile", "daily_order_rank")
 
     df = base.join(by_channel.join(by_sku, key).join(by_channel_sku, key).join(ranks, key), key)
