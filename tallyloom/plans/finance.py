@@ -2,12 +2,18 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window, functions as F
+from collections.abc import Sequence
+from datetime import date
+
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from .. import fixed_values as V
 from ..functions import clamp, decide, mean, mean_over, safe_divide, surrogate_key, tier
+from ..operators.ordered import null_safe_join
 from ..params import Params
-from ..sources.sinks import upsert_partitions
+from ..sources.sinks import merge_rows
+from ..sources.staging import stage, unstage
+from ..sources.versions import read_published, upsert_published
 
 
 def financial_performance(base: DataFrame, cost: str | None = None) -> DataFrame:
@@ -43,14 +49,19 @@ def financial_performance(base: DataFrame, cost: str | None = None) -> DataFrame
     })
 
 
-def financial_summary(financial: DataFrame, p: Params) -> DataFrame:
-    """Daily summary per channel, category and segment with averages, growth, risk and priority."""
-    keys = ["order_date", "partner_channel", "product_category", "customer_segment"]
+GROUP = ["partner_channel", "product_category", "customer_segment"]
+DAY_KEYS = ["order_date", *GROUP]
+#: rows of a group that a summary row looks back over, at most
+REACH = 365
+
+
+def daily_finance(financial: DataFrame) -> DataFrame:
+    """One row per day, channel, category and segment, without what depends on other days."""
 
     def count_of(col, label):
         return F.count_if(F.col(col) == label)
 
-    df = financial.groupBy(*keys).agg(
+    df = financial.groupBy(*DAY_KEYS).agg(
         F.sum("total_revenue").alias("daily_revenue"),
         F.sum("total_units_sold").alias("daily_units_sold"),
         F.sum("total_orders").alias("daily_orders"),
@@ -63,23 +74,33 @@ def financial_summary(financial: DataFrame, p: Params) -> DataFrame:
         F.count(F.lit(1)).alias("total_skus"),
     )
 
-    def ratio(n, d):
-        return F.when(F.col(d) > 0, safe_divide(n, d)).otherwise(0.0)
-
-    df = df.withColumns({
-        "daily_gross_margin_rate": ratio("daily_gross_profit", "daily_revenue"),
-        "daily_gross_profit_per_unit": ratio("daily_gross_profit", "daily_units_sold"),
+    return df.withColumns({
+        "daily_gross_margin_rate": _ratio("daily_gross_profit", "daily_revenue"),
+        "daily_gross_profit_per_unit": _ratio("daily_gross_profit", "daily_units_sold"),
     })
+
+
+def _ratio(n: str, d: str) -> Column:
+    return F.when(F.col(d) > 0, safe_divide(n, d)).otherwise(0.0)
+
+
+def financial_summary(financial: DataFrame, p: Params) -> DataFrame:
+    """Daily summary per channel, category and segment with averages, growth, risk and priority."""
+    return with_trends(daily_finance(financial), p)
+
+
+def with_trends(daily: DataFrame, p: Params) -> DataFrame:
+    """Daily rows with averages and growth over at most REACH earlier rows of their group, risk and priority."""
     # at most one row per calendar day in each group
-    by_day = Window.partitionBy("partner_channel", "product_category", "customer_segment").orderBy("order_date")
+    by_day = Window.partitionBy(*GROUP).orderBy("order_date")
     week = by_day.rowsBetween(-6, 0)
-    df = df.withColumns({
+    df = daily.withColumns({
         "revenue_7_day_ma": mean_over("daily_revenue", week),
         "gross_margin_7_day_ma": mean_over("daily_gross_margin_rate", week),
         "prev_day_revenue": F.lag("daily_revenue", 1).over(by_day),
         "prev_day_gross_profit": F.lag("daily_gross_profit", 1).over(by_day),
         "revenue_30_days_ago": F.lag("daily_revenue", 30).over(by_day),
-        "revenue_1_year_ago": F.lag("daily_revenue", 365).over(by_day),
+        "revenue_1_year_ago": F.lag("daily_revenue", REACH).over(by_day),
     })
 
     def growth(now, before):
@@ -95,7 +116,7 @@ def financial_summary(financial: DataFrame, p: Params) -> DataFrame:
         "margin_trend_indicator": decide(V.MARGIN_TREND),
         "performance_classification": tier("daily_avg_performance_score", V.PERFORMANCE_CLASS),
         **{
-            f"{n}_sku_rate": ratio(f"{n}_skus", "total_skus")
+            f"{n}_sku_rate": _ratio(f"{n}_skus", "total_skus")
             for n in ("highly_profitable", "loss_making", "red_flag", "efficient")
         },
         "daily_target_status": tier(
@@ -113,7 +134,7 @@ def financial_summary(financial: DataFrame, p: Params) -> DataFrame:
         + F.when(growing, 25).otherwise(0)
     )
     return df.withColumns({
-        "financial_summary_key": surrogate_key(*keys),
+        "financial_summary_key": surrogate_key(*DAY_KEYS),
         "executive_alert_level": decide(V.EXECUTIVE_ALERT),
         "recommended_action": decide(V.FINANCE_ACTION),
         "priority_score": clamp(priority),
@@ -122,6 +143,54 @@ def financial_summary(financial: DataFrame, p: Params) -> DataFrame:
 
 
 def save_financial_summary(spark: SparkSession, summary: DataFrame, path: str) -> None:
-    """Upsert summary rows by key into the table partitioned by order month; the latest created row of a key wins."""
-    rows = summary.withColumn("order_month", F.date_format("order_date", "yyyy-MM"))
-    upsert_partitions(spark, path, rows, ["financial_summary_key"], "order_month", "summary_created_at")
+    """Upsert summary rows by key into the published table of order months; the latest created row of a key wins."""
+    rows = summary.withColumn("order_month", _month())
+    upsert_published(spark, path, rows, ["financial_summary_key"], "order_month", "summary_created_at")
+
+
+def _month() -> Column:
+    return F.date_format("order_date", "yyyy-MM")
+
+
+def reached_months(stored: DataFrame, changed: DataFrame, reach: int) -> list[str]:
+    """Order months with a row at most ``reach`` rows of its group before or after a changed row.
+
+    Reads the group and month of stored rows only.  Rows that are new lie between the others, so counts of stored rows reach too far
+    rather than too short.
+    """
+    held = stored.select(*GROUP, "order_month").groupBy(*GROUP, "order_month").agg(F.count(F.lit(1)).alias("n"))
+    hit = changed.select(*GROUP, _month().alias("order_month")).distinct()
+    months = held.withColumn("hit", F.lit(False)).unionByName(hit.withColumns({"n": F.lit(0).cast("bigint"), "hit": F.lit(True)}))
+    months = months.groupBy(*GROUP, "order_month").agg(F.sum("n").alias("n"), F.max("hit").alias("hit"))
+    in_order = Window.partitionBy(*GROUP).orderBy("order_month")
+    upto = months.withColumn("upto", F.sum("n").over(in_order.rowsBetween(Window.unboundedPreceding, 0)))
+    ends = upto.withColumns({
+        "next": F.min(F.when(F.col("hit"), F.col("upto") - F.col("n"))).over(in_order.rowsBetween(0, Window.unboundedFollowing)),
+        "last": F.max(F.when(F.col("hit"), F.col("upto"))).over(in_order.rowsBetween(Window.unboundedPreceding, 0)),
+    })
+    near = (F.col("next") - F.col("upto") < reach) | (F.col("upto") - F.col("n") - F.col("last") < reach)
+    return sorted(r[0] for r in ends.filter(near).select("order_month").distinct().collect())
+
+
+def refresh_financial_summary(
+    spark: SparkSession, path: str, lines: DataFrame, changed: Sequence[date], p: Params, cost: str | None = None,
+) -> list[str]:
+    """Bring the published summary up to date after lines of the ``changed`` days arrived or were corrected.
+
+    Only lines of those days are aggregated, and only months are read that the rolling windows of those days reach; of
+    their rows those that look back on a changed row are computed again and upserted.  Returns the
+    months read.  Lines are never deleted whole days at a time: a day without lines keeps its rows.
+    """
+    days = lines.filter(F.col("order_date").isin(list(changed)))
+    fresh = stage(daily_finance(financial_performance(days, cost)), "fresh_days")
+    stored = read_published(spark, path).withColumn("order_month", F.col("order_month").cast("string"))
+    months = reached_months(stored, fresh, REACH)
+    old = stored.filter(F.col("order_month").isin(months)).select(*fresh.columns)
+    touched = fresh.select(*GROUP).distinct().withColumn("touched", F.lit(True))
+    old = null_safe_join(old, touched, GROUP).drop("touched")
+    rows = merge_rows(old.withColumn("changed", F.lit(0)), fresh.withColumn("changed", F.lit(1)), DAY_KEYS)
+    back = Window.partitionBy(*GROUP).orderBy("order_date").rowsBetween(-REACH, 0)
+    rows = rows.withColumn("affected", F.max("changed").over(back))
+    save_financial_summary(spark, with_trends(rows, p).filter("affected = 1").drop("changed", "affected"), path)
+    unstage(fresh)
+    return months
