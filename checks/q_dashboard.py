@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from tallyloom.ml import models
 from tallyloom.plans import dashboard as page, sales
 from tallyloom.sources.staging import new_path
+from tallyloom.sources.versions import read_published
 from tallyloom.streaming import jobs
 
 from . import sqlgen as q
@@ -209,17 +210,31 @@ def _orders_per_hour(t):
     return t.spark.read.parquet(table).withColumn("hour", F.date_format("hour", "yyyy-MM-dd HH:00:00"))
 
 
+_QUALITY = {"key": "event_id", "required": ["user_id", "event_type"], "numeric": ["value"], "dates": ["ts"]}
+
+
 @register(
-    "stream_quality", "total_rows:i null_count_user_id:i null_count_event_type:i unique_event_id:i avg_value:d quality_score:d",
-    """SELECT COUNT(*) AS total_rows, COUNT_IF(user_id IS NULL) AS null_count_user_id, COUNT_IF(event_type IS NULL) AS null_count_event_type,
-              COUNT(DISTINCT event_id) AS unique_event_id, AVG(value) AS avg_value,
+    "stream_quality",
+    """total_rows:i null_count_user_id:i null_count_event_type:i unique_event_id:i duplicate_count_event_id:i avg_value:d stddev_value:d
+    min_value:d max_value:d invalid_numeric_value:i max_date:s quality_score:d""",
+    """WITH e AS (SELECT * FROM events UNION ALL SELECT * FROM events WHERE mod(event_id, 7) = 0)
+       SELECT COUNT(*) AS total_rows, COUNT_IF(user_id IS NULL) AS null_count_user_id, COUNT_IF(event_type IS NULL) AS null_count_event_type,
+              COUNT(DISTINCT event_id) AS unique_event_id, COUNT(*) - COUNT(DISTINCT event_id) AS duplicate_count_event_id,
+              AVG(value) AS avg_value, STDDEV_SAMP(value) AS stddev_value, MIN(value) AS min_value, MAX(value) AS max_value,
+              0 AS invalid_numeric_value, strftime(MAX(ts), '%Y-%m-%d %H:%M:%S') AS max_date,
               ROUND((1 - (CAST(COUNT_IF(user_id IS NULL) + COUNT_IF(event_type IS NULL) + COUNT(*) - COUNT(DISTINCT event_id) AS DOUBLE) / COUNT(*)) / 3) * 100, 2) AS quality_score
-       FROM events""",
+       FROM e""",
 )
 def _stream_quality(t):
-    table = new_path(t.spark, "quality")
-    _run(jobs.stream_quality(_stream(t), "events", table, new_path(t.spark, "stream"), NOW))
-    return t.spark.read.parquet(table)
+    """All events in six files and a seventh of them once more in a later one, one file a micro-batch: a key returns in another batch."""
+    arrived, table, events = new_path(t.spark, "arrived"), new_path(t.spark, "quality"), t.given("events")
+    events.repartition(6, "event_id").write.parquet(arrived)
+    events.filter("mod(event_id, 7) = 0").coalesce(1).write.mode("append").parquet(arrived)
+    stream = jobs.read_events(t.spark, arrived, events.schema, files_per_batch=1)
+    for query in jobs.stream_quality(stream, table, new_path(t.spark, "stream"), **_QUALITY):
+        _run(query)
+    found = jobs.stream_quality_totals(t.spark, table, "events", NOW, **_QUALITY)
+    return found.withColumn("max_date", F.date_format("max_date", "yyyy-MM-dd HH:mm:ss"))
 
 
 @register(
@@ -235,4 +250,4 @@ def _stream_upsert(t):
     for _ in range(2):
         stream = t.spark.readStream.schema(rows.schema).parquet(arrived)
         _run(jobs.stream_summary_upsert(stream, table, new_path(t.spark, "stream")))
-    return t.spark.read.parquet(table)
+    return read_published(t.spark, table)

@@ -39,7 +39,13 @@ def quality_check(
         aggs.append(F.count_if(bad).alias(f"invalid_date_{c}"))
     if dates:
         aggs.append(F.max(dates[0]).alias("max_date"))
-    out = df.agg(*aggs)
+    return quality_rates(df.agg(*aggs), table, now, primary_key, required, dates)
+
+
+def quality_rates(
+    out: DataFrame, table: str, now: datetime, primary_key: str | None = None, required: Sequence[str] = (), dates: Sequence[str] = (),
+) -> DataFrame:
+    """Rates and the overall score beside the counts of a table."""
     total = F.col("total_rows")
 
     def share(col):
