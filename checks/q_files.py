@@ -44,6 +44,21 @@ _register("csv_prices", "price_list", PRICE_HEADERS, "prices_raw", lambda t: t.p
 _register("csv_expenses", "expenses", {f"column{i}": f"column{i}" for i in range(5)}, "expenses_raw", lambda t: t.expenses_raw)
 
 
+@register(
+    "csv_skip", " ".join(f"column{i}:s" for i in range(5)),
+    sql(f"SELECT {', '.join(f"NULLIF(column{i}, '') AS column{i}" for i in range(5))} FROM expenses_raw"))
+def _skip(t):
+    """Expense lines in three files, each under two title lines that are skipped again."""
+    folder, source, columns = new_path(t.spark, "files"), catalog.SOURCES["expenses"], [f"column{i}" for i in range(5)]
+    lines = t.expenses_raw.select(*columns).withColumn("place", F.lit(2))
+    titles = t.spark.createDataFrame([(*["title", "2024", None, None, None], 0), (*["a", "b", "c", "d", "e"], 1)], lines.schema)
+    for i in range(3):
+        part = lines.filter(F.pmod(F.xxhash64(*columns), F.lit(3)) == i).unionByName(titles)
+        part.coalesce(1).sortWithinPartitions("place").drop("place").write.mode("append").csv(
+            f"{folder}/{source.file}", quote='"', escape='"', ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False)
+    return catalog.skip_rows(catalog.read_source(t.spark, "expenses", folder), 2)
+
+
 @register("sink_append", "o_orderkey:i o_custkey:i", "SELECT o_orderkey, o_custkey FROM orders UNION ALL SELECT o_orderkey, o_custkey FROM orders")
 def _append(t):
     path, rows = new_path(t.spark, "append"), t.given("orders").select("o_orderkey", "o_custkey")

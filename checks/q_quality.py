@@ -142,6 +142,14 @@ register(
     sql(f"SELECT * FROM ({' UNION ALL '.join(_profile_sql(c, k) for c, k in _PROFILED.items())}) AS p({_PROFILE_COLS})"),
 )(lambda t: profile.profile_table(t.lines.select(*_PROFILED), "lines"))
 
+# a tenth of the lines by the first 32 bits of the MD5 of the seed and the line key
+_DRAWN = "lines WHERE CAST('0x' || substr(md5('7-' || line_key), 1, 8) AS BIGINT) < 429496729"
+register(
+    "profile_sample",
+    "table_name:s sample_size:i column_name:s column_type:s null_count:i distinct_count:i avg:d min:d max:d stddev:d avg_length:d min_length:d max_length:d",
+    sql(f"SELECT * FROM ({' UNION ALL '.join(_profile_sql(c, k).replace('FROM lines', f'FROM {_DRAWN}') for c, k in _PROFILED.items())}) AS p({_PROFILE_COLS})"),
+)(lambda t: profile.profile_table(t.lines.select(*_PROFILED), "lines", sample_percent=10, keys=["line_key"]))
+
 _D1, _D2 = "1998-03-02", "2000-10-11"
 
 

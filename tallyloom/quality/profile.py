@@ -90,16 +90,28 @@ def run_log(df: DataFrame, model: str, run_id: str, started: datetime, completed
     )
 
 
-def profile_table(df: DataFrame, table: str, sample_percent: float | None = None, seed: int = 7) -> DataFrame:
+def drawn(keys: Sequence[str], percent: float, seed: int = 7) -> Column:
+    """Whether a row belongs to a sample of ``percent``: the first 32 bits of the MD5 of seed and keys lie below that share.
+
+    The draw depends on the key alone, so any engine, layout or repeated run draws the same rows.
+    """
+    parts = [F.coalesce(F.col(f"`{k}`").cast("string"), F.lit("")) for k in keys]
+    bits = F.conv(F.substring(F.md5(F.concat_ws("-", F.lit(str(seed)), *parts)), 1, 8), 16, 10).cast("bigint")
+    return bits < int(percent / 100 * 2**32)
+
+
+def profile_table(
+    df: DataFrame, table: str, sample_percent: float | None = None, seed: int = 7, keys: Sequence[str] | None = None,
+) -> DataFrame:
     """One row per column: nulls, distinct values, number or text-length statistics.
 
     The rows are staged once.  Plain statistics of all columns come from one aggregation;
     each distinct count then reads its own column only, which moves far less than several
-    distinct counts in one aggregation.  ``sample_percent`` reads a Bernoulli sample; the
-    default profiles every row.
+    distinct counts in one aggregation.  ``sample_percent`` reads a sample drawn by
+    ``keys`` (all columns if not given: equal rows are then drawn together); the default profiles every row.
     """
     if sample_percent is not None:
-        df = df.sample(False, sample_percent / 100, seed)
+        df = df.filter(drawn(keys or df.columns, sample_percent, seed))
     df = stage(df, "profile")
     stats = ("avg", "min", "max", "stddev", "avg_length", "min_length", "max_length")
     aggs, none = [F.count(F.lit(1)).alias("sample_size")], F.lit(None)

@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
+from .staging import stage
+
 
 @dataclass(frozen=True)
 class Source:
@@ -79,13 +81,22 @@ def read_source(spark: SparkSession, name: str, folder: str) -> DataFrame:
 
 
 def skip_rows(df: DataFrame, n: int) -> DataFrame:
-    """Drop the first ``n`` rows of one file by position (title or header lines).
+    """Drop the first ``n`` rows of every file (title or header lines) of a frame read straight from files.
 
-    A frame over more than one file is refused: there the generated id does not follow the lines.
+    A row's place in its file is its place in its split after the rows of the file's earlier splits.  Generated ids follow the
+    rows within a split, so a first pass keeps the first id and the number of rows of each split; only splits that hold
+    one of the first ``n`` rows, usually one per file, meet the rows again.
     """
-    if len(df.inputFiles()) > 1:
-        raise ValueError("rows can be skipped by position in a single file only")
-    return df.withColumn("__line", F.monotonically_increasing_id()).filter(F.col("__line") >= n).drop("__line")
+    split = ["__file", "__start"]
+    placed = df.withColumns({
+        "__file": F.col("_metadata.file_path"), "__start": F.col("_metadata.file_block_start"), "__id": F.monotonically_increasing_id()})
+    sizes = placed.groupBy(*split).agg(F.min("__id").alias("__first"), F.count(F.lit(1)).alias("__rows"))
+    earlier = Window.partitionBy("__file").orderBy("__start").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = sizes.withColumn("__before", F.coalesce(F.sum("__rows").over(earlier), F.lit(0)))
+    heads = stage(sizes.filter(F.col("__before") < n).drop("__rows"), "heads")
+    rows = placed.join(heads, split, "left")
+    place = F.col("__id") - F.col("__first") + F.col("__before")
+    return rows.filter(F.col("__first").isNull() | (place >= n)).select(*[F.col(f"`{c}`") for c in df.columns])
 
 
 def describe_sources() -> list[tuple[str, str, str]]:

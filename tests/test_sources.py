@@ -104,6 +104,25 @@ def test_expenses_and_skip(spark, folder):
     assert catalog.skip_rows(src, 2).count() == 1
 
 
+def test_skip_counts_rows_of_each_file_over_its_splits(spark, tmp_path):
+    """Three files of uneven length, cut into many small splits; the first rows reach over several of them."""
+    lengths = (400, 3, 57)
+    for f, n in enumerate(lengths):
+        (tmp_path / f"f{f}.csv").write_text("".join(f"{f},{i}\n" for i in range(n)))
+    before = {k: spark.conf.get(k) for k in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")}
+    try:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "120")
+        spark.conf.set("spark.sql.files.openCostInBytes", "1")
+        src = spark.read.schema("f int, i int").csv(str(tmp_path))
+        assert src.rdd.getNumPartitions() > 10
+        for n in (0, 1, 5, 60, 1000):
+            want = sorted(((f, i) for f, size in enumerate(lengths) for i in range(n, size)), key=repr)
+            assert rows(catalog.skip_rows(src, n), "f", "i") == want
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+
+
 def test_stock_lines_have_no_date_and_drop_out(spark, folder, params):
     orders = staging.staged_orders(raw.marketplace_orders(catalog.read_source(spark, "marketplace_orders", folder), params), params)
     stock = staging.stage_stock_report(catalog.read_source(spark, "stock_report", folder))
