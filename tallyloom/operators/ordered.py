@@ -107,15 +107,15 @@ def _code(df: DataFrame, order: Sequence[By]) -> Column:
     return F.coalesce(code, F.lit(-_FAR if first.nulls_first else _FAR))
 
 
-def _large_groups(df: DataFrame, keys: Sequence[str], at_most: int | None) -> tuple[list[int], int]:
+def _large_groups(df: DataFrame, keys: Sequence[str], at_most: int | None, part_rows: int) -> tuple[list[int], int]:
     """Hashes of the groups that are cut, and the rows of a part; a table known to fit into a part is not looked at."""
-    if at_most is not None and at_most <= PART_ROWS:
-        return [], PART_ROWS
+    if at_most is not None and at_most <= part_rows:
+        return [], part_rows
     if keys:
         found = df.agg(F.count("*").alias("n"), F.expr(f"approx_top_k(xxhash64({', '.join(f'`{k}`' for k in keys)}), {LARGEST}, {TRACKED})").alias("top")).first()
     else:
         found = df.agg(F.count("*").alias("n")).first()
-    rows = max(PART_ROWS, found.n // MOST_PARTS)
+    rows = max(part_rows, found.n // MOST_PARTS)
     if found.n <= rows:
         return [], rows
     return ([t["item"] for t in found.top if t["count"] > rows] if keys else [0]), rows
@@ -133,9 +133,11 @@ def _cuts(df: DataFrame, large: list[int], rows: int) -> list[tuple[int, list[fl
     return [(r["__h"], list(r.cuts)) for r in found.collect()]
 
 
-def _parted(df: DataFrame, keys: Sequence[str], order: Sequence[By], at_most: int | None = None) -> tuple[DataFrame, bool]:
+def _parted(
+    df: DataFrame, keys: Sequence[str], order: Sequence[By], at_most: int | None = None, part_rows: int | None = None,
+) -> tuple[DataFrame, bool]:
     """Rows with ``__k`` and ``__part``, and whether any group has several parts."""
-    large, rows = _large_groups(df, keys, at_most)
+    large, rows = _large_groups(df, keys, at_most, part_rows or PART_ROWS)
     laid = df.withColumn("__k", _group(keys))
     if not large:
         return laid.withColumn("__part", F.lit(0)), False
@@ -186,16 +188,17 @@ def _with_counts(laid: DataFrame, cut: bool, order: Sequence[By], counts: dict[s
 def running_sums(
     df: DataFrame, keys: Sequence[str], order: Sequence[By], sums: dict[str, Column],
     lowest: dict[str, str] | None = None, counts: dict[str, Sequence[str]] | None = None,
-    totals: dict[str, str] | None = None, at_most: int | None = None,
+    totals: dict[str, str] | None = None, at_most: int | None = None, part_rows: int | None = None,
 ) -> DataFrame:
     """Inclusive running sums per group (``ROWS UNBOUNDED PRECEDING``), and group minima of ``lowest`` columns.
 
     ``totals`` names whole sums of the group, by the running sum that they end in; ``counts`` running counts
-    within subgroups (further key columns).  All share one exchange.  ``at_most`` is a known bound of the rows, if any.
+    within subgroups (further key columns).  All share one exchange.  ``at_most`` is a known bound of the rows, if any;
+    ``part_rows`` replaces PART_ROWS.
     """
     _check_exact(df, sums)
     lowest, totals = lowest or {}, totals or {}
-    laid, cut = _parted(df, keys, order, at_most)
+    laid, cut = _parted(df, keys, order, at_most, part_rows)
     part = Window.partitionBy("__k", "__part")
     upto = part.orderBy(*_sorts(order)).rowsBetween(Window.unboundedPreceding, 0)
     found = laid.withColumns({f"__local_{n}": F.sum(c).over(upto) for n, c in sums.items()})
