@@ -26,6 +26,8 @@ from tallyloom.operators import ordered
 from .common import stage, unstage
 
 LEAF_COLUMNS = ("doc_id", "source", "lang", "n_chars", "text")
+#: rows of a group that one task ranks
+PART_ROWS = 16_384
 _PATH = "array<struct<left: string, right: string>>"
 
 
@@ -106,7 +108,7 @@ def _proved(tiers: list[DataFrame], above: DataFrame, fan: int, levels: int, car
 
 def _ranked(rows: DataFrame, keys: Sequence[str], order: Sequence[ordered.By]) -> DataFrame:
     """Rows with their rank from 0 (pos) and the number of rows (n) in their group."""
-    found = ordered.running_sums(rows, keys, order, {"pos": F.lit(1).cast("bigint")}, totals={"n": "pos"})
+    found = ordered.running_sums(rows, keys, order, {"pos": F.lit(1).cast("bigint")}, totals={"n": "pos"}, part_rows=PART_ROWS)
     return found.withColumn("pos", F.col("pos") - 1)
 
 
