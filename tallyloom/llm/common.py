@@ -6,6 +6,7 @@ import re
 from collections.abc import Iterator
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tallyloom.sources.staging import stage, unstage  # noqa: F401  (re-exported)
@@ -52,6 +53,18 @@ def slices(batches: Iterator[pa.RecordBatch], rows: int = 512) -> Iterator[pa.Re
             yield b.slice(at, rows)
 
 
+def sized_slices(batches: Iterator[pa.RecordBatch], column: str, size: int = 1 << 20) -> Iterator[pa.RecordBatch]:
+    """Batches of about ``size`` bytes of text; a longer text comes alone or last."""
+    for b in batches:
+        until = pc.cumulative_sum(pc.fill_null(pc.cast(pc.binary_length(b.column(column)), pa.int64()), 0)).to_numpy(zero_copy_only=False)
+        at = 0
+        while at < b.num_rows:
+            past = int(until[at - 1]) if at else 0
+            end = max(at + 1, min(int(until.searchsorted(past + size)) + 1, b.num_rows))
+            yield b.slice(at, end - at)
+            at = end
+
+
 def free_name(df: DataFrame, name: str) -> str:
     """``name``, with underscores in front until no column of df has it."""
     taken = {c.lower() for c in df.columns}

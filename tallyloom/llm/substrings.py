@@ -23,15 +23,19 @@ from functools import reduce
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from .common import byte_texts, id_back, id_key, slices, stage, text_of, unstage
+from .common import byte_texts, id_back, id_key, sized_slices, slices, stage, text_of, unstage
 
 # every difference modulo 13 is a difference of two of these
 PERIOD, COVER = 13, (0, 1, 3, 9)
+_COVERED = np.isin(np.arange(PERIOD), COVER)
 _RNG = np.random.default_rng(20)
-_FACTORS = _RNG.integers(0, 2**63, (3, 4096), dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+_FACTORS = _RNG.integers(0, 2**63, (2, 3), dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+# bases are 3 modulo 8, so that their powers have the longest period there is modulo 2**64
+_BASES = [int(x) * 8 + 3 for x in _RNG.integers(2**40, 2**60, 3)]
 _CACHED_WORDS = 500_000
 #: hashes are grouped slice by slice, so that the shuffles of one slice are gone before the next
 SLICES = 3
@@ -50,19 +54,54 @@ class WordHashes(dict):
         return np.fromiter(map(self.__getitem__, words), np.uint64, len(words))
 
 
+class Powers:
+    """Powers of an odd base and of its inverse modulo 2**64, as many as asked for."""
+
+    def __init__(self, base: int):
+        self.base, self.up, self.down = base, np.ones(1, np.uint64), np.ones(1, np.uint64)
+
+    def of(self, n: int) -> tuple[np.ndarray, np.ndarray]:
+        if n > len(self.up):
+            size = 1 << max(12, (n - 1).bit_length())
+            self.up, self.down = (
+                np.cumprod(np.concatenate((np.ones(1, np.uint64), np.full(size - 1, x, np.uint64))))
+                for x in (self.base % 2**64, pow(self.base, -1, 2**64)))
+        return self.up[:n], self.down[:n]
+
+
+_POWERS = [Powers(base) for base in _BASES]
+
+
 def run_hashes(h: np.ndarray, starts: np.ndarray, length: int, which: int) -> np.ndarray:
-    """Hash of the ``length`` words from each start: a random linear form of word hashes, then mixed."""
-    out = np.zeros(len(starts), np.uint64)
-    for i in range(length):
-        out += h[starts + i] * _FACTORS[which, i]
+    """Hash of the ``length`` words from each start: a polynomial in the mixed word hashes, by prefix sums, then mixed."""
+    up, down = _POWERS[which].of(len(h))
+    g = h * _FACTORS[0, which]
+    g ^= g >> np.uint64(32)
+    g *= up
+    sums = np.zeros(len(h) + 1, np.uint64)
+    np.cumsum(g, out=sums[1:])
+    out = (sums[starts + length] - sums[starts]) * down[starts]
     out ^= out >> np.uint64(32)
-    out *= _FACTORS[which, -1]
+    out *= _FACTORS[1, which]
     return out ^ (out >> np.uint64(29))
 
 
-def anchor_starts(n: int, length: int) -> np.ndarray:
-    at = np.arange(max(n - length + 1, 0))
-    return at[np.isin(at % PERIOD, COVER)]
+class Words:
+    """Word hashes of several texts in a row; ``row`` and ``at`` place each word in its text, ``left`` counts words to its end."""
+
+    def __init__(self, texts: list[bytes], hashes: WordHashes):
+        split = [t.split() for t in texts]
+        lens = np.fromiter(map(len, split), np.int64, len(split))
+        self.h = hashes.of([w for words in split for w in words])
+        self.first = np.cumsum(lens) - lens
+        self.row = np.repeat(np.arange(len(split)), lens)
+        self.at = np.arange(len(self.h)) - self.first[self.row]
+        self.left = lens[self.row] - self.at
+
+    def anchors(self, window: int, length: int) -> np.ndarray:
+        """Places of the anchors of all texts of at least a window."""
+        long_enough = (self.left >= length) & (self.at + self.left >= window)
+        return np.nonzero(long_enough & _COVERED[self.at % PERIOD])[0]
 
 
 def _anchors(texts: DataFrame, window: int) -> DataFrame:
@@ -70,42 +109,48 @@ def _anchors(texts: DataFrame, window: int) -> DataFrame:
     length = window - PERIOD + 1
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = WordHashes()
-        for b in slices(batches):
-            fps, rows, ats = [], [], []
-            for row, text in enumerate(byte_texts(b, "text")):
-                h = words.of(text.split())
-                if len(h) < window:
-                    continue
-                starts = anchor_starts(len(h), length)
-                fp = run_hashes(h, starts, length, 0)
-                _, first, times = np.unique(fp, return_index=True, return_counts=True)
-                # a kind that repeats inside the document counts as repeated by itself: it goes out twice
-                keep = np.concatenate((first, first[times > 1]))
-                fps.append(fp[keep])
-                ats.append(starts[keep].astype(np.int32))
-                rows.append(np.full(len(keep), row))
-            if fps:
-                row = pa.array(np.concatenate(rows))
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.concatenate(fps).view(np.int64)), b.column("k").take(row), b.column("th").take(row), pa.array(np.concatenate(ats))],
-                    ["fp", "k", "th", "at"],
-                )
+        hashes = WordHashes()
+        for b in sized_slices(batches, "text"):
+            words = Words(byte_texts(b, "text"), hashes)
+            places = words.anchors(window, length)
+            fp, row = run_hashes(words.h, places, length, 0), words.row[places]
+            order = np.argsort(fp, kind="stable")  # equal anchors stay in order of texts and places
+            fp, row, places = fp[order], row[order], places[order]
+            same = np.zeros(len(fp), bool)
+            same[1:] = (fp[1:] == fp[:-1]) & (row[1:] == row[:-1])
+            # a kind that repeats inside the document counts as repeated by itself: it goes out twice
+            keep = ~same
+            keep[1:] |= same[1:] & ~same[:-1]
+            at, row = words.at[places[keep]].astype(np.int32), pa.array(row[keep])
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(fp[keep].view(np.int64)), b.column("k").take(row), b.column("th").take(row), pa.array(at)], ["fp", "k", "th", "at"])
 
     return texts.mapInArrow(run, "fp long, k long, th long, at int")
 
 
-def candidate_starts(h: np.ndarray, kinds: np.ndarray, window: int) -> np.ndarray:
-    """Starts of the windows that hold an anchor of one of the repeated ``kinds`` (anchor starts, one each)."""
+def candidate_places(words: Words, kinds: np.ndarray, window: int) -> np.ndarray:
+    """Places of the windows that hold an anchor of one of the repeated ``kinds`` (a place of each).
+
+    A kind is repeated in all texts or in none, so the texts need not be held apart.
+    """
     length = window - PERIOD + 1
-    starts = anchor_starts(len(h), length)
-    fp = run_hashes(h, starts, length, 0)
-    hit = starts[np.isin(fp, run_hashes(h, kinds, length, 0))]
-    step = np.zeros(len(h) + 1, np.int32)
-    np.add.at(step, np.maximum(hit - (window - length), 0), 1)
-    np.add.at(step, hit + 1, -1)
-    found = np.nonzero(np.cumsum(step)[: max(len(h) - window + 1, 0)] > 0)[0]
-    return found
+    places = words.anchors(window, length)
+    hit = places[np.isin(run_hashes(words.h, places, length, 0), run_hashes(words.h, kinds, length, 0))]
+    n = len(words.h) + 1
+    step = np.bincount(hit - np.minimum(words.at[hit], window - length), minlength=n) - np.bincount(hit + 1, minlength=n)
+    return np.nonzero((np.cumsum(step)[:-1] > 0) & (words.left >= window))[0]
+
+
+def repeats(row: np.ndarray, one: np.ndarray, two: np.ndarray) -> np.ndarray:
+    """True for windows equal to an earlier one of the same text."""
+    order = np.argsort(one, kind="stable")
+    tied = one[order[1:]] == one[order[:-1]]
+    if (two[order[1:]] != two[order[:-1]])[tied].any():
+        order = np.lexsort((two, one))
+        tied = (one[order[1:]] == one[order[:-1]]) & (two[order[1:]] == two[order[:-1]])
+    later = np.zeros(len(one), bool)
+    later[order[1:]] = tied & (row[order[1:]] == row[order[:-1]])  # rows ascend within a tie
+    return later
 
 
 def _windows(texts: DataFrame, window: int) -> DataFrame:
@@ -115,28 +160,20 @@ def _windows(texts: DataFrame, window: int) -> DataFrame:
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = WordHashes()
-        for b in slices(batches, 256):
-            rows, ats, w1, w2, again = [], [], [], [], []
-            for row, (text, kinds) in enumerate(zip(byte_texts(b, "text"), b.column("ats").to_pylist())):
-                h = words.of(text.split())
-                starts = candidate_starts(h, np.array(kinds, np.int64), window)
-                one, two = (run_hashes(h, starts, window, i) for i in (1, 2))
-                order = np.lexsort((two, one))  # stable: equal windows stay in order of their starts
-                later = np.zeros(len(starts), bool)
-                later[order[1:]] = (one[order[1:]] == one[order[:-1]]) & (two[order[1:]] == two[order[:-1]])
-                rows.append(np.full(len(starts), row))
-                ats.append(starts.astype(np.int32))
-                w1.append(one)
-                w2.append(two)
-                again.append(later)
-            if rows:
-                row = pa.array(np.concatenate(rows))
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.concatenate(w1).view(np.int64)), pa.array(np.concatenate(w2).view(np.int64)),
-                     b.column("k").take(row), b.column("th").take(row), pa.array(np.concatenate(ats)), pa.array(np.concatenate(again))],
-                    ["w1", "w2", "k", "th", "at", "again"],
-                )
+        hashes = WordHashes()
+        for b in sized_slices(batches, "text"):
+            words = Words(byte_texts(b, "text"), hashes)
+            ats = b.column("ats")
+            kinds = ats.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
+            kinds += np.repeat(words.first, pa.compute.list_value_length(ats).to_numpy(zero_copy_only=False))
+            places = candidate_places(words, kinds, window)
+            one, two = (run_hashes(words.h, places, window, i) for i in (1, 2))
+            again = repeats(words.row[places], one, two)
+            row = pa.array(words.row[places])
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(one.view(np.int64)), pa.array(two.view(np.int64)), b.column("k").take(row), b.column("th").take(row),
+                 pa.array(words.at[places].astype(np.int32)), pa.array(again)],
+                ["w1", "w2", "k", "th", "at", "again"])
 
     return texts.mapInArrow(run, "w1 long, w2 long, k long, th long, at int, again boolean")
 
@@ -154,7 +191,8 @@ def repeated_spans(docs: DataFrame, window: int) -> DataFrame:
     for i in range(SLICES):
         own = anchors.filter(F.pmod("fp", F.lit(SLICES)) == i)
         repeated = own.groupBy("fp").agg(F.count("*").alias("n")).filter("n > 1").select("fp")
-        found = own.join(repeated, "fp", "left_semi").groupBy("k", "th").agg(F.collect_list("at").alias("ats"))
+        # rows of one id and text share their places, so the lists stay as long as the text
+        found = own.join(repeated, "fp", "left_semi").groupBy("k", "th").agg(F.collect_set("at").alias("ats"))
         hits.append(stage(found, "hits"))
     unstage(anchors)
     whole_hits = reduce(DataFrame.unionByName, hits).groupBy("k", "th").agg(F.flatten(F.collect_list("ats")).alias("ats"))
@@ -162,12 +200,12 @@ def repeated_spans(docs: DataFrame, window: int) -> DataFrame:
     windows = stage(_windows(texts, window), "windows")
     for h in hits:
         unstage(h)
-    late = [windows.filter("again").groupBy("k", "th").agg(F.collect_list("at").alias("starts"))]
+    late = [windows.filter("again").groupBy("k", "th").agg(F.collect_set("at").alias("starts"))]
     for i in range(SLICES):
         own = windows.filter(~F.col("again") & (F.pmod("w1", F.lit(SLICES)) == i)).select("w1", "w2", "k", "th", "at")
         first = own.groupBy("w1", "w2").agg(F.min("k").alias("first"), F.max("k").alias("last")).filter("first < last")
         found = own.join(first.drop("last"), ["w1", "w2"]).filter("k > first")
-        late.append(stage(found.groupBy("k", "th").agg(F.collect_list("at").alias("starts")), "late"))
+        late.append(stage(found.groupBy("k", "th").agg(F.collect_set("at").alias("starts")), "late"))
     starts = reduce(DataFrame.unionByName, late).groupBy("k", "th").agg(F.flatten(F.collect_list("starts")).alias("starts"))
     nothing = F.lit(None).cast("array<int>")
     found = starts.select("k", "th", F.lit(False).alias("copy"), "starts").unionByName(

@@ -5,11 +5,13 @@ import random
 import re
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import xxhash
 from pyspark.sql import functions as F
 
 from tallyloom.llm import lines, simhash, substrings
+from tallyloom.llm.common import sized_slices
 
 SCHEMA = "doc_id long, text string, lang string, n_lines long, domain string, k string"
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -71,6 +73,33 @@ def test_substrings_with_repeated_and_null_ids(spark):
     assert substrings.substring_digest(df.limit(0)).count() == 0
 
 
+def test_substrings_of_many_identical_rows(spark):
+    """Rows of one id and text share their anchors and windows instead of multiplying them."""
+    rng = random.Random(5)
+    text = " ".join(f"w{rng.randrange(90)}" for _ in range(400))
+    df = corpus(spark, [(None, text)] * 600 + [(7, "x " + text)])
+    got = substrings.substring_digest(df).groupBy("doc_id", "n_words", "n_removed").count().collect()
+    assert sorted((r.doc_id or 0, r.n_words, r.n_removed, r["count"]) for r in got) == [(0, 400, 0, 600), (7, 401, 400, 1)]
+
+
+def test_run_hashes_tell_runs_apart_anywhere():
+    """Equal runs hash alike at any place, others differ, single words and permutations included."""
+    words = substrings.WordHashes()
+    h = words.of(b"a b c d a b c d b a c d c c a b".split())
+    for which in range(3):
+        one = substrings.run_hashes(h, np.arange(13), 4, which)
+        assert one[0] == one[4] and len(set(one.tolist())) == 12
+        assert len(set(substrings.run_hashes(h, np.arange(16), 1, which).tolist())) == 4
+    assert len(substrings.run_hashes(h[:0], np.arange(0), 4, 0)) == 0
+
+
+def test_sized_slices_keep_all_rows():
+    texts = ["x" * n for n in (5, 0, 300, 1, 1, 1, 90)] + [None]
+    batch = pa.RecordBatch.from_arrays([pa.array(texts, pa.string())], ["text"])
+    parts = [p.column("text").to_pylist() for p in sized_slices(iter([batch]), "text", 100)]
+    assert sum(parts, []) == texts and parts[0] == texts[:3] and max(map(len, parts)) < 6
+
+
 def brute_lines(data, run):
     seen, out = set(), {}
     for i, text in data:
