@@ -7,8 +7,9 @@ each value of the item, by type, stands for the value that most of its places ha
 count in singular).  Windows whose values are the item's always count, others only if no slot contradicts that.  A document is contaminated by an item if consistent windows cover at least ``COVERED`` of the item's.
 Equal questions, and questions with other numbers, names or units, are both caught.
 
-Windows with fewer than ``LEAST_LITERALS`` words that are no placeholders say little as templates; they are hashed as
-plain words with their values and match exactly.  An item shorter than a window is one window of its own length, down to
+Windows with fewer than ``LEAST_LITERALS`` words that are no placeholders say little as templates.  Every window, these
+included, is also hashed as lower-case words with their values and matches exactly, so that copies are found in any case,
+although names are told by their capitals.  An item shorter than a window is one window of its own length, down to
 a single word.  An item whose other windows alone are covered by half is found too.
 
 Edge cases: NULL and empty texts have no windows; repeated rows are judged together (a row of the result per
@@ -20,20 +21,24 @@ from __future__ import annotations
 
 import re
 from collections import Counter
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from .common import id_back, id_key, slices, stage, str_texts, text_of
+from .common import id_back, id_key, sized_slices, slices, stage, str_texts, text_of
 from .substrings import WordHashes, run_hashes
 
 WINDOW = 8
 LEAST_LITERALS = 4
 COVERED = 0.5
-#: benchmark windows up to which documents are sieved by them in the tasks; beyond, all windows are joined
-MOST_SIEVED = 200_000
+#: bits of the table that keeps other windows from being shuffled; 2 MB, whatever the size of the benchmark
+SIEVE = 1 << 24
+_SHIFT = 24
+#: words of a pair that decides whether a text is worth templating are at most this far apart
+FARTHEST = 3
+_MIX = np.random.default_rng(2).integers(0, 2**63, FARTHEST + 1, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
 #: words that name a unit when they follow a number
 UNITS = (
@@ -52,9 +57,14 @@ _UNIT_SET = frozenset(UNITS)
 _SINGULAR = {u: u[:-1] for u in UNITS if u[:-1] in UNITS and len(u) > 2} | {"feet": "foot", "inches": "inch", "degrees": "degree"}
 
 
+def _clean(text: str) -> str:
+    """Without the placeholders' own signs and the one letter that small letters make two of."""
+    return text.replace(_NUM, " ").replace(_NAME, " ").replace("\u0130", "I")
+
+
 def template(text: str) -> tuple[list[str], list[str]]:
     """Template words and, beside each, the value it stands for ('' for a plain word)."""
-    text = text.replace(_NUM, " ").replace(_NAME, " ")
+    text = _clean(text)
     words, values = [], []
     names = {m.start() for m in _NAMES.finditer(text)}
     for m in _WORDY.finditer(text):
@@ -76,7 +86,7 @@ def template(text: str) -> tuple[list[str], list[str]]:
 
 def template_words(text: str) -> list[str]:
     """The template words alone, by substitutions over the whole text."""
-    text = _NAMES.sub(_NAME, text.replace(_NUM, " ").replace(_NAME, " "))
+    text = _NAMES.sub(_NAME, _clean(text))
     words = _PLAIN_OR_SLOT.findall(_NUMBERS.sub(_NUM, text).lower())
     if _NUM in words:
         words = [_UNIT if w in _UNIT_SET and before == _NUM else w for before, w in zip([""] + words, words)]
@@ -85,74 +95,150 @@ def template_words(text: str) -> list[str]:
 
 def plain_words(text: str) -> list[str]:
     """The words of ``template_words`` with values in place of slots."""
-    return _WORDY.findall(text.replace(_NUM, " ").replace(_NAME, " ").lower())
+    return _WORDY.findall(_clean(text).lower())
 
 
-def window_hashes(words: list[str], hashes: WordHashes, length: int, plain: Callable[[], list[str]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Starts of all windows of ``length`` template words, their hashes, and whether these are of the template.
+def _pair_hashes(h: np.ndarray, starts: np.ndarray, apart: int) -> np.ndarray:
+    """Hash of the words ``apart`` words from each other, from each start."""
+    out = h[starts] * _MIX[0] + h[starts + apart] * _MIX[apart]
+    return out ^ (out >> np.uint64(31))
 
-    Windows with few plain words are hashed as the words of ``plain``.
-    """
-    n = len(words) - length + 1
-    if n < 1:
-        return np.empty(0, np.int64), np.empty(0, np.uint64), np.empty(0, bool)
+
+def raw_hashes(h: np.ndarray, starts: np.ndarray, size: int) -> np.ndarray:
+    return run_hashes(h, starts, size, 1) + np.uint64(size)
+
+
+def template_hashes(words: list[str], hashes: WordHashes, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """Starts of the windows of ``size`` template words with enough plain words, and their hashes."""
+    if len(words) < size:
+        return np.empty(0, np.int64), np.empty(0, np.uint64)
     h = hashes.of(words)
-    slots = np.isin(h, hashes.of([_NUM, _NAME, _UNIT]))
-    so_far = np.concatenate(([0], np.cumsum(~slots)))
-    starts, telling = np.arange(n), so_far[length:] - so_far[:-length] >= min(LEAST_LITERALS, length)
-    found = run_hashes(h, starts, length, 0)
-    if not telling.all():
-        found[~telling] = run_hashes(hashes.of(plain()), starts[~telling], length, 1)
-    return starts, found + np.uint64(length), telling
+    so_far = np.concatenate(([0], np.cumsum(~np.isin(h, hashes.of([_NUM, _NAME, _UNIT])))))
+    starts = np.nonzero(so_far[size:] - so_far[:-size] >= min(LEAST_LITERALS, size))[0]
+    return starts, run_hashes(h, starts, size, 0) + np.uint64(size)
 
 
-def _windows(texts: DataFrame, length: int | None, sieve: tuple[np.ndarray, list[int]] | None) -> DataFrame:
-    """(fp, k, th, at, n, slots) of windows; of items (``length``) or of documents, sieved to known hashes and lengths.
+def _item_windows(items: DataFrame) -> DataFrame:
+    """(fp, k, th, at, slots, kinds, telling) of the windows of items: each as raw words, and as a template (telling) if it has plain words enough.
 
-    Windows of items also have kinds (type and place in the item of each slot) and telling (hashed as a template).
+    kinds are type and place in the item of each slot.  Rows without ``at`` hold hashes of pairs of plain words.
     """
-    of_items = sieve is None
-    known, lengths = (sieve[0], sieve[1]) if sieve else (None, None)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = WordHashes()
-        gate = None
-        if known is not None:
-            gate = np.zeros(1 << 20, bool)
-            gate[(known & np.uint64((1 << 20) - 1)).astype(np.int64)] = True
-        for b in slices(batches):
-            out: list[list] = [[], [], [], [], [], [], []]
+        for b in slices(batches, 64):
+            out: list[list] = [[] for _ in range(6)]
             for row, text in enumerate(str_texts(b, "text")):
-                words, values = template_words(text), None
-                sizes = lengths if lengths is not None else [length if len(words) >= length else max(len(words), 1)]
-                for size in sizes:
-                    starts, fps, telling = window_hashes(words, hashes, size, lambda: plain_words(text))
-                    if gate is not None and len(fps):
-                        near = gate[(fps & np.uint64((1 << 20) - 1)).astype(np.int64)]
-                        starts, fps = starts[near], fps[near]
-                        sure = known[np.minimum(np.searchsorted(known, fps), len(known) - 1)] == fps
-                        starts, fps = starts[sure], fps[sure]
-                    if not len(starts):
-                        continue
-                    values = template(text)[1] if values is None else values
+                words, values, raw = template_words(text), template(text)[1], hashes.of(plain_words(text))
+                size = min(len(words), WINDOW)
+                if not size:
+                    continue
+                everywhere = np.arange(len(words) - size + 1)
+                told, prints = template_hashes(words, hashes, size)
+                for starts, fps, telling in ((told, prints, True), (everywhere, raw_hashes(raw, everywhere, size), False)):
                     out[0] += fps.view(np.int64).tolist()
                     out[1] += [row] * len(starts)
                     out[2] += starts.tolist()
-                    out[3] += [len(words) - size + 1] * len(starts)
-                    out[4] += [[v for v in values[s : s + size] if v] for s in starts.tolist()]
-                    if of_items:
-                        out[5] += [[f"{words[i]}{i}" for i, v in enumerate(values[s : s + size], s) if v] for s in starts.tolist()]
-                        out[6] += telling.tolist()
-            if out[0]:
-                row = pa.array(out[1], pa.int64())
-                made = [pa.array(out[0], pa.int64()), b.column("k").take(row), b.column("th").take(row), pa.array(out[2], pa.int32()),
-                        pa.array(out[3], pa.int32()), pa.array(out[4], pa.list_(pa.string()))]
-                names = ["fp", "k", "th", "at", "n", "slots"]
-                if of_items:
-                    made, names = [*made, pa.array(out[5], pa.list_(pa.string())), pa.array(out[6], pa.bool_())], [*names, "kinds", "telling"]
-                yield pa.RecordBatch.from_arrays(made, names)
-
-    return texts.mapInArrow(run, "fp long, k long, th long, at int, n int, slots array<string>" + (", kinds array<string>, telling boolean" if of_items else ""))
+                    out[3] += [[v for v in values[s : s + size] if v] for s in starts.tolist()]
+                    out[4] += [[f"{words[i]}{i}" for i, v in enumerate(values[s : s + size], s) if v] for s in starts.tolist()]
+                    out[5] += [telling] * len(starts)
+                plain = np.array([not v for v in values])
+                for apart in range(1, FARTHEST + 1):
+                    both = np.nonzero(plain[:-apart] & plain[apart:])[0]
+                    pairs = _pair_hashes(raw, both, apart).view(np.int64).tolist()
+                    for column, value in zip(out, (pairs, *([x] * len(pairs) for x in (row, None, None, None, None)))):
+                        column += value
+            row = pa.array(out[1], pa.int64())
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(out[0], pa.int64()), b.column("k").take(row), b.column("th").take(row), pa.array(out[2], pa.int32()),
+                 *(pa.array(x, pa.list_(pa.string())) for x in out[3:5]), pa.array(out[5], pa.bool_())],
+                ["fp", "k", "th", "at", "slots", "kinds", "telling"])
+
+    return items.mapInArrow(run, "fp long, k long, th long, at int, slots array<string>, kinds array<string>, telling boolean")
+
+
+def _sieve(hashes: DataFrame) -> np.ndarray:
+    """Bits of the hashes ``fp``, two each, in a table of ``SIEVE`` bits: that is all the driver gets, for any number of hashes."""
+    bit = F.explode(F.array(*(F.pmod(F.shiftrightunsigned("fp", n), F.lit(SIEVE)) + 1 for n in (0, _SHIFT))))
+    parts = hashes.select(bit.alias("bit")).groupBy(F.bitmap_bucket_number("bit").alias("part")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position("bit")).alias("bits")).collect()
+    packed = np.zeros(SIEVE // 8, np.uint8)
+    for r in parts:
+        piece = np.frombuffer(bytes(r.bits), np.uint8)
+        packed[(r.part - 1) * len(piece) : r.part * len(piece)] = piece
+    return packed
+
+
+class Sieve:
+    def __init__(self, packed: np.ndarray):
+        self.bits = np.unpackbits(packed, bitorder="little").view(bool)
+
+    def passes(self, fp: np.ndarray) -> np.ndarray:
+        last = np.uint64(SIEVE - 1)
+        found = self.bits[(fp & last).view(np.int64)]
+        found[found] = self.bits[((fp[found] >> np.uint64(_SHIFT)) & last).view(np.int64)]
+        return found
+
+
+def worth_templating(h: np.ndarray, left: np.ndarray, row: np.ndarray, sieve: Sieve) -> np.ndarray:
+    """Rows that may hold a template window of the benchmark.
+
+    Of four plain words in eight, two pairs of neighbours are at most three words apart (two gaps of four would not fit), and a pair in a
+    matching window is a pair of the benchmark's.
+    """
+    pairs = np.zeros(len(h) + WINDOW, np.int64)
+    for apart in range(1, FARTHEST + 1):
+        starts = np.nonzero(left > apart)[0]
+        pairs[starts] += sieve.passes(_pair_hashes(h, starts, apart))
+    so_far = np.concatenate(([0], np.cumsum(pairs)))
+    return np.unique(row[so_far[WINDOW - 1 :][: len(h)] - so_far[: len(h)] >= 2])
+
+
+def _windows(texts: DataFrame, lengths: list[int], packed: np.ndarray) -> DataFrame:
+    """(fp, k, th, at, slots, telling) of the windows of documents that the sieve lets pass, as raw words and as templates."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hashes, sieve = WordHashes(), Sieve(packed)
+        for b in sized_slices(batches, "text"):
+            texts = str_texts(b, "text")
+            split = [plain_words(t) for t in texts]
+            lens = np.fromiter(map(len, split), np.int64, len(split))
+            row = np.repeat(np.arange(len(split)), lens)
+            first = np.cumsum(lens) - lens
+            h = hashes.of([w for words in split for w in words])
+            at = np.arange(len(h)) - first[row]
+            left = lens[row] - at
+            fps, rows, ats, slots, telling = [], [], [], [], []
+            for size in lengths:
+                starts = np.nonzero(left >= size)[0]
+                fp = raw_hashes(h, starts, size)
+                good = sieve.passes(fp)
+                fps.append(fp[good])
+                rows.append(row[starts[good]])
+                ats.append(at[starts[good]])
+                slots += [None] * len(ats[-1])
+                telling += [False] * len(ats[-1])
+            for i in worth_templating(h, left, row, sieve).tolist():
+                words, values = template_words(texts[i]), None
+                for size in lengths:
+                    starts, fp = template_hashes(words, hashes, size)
+                    good = sieve.passes(fp)
+                    if not good.any():
+                        continue
+                    starts = starts[good]
+                    values = template(texts[i])[1] if values is None else values
+                    fps.append(fp[good])
+                    rows.append(np.full(len(starts), i))
+                    ats.append(starts)
+                    slots += [[v for v in values[s : s + size] if v] for s in starts.tolist()]
+                    telling += [True] * len(starts)
+            at_row = pa.array(np.concatenate(rows))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.concatenate(fps).view(np.int64)), b.column("k").take(at_row), b.column("th").take(at_row),
+                 pa.array(np.concatenate(ats).astype(np.int32)), pa.array(slots, pa.list_(pa.string())), pa.array(telling, pa.bool_())],
+                ["fp", "k", "th", "at", "slots", "telling"])
+
+    return texts.mapInArrow(run, "fp long, k long, th long, at int, slots array<string>, telling boolean")
 
 
 def consistent(windows: list[dict]) -> list[dict]:
@@ -209,18 +295,16 @@ def leaks(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: s
     bench = items.select(id_key(item_col).alias("k"), F.xxhash64("text").alias("th"), text_of("text").alias("text"))
     bench = bench.dropDuplicates(["k", "th"])
     asked = docs.select(*row_keys(id_col, text_col), text_of(text_col).alias("text"))
-    own = stage(_windows(bench, WINDOW, None), "bench").select(
+    made = stage(_item_windows(bench), "bench")
+    own = made.filter("at is not null").select(
         "fp", F.col("k").alias("item_id"), F.col("th").alias("item_th"), F.col("at").alias("item_at"), F.col("slots").alias("item_slots"), "kinds", "telling",
     )
-    totals = own.groupBy("item_id", "item_th").agg(F.count("*").alias("item_windows"), F.count_if("telling").alias("item_told"))
-    kinds = own.select("fp").distinct()
+    totals = own.groupBy("item_id", "item_th").agg(F.count_if(~F.col("telling")).alias("item_windows"), F.count_if("telling").alias("item_told"))
     lengths = _lengths(bench)
-    known = kinds.limit(MOST_SIEVED + 1).collect()
-    sieve = np.sort(np.array([r.fp for r in known], np.int64).view(np.uint64)) if 0 < len(known) <= MOST_SIEVED else None
-    if not known or not lengths:
+    if not lengths:
         asked = asked.limit(0)
-    seen = _windows(asked, WINDOW, (sieve, lengths or [WINDOW]))
-    pairs = seen.drop("n").join(own, "fp")
+    seen = _windows(asked, lengths or [WINDOW], _sieve(made.select("fp")))
+    pairs = seen.join(own, ["fp", "telling"]).withColumn("slots", F.when(F.col("telling"), F.col("slots")).otherwise(F.col("item_slots")))
     # item and document slots of a window have the same types, as their templates are equal
     line = pairs.withColumn("line", F.col("at") - F.col("item_at")).groupBy("k", "th", "item_id", "item_th", "line").agg(
         F.collect_set(F.struct("item_at", "kinds", "telling", "item_slots", "slots")).alias("wins"))

@@ -1,6 +1,7 @@
 """Sharding, mixing, url rules, top-k and decontamination against brute force, with nulls and ties."""
 
 import random
+import re
 import zlib
 
 import numpy as np
@@ -202,25 +203,20 @@ def test_bound_order_stops_early():
 ITEM = "A farmer named Alma sells 12 kg of ripe apples at the market. How many coins does Alma get when each kg costs 3 coins?"
 
 
-def test_reparameterised_questions_are_found(spark, monkeypatch):
+def test_reparameterised_questions_are_found(spark):
     same = ITEM.replace("Alma", "Boris").replace("12", "45").replace("kg", "pounds").replace(" 3 ", " 7,5 ")
     mixed = ITEM.replace("named Alma", "named Boris").replace("does Alma", "does Carla")
     data = [
         (1, f"Some words before it here. {ITEM} And after", None, None), (2, f"Read this: {same}", None, None), (3, mixed, None, None),
         (4, "A farmer sells apples at the market and nothing else happens there today", None, None), (5, None, None, None), (6, "", None, None),
-        (7, ITEM.upper().lower(), None, None), (None, ITEM, None, None), (1, f"Some words before it here. {ITEM} And after", None, None),
+        (7, ITEM.lower(), None, None), (10, ITEM.upper(), None, None), (None, ITEM, None, None), (1, f"Some words before it here. {ITEM} And after", None, None),
         (8, "short item with five words", None, None), (9, " 12 45 " * 50, None, None),
     ]
     items = spark.createDataFrame([(70, ITEM, 0), (71, None, 0), (72, "", 0), (73, "Short item, with five words.", 0), (74, "1 2 3 4 5 6 7 8 9 10", 0), (70, ITEM, 0)], "item_id long, text string, doc_id int")
-    for sieved in (1000, 0):  # through the sieve and through the join of all windows
-        monkeypatch.setattr(templates, "MOST_SIEVED", sieved)
-        got = {(r.doc_id, r.item_id): r.changed for r in templates.contaminated(docs(spark, data), items).collect()}
-        assert got[(1, 70)] is False and got[(2, 70)] is True and got[(None, 70)] is False
-        assert set(got) >= {(1, 70), (2, 70), (None, 70), (8, 73)} and not {k for k in got if k[0] in (4, 5, 6, 9)}
-        assert (3, 70) not in got
+    got = {(r.doc_id, r.item_id): r.changed for r in templates.contaminated(docs(spark, data), items).collect()}
+    assert got == {(1, 70): False, (2, 70): True, (7, 70): False, (10, 70): False, (None, 70): False, (8, 73): False}
     clean = templates.drop_contaminated(docs(spark, data), items)
-    assert sorted(r.doc_id for r in clean.select("doc_id").collect()) == [3, 4, 5, 6, 7, 9] or sorted(
-        r.doc_id for r in clean.select("doc_id").collect()) == [3, 4, 5, 6, 9]
+    assert sorted(r.doc_id for r in clean.select("doc_id").collect()) == [3, 4, 5, 6, 9]
     assert clean.columns == docs(spark, data).columns
     assert templates.contaminated(docs(spark, data), items.limit(0)).count() == 0
     assert templates.contaminated(docs(spark, data).limit(0), items).count() == 0
@@ -247,6 +243,83 @@ def found_in(spark, texts, items):
     return {(r.doc_id, r.item_id, r.changed) for r in found}
 
 
+def brute_matches(text, item):
+    """Whether the item is found in the text, by comparing every window of one with every window of the other."""
+    signs = {"\x01", "\x02", "\x03"}
+    (a, av), (b, bv) = templates.template(text), templates.template(item)
+    raw_a, raw_b = templates.plain_words(text), templates.plain_words(item)
+    size = min(8, len(b))
+    lines = {}
+    for i in range(len(b) - size + 1):
+        for j in range(len(a) - size + 1):
+            plain = sum(w not in signs for w in b[i : i + size])
+            for told, equal in ((False, raw_a[j : j + size] == raw_b[i : i + size]),
+                                (True, a[j : j + size] == b[i : i + size] and plain >= min(4, size))):
+                if equal:
+                    lines.setdefault(j - i, []).append((i, j, told))
+    good, told_good = set(), set()
+    one = lambda v: v[:-1] if v.endswith("s") and v[:-1] in templates.UNITS and len(v) > 2 else {"feet": "foot"}.get(v, v)
+    for windows in lines.values():
+        swaps = {}  # (type, item value) -> {place: value in the text}
+        of = {}
+        for i, j, told in windows:
+            for x in range(size):
+                if bv[i + x]:
+                    new = av[j + x] if told else bv[i + x]
+                    old = (b[i + x], one(bv[i + x]) if b[i + x] == "\x03" else bv[i + x])
+                    new = one(new) if b[i + x] == "\x03" else new
+                    swaps.setdefault(old, {})[i + x] = new
+                    of.setdefault((i, told), []).append((old, new))
+        for i, j, told in windows:
+            same = not told or [v for v in av[j : j + size] if v] == [v for v in bv[i : i + size] if v]
+            most = all(2 * list(swaps[old].values()).count(new) > len(swaps[old]) for old, new in of.get((i, told), []))
+            if same or most:
+                good.add(i)
+                if told:
+                    told_good.add(i)
+    n = len(b) - size + 1
+    n_told = sum(sum(w not in signs for w in b[i : i + size]) >= min(4, size) for i in range(n))
+    return size > 0 and (2 * len(good) >= n or n_told > 0 and 2 * len(told_good) >= n_told)
+
+
+def test_decontamination_matches_brute_force(spark):
+    """Copies in other case, with other slots, cut, reordered, and mixed with text of the same words."""
+    rng = random.Random(11)
+    names, units = ["Alma", "Boris", "Carla", "Dmitri"], ["kg", "miles", "minutes", "foot"]
+    common = "the a of trader river walked sold carried every market morning evening before after slowly twice".split()
+
+    def sentence():
+        words = [rng.choice(common) for _ in range(rng.randrange(4, 16))]
+        for _ in range(rng.randrange(4)):
+            words.insert(rng.randrange(1, len(words)), rng.choice([rng.choice(names), f"{rng.randrange(30)} {rng.choice(units)}", str(rng.randrange(99))]))
+        return " ".join(words).capitalize() if rng.random() < 0.2 else " ".join(words)
+
+    items = [". ".join(sentence() for _ in range(rng.randrange(1, 5))) for _ in range(25)] + ["12 + 7 = ?", "Carla", "\u0130t is 3 km from here to the old river market"]
+
+    def changed(text):
+        way = rng.randrange(7)
+        if way == 0:
+            return text.lower()
+        if way == 1:
+            return text.upper()
+        if way == 2:
+            for old, new in zip(names, names[1:]):
+                text = text.replace(old, new)
+            return text
+        if way == 3:
+            return re.sub(r"\d+", lambda m: str(rng.choice([int(m.group()) + 1, 5])), text)
+        if way == 4:
+            return " ".join(text.split()[rng.randrange(6) :])
+        if way == 5:
+            return text.replace(rng.choice(common), "zebra")
+        return text
+
+    texts = [f"{sentence()}. {changed(rng.choice(items))}. {sentence()} {sentence()}" for _ in range(120)] + [sentence() for _ in range(40)]
+    want = {(i, j) for i, t in enumerate(texts) for j, item in enumerate(items) if brute_matches(t, item)}
+    assert len({i for i, _ in want}) > 60
+    assert {(i, j) for i, j, _ in found_in(spark, texts, items)} == want
+
+
 def test_one_contradicting_slot_spoils_only_its_windows(spark):
     timed = "Stir the thick soup for 2 minutes over a low flame and then let it rest in the covered pot for 3 minutes before you serve it warm"
     texts = [
@@ -256,9 +329,7 @@ def test_one_contradicting_slot_spoils_only_its_windows(spark):
     assert found_in(spark, texts, [ITEM, timed]) == {(0, 0, False), (1, 0, True), (2, 1, True)}
 
 
-@pytest.mark.parametrize("sieved", [1000, 0])
-def test_items_of_few_plain_words_are_found_as_they_are(spark, sieved, monkeypatch):
-    monkeypatch.setattr(templates, "MOST_SIEVED", sieved)
+def test_items_of_few_plain_words_are_found_as_they_are(spark):
     items = ["What is 12 + 35 - 7 * 4?", "Who is Alan Turing?", "1 km 1000 m 2 km 2000 m 3 km 3000 m", "Then Alan, Bob", "7 * 8 = ?", None, ""]
     texts = [f"Here is some text before it. {t} And some more text after it" for t in items[:5]]
     texts += ["What is 12 + 35 - 7 * 5?", "Who is Ada Lovelace?", "1 km 1000 m 2 km 2000 m 4 km 4000 m 5 km", "Then Alan, Bert", "7 * 9 = ?", "", None]
