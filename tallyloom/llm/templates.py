@@ -54,6 +54,7 @@ _PLAIN_OR_SLOT = re.compile(r"[^\W\d_]+|[\x01\x02]")
 # a word of one capital and small letters, after a word and a space or a comma and a space
 _NAMES = re.compile(r"(?<=[\w,] )[A-ZÀ-ÖØ-ÞΑ-ΩА-Я][a-zß-öø-ÿα-ωа-я]+(?![^\W\d_])")
 _UNIT_SET = frozenset(UNITS)
+_UNIT_HASHES = WordHashes().of(list(UNITS))
 _SINGULAR = {u: u[:-1] for u in UNITS if u[:-1] in UNITS and len(u) > 2} | {"feet": "foot", "inches": "inch", "degrees": "degree"}
 
 
@@ -95,7 +96,7 @@ def template_words(text: str) -> list[str]:
 
 def plain_words(text: str) -> list[str]:
     """The words of ``template_words`` with values in place of slots."""
-    return _WORDY.findall(_clean(text).lower())
+    return [w.lower() for w in _WORDY.findall(_clean(text))]
 
 
 def _pair_hashes(h: np.ndarray, starts: np.ndarray, apart: int) -> np.ndarray:
@@ -180,18 +181,28 @@ class Sieve:
         return found
 
 
-def worth_templating(h: np.ndarray, left: np.ndarray, row: np.ndarray, sieve: Sieve) -> np.ndarray:
-    """Rows that may hold a template window of the benchmark.
+def worth_templating(h: np.ndarray, small: np.ndarray, left: np.ndarray, row: np.ndarray, lengths: list[int], sieve: Sieve) -> np.ndarray:
+    """Rows that may hold a template window of the benchmark, from words (hashes) and which of them are in small letters.
 
     Of four plain words in eight, two pairs of neighbours are at most three words apart (two gaps of four would not fit), and a pair in a
-    matching window is a pair of the benchmark's.
+    matching window is a pair of the benchmark's.  Two small words side by side, no units, are no slots: they are such a pair, too.
+    Windows under four words have no slots and are found as raw words.
     """
-    pairs = np.zeros(len(h) + WINDOW, np.int64)
+    pairs, misses = (np.zeros(len(h) + WINDOW, np.int64) for _ in range(2))
+    sure = small & ~np.isin(h, _UNIT_HASHES)
     for apart in range(1, FARTHEST + 1):
         starts = np.nonzero(left > apart)[0]
-        pairs[starts] += sieve.passes(_pair_hashes(h, starts, apart))
-    so_far = np.concatenate(([0], np.cumsum(pairs)))
-    return np.unique(row[so_far[WINDOW - 1 :][: len(h)] - so_far[: len(h)] >= 2])
+        known = sieve.passes(_pair_hashes(h, starts, apart))
+        pairs[starts] += known
+        if apart == 1:
+            misses[starts] = ~known & sure[starts] & sure[starts + 1]
+    pairs, misses = (np.concatenate(([0], np.cumsum(x))) for x in (pairs, misses))
+    n, good = len(h), np.zeros(len(h), bool)
+    near = pairs[WINDOW - 1 :][:n] - pairs[:n] >= 2
+    for size in lengths:
+        if size >= LEAST_LITERALS:
+            good |= near & (left >= size) & (misses[size - 1 :][:n] == misses[:n])
+    return np.unique(row[good])
 
 
 def _windows(texts: DataFrame, lengths: list[int], packed: np.ndarray) -> DataFrame:
@@ -201,7 +212,9 @@ def _windows(texts: DataFrame, lengths: list[int], packed: np.ndarray) -> DataFr
         hashes, sieve = WordHashes(), Sieve(packed)
         for b in sized_slices(batches, "text"):
             texts = str_texts(b, "text")
-            split = [plain_words(t) for t in texts]
+            found = [_WORDY.findall(_clean(t)) for t in texts]
+            split = [[w.lower() for w in words] for words in found]
+            small = np.fromiter((w.islower() for words in found for w in words), bool)
             lens = np.fromiter(map(len, split), np.int64, len(split))
             row = np.repeat(np.arange(len(split)), lens)
             first = np.cumsum(lens) - lens
@@ -218,7 +231,7 @@ def _windows(texts: DataFrame, lengths: list[int], packed: np.ndarray) -> DataFr
                 ats.append(at[starts[good]])
                 slots += [None] * len(ats[-1])
                 telling += [False] * len(ats[-1])
-            for i in worth_templating(h, left, row, sieve).tolist():
+            for i in worth_templating(h, small, left, row, lengths, sieve).tolist():
                 words, values = template_words(texts[i]), None
                 for size in lengths:
                     starts, fp = template_hashes(words, hashes, size)
