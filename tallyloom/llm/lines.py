@@ -11,7 +11,8 @@ Judged on the input: deleting one run does not save another.
 Edge cases: a NULL text has no lines and stays NULL; an empty text is one empty line; documents
 shorter than a run are kept; a NULL id sorts first; rows of one id sort by a hash of their text,
 and identical rows count as one document and get the same result; an empty table gives an
-empty result.  Other columns are kept and never read; ``n_lines`` and ``n_removed`` are replaced.
+empty result.  Other columns are kept and never read; ``n_lines`` and ``n_removed`` (in any case)
+are replaced.
 """
 
 from __future__ import annotations
@@ -71,13 +72,14 @@ def dedup_lines(docs: DataFrame, run: int = 3, gram: int = 2, id_col: str = "doc
     """The documents with later repeated runs of lines deleted, and columns n_lines, n_removed."""
     if not 1 <= gram <= run:
         raise ValueError("a gram has at least one line and at most as many as a run")
-    whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns if c not in ("n_lines", "n_removed")])
+    others = [c for c in docs.columns if c.lower() not in ("n_lines", "n_removed")]
+    whole = F.struct(*[F.col(f"`{c}`") for c in others])
     keyed = docs.select(
         id_key(id_col).alias("k"), F.xxhash64(text_col).alias("th"), whole.alias("doc"),
         F.split(text_col, "\n", -1).alias("lines"),
     )
     spans = repeated_runs(keyed.select("k", "th", "lines").filter("lines is not null"), run, gram)
-    both = keyed.drop("lines").join(spans, ["k", "th"], "left").withColumn("lines", F.split(F.col(f"doc.{text_col}"), "\n", -1))
+    both = keyed.drop("lines").join(spans, ["k", "th"], "left").withColumn("lines", F.split(F.col(f"doc.`{text_col}`"), "\n", -1))
     kept = F.expr(
         "if(spans is null, lines, flatten(transform(sequence(0, size(spans)), i -> slice(lines,"
         " if(i = 0, 0, spans[i - 1].hi) + 1,"
@@ -85,8 +87,8 @@ def dedup_lines(docs: DataFrame, run: int = 3, gram: int = 2, id_col: str = "doc
     )
     both = both.withColumn("kept", kept)
     out = [
-        F.when(F.col(f"doc.{c}").isNotNull(), F.array_join("kept", "\n")).alias(c) if c == text_col else F.col(f"doc.`{c}`").alias(c)
-        for c in docs.columns if c not in ("n_lines", "n_removed")
+        F.when(F.col(f"doc.`{c}`").isNotNull(), F.array_join("kept", "\n")).alias(c) if c.lower() == text_col.lower() else F.col(f"doc.`{c}`").alias(c)
+        for c in others
     ]
     n_lines, n_kept = (F.coalesce(F.size(c), F.lit(0)).cast("long") for c in ("lines", "kept"))
     zero = F.col("lines").isNull()

@@ -14,7 +14,7 @@ and texts are never shuffled.
 Edge cases: NULL domain, language or source is the value ''; a NULL or empty text has no tokens and is
 taken while its turn comes within the prefix; identical rows are taken together; a weight not listed is
 the default, weights are positive integers; an empty table gives an empty result.  Other columns are
-kept and never read.
+kept and never read; those named as an added column are replaced by it.
 """
 
 from __future__ import annotations
@@ -25,7 +25,7 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from .common import n_words, stage, text_of
+from .common import free_name, n_words, stage, text_of
 
 LEVELS = ("domain", "lang", "source")
 
@@ -82,6 +82,9 @@ def leaf_budgets(leaves: DataFrame, plan: MixPlan) -> DataFrame:
     return leaves.join(got, list(LEVELS)).withColumnRenamed("_budget", "quota")
 
 
+ADDED = ("domain", "tokens", "epoch")
+
+
 def _turn(plan: MixPlan) -> Column:
     """Place of a document in the leaf's next epoch."""
     return F.md5(F.concat_ws("|", F.lit(plan.seed), F.col("_full").cast("string"), F.col("_unit")))
@@ -89,9 +92,12 @@ def _turn(plan: MixPlan) -> Column:
 
 def mix(
     docs: DataFrame, plan: MixPlan, domain: Column, id_col: str = "doc_id", text_col: str = "text",
-    lang_col: str = "lang", source_col: str = "source",
+    lang_col: str = "lang", source_col: str = "source", added: tuple[str, str, str] = ADDED,
 ) -> DataFrame:
-    """Columns of docs plus domain, tokens, epoch: one row per document and epoch in which it is taken."""
+    """Columns of docs plus domain, tokens, epoch: one row per document and epoch in which it is taken.
+
+    ``added`` names the three new columns; a column of docs of such a name (in any case) is replaced.
+    """
     leaf = {"domain": domain, "lang": F.col(lang_col), "source": F.col(source_col)}
     rows = docs.select(
         F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"), n_words(text_col).alias("_tokens"),
@@ -124,8 +130,9 @@ def mix(
     copies = F.col("_full") + F.coalesce((_turn(plan) <= F.col("_cut")).cast("long"), F.lit(0))
     chosen = rows.join(cuts, [f"_{c}" for c in LEVELS]).withColumn("_copies", copies).filter("_copies > 0")
     chosen = chosen.withColumn("_epoch", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_copies") - 1)))
-    keep = [F.col(f"doc.`{c}`").alias(c) for c in docs.columns if c not in ("domain", "tokens", "epoch")]
-    return chosen.select(*keep, F.col("_domain").alias("domain"), F.col("_tokens").alias("tokens"), F.col("_epoch").alias("epoch"))
+    taken = {c.lower() for c in added}
+    keep = [F.col(f"doc.`{c}`").alias(c) for c in docs.columns if c.lower() not in taken]
+    return chosen.select(*keep, *[F.col(f"_{c}").alias(name) for c, name in zip(ADDED, added)])
 
 
 #: the query's plan: four domains by source number, English half of each
@@ -142,6 +149,12 @@ def mix_documents(docs: DataFrame, plan: MixPlan = QUERY_PLAN) -> DataFrame:
     return mix(docs, plan, source_domain())
 
 
+def drawn_documents(docs: DataFrame, plan: MixPlan = QUERY_PLAN) -> DataFrame:
+    """The documents that the plan draws, once per epoch, with their own columns only."""
+    mixed = mix(docs, plan, source_domain(), added=tuple(free_name(docs, c) for c in ADDED))
+    return mixed.select(*[f"`{c}`" for c in docs.columns])
+
+
 def mix_sql(table: str = "documents", plan: MixPlan = QUERY_PLAN) -> str:
     """The same rows in DuckDB SQL: doc_id, domain, lang, source, tokens, epoch."""
 

@@ -14,7 +14,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from .common import stage, text_of
+from .common import free_name, stage, text_of
 
 # fixed value of the published hash: the multiplier of its generator
 MULTIPLIER = 2862933555777941757
@@ -93,5 +93,6 @@ def assign_shards(docs: DataFrame, shards: int = 16, id_col: str = "doc_id", tex
 
 def shard_documents(docs: DataFrame, shards: int = 16, id_col: str = "doc_id") -> DataFrame:
     """The documents with a ``shard`` column (replacing one of that name)."""
-    key = F.coalesce(F.col(id_col).cast("long"), F.lit(0))
-    return docs.drop("shard").withColumn("_key", key).withColumn("shard", jump_shards("_key", [shards])[0]).drop("_key")
+    key = free_name(docs, "_key")
+    keyed = docs.drop("shard").withColumn(key, F.coalesce(F.col(id_col).cast("long"), F.lit(0)))
+    return keyed.withColumn("shard", jump_shards(f"`{key}`", [shards])[0]).drop(key)

@@ -4,18 +4,21 @@ Scores are integer inner products.  The distances of a vector to the origin and
 of the pivots and its distance from that span; the two together bound the distance of two vectors from below (more
 closely than the largest single difference of pivot distances, which eliminates nothing among vectors of many independent
 components), and so their score from above.  Within a block of candidates a query evaluates them in the order of that
-bound and stops when the bound falls under its k-th best score.  Candidates and queries are packed into blocks by hash, every
-query block meets every candidate block once, and the best k of each meeting are merged by rank.
+bound and stops when the bound falls under its k-th best score.  The table of places is computed once and staged with the
+vectors.  Candidates and queries are packed into blocks by a row key, every query block meets every candidate block once, and
+the best k of each meeting are merged by rank.
 
 Edge cases: a vector that is NULL or holds a NULL, NaN or infinite component, or has another length than most do,
-takes no part; NULL ids take no part; with fewer than k candidates all are returned; ties go to the smaller id; repeated
-rows of one id count once, and of different vectors of one id the smallest counts; an empty table gives an empty result.  Only id and vector are read.
+takes no part; NULL ids take no part; with fewer than k candidates all are returned; ties go to the smaller id; equal rows
+(one id and vector) count once; different vectors of one id are rows of their own, each a candidate of all others, and each a
+query with ranks of its own; an empty table gives an empty result.  Only id and vector are read.
 """
 
 from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -70,26 +73,47 @@ def place(far: np.ndarray, pivots: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return at, np.sqrt(np.maximum(squares[:, 0] - (at**2).sum(axis=1), 0))
 
 
+class Block(NamedTuple):
+    """Vectors with their row keys, ids and places: coordinates in the span of the pivots and, last, the distance from it."""
+
+    keys: np.ndarray
+    ids: np.ndarray
+    x: np.ndarray
+    places: np.ndarray
+
+
+def places(x: np.ndarray, pivots: np.ndarray) -> np.ndarray:
+    return np.column_stack(place(pivot_distances(x, pivots), pivots))
+
+
+def scores_with(q: np.ndarray, x: np.ndarray, exact: bool) -> np.ndarray:
+    """Inner products as long; sums of doubles only where they stay whole (``exact``)."""
+    return (x @ q if exact else x.astype(np.int64) @ q.astype(np.int64)).astype(np.int64)
+
+
 def best_of(ids: np.ndarray, rows: np.ndarray, scores: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
     top = np.lexsort((ids[rows], -scores))[:k]
     return rows[top], scores[top]
 
 
-def search_block(
-    q_ids: np.ndarray, q: np.ndarray, ids: np.ndarray, x: np.ndarray, pivots: np.ndarray, k: int
-) -> list[tuple[int, np.ndarray, np.ndarray]]:
+def search_block(asking: Block, offered: Block, k: int) -> list[tuple[int, np.ndarray, np.ndarray]]:
     """For each query the rows of its best k candidates in the block, and their scores."""
-    (q_at, q_off), (x_at, x_off) = (place(pivot_distances(v, pivots), pivots) for v in (q, x))
+    ids, x = offered.ids, offered.x.astype(np.float64)
+    q_squares, x_squares = ((b.places**2).sum(axis=1) for b in (asking, offered))
+    # doubles hold every partial sum of a product of vectors whose lengths multiply to less than 2^52
+    exact = math.sqrt(q_squares.max(initial=0) * x_squares.max(initial=0)) < 2**52
+    if not exact:
+        x = offered.x
     # |q - x|^2 is at least the squared distance in the span plus (q_off - x_off)^2, so <q, x> is at most this;
     # the last terms are more than rounding can take away
-    bounds = q_at @ x_at.T + np.outer(q_off, x_off) + 0.5 + 1e-9 * np.outer((q**2).sum(axis=1), np.ones(len(x)))
+    bounds = asking.places @ offered.places.T + 0.5 + 1e-9 * (q_squares[:, None] + x_squares[None, :])
     found = []
-    for i in range(len(q_ids)):
-        bound = bounds[i]
-        bound[ids == q_ids[i]] = -np.inf  # no row is its own candidate
+    for i in range(len(asking.ids)):
+        bound, q = bounds[i], asking.x[i]
+        bound[offered.keys == asking.keys[i]] = -np.inf  # no row is its own candidate
         first = np.argpartition(-bound, FIRST)[:FIRST] if len(bound) > FIRST else np.arange(len(bound))
         first = first[bound[first] > -np.inf]
-        best, scores = best_of(ids, first, (x[first] @ q[i]).astype(np.int64), k)
+        best, scores = best_of(ids, first, scores_with(q, x[first], exact), k)
         bound[first] = -np.inf
         rest = np.nonzero(bound >= (scores[-1] if len(best) == k else -1e300))[0]
         order = rest[np.argsort(-bound[rest], kind="stable")]
@@ -98,7 +122,7 @@ def search_block(
                 break
             rows = order[at : at + _STEP]
             best, scores = best_of(
-                ids, np.concatenate((best, rows)), np.concatenate((scores, (x[rows] @ q[i]).astype(np.int64))), k)
+                ids, np.concatenate((best, rows)), np.concatenate((scores, scores_with(q, x[rows], exact))), k)
         found.append((i, best, scores))
     return found
 
@@ -109,43 +133,56 @@ def exact_top_k(
     """query_id, rank (from 1), vec_id, score: the k best other rows of each query row."""
     given = vectors.select(F.col(id_col).cast("long").alias("vec_id"), grid(vector_col).alias("x"), F.coalesce(is_query, F.lit(False)).alias("asks"))
     given = given.filter("x is not null and vec_id is not null")
-    given = stage(given.groupBy("vec_id").agg(F.min("x").alias("x"), F.max("asks").alias("asks")), "grid")
+    given = given.groupBy("vec_id", "x").agg(F.max("asks").alias("asks"))
+    # the key is fixed by writing it
+    given = stage(given.withColumn("row", F.monotonically_increasing_id()), "grid")
     widths = given.groupBy(F.size("x").alias("width")).agg(F.count("*").alias("n")).orderBy(F.desc("n"), "width").first()
     width = widths.width if widths else 1
     given = given.filter(F.size("x") == width)
     n = widths.n if widths else 0
-    drawn = given.orderBy(F.xxhash64("vec_id"), "vec_id").select("x").limit(SAMPLE).collect()
+    drawn = given.orderBy(F.xxhash64("vec_id"), "vec_id", "x").select("x").limit(SAMPLE).collect()
     pivots = choose_pivots(np.array([r.x for r in drawn], np.float64)) if drawn else np.zeros((0, width))
     q_blocks, x_blocks = (max(1, math.ceil(n / size)) for size in (QUERY_BLOCK * 20, CANDIDATE_BLOCK))
 
+    def placed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            x = b.column("x").flatten().to_numpy(zero_copy_only=False).reshape(-1, width)
+            at = places(x.astype(np.float64), pivots)
+            at = pa.FixedSizeListArray.from_arrays(pa.array(at.ravel()), at.shape[1]).cast(pa.list_(pa.float64()))
+            yield pa.RecordBatch.from_arrays([*b.columns, at], [*b.schema.names, "at"])
+
+    table = stage(given.select("row", "vec_id", "asks", "x").mapInArrow(
+        placed, "row long, vec_id long, asks boolean, x array<long>, at array<double>"), "pivot_table")
+
     def packed(rows: DataFrame, blocks: int, block: str) -> DataFrame:
-        at = F.pmod(F.xxhash64("vec_id"), F.lit(blocks)).cast("int").alias(block)
-        return rows.select(at, "vec_id", "x").groupBy(block).agg(
-            F.collect_list(F.struct("vec_id", "x")).alias(f"{block}_rows"))
+        number = F.pmod(F.xxhash64("row"), F.lit(blocks)).cast("int").alias(block)
+        return rows.select(number, "row", "vec_id", "x", "at").groupBy(block).agg(
+            F.collect_list(F.struct("row", "vec_id", "x", "at")).alias(f"{block}_rows"))
 
-    asking = packed(given.filter("asks"), q_blocks, "q")
-    offered = packed(given, x_blocks, "c")
+    asking = packed(table.filter("asks"), q_blocks, "q")
+    offered = packed(table, x_blocks, "c")
     # each block of the query set goes to each block of rows, by an equal block number
     met = asking.withColumn("c", F.explode(F.sequence(F.lit(0), F.lit(x_blocks - 1)))).join(offered, "c").select("q_rows", "c_rows")
 
-    def unpack(rows: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    def unpack(rows: pa.Array) -> Block:
         flat = rows.flatten()
-        return flat.field("vec_id").to_numpy(zero_copy_only=False), flat.field("x").flatten().to_numpy(zero_copy_only=False).reshape(-1, width).astype(np.float64)
+        keys, ids = (flat.field(c).to_numpy(zero_copy_only=False) for c in ("row", "vec_id"))
+        x, at = (flat.field(c).flatten().to_numpy(zero_copy_only=False).reshape(len(flat), -1) for c in ("x", "at"))
+        return Block(keys, ids, x, at)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for i in range(b.num_rows):
-                q_ids, q = unpack(b.column("q_rows").slice(i, 1))
-                ids, x = unpack(b.column("c_rows").slice(i, 1))
-                found = search_block(q_ids, q, ids, x, pivots, k)
+                q, c = (unpack(b.column(name).slice(i, 1)) for name in ("q_rows", "c_rows"))
+                found = search_block(q, c, k)
                 lens = [len(rows) for _, rows, _ in found]
                 rows = np.concatenate([r for _, r, _ in found])
                 yield pa.RecordBatch.from_pydict({
-                    "query_id": pa.array(np.repeat(q_ids, lens)), "row": pa.array(np.repeat(np.arange(len(q_ids)), lens)),
-                    "vec_id": pa.array(ids[rows]), "score": pa.array(np.concatenate([s for _, _, s in found]))})
+                    "query_id": pa.array(np.repeat(q.ids, lens)), "row": pa.array(np.repeat(q.keys, lens)),
+                    "vec_id": pa.array(c.ids[rows]), "score": pa.array(np.concatenate([s for _, _, s in found]))})
 
-    near = met.mapInArrow(run, "query_id long, row long, vec_id long, score long").drop("row")
-    best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    near = met.mapInArrow(run, "query_id long, row long, vec_id long, score long")
+    best = Window.partitionBy("query_id", "row").orderBy(F.desc("score"), "vec_id")
     return near.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 
 

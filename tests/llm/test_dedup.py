@@ -125,6 +125,8 @@ def test_lines_match_brute_force(spark, run, gram):
     got = {r.doc_id: (r.n_lines, r.n_removed, r.text) for r in out.collect()}
     assert got == want
     assert lines.line_digest(corpus(spark, data).limit(0)).count() == 0
+    other = lines.dedup_lines(corpus(spark, data).drop("n_lines").withColumn("N_Lines", F.lit("own")), run, gram)
+    assert sorted(c for c in other.columns if c.lower() == "n_lines") == ["n_lines"] and other.count() == len(data)
 
 
 def test_lines_with_repeated_and_null_ids(spark):

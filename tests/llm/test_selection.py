@@ -41,6 +41,8 @@ def test_shards(spark):
         assert keys == sorted(keys)
     sizes = sorted((len((t or "").encode()) + 1, zlib.crc32((t or "").encode())) for _, t, _, _ in data)
     assert sorted((r["size"], r.text_crc32) for r in got) == sizes
+    own = sharding.shard_documents(docs(spark, data).withColumn("_key", F.lit("own")), 5)
+    assert {r._key for r in own.collect()} == {"own"}
     placed = sharding.shard_documents(docs(spark, data), 5)
     assert all(r.shard == jump(r.doc_id or 0, 5) for r in placed.collect()) and placed.columns.count("shard") == 1
     assert sharding.assign_shards(docs(spark, data).limit(0)).count() == 0
@@ -105,6 +107,10 @@ def test_mix_matches_brute_force(spark, percent, epochs):
                   if ("x" if source == "a" else "y", lang or "", source or "") == leaf]
         assert max(counts) - min(counts) <= 1 and max(counts) <= epochs
     assert {c for c in mixing.mix(docs(spark, data), plan, domain).columns} == {*[c.split()[0] for c in SCHEMA.split(", ")], "domain", "tokens"}
+    clash = docs(spark, data).withColumn("Tokens", F.lit("own")).withColumn("domain", F.lit("mine"))
+    assert "Tokens" not in mixing.mix(clash, plan, domain).columns
+    drawn = mixing.drawn_documents(clash, plan)
+    assert drawn.columns == clash.columns and all((r.Tokens, r["domain"], r.epoch) == ("own", "mine", "e") for r in drawn.collect())
     # the same plan draws the same rows, whatever the layout
     again = mixing.mix(docs(spark, data).repartition(7), plan, domain).collect()
     assert sorted((r.doc_id, r.epoch) for r in got) == sorted((r.doc_id, r.epoch) for r in again)
@@ -182,6 +188,13 @@ def test_top_k_matches_brute_force(spark, block, monkeypatch):
     for q, found in got.items():
         best = sorted((-int(x[q] @ x[i]), i) for i in range(150) if i != q)[:20]
         assert sorted(found) == [(n + 1, i, -s) for n, (s, i) in enumerate(best)]
+    twice = spark.createDataFrame([(20, [1.0, 0.0]), (1, [5.0, 0.0]), (1, [1.0, 9.0]), (2, [2.0**23, 1.0])], df.select("vec_id", "embedding").schema)
+    near = topk.exact_top_k(twice, F.lit(True), 20).filter("query_id = 20").select("rank", "vec_id", "score").collect()
+    assert sorted(map(tuple, near)) == [(1, 2, 2**35), (2, 1, 20480), (3, 1, 4096)]
+    big = [(i, [float(2**23 * (i + 1)), float(2**22 + i), 1.0]) for i in range(12)]  # scores beyond 2^53
+    near = topk.exact_top_k(spark.createDataFrame(big, "vec_id long, embedding array<double>"), F.col("vec_id") == 0, 5).collect()
+    whole = sorted((-sum(int(64 * a) * int(64 * b) for a, b in zip(big[0][1], v)), i) for i, v in big[1:])[:5]
+    assert sorted((r["rank"], r.vec_id, r.score) for r in near) == [(n + 1, i, -s) for n, (s, i) in enumerate(whole)]
     few = topk.exact_top_k(df.filter("vec_id < 5"), F.col("vec_id") == 0, 20).collect()
     assert len(few) == 4 and topk.exact_top_k(df.limit(0), F.lit(True)).count() == 0
 
@@ -194,7 +207,9 @@ def test_bound_order_stops_early():
     at, off = topk.place(topk.pivot_distances(x, pivots), pivots)
     exact = x[:50] @ x.T
     assert (at[:50] @ at.T + np.outer(off[:50], off) + 0.5 >= exact).all()
-    for i, rows, scores in topk.search_block(np.arange(5), x[:5], np.arange(3000), x, pivots, 10):
+    table = topk.places(x, pivots)
+    own = np.arange(3000)
+    for i, rows, scores in topk.search_block(topk.Block(own[:5], own[:5], x[:5], table[:5]), topk.Block(own, own, x, table), 10):
         best = sorted((-int(x[i] @ x[j]), j) for j in range(3000) if j != i)[:10]
         assert [(-s, r) for r, s in zip(rows.tolist(), scores.tolist())] == best
 
