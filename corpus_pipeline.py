@@ -5,6 +5,7 @@ columns of documents.  Mixing repeats a document once per epoch in which it is d
 
 Edge cases follow the operators': NULL and empty texts are documents without words, and all fingerprints of zero are one
 group; of rows of one id and text one stays; a NULL id sorts last among a group's rows; an empty table gives an empty result.
+Further columns pass through unread with their own values, whatever their names; only a column ``shard`` is replaced by the last stage.
 """
 
 from __future__ import annotations
@@ -32,7 +33,7 @@ def clean_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def mixed_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents drawn for the target weights of domains, languages and sources (operator 6)."""
-    return mixing.mix_documents(docs).select(*[f"`{c}`" for c in docs.columns])
+    return mixing.drawn_documents(docs)
 
 
 def sharded_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
