@@ -22,9 +22,11 @@ from __future__ import annotations
 import re
 from collections import Counter
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame, functions as F
 
 from .common import id_back, id_key, sized_slices, slices, stage, str_texts, text_of
@@ -213,12 +215,14 @@ def _windows(texts: DataFrame, lengths: list[int], packed: np.ndarray) -> DataFr
         for b in sized_slices(batches, "text"):
             texts = str_texts(b, "text")
             found = [_WORDY.findall(_clean(t)) for t in texts]
-            split = [[w.lower() for w in words] for words in found]
-            small = np.fromiter((w.islower() for words in found for w in words), bool)
-            lens = np.fromiter(map(len, split), np.int64, len(split))
-            row = np.repeat(np.arange(len(split)), lens)
+            lens = np.fromiter(map(len, found), np.int64, len(found))
+            words = list(chain.from_iterable(found))
+            small = np.fromiter(map(str.islower, words), bool, len(words))
+            row = np.repeat(np.arange(len(found)), lens)
             first = np.cumsum(lens) - lens
-            h = hashes.of([w for words in split for w in words])
+            # hashing each word is quicker here than finding it among many remembered ones
+            h = np.fromiter(map(xxhash.xxh64_intdigest, map(str.lower, words)), np.uint64, len(words))
+            del found, words
             at = np.arange(len(h)) - first[row]
             left = lens[row] - at
             fps, rows, ats, slots, telling = [], [], [], [], []
