@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from tallyloom import fixed_values as V
 from tallyloom.functions import business_days, cents_to_dollars, concat_skip_nulls, hours_between, month_diff, safe_divide, safe_int
 from tallyloom.operators import attribution, cohorts, customers, ordered, partners, recommend, reshape, series
+from tallyloom.sources.staging import stage
 
 from . import sqlgen as q
 
@@ -233,13 +234,13 @@ def _split_windows(t):
     """The ordered operators on few large groups."""
     from tallyloom.functions import mean_over
 
-    lines = t.lines.select("line_key", "partner_channel", "order_date", "revenue")
-    order, keys = [F.col("order_date").asc(), F.col("line_key").asc()], ["partner_channel"]
-    df = ordered.running_sums(lines, keys, order, {"running_revenue": F.col("revenue"), "position": F.lit(1)})
-    df = ordered.with_frames(df, keys, order, lambda w: {
+    lines = stage(t.lines.select("line_key", "partner_channel", "order_date", "revenue"), "lines")
+    order, keys, rows = ordered.by("order_date", "line_key"), ["partner_channel"], lines.count()
+    df = ordered.running_sums(lines, keys, order, {"running_revenue": F.col("revenue"), "position": F.lit(1)}, at_most=rows)
+    df = ordered.with_frames(stage(df, "sums"), keys, order, lambda w: {
         "previous_revenue": F.lag("revenue", 1).over(w), "mean_30": mean_over("revenue", w.rowsBetween(-29, 0)),
-    }, reach=29)
-    return ordered.ntiles(df, 10, [F.col("revenue").asc(), F.col("line_key").asc()], "tenth")
+    }, reach=29, at_most=rows)
+    return ordered.ntile_scores(df, 10, {"tenth": ordered.by("revenue", "line_key")})
 
 
 register(

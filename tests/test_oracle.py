@@ -49,3 +49,9 @@ def test_models_without_sql(spark):
 
 def test_entry(spark):
     assert entry.entry(spark).count() > 0
+
+
+def test_split_windows_over_cut_groups(spark, con, monkeypatch):
+    """The few groups cut into many parts."""
+    monkeypatch.setattr("tallyloom.operators.ordered.PART_ROWS", 400)
+    assert compare(spark, con, SMALL, "split_windows", entry.queries()["split_windows"], entry.oracle_sql()["split_windows"]).startswith("ok")
