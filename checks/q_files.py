@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from functools import reduce
 
 from pyspark.sql import functions as F
@@ -14,6 +15,9 @@ from .q_staging import sql
 from .spec import register
 from .tables import INTERNATIONAL_HEADERS, MARKET_HEADERS, NOW, PARAMS, PRICE_HEADERS, STOCK_HEADERS
 
+#: lines of a file under titles, about
+FILE_ROWS = 1_000_000
+
 
 def _csv(t, name: str, report):
     """The report as CSV with its columns in reverse and one more in front, read back as a source."""
@@ -48,15 +52,15 @@ _register("csv_expenses", "expenses", {f"column{i}": f"column{i}" for i in range
     "csv_skip", " ".join(f"column{i}:s" for i in range(5)),
     sql(f"SELECT {', '.join(f"NULLIF(column{i}, '') AS column{i}" for i in range(5))} FROM expenses_raw"))
 def _skip(t):
-    """Expense lines in three files, each under two title lines that are skipped again."""
+    """Expense lines in three files or more, one per million lines, each under two title lines that are skipped again."""
     folder, source, columns = new_path(t.spark, "files"), catalog.SOURCES["expenses"], [f"column{i}" for i in range(5)]
-    lines = t.expenses_raw.select(*columns).withColumn("place", F.lit(2))
-    titles = t.spark.createDataFrame([(*["title", "2024", None, None, None], 0), (*["a", "b", "c", "d", "e"], 1)], lines.schema)
-    for i in range(3):
-        part = lines.filter(F.pmod(F.xxhash64(*columns), F.lit(3)) == i).unionByName(titles)
-        part.coalesce(1).sortWithinPartitions("place").drop("place").write.mode("append").csv(
-            f"{folder}/{source.file}", quote='"', escape='"', ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False)
-    return catalog.skip_rows(catalog.read_source(t.spark, "expenses", folder), 2)
+    files = max(3, math.ceil(t.rows / FILE_ROWS))
+    lines = t.expenses_raw.select(*columns, F.lit(2).alias("place"), F.pmod(F.xxhash64(*columns), F.lit(files)).cast("int").alias("file"))
+    titles = t.spark.createDataFrame([(*["title", "2024", None, None, None], 0), (*["a", "b", "c", "d", "e"], 1)], ", ".join([*[f"{c} string" for c in columns], "place int"]))
+    lines = lines.unionByName(titles.crossJoin(t.spark.range(files).select(F.col("id").cast("int").alias("file"))))
+    lines.repartitionById(files, "file").sortWithinPartitions("file", "place").drop("place").write.partitionBy("file").csv(
+        f"{folder}/{source.file}", quote='"', escape='"', ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False)
+    return catalog.skip_rows(catalog.read_source(t.spark, "expenses", folder), 2).select(*columns)
 
 
 @register("sink_append", "o_orderkey:i o_custkey:i", "SELECT o_orderkey, o_custkey FROM orders UNION ALL SELECT o_orderkey, o_custkey FROM orders")

@@ -55,3 +55,13 @@ def test_split_windows_over_cut_groups(spark, con, monkeypatch):
     """The few groups cut into many parts."""
     monkeypatch.setattr("tallyloom.operators.ordered.PART_ROWS", 400)
     assert compare(spark, con, SMALL, "split_windows", entry.queries()["split_windows"], entry.oracle_sql()["split_windows"]).startswith("ok")
+
+
+def test_csv_skip_writes_more_files_for_more_lines(spark, con, monkeypatch):
+    """Every file is written by a task of its own, and no task writes more than a share of the lines."""
+    from checks import q_files
+
+    monkeypatch.setattr(q_files, "FILE_ROWS", 500)
+    lines = entry.queries()["csv_skip"](spark, SMALL)
+    assert 8 <= len(lines.inputFiles()) <= 24
+    assert compare(spark, con, SMALL, "csv_skip", lambda s, d: lines, entry.oracle_sql()["csv_skip"]).startswith("ok")
