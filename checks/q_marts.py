@@ -396,7 +396,7 @@ def daily(t):
 
 
 def financial(t):
-    return finance.financial_performance(t.base)
+    return finance.financial_performance(t.base, rows=t.rows)
 
 
 def summary(t):
@@ -405,7 +405,7 @@ def summary(t):
 
 def dashboard(t):
     lines = t.base_once
-    return partner.partner_dashboard(partner.daily_partner_metrics(lines), finance.financial_performance(lines), PARAMS)
+    return partner.partner_dashboard(partner.daily_partner_metrics(lines), finance.financial_performance(lines, rows=t.rows), PARAMS)
 
 
 DAILY_OUT = """daily_metrics_key:s partner_channel:s order_date:t channel_group:s customer_segment:s daily_orders:i daily_units_sold:i
@@ -454,7 +454,7 @@ def _refresh(t):
     days = [date(1996, 2, 29), date(1999, 1, 10), date(2001, 6, 14), date(2001, 6, 15)]
     path, late = new_path(t.spark, "financial_summary"), F.col("order_date").isin(days)
     first = t.base_once.filter(~late | (F.col("order_date") == days[1]) & (F.col("order_id") % 2 == 0))
-    finance.save_financial_summary(t.spark, finance.financial_summary(finance.financial_performance(first), PARAMS), path)
+    finance.save_financial_summary(t.spark, finance.financial_summary(finance.financial_performance(first, rows=t.rows), PARAMS), path)
     finance.refresh_financial_summary(t.spark, path, t.base_once, days, PARAMS)
     return read_published(t.spark, path)
 

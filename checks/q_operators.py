@@ -182,7 +182,7 @@ register(
     "product_sku:s combinations:i",
     sql(f"""SELECT product_sku, COUNT(*) AS combinations FROM (SELECT DISTINCT product_sku, {_COMBO} FROM base) AS c
             GROUP BY 1 HAVING COUNT(*) > 1"""),
-)(lambda t: reshape.duplicate_keys(t.base, "product_sku", _COMBO.split(", ")))
+)(lambda t: reshape.duplicate_keys(t.base, "product_sku", _COMBO.split(", "), t.rows))
 
 register(
     "row_hash_changes",

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tallyloom import Params
 from tallyloom.plans import raw, staging
-from tallyloom.sources.staging import stage
+from tallyloom.sources.staging import spread, stage
 
 AS_OF = date(2001, 8, 1)
 NOW = datetime(2001, 8, 1)
@@ -207,7 +207,9 @@ class Tables:
     @cached_property
     def lines(self) -> DataFrame:
         buyers = self._sql("buyers", **{n: self.given(n) for n in ("orders", "customer", "nation", "region")})
-        return self._sql("lines", lineitem=self.given("lineitem"), buyers=buyers, parts=self.parts)
+        # both joins in tasks that do not grow with the tables
+        lineitem, parts = spread(self.given("lineitem"), ["l_orderkey"], self.rows), spread(self.parts, ["p_partkey"], self.rows)
+        return self._sql("lines", lineitem=lineitem, buyers=buyers, parts=parts)
 
     @cached_property
     def market_raw(self) -> DataFrame:

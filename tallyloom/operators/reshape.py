@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, functions as F
 
 from ..functions import row_hash
+from ..sources.staging import spread
 
 
 def pivot_table(
@@ -35,9 +36,12 @@ def pivot_table(
     return df.groupBy(*group).agg(*cells)
 
 
-def duplicate_keys(df: DataFrame, key: str, attributes: Sequence[str]) -> DataFrame:
-    """Keys that occur with more than one combination of attributes."""
-    combos = df.filter(F.col(key).isNotNull()).groupBy(key, *attributes).agg(F.count(F.lit(1)).alias("rows"))
+def duplicate_keys(df: DataFrame, key: str, attributes: Sequence[str], rows: int | None = None) -> DataFrame:
+    """Keys that occur with more than one combination of attributes; many known ``rows`` are dealt to more tasks.
+
+    Rows are dealt by all columns, so a key with many rows is no single task's.
+    """
+    combos = spread(df.filter(F.col(key).isNotNull()), [key, *attributes], rows).groupBy(key, *attributes).agg(F.count(F.lit(1)).alias("rows"))
     return combos.groupBy(key).agg(F.count(F.lit(1)).alias("combinations")).filter("combinations > 1")
 
 

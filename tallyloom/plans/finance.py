@@ -12,19 +12,19 @@ from ..functions import clamp, decide, mean, mean_over, safe_divide, surrogate_k
 from ..operators.ordered import null_safe_join
 from ..params import Params
 from ..sources.sinks import merge_rows
-from ..sources.staging import stage, unstage
+from ..sources.staging import spread, stage, unstage
 from ..sources.versions import read_published, upsert_published
 
 
-def financial_performance(base: DataFrame, cost: str | None = None) -> DataFrame:
+def financial_performance(base: DataFrame, cost: str | None = None, rows: int | None = None) -> DataFrame:
     """Revenue, profit and score per channel, day, category, SKU and segment.
 
     ``cost`` names an optional cost column of the lines; without one, gross profit equals
-    revenue and the margin rate is 1.
+    revenue and the margin rate is 1.  ``rows`` is the number of lines, about, if known: a large table is dealt to more tasks.
     """
     keys = ["partner_channel", "order_date", "product_category", "product_sku", "customer_segment"]
     costs = F.sum(cost) if cost else F.lit(0)
-    df = base.groupBy(*keys).agg(
+    df = spread(base, keys, rows).groupBy(*keys).agg(
         F.sum("revenue").alias("total_revenue"),
         F.sum("quantity").alias("total_units_sold"),
         F.count_distinct("order_id").alias("total_orders"),

@@ -6,11 +6,15 @@ columnar (later reads prune columns and push filters), and never holds it on the
 
 from __future__ import annotations
 
+import math
 import uuid
+from collections.abc import Sequence
 from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
+#: rows that a task of a large exchange should hold, about
+TASK_ROWS = 250_000
 _SETTING = "spark.checkpoint.dir"
 _CLEAN_UP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
@@ -64,3 +68,13 @@ def unstage(df: DataFrame) -> None:
         if top.lstrip("/") in folder:
             path = spark._jvm.org.apache.hadoop.fs.Path(folder)
             path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def spread(df: DataFrame, keys: Sequence[str], rows: int | None) -> DataFrame:
+    """Hash partitions by the keys in tasks of about TASK_ROWS of the ``rows`` that meet there.
+
+    A join or aggregation by these keys takes the partitions over.  Where the session's number of shuffle partitions already gives
+    tasks as small, or the rows are not known, the frame stays as it is.
+    """
+    parts = math.ceil((rows or 0) / TASK_ROWS)
+    return df.repartition(parts, *keys) if parts > int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")) else df

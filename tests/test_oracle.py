@@ -65,3 +65,12 @@ def test_csv_skip_writes_more_files_for_more_lines(spark, con, monkeypatch):
     lines = entry.queries()["csv_skip"](spark, SMALL)
     assert 8 <= len(lines.inputFiles()) <= 24
     assert compare(spark, con, SMALL, "csv_skip", lambda s, d: lines, entry.oracle_sql()["csv_skip"]).startswith("ok")
+
+
+@pytest.mark.parametrize("name", ["financial_performance", "financial_summary", "partner_daily_metrics", "duplicate_keys", "customer_segments"])
+def test_tasks_follow_the_rows(spark, con, monkeypatch, name):
+    """Many lines are dealt to more tasks than the session's number of shuffle partitions, with the same result."""
+    monkeypatch.setattr("tallyloom.sources.staging.TASK_ROWS", 400)
+    assert compare(spark, con, SMALL, name, entry.queries()[name], entry.oracle_sql()[name]).startswith("ok")
+    parts = entry.queries()[name](spark, SMALL)._jdf.queryExecution().optimizedPlan().toString()
+    assert "RepartitionByExpression [l_orderkey" in parts
