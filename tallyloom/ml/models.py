@@ -7,9 +7,7 @@ import math
 import numpy as np
 import pandas as pd
 from pyspark.ml.clustering import KMeans
-from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.regression import RandomForestRegressor
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..operators import ordered
@@ -20,6 +18,7 @@ CLUSTER_FEATURES = ("total_revenue", "total_orders", "days_since_last_order", "p
 CLUSTERS = 4
 FOREST_FEATURES = ("quantity", "order_performance_score", "seasonal_avg_order_value")
 FOREST_TREES = 100
+FOREST_BINS = 32
 TRAIN_SHARE = 0.8
 OUTLIER_FEATURES = ("order_amount", "quantity", "order_performance_score")
 OUTLIER_TREES = 100
@@ -67,29 +66,116 @@ def train_split(df: DataFrame, key: str, seed: int = SEED) -> Column:
     return F.substring(F.md5(F.concat_ws("|", F.lit(str(seed)), F.coalesce(F.col(key), F.lit("")))), 1, 4) < cut
 
 
+def _cuts(train: DataFrame, name: str, bins: int) -> list[float]:
+    """Split points of a feature: between its values if they are few, else near-quantiles."""
+    few = sorted(r[0] for r in train.select(name).distinct().limit(bins + 1).collect())
+    if len(few) <= bins:
+        return [(a + b) / 2 for a, b in zip(few, few[1:])]
+    found = train.approxQuantile(name, [i / bins for i in range(1, bins)], 1 / (bins * 100))
+    return sorted(set(found))
+
+
+def _poisson(u: Column) -> Column:
+    """Draw of a Poisson distribution with mean 1 from a uniform number."""
+    below, term, draw = math.exp(-1), math.exp(-1), F.when(u < math.exp(-1), 0)
+    for k in range(1, 12):
+        term /= k
+        below += term
+        draw = draw.when(u < below, k)
+    return draw.otherwise(12)
+
+
+def _regression_tree(
+    bins: np.ndarray, w: np.ndarray, s: np.ndarray, scored: np.ndarray, rng: np.random.Generator, depth: int, tried: int,
+) -> tuple[np.ndarray, np.ndarray]:
+    """Predictions for the ``scored`` cells, and the gain of each feature, of a tree grown on cells with weights and label sums."""
+    gains, predicted = np.zeros(bins.shape[1]), np.zeros(len(scored))
+    stack = [(np.arange(len(bins)), np.arange(len(scored)), 0)]
+    while stack:
+        at, to, level = stack.pop()
+        n, total = w[at].sum(), s[at].sum()
+        best = (0.0, -1, 0)
+        if level < depth and len(at) > 1:
+            for f in rng.permutation(bins.shape[1])[:tried]:
+                wl = np.cumsum(np.bincount(bins[at, f], w[at], FOREST_BINS))[:-1]
+                sl = np.cumsum(np.bincount(bins[at, f], s[at], FOREST_BINS))[:-1]
+                wr = n - wl
+                ok = (wl > 0) & (wr > 0)
+                gain = np.where(ok, sl**2 / np.where(ok, wl, 1) + (total - sl) ** 2 / np.where(ok, wr, 1) - total**2 / n, 0.0)
+                if gain.max(initial=0.0) > max(best[0], 1e-12 * (1 + total**2 / n)):
+                    best = (float(gain.max()), int(f), int(gain.argmax()))
+        gain, f, cut = best
+        if f < 0:
+            predicted[to] = total / n
+            continue
+        gains[f] += gain
+        left, goes = bins[at, f] <= cut, scored[to, f] <= cut
+        stack.append((at[~left], to[~goes], level + 1))
+        stack.append((at[left], to[goes], level + 1))
+    return predicted, gains
+
+
 def revenue_forest(
     sales: DataFrame, key: str = "order_item_key", trees: int = FOREST_TREES, depth: int = DEEPEST, seed: int = SEED,
 ) -> DataFrame:
     """Feature importances with the fit's R² and RMSE on the held-out fifth, and the size of both parts.
 
     The split is by a hash of the row's key, so it does not change when a task is rerun.
+
+    As in MLlib's forest, a feature has at most FOREST_BINS bins, every tree takes each row a Poisson number of times, a node tries a third
+    of the features, and a split is the one that lowers the variance most.  A tree sees of the rows only the sums of each cell of bins, so
+    one pass draws the rows for all trees (by a hash of the row and the tree) and adds them up by tree and cell; after it
+    no step grows with the table.
     """
     used = sales.select(key, "order_amount", *FOREST_FEATURES)
     data = stage(_numbers(used, ("order_amount", *FOREST_FEATURES)).withColumn("__train", train_split(used, key, seed)), "forest")
-    data = VectorAssembler(inputCols=[f"__{c}" for c in FOREST_FEATURES], outputCol="__features").transform(data)
-    train, test = data.filter("__train"), data.filter("not __train")
-    model = RandomForestRegressor(
-        numTrees=trees, maxDepth=depth, seed=seed, featuresCol="__features", labelCol="__order_amount",
-        subsamplingRate=1.0,
-    ).fit(train)
-    scored = model.transform(test)
-
-    def metric(name):
-        return RegressionEvaluator(labelCol="__order_amount", metricName=name).evaluate(scored)
-
-    r2, rmse = metric("r2"), metric("rmse")
-    sizes = (train.count(), test.count())
-    rows = [(f, float(w), r2, rmse, *sizes) for f, w in zip(FOREST_FEATURES, model.featureImportances.toArray())]
+    names = [f"__{c}" for c in FOREST_FEATURES]
+    y, train = F.col("__order_amount"), data.filter("__train")
+    cuts = [_cuts(train, name, FOREST_BINS) for name in names]
+    cell = F.lit(0)
+    for name, points in zip(names, cuts):
+        cell = cell * FOREST_BINS + sum(((F.col(name) > p).cast("int") for p in points), F.lit(0))
+    # labels around their mean: sums of squares lose no digits
+    middle = train.agg(F.avg(y)).first()[0]
+    if middle is None:
+        raise ValueError("no rows to fit")
+    row = F.xxhash64(F.lit(seed), key, y, *names)
+    drawn = train.select(cell.alias("cell"), (y - F.lit(middle)).alias("y"), row.alias("row")).select(
+        "cell", "y", "row", F.explode(F.sequence(F.lit(0), F.lit(trees - 1))).alias("tree"))
+    # rows that a tree does not draw go before anything else is computed
+    u = F.pmod(F.xxhash64("row", "tree"), F.lit(1 << 30)) / float(1 << 30)
+    drawn = drawn.select("tree", "cell", "y", u.alias("u")).filter(F.col("u") >= math.exp(-1))
+    drawn = drawn.select("tree", "cell", "y", _poisson(F.col("u")).alias("times"))
+    grown_on = drawn.groupBy("tree", "cell").agg(F.sum("times").cast("double").alias("w"), F.sum(F.col("y") * F.col("times")).alias("s"))
+    held = stage(data.filter("not __train").groupBy(cell.alias("cell")).agg(
+        F.count(F.lit(1)).alias("n"), F.avg(y - F.lit(middle)).alias("mean"), F.var_pop(y).alias("spread")), "held_out")
+    cells = np.array([r.cell for r in held.select("cell").collect()], int)  # at most FOREST_BINS ** 3
+    tried = max(1, math.ceil(len(names) / 3))
+
+    def digits(x: np.ndarray) -> np.ndarray:
+        return np.column_stack([x // FOREST_BINS**i % FOREST_BINS for i in range(len(names) - 1, -1, -1)])
+
+    def grow(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values("cell")
+        rng = np.random.default_rng([seed, int(pdf["tree"].iloc[0])])
+        at = digits(pdf["cell"].to_numpy(int))
+        predicted, gains = _regression_tree(at, pdf["w"].to_numpy(), pdf["s"].to_numpy(), digits(cells), rng, depth, tried)
+        shares = gains / gains.sum() if gains.sum() > 0 else gains
+        # a negative cell is a feature's share of the gain
+        return pd.DataFrame({"cell": np.r_[cells, -1 - np.arange(len(shares))], "value": np.r_[predicted, shares]})
+
+    found = stage(grown_on.groupBy("tree").applyInPandas(grow, "cell int, value double").groupBy("cell").agg(F.avg("value").alias("value")), "forest")
+    shares = {r.cell: r.value for r in found.filter("cell < 0").collect()}
+    n, mean = F.col("n"), F.col("mean")
+    whole = held.agg(F.sum("n").alias("n"), F.try_divide(F.sum(n * mean), F.sum("n")).alias("mean")).first()
+    off = held.join(found, "cell").agg(
+        F.sum(n * (F.col("spread") + (mean - F.col("value")) ** 2)).alias("error"),
+        F.sum(n * (F.col("spread") + (mean - F.lit(whole["mean"])) ** 2)).alias("total")).first()
+    tested = whole["n"] or 0
+    r2 = 1 - off["error"] / off["total"] if tested and off["total"] else math.nan
+    rmse = math.sqrt(off["error"] / tested) if tested else math.nan
+    sizes, all_shares = (train.count(), tested), sum(shares.values())
+    rows = [(f, shares[-1 - i] / all_shares if all_shares else 0.0, r2, rmse, *sizes) for i, f in enumerate(FOREST_FEATURES)]
     return sales.sparkSession.createDataFrame(
         rows, "feature string, importance double, r2 double, rmse double, train_rows long, test_rows long")
 

@@ -2,6 +2,7 @@
 
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -28,3 +29,26 @@ def test_train_split_is_by_key(spark):
     share = df.filter(models.train_split(df, "k")).count() / 5000
     assert 0.78 < share < 0.82
     assert rows(df.filter(models.train_split(df, "k")), "k") == rows(df.repartition(5).filter(models.train_split(df, "k")), "k")
+
+
+def test_forest_ignores_partitioning(spark):
+    """Steps and a slope in more values than bins, with noise."""
+    rng = random.Random(9)
+    data = []
+    for i in range(3000):
+        q, p, m = rng.randrange(1, 51), rng.choice((60, 70, 80)), rng.choice((10.5, 20.25, 30.0, None))
+        data.append((f"k{i}", 10.0 * q + (40 if p > 60 else 0) + (m or 0) + rng.gauss(0, 20), q, p, m))
+    df = spark.createDataFrame(data, "order_item_key string, order_amount double, quantity int, order_performance_score int, seasonal_avg_order_value double")
+    few, many = (models.revenue_forest(df.repartition(parts), trees=20).collect() for parts in (2, 7))
+    for a, b in zip(few, many):
+        assert a.feature == b.feature and tuple(a)[1:] == pytest.approx(tuple(b)[1:], rel=1e-6)
+    assert sum(r.importance for r in few) == pytest.approx(1) and few[0].importance == max(r.importance for r in few)
+    assert few[0].train_rows + few[0].test_rows == df.dropna().count() and few[0].r2 > 0.6
+
+
+def test_regression_tree_grows_to_the_cells():
+    """One tree that may try every feature predicts each cell's own mean."""
+    bins = np.array([(a, b) for a in range(5) for b in range(3)])
+    mean = np.random.default_rng(1).normal(size=len(bins))
+    predicted, gains = models._regression_tree(bins, np.full(len(bins), 2.0), 2 * mean, bins, np.random.default_rng(2), 30, 2)
+    assert predicted == pytest.approx(mean) and (gains > 0).all()
