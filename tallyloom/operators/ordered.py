@@ -82,7 +82,7 @@ def _group(keys: Sequence[str]) -> Column:
 
 def _text_share(c: Column) -> Column:
     """Place of a text among all texts, from 0 up to 1, by its first four bytes."""
-    return F.conv(F.rpad(F.substring(F.hex(c), 1, 8), 8, "0"), 16, 10).cast("double") / 2**32
+    return F.conv(F.rpad(F.substring(F.hex(F.substring(c, 1, 4)), 1, 8), 8, "0"), 16, 10).cast("double") / 2**32
 
 
 def _code(df: DataFrame, order: Sequence[By]) -> Column:
@@ -142,13 +142,15 @@ def _parted(
     if not large:
         return laid.withColumn("__part", F.lit(0)), False
     marked = laid.withColumn("__h", F.xxhash64(*keys) if keys else F.lit(0).cast("bigint")).withColumn("__code", _code(df, order))
-    cuts = df.sparkSession.createDataFrame(_cuts(marked, large, rows), "__h bigint, __cuts array<double>")
-    # halving steps to the number of cuts at or below the row's code
-    steps = F.array(*[F.lit(2**i) for i in range(GROUP_PARTS.bit_length() - 1, -1, -1)])
-    part = F.aggregate(
-        steps, F.lit(0), lambda at, step: F.when(F.get("__cuts", at + step - 1) <= F.col("__code"), at + step).otherwise(at))
-    marked = marked.join(F.broadcast(cuts), "__h", "left")
-    return marked.withColumn("__part", F.when(F.col("__cuts").isNotNull(), part)).drop("__h", "__code", "__cuts"), True
+    found = _cuts(marked, large, rows)
+    cuts = df.sparkSession.createDataFrame(found, "__h bigint, __cuts array<double>")
+    marked = marked.join(F.broadcast(cuts), "__h", "left").withColumn("__part", F.when(F.col("__cuts").isNotNull(), F.lit(0)))
+    # halving steps to the number of cuts at or below the row's code, as many as the longest list needs; a column each, so that all are
+    # generated code and none is evaluated twice
+    for i in reversed(range(max((len(c) for _, c in found), default=0).bit_length())):
+        at, step = F.col("__part"), 2**i
+        marked = marked.withColumn("__part", F.when(F.get("__cuts", at + (step - 1)) <= F.col("__code"), at + step).otherwise(at))
+    return marked.drop("__h", "__code", "__cuts"), True
 
 
 def _check_exact(df: DataFrame, sums: dict[str, Column]) -> None:
@@ -257,6 +259,23 @@ def with_frames(
     return (found.filter("not __copy") if cut else found).drop("__k", "__part", "__copy")
 
 
+def numbered_frames(
+    df: DataFrame, keys: Sequence[str], inside: Sequence[str], order: Sequence[By],
+    exprs: Callable[[WindowSpec], dict[str, Column]], reach: int, out: str, at_most: int | None = None,
+) -> DataFrame:
+    """Position of each row within its group (``out``) and, beside it, ``with_frames`` within its subgroup (further key columns).
+
+    Where no group is large, one exchange by the group serves both.
+    """
+    laid, cut = _parted(df, keys, order, at_most)
+    if cut:
+        framed = stage(with_frames(df, [*keys, *inside], order, exprs, reach, at_most=at_most), "frames")
+        return row_numbers(framed, keys, order, out, at_most)
+    group, sub = Window.partitionBy("__k", "__part"), Window.partitionBy("__k", "__part", *inside)
+    found = laid.withColumn(out, F.row_number().over(group.orderBy(*_sorts(order))).cast("bigint"))
+    return found.withColumns(exprs(sub.orderBy(*_sorts(order)))).drop("__k", "__part")
+
+
 def _tile_starts(df: DataFrame, total: int, n: int, order: Sequence[By]) -> list[tuple]:
     """The ordering's values of the first row of each tile but the first."""
     q, r = divmod(total, n)
@@ -334,6 +353,23 @@ def value_ranks(
     return null_safe_join(df, ranks, [*keys, value])
 
 
+def row_ranks(
+    df: DataFrame, keys: Sequence[str], value: str, out: str, descending: bool = False, at_most: int | None = None,
+) -> DataFrame:
+    """RANK of a value within its group, for values that seldom repeat: the rows themselves are ranked, in one exchange.
+
+    Equal values have one code and so lie in one part, which makes a rank the rank within the part after the rows of earlier parts.
+    """
+    order = by(value, descending=descending)
+    laid, cut = _parted(df, keys, order, at_most)
+    found = laid.withColumn(out, F.rank().over(Window.partitionBy("__k", "__part").orderBy(*_sorts(order))).cast("bigint"))
+    if cut:
+        before = _part_sums(laid, {"n": F.lit(1).cast("bigint")}, {}).select("__k", "__part", "__before_n")
+        found = found.join(F.broadcast(before), ["__k", "__part"], "left")
+        found = found.withColumn(out, F.col(out) + F.coalesce("__before_n", F.lit(0).cast("bigint"))).drop("__before_n")
+    return found.drop("__k", "__part")
+
+
 def exact_percentiles(df: DataFrame, keys: Sequence[str], value: str, wanted: dict[str, float]) -> DataFrame:
     """Linearly interpolated percentiles per group, one row per group.
 

@@ -114,24 +114,22 @@ def unified_sales(orders: DataFrame, international: DataFrame) -> DataFrame:
         lambda w: {"rolling_30d_avg_order_value": mean_over("order_amount", w.rowsBetween(-29, 0))}, reach=29,
         counts={"customer_segment_order_count": ["customer_segment"]}, at_most=rows,
     ).select(key, "rolling_30d_avg_order_value", "customer_segment_order_count")
-    by_sku = ordered.row_numbers(base.select(*ordering, "sku"), ["sku"], order, "product_order_sequence", rows).select(
-        key, "product_order_sequence")
-    by_channel_sku = ordered.with_frames(
-        base.select(*ordering, "sales_channel", "sku", "recognized_revenue"), ["sales_channel", "sku"], order, lambda w: {
+    by_sku = ordered.numbered_frames(
+        base.select(*ordering, "sales_channel", "sku", "recognized_revenue"), ["sku"], ["sales_channel"], order, lambda w: {
             "prev_order_amount": F.lag("order_amount", 1).over(w),
             "rolling_7d_revenue": F.sum("recognized_revenue").over(w.rowsBetween(-6, 0)),
-        }, reach=6, at_most=rows,
-    ).select(key, "prev_order_amount", "rolling_7d_revenue")
+        }, reach=6, out="product_order_sequence", at_most=rows,
+    ).select(key, "product_order_sequence", "prev_order_amount", "rolling_7d_revenue")
 
     score, ranked = "composite_performance_score", base.select(
         key, "product_category", "sales_channel", "order_date", "composite_performance_score", "order_amount")
-    ranks = ordered.value_ranks(ranked, ["product_category"], score, descending=True, dense="category_performance_rank", at_most=rows)
-    ranks = ordered.value_ranks(ranks, ["sales_channel"], score, percent="channel_performance_percentile", source=ranked, at_most=rows)
+    ranks = ordered.row_ranks(ranked, ["sales_channel", "order_date"], "order_amount", "daily_order_rank", descending=True, at_most=rows)
     ranks = ordered.value_ranks(
-        ranks, ["sales_channel", "order_date"], "order_amount", descending=True, rank="daily_order_rank", source=ranked, at_most=rows)
+        ranks, ["product_category"], score, descending=True, dense="category_performance_rank", source=ranked, at_most=rows)
+    ranks = ordered.value_ranks(ranks, ["sales_channel"], score, percent="channel_performance_percentile", source=ranked, at_most=rows)
     ranks = ranks.select(key, "category_performance_rank", "channel_performance_percentile", "daily_order_rank")
 
-    df = base.join(by_channel.join(by_sku, key).join(by_channel_sku, key).join(ranks, key), key)
+    df = base.join(by_channel.join(by_sku, key).join(ranks, key), key)
     seasonal = base.groupBy("season", "product_category").agg(mean("order_amount").alias("seasonal_avg_order_value"))
     df = ordered.null_safe_join(df, seasonal, ["season", "product_category"], "left")
     growth = safe_divide(F.col("order_amount") - F.col("prev_order_amount"), "prev_order_amount") * 100

@@ -16,7 +16,9 @@ from pyspark.sql import DataFrame, SparkSession
 #: rows that a task of a large exchange should hold, about
 TASK_ROWS = 250_000
 _SETTING = "spark.checkpoint.dir"
-_CLEAN_UP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+#: settings of the jobs that write a staged table: their shuffle files go when the job ends, and whole-stage code gives way
+#: where a method would be longer (in bytes) than HotSpot compiles, which would leave it interpreted row by row
+_WRITING = {"spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true", "spark.sql.codegen.hugeMethodLimit": "8000"}
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -41,21 +43,23 @@ def new_path(spark: SparkSession, label: str) -> str:
 
 
 @contextmanager
-def _shuffles_removed(spark: SparkSession):
-    """Shuffle files of the jobs inside go when each job ends: their result is a table."""
-    before = spark.conf.get(_CLEAN_UP, None)
-    spark.conf.set(_CLEAN_UP, "true")
+def _writing(spark: SparkSession):
+    """Settings of the jobs inside, whose result is a table."""
+    before = {name: spark.conf.get(name, None) for name in _WRITING}
+    for name, value in _WRITING.items():
+        spark.conf.set(name, value)
     try:
         yield
     finally:
-        spark.conf.unset(_CLEAN_UP) if before is None else spark.conf.set(_CLEAN_UP, before)
+        for name, value in before.items():
+            spark.conf.unset(name) if value is None else spark.conf.set(name, value)
 
 
 def stage(df: DataFrame, label: str) -> DataFrame:
     """Write the frame once and read it back from there."""
     spark = df.sparkSession
     path = new_path(spark, label)
-    with _shuffles_removed(spark):
+    with _writing(spark):
         df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 

@@ -112,6 +112,34 @@ def test_value_ranks(skewed, part_rows):
     assert rows(got, "id", "r", "d", F.round("p", 9)) == rows(plain, "id", "r", "d", F.round("p", 9))
 
 
+def test_numbers_and_frames_of_subgroups_share_an_exchange(skewed, part_rows):
+    def exprs(w):
+        return {"lag": F.lag("v", 1).over(w), "sum": F.sum("v").over(w.rowsBetween(-6, 0))}
+
+    plain = skewed.withColumns(exprs(Window.partitionBy("k", "v").orderBy(*order())))
+    plain = plain.withColumn("n", F.row_number().over(Window.partitionBy("k").orderBy(*order())))
+    got = ordered.numbered_frames(skewed, ["k"], ["v"], by(), exprs, 6, "n")
+    assert set(got.columns) == set(plain.columns)
+    assert rows(got, "id", "lag", "sum", "n") == rows(plain, "id", "lag", "sum", "n")
+    if part_rows == 500_000:
+        assert got._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") == 1
+
+
+@pytest.mark.parametrize("keys", [["k"], []])
+@pytest.mark.parametrize("down", [False, True])
+def test_row_ranks(skewed, keys, down, part_rows):
+    w = Window.partitionBy(*keys).orderBy(F.col("v").desc_nulls_last() if down else F.col("v").asc_nulls_last())
+    plain = skewed.withColumn("r", F.rank().over(w))
+    assert rows(ordered.row_ranks(skewed, keys, "v", "r", down), "id", "r") == rows(plain, "id", "r")
+
+
+def test_parts_are_assigned_in_generated_code(skewed, monkeypatch):
+    """No lambda runs over the cut points of a row."""
+    monkeypatch.setattr(ordered, "PART_ROWS", 20)
+    laid, cut = ordered._parted(skewed, ["k"], by())
+    assert cut and "lambda" not in laid._jdf.queryExecution().executedPlan().toString()
+
+
 def test_percentiles_and_mode(skewed, spark):
     import numpy as np
 

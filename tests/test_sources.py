@@ -175,3 +175,13 @@ def test_headers_decide(spark, tmp_path):
 def test_stage_reads_session_folder(spark):
     df = stage(spark.range(3), "x")
     assert spark.conf.get("spark.checkpoint.dir") in df.inputFiles()[0] and df.count() == 3
+
+
+def test_staged_writes_leave_no_method_too_long_to_compile(spark):
+    from tallyloom.sources import staging
+
+    name = "spark.sql.codegen.hugeMethodLimit"
+    before = spark.conf.get(name)
+    with staging._writing(spark):
+        assert spark.conf.get(name) == "8000"
+    assert spark.conf.get(name) == before
