@@ -211,6 +211,54 @@ def _grow(x: np.ndarray, rng: np.random.Generator, max_depth: int) -> list[tuple
     return [tuple(n) for n in nodes]
 
 
+def _leaf_masks(
+    feature: np.ndarray, cut: np.ndarray, left: np.ndarray, right: np.ndarray, path: np.ndarray, places: list[np.ndarray],
+) -> tuple[list[np.ndarray], list[np.ndarray], np.ndarray]:
+    """A tree as bits of its leaves, left to right: per feature the leaves that the row's cuts leave open, and the leaves' paths.
+
+    A row beyond the cut of a node cannot end left of that node, so of the leaves that no node closes it ends in the first.  The first
+    list leads from a place among all cuts of a feature (``places``) to one among the tree's own, the second from there to the open leaves.
+    """
+    leaves: list[int] = []
+    under: dict[int, tuple[int, int]] = {}
+    stack = [(0, False)]
+    while stack:
+        node, done = stack.pop()
+        if feature[node] < 0:
+            under[node] = (len(leaves), len(leaves) + 1)
+            leaves.append(node)
+        elif done:
+            under[node] = (under[left[node]][0], under[right[node]][1])
+        else:
+            stack += [(node, True), (right[node], False), (left[node], False)]
+    words = -(-len(leaves) // 64)
+    own, masks = [], []
+    for f, cuts in enumerate(places):
+        nodes = np.flatnonzero(feature == f)
+        nodes = nodes[np.argsort(cut[nodes], kind="stable")]
+        mask = np.ones((len(nodes) + 1, words * 64), bool)
+        for i, node in enumerate(nodes):
+            mask[i + 1 :, slice(*under[left[node]])] = False
+        # of place p the cuts before it are passed
+        own.append(np.searchsorted(cut[nodes], np.append(-np.inf, cuts), side="right").astype(np.int32))
+        masks.append(np.packbits(mask, axis=1, bitorder="little").view("<u8"))
+    return own, masks, path[leaves]
+
+
+def _path_lengths(cells: list[np.ndarray], own: list[np.ndarray], masks: list[np.ndarray], path: np.ndarray) -> np.ndarray:
+    """Path length of each row in one tree, from its places among all cuts of each feature."""
+    rows = [table[cell] for table, cell in zip(own, cells)]
+    leaf = np.full(len(cells[0]), -1)
+    for word in reversed(range(masks[0].shape[1])):
+        open_ = masks[0][:, word][rows[0]]
+        for mask, row in zip(masks[1:], rows[1:]):
+            open_ &= mask[:, word][row]
+        # the place of the lowest bit is the number of bits below it
+        first = np.bitwise_count((open_ & -open_) - np.uint64(1)).astype(np.int64) + 64 * word
+        leaf = np.where(open_ != 0, first, leaf)
+    return path[leaf]
+
+
 def isolation_forest(
     sales: DataFrame, trees: int = OUTLIER_TREES, sample: int = OUTLIER_SAMPLE,
     contamination: float = CONTAMINATION, seed: int = SEED, key: str = "order_item_key",
@@ -247,28 +295,21 @@ def isolation_forest(
     forest = drawn.groupBy("tree").applyInPandas(
         grow, "node int, feature int, cut double, left int, right int, path double, tree int, size int"
     ).toPandas()  # at most trees x 2 x sample rows
+    places = [np.unique(forest["cut"][forest["feature"] == f]) for f in range(len(names))]
     packed = []
     for _, t in forest.sort_values(["tree", "node"]).groupby("tree"):
-        packed.append(tuple(t[c].to_numpy() for c in ("feature", "cut", "left", "right", "path")))
+        packed.append(_leaf_masks(*(t[c].to_numpy() for c in ("feature", "cut", "left", "right", "path")), places))
     scale = float(_path_adjustment(forest["size"].mean()))
-    shared = sales.sparkSession.sparkContext.broadcast((packed, scale))
+    shared = sales.sparkSession.sparkContext.broadcast((packed, places, scale))
 
     @F.pandas_udf("double")
     def score(a: pd.Series, b: pd.Series, c: pd.Series) -> pd.Series:
-        x = np.column_stack([a, b, c]).astype(float)
-        model, norm = shared.value
-        total = np.zeros(len(x))
-        for feature, cut, left, right, path in model:
-            at = np.zeros(len(x), int)
-            while True:
-                inner = feature[at] >= 0
-                if not inner.any():
-                    break
-                i = np.flatnonzero(inner)
-                node = at[i]
-                goes_left = x[i, feature[node]] <= cut[node]
-                at[i] = np.where(goes_left, left[node], right[node])
-            total += path[at]
+        model, at, norm = shared.value
+        # a row's place among all cuts of a feature, found once for all trees
+        cells = [np.searchsorted(cuts, x.to_numpy(float)) for cuts, x in zip(at, (a, b, c))]
+        total = np.zeros(len(a))
+        for tree in model:
+            total += _path_lengths(cells, *tree)
         return pd.Series(np.power(2.0, -(total / len(model)) / norm))
 
     scored = stage(data.withColumn("anomaly_score", F.round(score(*names), 9)).drop(*names), "scores")

@@ -52,3 +52,22 @@ def test_regression_tree_grows_to_the_cells():
     mean = np.random.default_rng(1).normal(size=len(bins))
     predicted, gains = models._regression_tree(bins, np.full(len(bins), 2.0), 2 * mean, bins, np.random.default_rng(2), 30, 2)
     assert predicted == pytest.approx(mean) and (gains > 0).all()
+
+
+@pytest.mark.parametrize("sample", [2, 40, 300])
+def test_leaf_masks_end_in_the_leaf_that_the_walk_reaches(sample):
+    """Also rows that lie on a cut, and trees of more leaves than one word of bits."""
+    rng = np.random.default_rng(sample)
+    x = np.column_stack([rng.normal(size=sample).round(2), rng.integers(0, 9, sample), rng.integers(0, 2, sample)]).astype(float)
+    trees = [[np.array(c) for c in zip(*models._grow(x, np.random.default_rng(i), 12))] for i in range(3)]
+    places = [np.unique(np.concatenate([t[2][t[1] == f] for t in trees])) for f in range(3)]
+    tried = np.concatenate([x, x + 0.3, [[1e9] * 3, [-1e9] * 3], np.column_stack([np.resize(p if len(p) else [0.0], 50) for p in places])])
+    cells = [np.searchsorted(p, tried[:, f]) for f, p in enumerate(places)]
+    for _, feature, cut, left, right, path in trees:
+        walked = []
+        for row in tried:
+            at = 0
+            while feature[at] >= 0:
+                at = left[at] if row[feature[at]] <= cut[at] else right[at]
+            walked.append(path[at])
+        assert models._path_lengths(cells, *models._leaf_masks(feature, cut, left, right, path, places)).tolist() == walked
