@@ -16,6 +16,13 @@ from ..sources.staging import spread, stage, unstage
 from ..sources.versions import read_published, upsert_published
 
 
+#: columns of the lines that financial performance reads, beside a cost column; callers that stage lines for it stage these
+LINE_COLUMNS = (
+    "partner_channel", "order_date", "product_category", "product_sku", "customer_segment", "order_id", "revenue", "quantity",
+    "revenue_per_unit",
+)
+
+
 def financial_performance(base: DataFrame, cost: str | None = None, rows: int | None = None) -> DataFrame:
     """Revenue, profit and score per channel, day, category, SKU and segment.
 

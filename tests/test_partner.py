@@ -32,3 +32,13 @@ def test_daily_distinct_counts_meet_in_bounded_tasks(spark, monkeypatch):
     assert rows(got, *outs) == rows(plain, *outs)
     plan = got._jdf.queryExecution().optimizedPlan().toString()
     assert "Expand" not in plan and "RepartitionByExpression" in plan
+
+
+def test_financial_performance_reads_its_named_columns_only(spark):
+    from tallyloom.plans import finance
+
+    data = [("amazon", date(2022, 1, 1 + i % 2), "c", f"s{i % 3}", "b2b", i % 4, i + 1, 2, 1.5, "x") for i in range(20)]
+    base = spark.createDataFrame(data, """partner_channel string, order_date date, product_category string, product_sku string,
+        customer_segment string, order_id long, revenue long, quantity int, revenue_per_unit double, more string""")
+    whole, narrow = (finance.financial_performance(df) for df in (base, base.select(*finance.LINE_COLUMNS)))
+    assert rows(narrow, *whole.columns) == rows(whole, *whole.columns)
