@@ -13,7 +13,9 @@ Comparisons first look at sizes and sketches: 512 parities of the set's tokens,
 that only one set has, and 128 minwise bits (threshold from the binomial tail).  Candidates that pass are decided by their whole sets.  Every point first meets its best mate of each node; once those links
 have merged groups, only pairs of different groups are compared further, all of them.  Nodes that stay large at the last
 level are cut into bounded runs, then represented by one point per group, and at last the points outside a node's main group are
-compared with the whole node, so a group of copies never forms all its pairs.
+compared with the whole node, block by block, so a group of copies never forms all its pairs.  There the parities are 2,048, which
+leaves few pairs just below the similarity, and of the nodes that two points share only one passes their pair on.  The comparisons
+themselves still grow with the square of the points of a large node that stay in different groups.
 
 Missed links: at the similarity itself at most 1 - recall per pair (1e-5 by default) and 1e-7 by sketch, less above it.
 
@@ -40,10 +42,12 @@ BRANCHES, DEPTH, SMALL = 2, 3, 64
 RECALL, SKETCH_MISS = 0.99999, 1e-7
 #: words of 64 minwise bits, and words of 64 parities
 SKETCH_WORDS, PARITY_WORDS = 2, 8
+#: words of parities of the points of large nodes, where near misses would be many
+WIDE_WORDS = 32
 #: bits of the maps of large nodes and of points whose sets are needed
 MAP_BITS, NEEDED_BITS = 2**23, 2**25
-#: points that are compared at a time in a node that stays large, and parts of such a node when it is compared as a whole
-RUN, SALTS = 512, 16
+#: points that are compared at a time in a node that stays large, points of a block when it is compared as a whole, and most blocks a side
+RUN, BLOCK, SIDE = 512, 2048, 16
 _MINWISE, _PARITY = [f"s{i}" for i in range(SKETCH_WORDS)], [f"x{i}" for i in range(PARITY_WORDS)]
 _SKETCH = _MINWISE + _PARITY
 _ROW = "node long, p long, n int, " + ", ".join(f"{s} long" for s in _SKETCH)
@@ -94,10 +98,10 @@ def sketch_of(tokens: np.ndarray) -> np.ndarray:
     return np.packbits((_mixed(least, 0) >> np.uint64(63)).astype(np.uint8), bitorder="little").view("<u8")
 
 
-def parities_of(tokens: np.ndarray) -> np.ndarray:
-    """Parities of the numbers of tokens that fall on each of 64 * PARITY_WORDS places."""
-    places = (_mixed(tokens, 0) >> np.uint64(32)).astype(np.int64) % (64 * PARITY_WORDS)
-    odd = np.bincount(places, minlength=64 * PARITY_WORDS) & 1
+def parities_of(tokens: np.ndarray, words: int = PARITY_WORDS) -> np.ndarray:
+    """Parities of the numbers of tokens that fall on each of 64 * ``words`` places."""
+    places = (_mixed(tokens, 0) >> np.uint64(32)).astype(np.int64) % (64 * words)
+    odd = np.bincount(places, minlength=64 * words) & 1
     return np.packbits(odd.astype(np.uint8), bitorder="little").view("<u8")
 
 
@@ -266,6 +270,11 @@ def _alike(t: pa.Table, percent: int, bits: int, most: int | None) -> Iterator[t
         yield i[good], j[good], -apart[good]
 
 
+def _differing(many: np.ndarray, one: np.ndarray) -> np.ndarray:
+    """Unequal bits of each column of ``many`` and the words ``one``."""
+    return np.bitwise_count(many ^ one[:, None]).sum(axis=0, dtype=np.int64)
+
+
 def _mates(rows: DataFrame, percent: int, bits: int, most: int | None) -> DataFrame:
     """Rows that have a mate in their node, with the best one (``mate``), from rows sorted by node."""
 
@@ -359,22 +368,69 @@ def _merged(roots: DataFrame, links: DataFrame) -> DataFrame:
     return roots if links.isEmpty() else components(roots.toDF("a", "b").unionByName(links))
 
 
-def _crowd_pairs(crowd: DataFrame, percent: int, bits: int) -> DataFrame:
-    """All pairs of different groups in large nodes: the points outside the main group of each node against all its points."""
+def _marked(sets: DataFrame) -> DataFrame:
+    """(p, marks): the parities of sets on WIDE_WORDS words."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in slices(batches):
+            marks = [parities_of(np.frombuffer(t, np.uint64), WIDE_WORDS).tobytes() for t in b.column("tokens").to_pylist()]
+            yield pa.RecordBatch.from_arrays([b.column("p"), pa.array(marks, pa.binary())], ["p", "marks"])
+
+    return sets.mapInArrow(run, "p long, marks binary")
+
+
+def _crowd_pairs(crowd: DataFrame, sets: DataFrame, percent: int, bits: int) -> DataFrame:
+    """Pairs of different groups in large nodes, each once: the points outside the main group of each node against all its points."""
     sizes = crowd.groupBy("node", "root").agg(F.count("*").alias("c"))
-    main = sizes.groupBy("node").agg(F.max(F.struct("c", "root")).alias("m"), F.count("*").alias("groups")).filter("groups > 1")
-    salts = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt")
-    main = main.select("node", F.col("m.root").alias("main"), salts)
-    rows = crowd.withColumn("salt", F.pmod(F.xxhash64("p"), F.lit(SALTS)).cast("int")).join(main, ["node", "salt"])
-    rest = rows.filter("root <> main").drop("salt", "main")
-    rest = rest.select("*", salts).withColumnsRenamed({c: f"{c}_" for c in ("p", "n", "root", *_SKETCH)})
-    other, odd = (" + ".join(f"bit_count({s} ^ {s}_)" for s in names) for names in (_MINWISE, _PARITY))
-    # of two points outside the main group the pair is met twice and kept once
-    allowed = F.expr(
-        f"root <> root_ and (root = main or p < p_) and 100 * least(n, n_) >= {percent} * greatest(n, n_)"
-        f" and {100 + percent} * ({odd}) <= {100 - percent} * (n + n_) and {other} <= {64 * SKETCH_WORDS - bits}")
-    met = rows.join(rest, ["node", "salt"]).filter(allowed)
-    return met.select(F.least("p", "p_").alias("a"), F.greatest("p", "p_").alias("b")).distinct()
+    main = sizes.groupBy("node").agg(
+        F.max(F.struct("c", "root")).alias("m"), F.count("*").alias("groups"), F.sum("c").alias("c")).filter("groups > 1")
+    down, across = (F.least(F.ceil(c / BLOCK), F.lit(SIDE)).cast("int") for c in (F.col("c"), F.col("c") - F.col("m.c")))
+    main = main.select("node", F.col("m.root").alias("main"), down.alias("n_down"), across.alias("n_across"))
+    points = crowd.groupBy("p").agg(F.collect_set("node").alias("nodes")).join(_marked(sets), "p")
+    own = stage(crowd.select("node", "p", "n", "root", *_MINWISE).join(main, "node").join(points, "p"), "crowd")
+    # a node is a rectangle of blocks: its points by rows, those outside the main group by columns
+    place, every = "cast(pmod(xxhash64(p), n_{0}) as int)", "explode(sequence(0, n_{0} - 1))"
+    rows = own.withColumn("down", F.expr(place.format("down"))).withColumn("across", F.expr(every.format("across")))
+    rest = own.filter("root <> main").withColumn("across", F.expr(place.format("across"))).withColumn("down", F.expr(every.format("down")))
+
+    def described(t: pa.Table) -> tuple[np.ndarray, ...]:
+        p, n, root, main = (t.column(c).to_numpy() for c in ("p", "n", "root", "main"))
+        marks = np.frombuffer(b"".join(t.column("marks").to_pylist()), np.uint64).reshape(-1, WIDE_WORDS // PARITY_WORDS, PARITY_WORDS)
+        minwise = np.stack([t.column(s).to_numpy().view(np.uint64) for s in _MINWISE])
+        # parities on fewer words are those on more words, folded
+        return p, n.astype(np.int64), root, root == main, np.bitwise_xor.reduce(marks, axis=1).T.copy(), marks.reshape(-1, WIDE_WORDS).T, minwise
+
+    def met(key: tuple, one: pa.Table, other: pa.Table) -> pa.Table:
+        left, right = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
+        if one.num_rows and other.num_rows:
+            one = one.sort_by("n")
+            p, n, root, inside, few, many, minwise = described(one)
+            p_, n_, root_, _, few_, many_, minwise_ = described(other)
+            first, last = np.searchsorted(n, -(-percent * n_ // 100)), np.searchsorted(n, 100 * n_ // percent, "right")
+            for j in range(other.num_rows):
+                span = slice(first[j], last[j])
+                most = (100 - percent) * (n[span] + n_[j])
+                at = np.nonzero((100 + percent) * _differing(few[:, span], few_[:, j]) <= most)[0] + first[j]
+                # of two points outside the main group the pair is met twice and kept once
+                at = at[(root[at] != root_[j]) & (inside[at] | (p[at] < p_[j]))]
+                at = at[(100 + percent) * _differing(many[:, at], many_[:, j]) <= (100 - percent) * (n[at] + n_[j])]
+                at = at[64 * SKETCH_WORDS - _differing(minwise[:, at], minwise_[:, j]) >= bits]
+                if len(at):
+                    left.append(at)
+                    right.append(np.full(len(at), j))
+        i, j = np.concatenate(left), np.concatenate(right)
+        if not len(i):
+            return pa.table({"a": pa.array([], pa.int64()), "b": pa.array([], pa.int64())})
+        # of all the nodes that two points share, one counts
+        nodes = zip(one.column("nodes").take(pa.array(i)).to_pylist(), other.column("nodes").take(pa.array(j)).to_pylist())
+        here = np.array([min(set(x).intersection(y)) for x, y in nodes]) == key[0].as_py()
+        i, j = p[i[here]], p_[j[here]]
+        return pa.table({"a": np.minimum(i, j), "b": np.maximum(i, j)})
+
+    cell = ["node", "down", "across"]
+    found = stage(rows.groupBy(*cell).cogroup(rest.groupBy(*cell)).applyInArrow(met, "a long, b long"), "met")
+    unstage(own)
+    return found
 
 
 def _roots(texts: DataFrame, points: DataFrame, shingle: int, percent: int, trees: int) -> DataFrame:
@@ -403,8 +459,9 @@ def _roots(texts: DataFrame, points: DataFrame, shingle: int, percent: int, tree
             if links.isEmpty():
                 break
             roots = _merged(roots, links)
-        links = _linked(_crowd_pairs(_grouped(crowd, roots), percent, bits), sets, percent)
-        roots = _merged(roots, links)
+        met = _crowd_pairs(_grouped(crowd, roots), sets, percent, bits)
+        roots = _merged(roots, _linked(met, sets, percent))
+        unstage(met)
 
     rest = _open_pairs(_by_node(_grouped(near.drop("mate"), roots)), percent, bits)
     rest = rest.join(pairs, ["a", "b"], "left_anti")

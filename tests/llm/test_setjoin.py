@@ -99,6 +99,49 @@ def test_large_nodes_are_whole(spark, monkeypatch):
     assert 30 < sum(k for *_, k in want) < 200
 
 
+def test_near_misses_of_a_large_group_are_few_pairs(spark, monkeypatch):
+    """Texts just below the similarity to a group of near copies meet it in many large nodes, but their pairs are not passed on."""
+    monkeypatch.setattr(setjoin, "SMALL", 6)
+    monkeypatch.setattr(setjoin, "BLOCK", 16, raising=False)
+    rng = random.Random(10)
+    base = rng.choices([f"w{i}" for i in range(9000)], k=420)
+    found = [" ".join(changed(rng, base, 2)) for _ in range(60)] + [" ".join(changed(rng, base, 26)) for _ in range(40)]
+    data = list(enumerate(found))
+    passed, crowd_pairs = [], setjoin._crowd_pairs
+
+    def seen(*args):
+        pairs = crowd_pairs(*args)
+        passed.append([tuple(r) for r in pairs.collect()])
+        return pairs
+
+    monkeypatch.setattr(setjoin, "_crowd_pairs", seen)
+    want = brute(data, 2, 80)
+    assert joined(spark, data, 2) == want and sum(k for *_, k in want) > 30
+    assert len(passed) == 1 and len(passed[0]) == len(set(passed[0])) < 300
+
+
+def test_pairs_of_large_nodes_are_all_pairs_that_link(spark, monkeypatch):
+    """Points that nothing has linked before, in nodes of several blocks: each link is found, once, whatever the main groups."""
+    monkeypatch.setattr(setjoin, "BLOCK", 8)
+    monkeypatch.setattr(setjoin, "SIDE", 3)
+    rng = random.Random(11)
+    base = rng.choices([f"w{i}" for i in range(900)], k=80)
+    words = setjoin.WordHashes()
+    sets = [setjoin.token_set(words, " ".join(changed(rng, base, rng.randrange(0, 10))).encode(), 2) for _ in range(60)]
+    sketch = [np.concatenate([setjoin.sketch_of(s), setjoin.parities_of(s)]).view(np.int64).tolist() for s in sets]
+    crowd = [(v, p, len(sets[p]), *sketch[p], p if p % 3 else 0) for v in (5, 6, 7) for p in range(60) if v < 7 or p < 4]
+    crowd = spark.createDataFrame(crowd, f"{setjoin._ROW}, root long")
+    tokens = spark.createDataFrame([(p, bytearray(s.tobytes())) for p, s in enumerate(sets)], "p long, tokens binary")
+    found = [tuple(r) for r in setjoin._crowd_pairs(crowd, tokens, 80, setjoin.least_agreement(80)).collect()]
+
+    def alike(x, y):
+        both = len(np.intersect1d(x, y))
+        return 100 * both >= 80 * (len(x) + len(y) - both)
+
+    want = {(a, b) for b in range(60) for a in range(b) if (a % 3 or b % 3) and alike(sets[a], sets[b])}
+    assert len(found) == len(set(found)) and want <= set(found) and len(want) > 100
+
+
 def test_empty_table(spark):
     assert joined(spark, [], 2) == [] and joined(spark, [(1, None), (2, "")], 2) == [(1, 0, 1, True), (2, 0, 2, True)]
 
