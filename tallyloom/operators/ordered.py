@@ -121,6 +121,11 @@ def _large_groups(df: DataFrame, keys: Sequence[str], at_most: int | None, part_
     return ([t["item"] for t in found.top if t["count"] > rows] if keys else [0]), rows
 
 
+def large_groups(df: DataFrame, keys: Sequence[str], at_most: int | None, part_rows: int) -> list[int]:
+    """``xxhash64`` of the keys of groups of more than ``part_rows`` rows; the frame, if larger, is read once."""
+    return _large_groups(df, keys, at_most, part_rows)[0]
+
+
 def _cuts(df: DataFrame, large: list[int], rows: int) -> list[tuple[int, list[float]]]:
     """Distinct cut points of the large groups, ascending; df has the group's hash and the code."""
     shares = [i / GROUP_PARTS for i in range(1, GROUP_PARTS)]

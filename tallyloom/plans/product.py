@@ -6,33 +6,26 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from .. import fixed_values as V
 from ..functions import argmax_label, clamp, decide, map_values, mean, safe_divide, surrogate_key, tier
+from ..operators.ordered import large_groups
 from ..params import Params
-from ..sources.staging import stage
+from ..sources import staging
+from ..sources.staging import spread, stage
 
 
 _CHANNELS = {"amazon": "amazon", "merchant_website": "merchant", "international": "international"}
 
 
-def _sales_by_sku(base: DataFrame) -> DataFrame:
-    """One row per SKU.
+_TEXTS = ("product_category", "product_style", "product_asin")
 
-    The lines are staged narrow and read by four light aggregations instead of one with
-    five distinct counts, which would copy every line six times and, with texts among its
-    maxima, sort them all.  Each part combines on the map side and ends partitioned by SKU,
-    so joining the parts moves nothing.
-    """
-    used = [
-        "product_sku", "order_id", "order_date", "partner_channel", "customer_segment", "product_category",
-        "product_style", "product_asin", "quantity", "revenue", "order_value_tier", "quarter",
-        "fulfilment_efficiency_score", "estimated_processing_days",
-    ]
-    lines = stage(base.filter("product_sku is not null").select(*used), "sku_lines")
+
+def _figures() -> list[Column]:
+    """Sums, means, extremes and line counts of a SKU."""
     channel, quarter = F.col("partner_channel"), F.col("quarter")
 
     def revenue_if(cond: Column) -> Column:
         return F.sum(F.when(cond, F.col("revenue")).otherwise(0))
 
-    figures = lines.groupBy("product_sku").agg(
+    return [
         F.sum("quantity").alias("total_units_sold"),
         F.sum("revenue").alias("total_revenue"),
         F.min("order_date").alias("first_sale_date"),
@@ -45,7 +38,32 @@ def _sales_by_sku(base: DataFrame) -> DataFrame:
         F.stddev_samp(F.col("revenue").cast("double")).alias("revenue_volatility"),
         mean("fulfilment_efficiency_score").alias("avg_fulfilment_score"),
         mean("estimated_processing_days").alias("avg_processing_days"),
+    ]
+
+
+def _met_by_sku(lines: DataFrame, rows: int) -> DataFrame:
+    """One row per SKU of lines that meet in one exchange by SKU, with sets for the distinct counts."""
+    segment, order = F.col("customer_segment"), F.col("order_id")
+    marked = F.bool_or(segment.isNotNull() | order.isNull())
+
+    def different(c: Column) -> Column:
+        return F.size(F.collect_set(c)).cast("bigint")
+
+    dealt = spread(lines.repartition("product_sku"), ["product_sku"], rows)
+    return dealt.groupBy("product_sku").agg(
+        *_figures(),
+        different(order).alias("total_orders"),
+        *[F.when(marked, different(F.when(segment == s, order))).alias(f"{s}_orders") for s in ("b2b", "b2c")],
+        different(F.col("order_date")).alias("active_sales_days"),
+        different(F.col("partner_channel")).alias("channel_presence"),
+        *[F.max(c).alias(c) for c in _TEXTS],
     )
+
+
+def _combined_by_sku(lines: DataFrame) -> DataFrame:
+    """The same rows for SKUs of very many lines: four light aggregations that combine on the map side, so that no task
+    gets all lines of a SKU."""
+    figures = lines.groupBy("product_sku").agg(*_figures())
     # one row per SKU and order carries both segment marks; counting rows counts orders
     segment = F.col("customer_segment")
     orders = lines.groupBy("product_sku", "order_id").agg(
@@ -59,11 +77,29 @@ def _sales_by_sku(base: DataFrame) -> DataFrame:
         F.count_distinct("order_date").alias("active_sales_days"),
         F.count_distinct("partner_channel").alias("channel_presence"),
     )
-    texts = ["product_category", "product_style", "product_asin"]
-    labels = lines.select("product_sku", *texts).distinct().groupBy("product_sku").agg(*[F.max(c).alias(c) for c in texts])
-    return figures.join(orders, "product_sku").join(presence, "product_sku").join(labels, "product_sku").withColumn(
-        "business_orders", F.col("b2b_orders")  # the segment is the business flag
-    )
+    labels = lines.select("product_sku", *_TEXTS).distinct().groupBy("product_sku").agg(*[F.max(c).alias(c) for c in _TEXTS])
+    return figures.join(orders, "product_sku").join(presence, "product_sku").join(labels, "product_sku")
+
+
+def _sales_by_sku(base: DataFrame) -> DataFrame:
+    """One row per SKU.
+
+    The lines are staged narrow and meet in one exchange by SKU.  SKUs of more lines than a task should hold, found by a
+    frequent-items sketch, are aggregated in parts instead; both ways give the same rows.
+    """
+    used = [
+        "product_sku", "order_id", "order_date", "partner_channel", "customer_segment", *_TEXTS, "quantity", "revenue",
+        "order_value_tier", "quarter", "fulfilment_efficiency_score", "estimated_processing_days",
+    ]
+    lines = stage(base.filter("product_sku is not null").select(*used), "sku_lines")
+    rows = lines.count()
+    large = large_groups(lines, ["product_sku"], rows, staging.TASK_ROWS)
+    if large:
+        many = F.xxhash64("product_sku").isin(large)
+        found = _met_by_sku(lines.filter(~many), rows).unionByName(_combined_by_sku(lines.filter(many)))
+    else:
+        found = _met_by_sku(lines, rows)
+    return found.withColumn("business_orders", F.col("b2b_orders"))  # the segment is the business flag
 
 
 def _cost_by_sku(prices: DataFrame) -> DataFrame:
