@@ -20,7 +20,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, WindowSpec, functions as F
 
-from ..sources.staging import stage
+from ..sources.staging import file_slices, stage, stage_each, unstage, unstage_files
 
 #: rows of a group from which it is cut, parts of all large groups together, parts of one group
 PART_ROWS, MOST_PARTS, GROUP_PARTS = 500_000, 100_000, 1024
@@ -70,9 +70,38 @@ def null_safe_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how:
     return left.join(right, cond, how).drop(*[f"__r_{k}" for k in keys])
 
 
-def with_row_key(df: DataFrame, label: str) -> DataFrame:
-    """The frame, staged with a unique row number, so that narrow results can be joined back."""
-    return stage(df.withColumn(ROW_KEY, F.monotonically_increasing_id()), label)
+def with_row_key(df: DataFrame, label: str, below_zero: bool = False) -> DataFrame:
+    """The frame, staged with a unique row number, so that narrow results can be joined back; two frames have no number in common if one is
+    numbered below zero."""
+    number = F.monotonically_increasing_id()
+    return stage(df.withColumn(ROW_KEY, -1 - number if below_zero else number), label)
+
+
+def join_by_row_key(
+    tables: Sequence[tuple[DataFrame, Sequence[DataFrame]]], label: str, finish: Callable[[DataFrame], DataFrame], slices: int,
+) -> DataFrame:
+    """Wide rows of staged tables (``with_row_key``), each table with staged narrow results that have one row for each, as ``finish`` leaves them.
+
+    The wide rows meet the results in slices of whole files, so the shuffle of a slice, and then its files, are gone before the next; the inputs
+    are gone at the end.  The results are read once a slice, of which each keeps its range of keys.
+    """
+
+    def joined():
+        for base, results in tables:
+            for wide in file_slices(base, slices):
+                ends = wide.agg(F.min(ROW_KEY).alias("low"), F.max(ROW_KEY).alias("high")).first()
+                own = [r.filter(F.col(ROW_KEY).between(F.lit(ends.low), F.lit(ends.high))) for r in results]
+                df = finish(wide.join(reduce(lambda a, b: a.join(b, ROW_KEY), own), ROW_KEY))
+                columns[:] = columns or df.columns
+                yield df.select(*columns)
+                unstage_files(wide)
+
+    columns: list[str] = []
+    found = stage_each(joined(), label)
+    # a result may serve several tables
+    for df in {id(df): df for base, results in tables for df in (base, *results)}.values():
+        unstage(df)
+    return found
 
 
 def _group(keys: Sequence[str]) -> Column:

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 import math
 import uuid
-from collections.abc import Sequence
+from collections.abc import Iterable, Sequence
 from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
@@ -64,16 +64,46 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def unstage(df: DataFrame) -> None:
-    """Delete a staged table that no later job reads; ``df`` is what ``stage`` returned."""
+def stage_each(frames: Iterable[DataFrame], label: str) -> DataFrame:
+    """Write frames of the same columns one after the other into one table, so that the shuffle files of one are gone before the next."""
+    path = first = None
+    for df in frames:
+        spark = df.sparkSession
+        path, first = path or new_path(spark, label), first or df.dtypes
+        if df.dtypes != first:
+            raise TypeError(f"columns differ: {set(df.dtypes) ^ set(first)}")
+        with _writing(spark):
+            df.write.mode("append").parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def file_slices(df: DataFrame, most: int) -> list[DataFrame]:
+    """A staged table in ``most`` frames or fewer, each of whole files."""
     spark = df.sparkSession
+    jvm = spark._jvm
+    files = sorted(jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(f)).toString() for f in df.inputFiles())
+    n = min(most, len(files))
+    return [spark.read.schema(df.schema).parquet(*files[i * len(files) // n:(i + 1) * len(files) // n]) for i in range(n)]
+
+
+def _delete(spark: SparkSession, paths: Iterable[str]) -> None:
     top = shared_dir(spark).split(":", 1)[-1]
-    for folder in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
-        if top.lstrip("/") in folder:
-            path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    for name in paths:
+        if top.lstrip("/") in name:
+            path = spark._jvm.org.apache.hadoop.fs.Path(name)
             path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def unstage(df: DataFrame) -> None:
+    """Delete a staged table that no later job reads; ``df`` is what ``stage`` returned."""
+    _delete(df.sparkSession, {f.rsplit("/", 1)[0] for f in df.inputFiles()})
+
+
+def unstage_files(df: DataFrame) -> None:
+    """Delete the files of one of a table's ``file_slices``."""
+    _delete(df.sparkSession, df.inputFiles())
+
+
 def spread(df: DataFrame, keys: Sequence[str], rows: int | None) -> DataFrame:
     """Hash partitions by the keys in tasks of about TASK_ROWS of the ``rows`` that meet there.
 
