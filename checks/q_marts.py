@@ -405,7 +405,7 @@ def summary(t):
 
 def dashboard(t):
     lines = t.base_once
-    return partner.partner_dashboard(partner.daily_partner_metrics(lines), finance.financial_performance(lines, rows=t.rows), PARAMS)
+    return partner.partner_dashboard(partner.daily_partner_metrics(lines, staged=True), finance.financial_performance(lines, rows=t.rows), PARAMS)
 
 
 DAILY_OUT = """daily_metrics_key:s partner_channel:s order_date:t channel_group:s customer_segment:s daily_orders:i daily_units_sold:i

@@ -7,8 +7,9 @@ from datetime import date, timedelta
 from pyspark.sql import functions as F
 
 from tallyloom import fixed_values as V
+from tallyloom.plans import finance, partner
 from tallyloom.quality import checks, monitor, profile
-from tallyloom.sources.staging import new_path, stage
+from tallyloom.sources.staging import new_path, stage, unstage
 
 from . import sqlgen as q
 from .q_marts import dashboard, mart_sql, summary
@@ -313,9 +314,9 @@ def _broken():
     raise ValueError("cannot read")
 
 
-def _results(t):
+def _results(t, dash=dashboard, days=summary):
     tables = {
-        monitor.PARTNER_DASHBOARD: lambda: dashboard(t), monitor.FINANCIAL_SUMMARY: lambda: summary(t),
+        monitor.PARTNER_DASHBOARD: lambda: dash(t), monitor.FINANCIAL_SUMMARY: lambda: days(t),
         "missing": lambda: None, "broken": _broken,
     }
     return monitor.run_checks(t.spark, tables, NOW, PARAMS)
@@ -358,11 +359,9 @@ register("growth_anomalies", _ANOMALY_OUT, mart_sql(_GROWTH))(
 
 def _with_costs(t):
     """Dashboard on all lines with a cost of 135 % of revenue for merchant-shipped and 75 % for other lines."""
-    from tallyloom.plans import finance, partner
-
     cost = F.col("revenue") * F.when(F.col("fulfillment_type") == "Merchant", F.lit("1.35").cast("decimal(3,2)")).otherwise(F.lit("0.75").cast("decimal(3,2)"))
     lines = t.base_once.withColumn("cost", cost)
-    return partner.partner_dashboard(partner.daily_partner_metrics(lines), finance.financial_performance(lines, "cost"), PARAMS)
+    return partner.partner_dashboard(partner.daily_partner_metrics(lines, staged=True), finance.financial_performance(lines, "cost"), PARAMS)
 
 
 _COSTED = f"""
@@ -381,8 +380,16 @@ register(
 )(lambda t: _flat(monitor.margin_anomalies(_with_costs(t), NOW)))
 
 
-def _anomalies(t):
-    return monitor.revenue_anomalies(summary(t), NOW, PARAMS).unionByName(monitor.volume_anomalies(dashboard(t), NOW, PARAMS))
+def _found(t):
+    """Check results and anomalies, staged one after the other from the same lines, which are gone then; reports read them several times."""
+    lines = t.base_once
+    dash, days = stage(dashboard(t), "dashboard"), finance.financial_summary(finance.financial_performance(lines, rows=t.rows), PARAMS)
+    results = stage(_results(t, lambda t: dash, lambda t: days), "results")
+    anomalies = monitor.revenue_anomalies(days, NOW, PARAMS).unionByName(monitor.volume_anomalies(dash, NOW, PARAMS))
+    anomalies = stage(anomalies, "anomalies")
+    unstage(lines)
+    del t.base_once
+    return results, anomalies
 
 
 _FOUND = f"""
@@ -407,7 +414,7 @@ register(
         UNION ALL SELECT 'anomaly_summary', item, figure FROM (SELECT UNNEST(['total_anomalies', 'high_score_anomalies']) AS item, UNNEST([COUNT(*), COUNT_IF(score > 3)]) AS figure FROM found) AS a
         UNION ALL SELECT 'anomalies_by_metric', metric_name, COUNT(*) FROM found GROUP BY metric_name""", **_report_ctes(),
     ),
-)(lambda t: monitor.quality_report(_results(t), _anomalies(t)))
+)(lambda t: monitor.quality_report(*_found(t)))
 
 @register("monitoring_cycle", "section:s item:s figure:d", REGISTRY["quality_report"].sql)
 def _cycle(t):
@@ -429,4 +436,4 @@ register(
                      UNION ALL SELECT 'ANOMALY', table_name, printf('%s: %s anomaly (score: %.2f)', table_name, metric_name, score) FROM found) AS l) AS r
            WHERE position <= 5""", **_report_ctes(),
     ),
-)(lambda t: monitor.alert_digest(_results(t), _anomalies(t)))
+)(lambda t: monitor.alert_digest(*_found(t)))

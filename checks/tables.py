@@ -12,7 +12,7 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 
 from tallyloom import Params
-from tallyloom.plans import raw, staging
+from tallyloom.plans import finance, partner, raw, staging
 from tallyloom.sources.staging import spread, stage
 
 AS_OF = date(2001, 8, 1)
@@ -269,5 +269,6 @@ class Tables:
 
     @cached_property
     def base_once(self) -> DataFrame:
-        """The partner base staged, for queries that read it more than once."""
-        return stage(self.base, "base")
+        """The columns of the partner base that daily metrics, financial performance and costs read, staged for queries that read them
+        more than once."""
+        return stage(self.base.select(*dict.fromkeys((*partner.LINE_COLUMNS, *finance.LINE_COLUMNS, "fulfillment_type"))), "base")

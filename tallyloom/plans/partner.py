@@ -11,32 +11,38 @@ from ..params import Params
 from ..sources.staging import spread, stage
 
 
-def daily_partner_metrics(base: DataFrame, recent_only: Params | None = None) -> DataFrame:
+_DAY = ("partner_channel", "order_date", "channel_group", "customer_segment", "quarter", "month", "day_of_week", "is_business_day")
+_COUNTED = {"order_id": "daily_orders", "product_sku": "daily_unique_products"}
+#: columns of the lines that daily metrics read; callers that stage lines for them stage these
+LINE_COLUMNS = (
+    *_DAY, *_COUNTED, "quantity", "revenue", "revenue_per_unit", "fulfilment_efficiency_score", "estimated_processing_days",
+    "data_quality_flag", "order_value_tier",
+)
+
+
+def daily_partner_metrics(base: DataFrame, recent_only: Params | None = None, staged: bool = False) -> DataFrame:
     """One row per channel, day and segment, with rolling averages and trend.
 
     The windows run on this daily grain (at most one row per day and group), never on
     sales lines.  ``recent_only`` keeps the look-back days only; the dashboard needs all.
-    The lines are staged narrow and read three times, by the figures and by one distinct count each, which meets in tasks
-    of a bounded number of rows; both counts in one aggregation would copy every line into the session's partitions.
+    Each distinct count reads its item and the day alone and meets in tasks of a bounded number of rows; both in one aggregation with
+    the figures would copy every line into the session's partitions.  ``staged`` says that the lines are a staged table; of other
+    lines these few columns are staged here, and the figures read the lines themselves.
     """
-    day = ["partner_channel", "order_date", "channel_group", "customer_segment", "quarter", "month", "day_of_week", "is_business_day"]
-    counted = {"order_id": "daily_orders", "product_sku": "daily_unique_products"}
-    measures = (
-        "quantity", "revenue", "revenue_per_unit", "fulfilment_efficiency_score", "estimated_processing_days", "data_quality_flag",
-        "order_value_tier",
-    )
-    lines = stage(base.select(*day, *counted, *measures), "day_lines")
-    rows = lines.count()
+    day, counted = list(_DAY), _COUNTED
+    items = base.select(*day, *counted)
+    items = items if staged else stage(items, "day_items")
+    rows = items.count()
 
     def different(item: str) -> DataFrame:
-        items = [*day, item]
-        return spread(lines.select(*items), items, rows).distinct().groupBy(*day).agg(F.count(item).alias(counted[item]))
+        both = [*day, item]
+        return spread(items.select(*both), both, rows).distinct().groupBy(*day).agg(F.count(item).alias(counted[item]))
 
     def value_lines(label):
         return F.count_if(F.col("order_value_tier") == label)
 
     high, medium, low = V.LINE_VALUE_LABELS
-    daily = lines.groupBy(*day).agg(
+    daily = base.groupBy(*day).agg(
         F.sum("quantity").alias("daily_units_sold"),
         F.sum("revenue").alias("daily_revenue"),
         mean("revenue").alias("daily_avg_order_value"),

@@ -5,6 +5,8 @@ import os
 import pytest
 
 import __spark_entry__ as entry
+from checks.tables import Tables
+from tallyloom.sources.staging import shared_dir
 from tools.compare import TABLES, compare
 
 SMALL = entry.SMALL
@@ -74,3 +76,20 @@ def test_tasks_follow_the_rows(spark, con, monkeypatch, name):
     assert compare(spark, con, SMALL, name, entry.queries()[name], entry.oracle_sql()[name]).startswith("ok")
     parts = entry.queries()[name](spark, SMALL)._jdf.queryExecution().optimizedPlan().toString()
     assert "RepartitionByExpression [l_orderkey" in parts
+
+
+@pytest.mark.parametrize("name", ["quality_report", "alert_digest"])
+def test_reports_read_the_lines_once(spark, name):
+    """A report reads its staged results and anomalies; the lines were staged once, narrow, and are gone."""
+    folder = shared_dir(spark)
+    before = set(os.listdir(folder))
+    report = entry.queries()[name](spark, SMALL)
+    kept = sorted(x.split("-")[0] for x in set(os.listdir(folder)) - before)
+    assert kept == ["anomalies", "dashboard", "results"]
+    assert "lineitem" not in str(report.inputFiles()) and report.count() > 0
+
+
+def test_lines_staged_for_several_reads_are_narrow(spark):
+    lines = Tables(spark, SMALL).base_once
+    assert not {"line_key", "partner_performance_key", "order_status"} & set(lines.columns)
+    assert "fulfillment_type" in lines.columns and lines.count() > 0
